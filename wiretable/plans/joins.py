@@ -1,0 +1,23 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import materialize
+
+
+def bounded_join(big: DataFrame, small: DataFrame, on: list[str], how: str,
+                 max_rows: int) -> DataFrame:
+    """Join ``small`` to ``big``, broadcasting it only below ``max_rows``.
+
+    ``small`` is materialised first (reliable checkpoint), so measuring it
+    does not recompute it and the join reads the stored result.  Above the
+    bound the join is shuffled; AQE's skew-join handling splits a hot key on
+    the big side while the matching small partition is replicated.
+    """
+    small = materialize(small)
+    if small.limit(max_rows + 1).count() <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
