@@ -26,12 +26,16 @@ def _nonempty(c: Column) -> Column:
 def normalize(raw: DataFrame, prof: str | Profile) -> DataFrame:
     """Export rows -> ``packet_id, source_file`` + the 11 extracted columns.
 
-    ``packet_id`` is assigned here, once, and carried by every later stage;
-    it stands in for the row positions the reference relies on.
+    ``packet_id`` is assigned here, once (unless the input already has one),
+    and carried by every later stage; it stands in for row positions.
     """
     prof = _profile(prof)
-    first = prof.first_occurrence
-    col = lambda name: _clean_text(F.col(f"`{name}`"), first)
+    # First-occurrence applies to the fields a capture tool may repeat
+    # (addresses, protocol, ports, length), never to free text.
+    repeatable = {"ip.src", "ip.dst", "ipv6.src", "ipv6.dst", "ip.proto", "ipv6.nxt",
+                  "tcp.srcport", "tcp.dstport", "udp.srcport", "udp.dstport", "frame.len"}
+    col = lambda name: _clean_text(
+        F.col(f"`{name}`"), prof.first_occurrence and name in repeatable)
 
     if prof.ipv6:
         src = F.coalesce(_nonempty(col("ip.src")), _nonempty(col("ipv6.src")))
@@ -51,7 +55,8 @@ def normalize(raw: DataFrame, prof: str | Profile) -> DataFrame:
         length = F.coalesce(_nonempty(length), F.lit(prof.default_length))
 
     out = raw.select(
-        F.monotonically_increasing_id().alias("packet_id"),
+        (F.col("packet_id") if "packet_id" in raw.columns
+         else F.monotonically_increasing_id()).alias("packet_id"),
         F.col("source_file"),
         _nonempty(F.trim(F.col("`frame.time`"))).alias("timestamp"),
         src.alias("src_ip"), dst.alias("dst_ip"), protocol.alias("protocol"),
