@@ -44,29 +44,21 @@ def is_valid_ip(c: Column) -> Column:
     return F.coalesce(c.rlike(IP_PATTERN), F.lit(False))
 
 
+# Private/loopback/link-local prefixes over "<first>.<second>" as integers.
+PRIVATE_PREFIX_PATTERN = (r"^(10[.]-?[0-9]+|172[.](1[6-9]|2[0-9]|3[01])|192[.]168"
+                          r"|127[.]-?[0-9]+|169[.]254)$")
+
+
 def is_internal_ip(c: Column) -> Column:
     """Private/loopback/link-local IPv4 test of the relevance cascade.
 
     Missing, non-4-part (so every IPv6) and non-numeric leading octets count
-    as internal; multicast and broadcast count as external.
+    as internal; multicast and broadcast count as external.  The first two
+    octets are parsed once each and matched as one canonical prefix.
     """
-    return _internal_expr(c)
-
-
-def _internal_expr(c: Column) -> Column:
     parts = F.split(c, "[.]")
-    first = F.get(parts, 0).try_cast("int")
-    second = F.get(parts, 1).try_cast("int")
-    private = (
-        (first == 10)
-        | ((first == 172) & second.between(16, 31))
-        | ((first == 192) & (second == 168))
-        | (first == 127)
-        | ((first == 169) & (second == 254))
-    )
-    return (
-        F.when(c.isNull() | (c == ""), True)
-        .when(F.size(parts) != 4, True)
-        .when(first.isNull() | second.isNull(), True)
-        .otherwise(private)
-    )
+    prefix = F.concat(F.get(parts, 0).try_cast("int").cast("string"), F.lit("."),
+                      F.get(parts, 1).try_cast("int").cast("string"))
+    return (F.when(c.isNull() | (c == ""), True)
+            .when(F.size(parts) != 4, True)
+            .otherwise(F.coalesce(prefix.rlike(PRIVATE_PREFIX_PATTERN), F.lit(True))))

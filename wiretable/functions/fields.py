@@ -130,14 +130,21 @@ MODULAR_FORMATS = [
 ]
 
 
-def _parse_any(text: Column, formats: list[str]) -> Column:
+def parse_formats(text: Column, formats: list[str]) -> Column:
+    """First format that parses ``text`` (pass a column reference: the text is
+    read once per format)."""
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
-def _squash_blanks(c: Column) -> Column:
+def squash_blanks(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"\s+", " "))
 
 
+def cut_fraction(c: Column) -> Column:
+    """Fraction digits beyond the sixth are dropped (microsecond parsers)."""
+    return F.regexp_replace(c, r"[.]([0-9]{6})[0-9]+", ".$1")
+
+
 def time_text_integrated(raw: Column) -> Column:
     """Quotes stripped and a trailing zone abbreviation removed (not applied)."""
     return F.regexp_replace(strip_quotes(raw), r"\s+[A-Z]{3,4}$", "")
@@ -155,29 +162,35 @@ def time_text_modular(raw: Column) -> Column:
 
 def parse_time_integrated(raw: Column) -> Column:
     """Parsed wall clock (TIMESTAMP, UTC session) or NULL when unparseable."""
-    return _parse_any(_squash_blanks(time_text_integrated(raw)), FLEX_FORMATS)
+    return parse_formats(squash_blanks(time_text_integrated(raw)), FLEX_FORMATS)
 
 
 def parse_time_modular(raw: Column) -> Column:
     """Format list first, generic parse as the fallback."""
     text = time_text_modular(raw)
-    cut = F.regexp_replace(text, r"[.]([0-9]{6})[0-9]+", ".$1")
-    return F.coalesce(_parse_any(cut, MODULAR_FORMATS),
-                      _parse_any(_squash_blanks(text), FLEX_FORMATS))
+    return F.coalesce(parse_formats(cut_fraction(text), MODULAR_FORMATS),
+                      parse_formats(squash_blanks(text), FLEX_FORMATS))
 
 
-def time_ns(ts: Column, text: Column) -> Column:
+def fraction_digits(text: Column) -> Column:
+    return F.regexp_extract(text, r"[.]([0-9]+)", 1)
+
+
+def time_ns_from(ts: Column, frac: Column) -> Column:
     """Nanoseconds since the epoch: micros of the parsed value + sub-µs digits.
 
     Spark timestamps hold microseconds; the 7th-9th fraction digits of the
     text are added back so that window arithmetic is exact in nanoseconds.
     """
-    frac = F.regexp_extract(text, r"[.]([0-9]+)", 1)
     sub_us = F.when(F.length(frac) > 6, F.rpad(F.substring(frac, 7, 3), 3, "0").cast("long")) \
         .otherwise(F.lit(0).cast("long"))
     return F.unix_micros(ts) * F.lit(1000) + sub_us
 
 
+def time_ns(ts: Column, text: Column) -> Column:
+    return time_ns_from(ts, fraction_digits(text))
+
+
 # ----------------------------------------------------------------------- pseudonyms
 
 

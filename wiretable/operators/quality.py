@@ -27,13 +27,18 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
     """
     prof = _profile(prof)
     c = F.col
+    # Stage the cleaned time text once; every format attempt reads the column.
     if prof.name == "integrated":
-        ts = X.parse_time_integrated(c("timestamp"))
-        text = X.time_text_integrated(c("timestamp"))
+        staged = df.withColumn("_tt", X.time_text_integrated(c("timestamp"))) \
+            .withColumn("_tp", X.squash_blanks(c("_tt")))
+        parsed = X.parse_formats(c("_tp"), X.FLEX_FORMATS)
         proto_ok = X.protocol_whitelisted_integrated(c("protocol"))
     else:
-        ts = X.parse_time_modular(c("timestamp"))
-        text = X.time_text_modular(c("timestamp"))
+        staged = df.withColumn("_tt", X.time_text_modular(c("timestamp"))) \
+            .withColumn("_tp", X.cut_fraction(c("_tt"))) \
+            .withColumn("_tf", X.squash_blanks(c("_tt")))
+        parsed = F.coalesce(X.parse_formats(c("_tp"), X.MODULAR_FORMATS),
+                            X.parse_formats(c("_tf"), X.FLEX_FORMATS))
         proto_ok = X.protocol_whitelisted_modular(c("protocol"))
     nan_missing = prof.name == "modular"
     missing = None
@@ -41,22 +46,24 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
         m = X.is_missing(c(name))
         missing = m if missing is None else missing | m
 
-    out = (df.withColumn("event_time", ts)
-           .withColumn("time_text", text))
+    staged = (staged.withColumn("event_time", parsed)
+              .withColumn("_frac", X.fraction_digits(c("_tt")))
+              .withColumn("_ip_ok", is_valid_ip(c("src_ip")) & is_valid_ip(c("dst_ip")))
+              .withColumn("_port_ok", X.port_is_valid(c("src_port"), nan_missing)
+                          & X.port_is_valid(c("dst_port"), nan_missing)))
     reason = (
         F.when(missing, "missing_required")
-        .when(~is_valid_ip(c("src_ip")) | ~is_valid_ip(c("dst_ip")), "invalid_ip")
-        .when(~X.port_is_valid(c("src_port"), nan_missing) | ~X.port_is_valid(c("dst_port"), nan_missing),
-              "invalid_port")
+        .when(~c("_ip_ok"), "invalid_ip")
+        .when(~c("_port_ok"), "invalid_port")
         .when(c("event_time").isNull(), "invalid_timestamp")
         .when(~proto_ok, "invalid_protocol")
     )
-    return (out.withColumn("reject_reason", reason)
-            .withColumn("event_ns", X.time_ns(c("event_time"), c("time_text")))
+    return (staged.withColumn("reject_reason", reason)
+            .withColumn("event_ns", X.time_ns_from(c("event_time"), c("_frac")))
             .withColumn("src_port_n", X.port_value(c("src_port")))
             .withColumn("dst_port_n", X.port_value(c("dst_port")))
             .withColumn("length_n", F.trim(c("length")).try_cast("double").try_cast("int"))
-            .drop("time_text"))
+            .drop("_tt", "_tp", "_tf", "_frac", "_ip_ok", "_port_ok"))
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -26,37 +26,38 @@ def _either(a: Column, b: Column, values: list[int]) -> Column:
     return a.isin(*values) | b.isin(*values)
 
 
-def relevance_rule(src_ip: Column, dst_ip: Column, src_port: Column, dst_port: Column,
-                   http_host: Column, http_path: Column, user_agent: Column,
-                   dns_query: Column) -> Column:
-    """Number of the first rule that matches (1-9)."""
-    raw_s = F.when(X.is_missing(src_port), F.lit(0).cast("bigint")).otherwise(X.integer_text_value(src_port))
-    raw_d = F.when(X.is_missing(dst_port), F.lit(0).cast("bigint")).otherwise(X.integer_text_value(dst_port))
-    both_int = raw_s.isNotNull() & raw_d.isNotNull()
-    s = F.when(both_int, raw_s).otherwise(F.lit(0).cast("bigint"))
-    d = F.when(both_int, raw_d).otherwise(F.lit(0).cast("bigint"))
-    app_data = (~X.is_missing(http_host) | ~X.is_missing(http_path)
-                | ~X.is_missing(user_agent) | ~X.is_missing(dns_query))
-    both_internal = is_internal_ip(src_ip) & is_internal_ip(dst_ip)
-    return (
-        F.when(X.is_missing(src_ip) | X.is_missing(dst_ip), 1)
+def with_relevance(df: DataFrame) -> DataFrame:
+    """Adds ``relevance_rule`` (1-9) and ``relevant`` (kept by the cascade).
+
+    Intermediate values are staged as columns so that every sub-expression is
+    evaluated once per row and the generated code stays small.
+    """
+    c = F.col
+    zero = F.lit(0).cast("bigint")
+    staged = (
+        df.withColumn("_rs", F.when(X.is_missing(c("src_port")), zero).otherwise(X.integer_text_value(c("src_port"))))
+        .withColumn("_rd", F.when(X.is_missing(c("dst_port")), zero).otherwise(X.integer_text_value(c("dst_port"))))
+        .withColumn("_both", c("_rs").isNotNull() & c("_rd").isNotNull())
+        .withColumn("_s", F.when(c("_both"), c("_rs")).otherwise(zero))
+        .withColumn("_d", F.when(c("_both"), c("_rd")).otherwise(zero))
+        .withColumn("_internal", is_internal_ip(c("src_ip")) & is_internal_ip(c("dst_ip")))
+    )
+    app_data = (~X.is_missing(c("http_host")) | ~X.is_missing(c("http_path"))
+                | ~X.is_missing(c("user_agent")) | ~X.is_missing(c("dns_query")))
+    s, d = c("_s"), c("_d")
+    rule = (
+        F.when(X.is_missing(c("src_ip")) | X.is_missing(c("dst_ip")), 1)
         .when((s == K.DNS_PORT) | (d == K.DNS_PORT), 3)
         .when(_either(s, d, K.WEB_PORTS), 4)
         .when(_either(s, d, K.NOISE_PORTS), 5)
         .when(_either(s, d, K.IMPORTANT_PORTS), 6)
-        .when(~both_internal, 7)
+        .when(~c("_internal"), 7)
         .when(app_data, 8)
         .otherwise(9)
     )
-
-
-def with_relevance(df: DataFrame) -> DataFrame:
-    """Adds ``relevance_rule`` and ``relevant`` (kept by the cascade)."""
-    rule = relevance_rule(*[F.col(c) for c in (
-        "src_ip", "dst_ip", "src_port", "dst_port", "http_host", "http_path",
-        "user_agent", "dns_query")])
-    return (df.withColumn("relevance_rule", rule)
-            .withColumn("relevant", F.col("relevance_rule").isin(*KEEP_RULES)))
+    return (staged.withColumn("relevance_rule", rule)
+            .withColumn("relevant", F.col("relevance_rule").isin(*KEEP_RULES))
+            .drop("_rs", "_rd", "_both", "_s", "_d", "_internal"))
 
 
 def internal_split(df: DataFrame) -> DataFrame:

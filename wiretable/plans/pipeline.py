@@ -1,9 +1,11 @@
 """End-to-end plans: extract -> clean -> pseudonymise -> load (both profiles).
 
-Each stage is a lazy DataFrame transformation; the only materialisations are
-the input of the flow thinning (read several times by that operator) and the
-loaded table.  Counters come from grouped counts over the reject column, not
-from one pass per filter phase.
+Each stage is a lazy DataFrame transformation.  Reliable checkpoints sit only
+where a result is read more than once: the extraction outcome table (kept
+rows + per-file statistics), the checked table (clean rows + quarantine),
+the exactly de-duplicated rows (input of the flow thinning) and the loaded
+table.  Counters come from grouped counts over the outcome/reject columns,
+not from one pass per filter phase.
 """
 
 from __future__ import annotations
@@ -62,6 +64,9 @@ def extract(raw: DataFrame, prof: str | Profile) -> ExtractResult:
         tagged = df.withColumn("extract_outcome",
                                F.when(presence_drop(df, prof), F.lit("missing_address_or_time"))
                                .otherwise(F.lit("kept")))
+    # Read twice (kept rows, per-file statistics) and filtered on a computed
+    # outcome: materialised for the same reasons as the checked table.
+    tagged = materialize(tagged)
     kept = tagged.where(F.col("extract_outcome") == "kept").select(
         "packet_id", "source_file", *EXTRACTED_COLUMNS)
     return ExtractResult(extracted=kept, tagged=tagged)
@@ -82,7 +87,12 @@ def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
     """
     prof = _profile(prof)
     ensure_utc(extracted.sparkSession)
-    checked = with_reject_reason(extracted, prof)
+    # The checked table is read twice (passing rows, quarantine).  It is
+    # materialised: besides avoiding a recomputation, a filter on the computed
+    # reason would otherwise be pushed below the projection that computes it,
+    # inlining every validation expression into the scan filter (evaluated
+    # twice per row, and generated code past the JVM method-size limit).
+    checked = materialize(with_reject_reason(extracted, prof))
     ok, rejects = split_rejects(checked)
     typed = (ok.drop("src_port", "dst_port", "length")
              .withColumnRenamed("src_port_n", "src_port")

@@ -24,6 +24,7 @@ from ..operators.relevance import with_relevance
 from ..operators.signals import port_scanners, with_signals
 from ..schema import INTEGRATED, MODULAR, RAW16_FIELDS, Profile
 from ..sources.packets import packets
+from ..session import materialize
 from .pipeline import clean
 
 # Fixed value: the salt published with the reproduced pipeline; parity tests
@@ -46,7 +47,8 @@ def extracted(spark: SparkSession, sf_dir: str, prof: Profile) -> DataFrame:
         *[X.blank_to_null(F.col(c)).alias(c) for c in TEXT_COLUMNS])
     df = df.withColumn("protocol", label(F.col("ip_proto"))).withColumnRenamed("frame_time", "timestamp")
     if prof.relevance_filter:
-        df = with_relevance(df).where(F.col("relevant")).drop("relevance_rule", "relevant")
+        # Materialised before filtering on the computed rule (see pipeline.clean).
+        df = materialize(with_relevance(df)).where(F.col("relevant")).drop("relevance_rule", "relevant")
     return df.drop("ip_proto")
 
 
