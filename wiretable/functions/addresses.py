@@ -34,7 +34,7 @@ IPV4_PATTERN = f"^{_V4}$"
 IPV6_PATTERN = "^(" + "|".join(_ipv6_alternatives()) + ")(%[^%]+)?$"
 # Surrounding blanks are ignored, as the validators strip before parsing.
 _WS = r"[ \t\n\r\f\v]*"
-IP_PATTERN = f"^{_WS}({_V4}|" + "|".join(_ipv6_alternatives()) + f"(%[^%]+)?){_WS}$"
+IP_PATTERN = f"^{_WS}({_V4}|(" + "|".join(_ipv6_alternatives()) + f")(%[^%]+)?){_WS}$"
 # A dotted quad anywhere in text (leak scan); `[.]` keeps it engine-neutral.
 DOTTED_QUAD_PATTERN = r"\b[0-9]{1,3}([.][0-9]{1,3}){3}\b"
 

@@ -70,3 +70,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: writes ``df`` to the checkpoint folder, cuts lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan across the cluster.
+
+    A source that yields fewer input partitions than the default parallelism
+    (one small file with one row group) would run every narrow stage in a few
+    tasks.  It is then redistributed round-robin; large inputs, which already
+    have more splits than cores, are left untouched (no extra shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

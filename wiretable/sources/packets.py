@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_utc
+from ..session import ensure_utc, spread
 
 PACKET_VIEW_TEMPLATE = """
 WITH e AS (
@@ -83,7 +83,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty packet table (13 columns, text fields) built from ``events``."""
     ensure_utc(spark)
-    events = read_events(spark, sf_dir)
+    events = spread(read_events(spark, sf_dir))
     # `{events}` is bound to the DataFrame by spark.sql; Catalyst sees one plan.
     return spark.sql(packet_view_sql("spark", "{events}"), events=events)
 
