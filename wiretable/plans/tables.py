@@ -51,9 +51,14 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
     Returns the number of rows written; raises when the table count after an
     overwrite differs from the rows loaded.
     """
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     before = spark.table(name).count() if (mode == "append" and spark.catalog.tableExists(name)) else 0
-    out = assert_not_null(with_load_columns(df), [c for c in not_null if c in df.columns])
+    # Rows are counted while they are written (no second pass over the source).
+    seen = Observation("load")
+    out = assert_not_null(with_load_columns(df.observe(seen, F.count(F.lit(1)).alias("rows"))),
+                          [c for c in not_null if c in df.columns])
     writer_cols = [c for c in sort_cols if c in out.columns]
     if partition_col and partition_col in out.columns:
         # No shuffle by date (a hot day would land in one task): each task
@@ -70,7 +75,7 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
         writer = writer.option("path", path)
     writer.saveAsTable(name)
     loaded = spark.table(name).count() - before
-    source = df.count()
+    source = seen.get["rows"]
     if loaded != source:
         raise AssertionError(f"load count mismatch: {source} rows read, {loaded} in table {name}")
     return loaded

@@ -10,6 +10,7 @@ time zone pinned to UTC.  Iterative operators cut their lineage with
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,9 +68,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: writes ``df`` to the checkpoint folder, cuts lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint as a written table in the checkpoint folder.
+
+    The rows are written once as Parquet under ``spark.checkpoint.dir`` and
+    read back: lineage is cut, the data survives executor loss, and later
+    reads get column pruning and filter pushdown.  (``Dataset.checkpoint`` on
+    an unpersisted plan would compute it twice: once to count, once to write.)
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/wiretable/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
