@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, materialize_counted
 
 
 def drop_exact(df: DataFrame, columns: list[str], order_col: str = "packet_id") -> DataFrame:
@@ -69,8 +69,9 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     ``time_col`` must be an integral epoch value (e.g. nanoseconds).  Flows
     are the distinct values of ``key`` (NULLs equal).  Of several rows with
     the same flow and time, the one with the smallest ``order_col`` stands for
-    them; ``order_col`` should be unique (run ``drop_exact`` first).  Rows
-    without a time cannot be placed and are passed through unchanged.
+    them (rows sharing that ``order_col`` value are all returned; an exact
+    dedup of the small output removes such copies).  Rows without a time
+    cannot be placed and are passed through unchanged.
     """
     if window <= 0:
         raise ValueError("window must be positive")
@@ -84,19 +85,24 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
              .agg(F.min(order_col).alias("_rep")))
     nodes = materialize(nodes.withColumn("_b", F.expr(f"(_t - pmod(_t, {w})) div {w}")))
 
-    # Bucket table: min/max per (flow, bucket) and whether the min starts a session.
-    bk = nodes.groupBy("_fk", "_b").agg(F.min("_t").alias("_bmin"), F.max("_t").alias("_bmax"))
-    prev = bk.select("_fk", (F.col("_b") + 1).alias("_b"), F.col("_bmax").alias("_pmax"))
-    bk = materialize(
-        bk.join(prev, ["_fk", "_b"], "left")
-        .select("_fk", "_b", "_bmin",
-                (F.col("_pmax").isNull() | (F.col("_bmin") - F.col("_pmax") >= w)).alias("_start")))
-
-    # Lookahead for a query searching bucket b: bucket b's min and b+1's min.
-    this_b = bk.select("_fk", "_b", F.col("_bmin").alias("_min1"), F.col("_start").alias("_st1"))
-    next_b = bk.select("_fk", (F.col("_b") - 1).alias("_b"), F.col("_bmin").alias("_min2"),
-                       F.col("_start").alias("_st2"))
-    look = this_b.join(next_b, ["_fk", "_b"], "full")
+    # Bucket table, one row per (flow, bucket b) with what the lookups need:
+    # b's min and whether it starts a session (gap from b-1's max >= W), and
+    # the same for b+1.  Each bucket's stats are sent to keys b-1, b and b+1
+    # and folded in one aggregation (no self-joins).
+    stats = nodes.groupBy("_fk", "_b").agg(F.min("_t").alias("_mn"), F.max("_t").alias("_mx"))
+    role = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_role")
+    spread_stats = stats.select("_fk", "_b", "_mn", "_mx", role) \
+        .withColumn("_key", F.col("_b") - F.col("_role"))
+    pick = lambda r, col: F.max(F.when(F.col("_role") == r, F.col(col)))
+    look = materialize(
+        spread_stats.groupBy("_fk", F.col("_key").alias("_b"))
+        .agg(pick(0, "_mn").alias("_min1"), pick(0, "_mx").alias("_max1"),
+             pick(-1, "_mx").alias("_pmax"), pick(1, "_mn").alias("_min2"))
+        .select("_fk", "_b", "_min1", "_min2",
+                (F.col("_min1").isNotNull()
+                 & (F.col("_pmax").isNull() | (F.col("_min1") - F.col("_pmax") >= w))).alias("_st1"),
+                (F.col("_min2").isNotNull()
+                 & (F.col("_max1").isNull() | (F.col("_min2") - F.col("_max1") >= w))).alias("_st2")))
 
     # As-of inside one bucket: smallest node >= t + W, via a running min in
     # descending order (nodes sort before queries on equal values).
@@ -114,23 +120,27 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
                   F.when((c("_cand") == c("_min1")) & c("_st1"), F.lit(None).cast("long"))
                   .otherwise(c("_cand")))
            .otherwise(F.when(c("_min2").isNotNull() & ~F.coalesce(c("_st2"), F.lit(True)), c("_min2"))))
-    jump = materialize(cand.join(look, ["_fk", "_b"], "left")
-                       .select("_fk", c("_src").alias("_t"), nxt.alias("_n"))
-                       .where(c("_n").isNotNull()))
+    jump, live = materialize_counted(
+        cand.join(look, ["_fk", "_b"], "left")
+        .select("_fk", c("_src").alias("_t"), nxt.alias("_n"))
+        .where(c("_n").isNotNull()))
 
     # Pointer doubling: levels[k] holds the non-null 2^k-th successors.
     levels = []
-    while jump.limit(1).count() > 0:
+    while live > 0:
         levels.append(jump)
         right = jump.select(c("_fk").alias("_fk2"), c("_t").alias("_m"), c("_n").alias("_n2"))
-        jump = materialize(jump.join(right, (c("_fk") == c("_fk2")) & (c("_n") == c("_m")))
-                           .select("_fk", "_t", c("_n2").alias("_n")))
-
-    # Expansion from the session starts covers chain positions [0, 2^K).
-    kept = bk.where(c("_start")).select("_fk", c("_bmin").alias("_t"))
+        jump, live = materialize_counted(
+            jump.join(right, (c("_fk") == c("_fk2")) & (c("_n") == c("_m")))
+            .select("_fk", "_t", c("_n2").alias("_n")))
+
+    # Expansion from the session starts covers chain positions [0, 2^K): per
+    # level one left join emits each node and its 2^k-th successor, so every
+    # level reads the previous set once and the lineage stays linear.
+    kept = look.where(c("_st1")).select("_fk", c("_min1").alias("_t"))
     for level in reversed(levels):
-        step = kept.join(level, ["_fk", "_t"]).select("_fk", c("_n").alias("_t"))
-        kept = materialize(kept.unionByName(step))
+        kept = (kept.join(level, ["_fk", "_t"], "left")
+                .select("_fk", F.explode(F.array_compact(F.array(c("_t"), c("_n")))).alias("_t")))
 
     reps = kept.join(nodes.select("_fk", "_t", "_rep"), ["_fk", "_t"])
     keys = reps.select("_fk", c("_t").alias("_kt"), c("_rep").alias("_kr"))

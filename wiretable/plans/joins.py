@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize_counted
 
 
 def bounded_join(big: DataFrame, small: DataFrame, on: list[str], how: str,
@@ -17,7 +17,7 @@ def bounded_join(big: DataFrame, small: DataFrame, on: list[str], how: str,
     bound the join is shuffled; AQE's skew-join handling splits a hot key on
     the big side while the matching small partition is replicated.
     """
-    small = materialize(small)
-    if small.limit(max_rows + 1).count() <= max_rows:
+    small, rows = materialize_counted(small)
+    if rows <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

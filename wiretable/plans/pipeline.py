@@ -3,8 +3,7 @@
 Each stage is a lazy DataFrame transformation.  Reliable checkpoints sit only
 where a result is read more than once: the extraction outcome table (kept
 rows + per-file statistics), the checked table (clean rows + quarantine),
-the exactly de-duplicated rows (input of the flow thinning) and the loaded
-table.  Counters come from grouped counts over the outcome/reject columns,
+the node tables of the flow thinning and the loaded table.  Counters come from grouped counts over the outcome/reject columns,
 not from one pass per filter phase.
 """
 
@@ -103,13 +102,19 @@ def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
         typed.withColumn("src_port_n", F.col("src_port")).withColumn("dst_port_n", F.col("dst_port"))
         .withColumn("length_n", F.col("length")), prof, extra_signals)
     flagged = flagged.drop("src_port_n", "dst_port_n", "length_n").select(*CLEAN_COLUMNS)
-    exact = materialize(drop_exact(flagged, _dedup_columns(prof)))
+    cols = _dedup_columns(prof)
+    exact = drop_exact(flagged, cols)   # lazy: counters and the keep_flagged branch
+    # Exact dedup is fused into the flow thinning: exact duplicates share flow
+    # and time, and the smallest packet_id of a (flow, time) node over all rows
+    # is always an exact-dedup survivor, so thinning the validated rows keeps
+    # the same packets.  Only the (small) kept set is de-duplicated afterwards,
+    # which removes copies that share a packet_id.  One full shuffle saved.
     if keep_flagged:
-        thin = thin_flows(exact.where(~F.col("is_attack_pattern")), prof.flow_key, "event_ns",
+        thin = thin_flows(flagged.where(~F.col("is_attack_pattern")), prof.flow_key, "event_ns",
                           prof.flow_window_ns)
-        thinned = thin.unionByName(exact.where(F.col("is_attack_pattern")))
+        thinned = drop_exact(thin, cols).unionByName(exact.where(F.col("is_attack_pattern")))
     else:
-        thinned = thin_flows(exact, prof.flow_key, "event_ns", prof.flow_window_ns)
+        thinned = drop_exact(thin_flows(flagged, prof.flow_key, "event_ns", prof.flow_window_ns), cols)
     return CleanResult(clean=thinned, rejects=rejects, validated=flagged, deduplicated=exact)
 
 

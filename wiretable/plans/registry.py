@@ -190,8 +190,9 @@ def _thin(window_s: int, with_protocol: bool):
     def run(spark, sf_dir):
         pk = packets(spark, sf_dir)
         key = ["src_ip", "dst_ip"] + (["ip_proto"] if with_protocol else []) + ["src_port", "dst_port"]
-        d1 = drop_exact(pk, [c for c in pk.columns if c != "packet_id"])
-        return thin_flows(d1, key, "t_us", window_s * 1_000_000) \
+        # Exact dedup fused after the thinning (see pipeline.clean).
+        thin = thin_flows(pk, key, "t_us", window_s * 1_000_000)
+        return drop_exact(thin, [c for c in pk.columns if c != "packet_id"]) \
             .select("packet_id", "src_ip", "dst_ip", "ip_proto", "src_port", "dst_port", "t_us")
     return run
 

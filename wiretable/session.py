@@ -75,11 +75,21 @@ def materialize(df: DataFrame) -> DataFrame:
     reads get column pruning and filter pushdown.  (``Dataset.checkpoint`` on
     an unpersisted plan would compute it twice: once to count, once to write.)
     """
+    return materialize_counted(df)[0]
+
+
+def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``materialize`` plus the number of rows written, observed during the
+    write (no second pass)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/wiretable/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(path)
+    return spark.read.parquet(path), int(seen.get["rows"])
 
 
 def spread(df: DataFrame) -> DataFrame:
