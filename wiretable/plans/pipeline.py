@@ -77,13 +77,9 @@ def _dedup_columns(prof: Profile) -> list[str]:
             "dns_query", "http_host", "http_path", "user_agent"]
 
 
-def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
-          extra_signals: dict | None = None) -> CleanResult:
-    """Validate (quarantine), flag, de-duplicate exactly, thin flows.
-
-    ``keep_flagged=True`` exempts rows with an attack signal from the flow
-    thinning (the reference only counts them).
-    """
+def validate(extracted: DataFrame, prof: str | Profile,
+             extra_signals: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Validation with quarantine and signals: (flagged passing rows, rejects)."""
     prof = _profile(prof)
     ensure_utc(extracted.sparkSession)
     # The checked table is read twice (passing rows, quarantine).  It is
@@ -102,6 +98,19 @@ def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
         typed.withColumn("src_port_n", F.col("src_port")).withColumn("dst_port_n", F.col("dst_port"))
         .withColumn("length_n", F.col("length")), prof, extra_signals)
     flagged = flagged.drop("src_port_n", "dst_port_n", "length_n").select(*CLEAN_COLUMNS)
+    return flagged, rejects
+
+
+def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
+          extra_signals: dict | None = None) -> CleanResult:
+    """Validate (quarantine), flag, de-duplicate exactly, thin flows.
+
+    ``keep_flagged=True`` exempts rows with an attack signal from the flow
+    thinning (the reference only counts them).  The flow thinning runs its
+    iterative part eagerly (the number of doubling rounds depends on the data).
+    """
+    prof = _profile(prof)
+    flagged, rejects = validate(extracted, prof, extra_signals)
     cols = _dedup_columns(prof)
     exact = drop_exact(flagged, cols)   # lazy: counters and the keep_flagged branch
     # Exact dedup is fused into the flow thinning: exact duplicates share flow
