@@ -236,6 +236,106 @@ def _nt() -> str:
             "FROM cl)")
 
 
+def _nt_modular() -> str:
+    """network_traffic of the modular profile (salt first, NULL for missing)."""
+    return (_clean("modular") + ", nt AS (SELECT * EXCLUDE (src_ip, dst_ip), "
+            f"CASE WHEN {missing('src_ip')} THEN NULL ELSE {_hash('src_ip', True)} END AS src_ip_anon, "
+            f"CASE WHEN {missing('dst_ip')} THEN NULL ELSE {_hash('dst_ip', True)} END AS dst_ip_anon "
+            "FROM cl)")
+
+
+def _report_queries(nt: str, dst: str, suffix: str) -> dict[str, str]:
+    svc = " ".join(f"WHEN dst_port = {p} THEN '{s}'" for p, s in K.SERVICE_LABELS.items())
+    return {
+        f"q1_total{suffix}": _with(nt, "SELECT count(*) AS total_records FROM nt", True),
+        f"q2_top_destinations{suffix}": _with(nt, f"SELECT {dst}, count(*) AS count FROM nt GROUP BY 1 "
+                                                  f"ORDER BY count DESC, {dst} NULLS FIRST LIMIT 10", True),
+        f"q3_top_domains{suffix}": _with(nt, "SELECT dns_query, count(*) AS count FROM nt WHERE dns_query "
+                                             "IS NOT NULL AND dns_query <> '' GROUP BY 1 "
+                                             "ORDER BY count DESC, dns_query LIMIT 10", True),
+        f"q4_top_ports{suffix}": _with(nt, f"SELECT dst_port, count(*) AS count, CASE {svc} ELSE "
+                                           f"'{K.SERVICE_OTHER}' END AS service_type FROM nt WHERE dst_port "
+                                           "IS NOT NULL GROUP BY dst_port ORDER BY count DESC, dst_port "
+                                           "LIMIT 10", True),
+        f"q5_length_stats{suffix}": _with(nt, "SELECT CAST(sum(length) AS BIGINT) / count(length) AS avg_length, "
+                                              "max(length) AS max_length, min(length) AS min_length, "
+                                              "CAST(sum(length) AS BIGINT) // count(length) AS avg_length_int "
+                                              "FROM nt WHERE length IS NOT NULL", True),
+        f"q6_protocol_share{suffix}": _with(nt, "SELECT protocol, count(*) AS count, "
+                                                "(count(*) * 20000 + (SELECT count(*) FROM nt)) // "
+                                                "((SELECT count(*) FROM nt) * 2) / 100 AS percentage FROM nt "
+                                                "WHERE protocol IS NOT NULL GROUP BY protocol "
+                                                "ORDER BY count DESC, protocol", True),
+    }
+
+
+def _counters(profile: str) -> str:
+    body = _clean(profile) + ", " + (
+        "m AS (SELECT 'initial' AS counter, count(*) AS v FROM src "
+        "UNION ALL SELECT reason, count(*) FROM v WHERE reason IS NOT NULL GROUP BY reason "
+        "UNION ALL SELECT 'attack_signals_seen', count(*) FILTER (WHERE signals <> '') FROM sig "
+        "UNION ALL SELECT 'validated', count(*) FROM sig "
+        "UNION ALL SELECT 'after_exact', count(*) FROM d1 "
+        "UNION ALL SELECT 'final', count(*) FROM cl), "
+        "w AS (SELECT max(v) FILTER (WHERE counter = 'initial') AS i, "
+        "max(v) FILTER (WHERE counter = 'validated') AS va, max(v) FILTER (WHERE counter = 'after_exact') AS ae, "
+        "max(v) FILTER (WHERE counter = 'final') AS f FROM m)")
+    return _with(body, "SELECT counter, CAST(v AS DOUBLE) AS value FROM m "
+                       "UNION ALL SELECT 'exact_duplicates', CAST(va - ae AS DOUBLE) FROM w "
+                       "UNION ALL SELECT 'flow_duplicates', CAST(ae - f AS DOUBLE) FROM w "
+                       "UNION ALL SELECT 'retention_pct', CASE WHEN i > 0 THEN "
+                       "((f * 20000 + i) // (i * 2)) / 100 END FROM w", True)
+
+
+def _pseudonym_checks() -> str:
+    hs = _hash("src_ip", False)
+    hd = _hash("dst_ip", False)
+    quad = DOTTED_QUAD_PATTERN
+    analytic = ["timestamp", "protocol", "src_port", "dst_port", "length", "dns_query", "http_host",
+                "http_path", "user_agent"]
+    body = (_x(label_a) + ", b AS (SELECT * FROM x), "
+            f"a AS (SELECT * EXCLUDE (src_ip, dst_ip), CASE WHEN {missing('src_ip')} THEN '' ELSE {hs} END AS sa, "
+            f"CASE WHEN {missing('dst_ip')} THEN '' ELSE {hd} END AS da FROM x), "
+            "j AS (SELECT b.src_ip, b.dst_ip, a.sa, a.da FROM b JOIN a USING (packet_id)), "
+            "g AS (SELECT * FROM (VALUES ('10.0.2.15'), ('192.168.1.1'), ('8.8.8.8')) t(ip)), "
+            "m AS (SELECT "
+            "(SELECT count(*) FROM b) AS b_rows, (SELECT count(*) FROM a) AS a_rows, "
+            "(SELECT count(DISTINCT src_ip) FROM b) AS b_src, (SELECT count(DISTINCT nullif(sa, '')) FROM a) AS a_src, "
+            "(SELECT count(DISTINCT dst_ip) FROM b) AS b_dst, (SELECT count(DISTINCT nullif(da, '')) FROM a) AS a_dst, "
+            "(SELECT count(nullif(src_ip, '')) FROM b) AS b_src_nn, (SELECT count(nullif(sa, '')) FROM a) AS a_src_nn, "
+            "(SELECT count(nullif(dst_ip, '')) FROM b) AS b_dst_nn, (SELECT count(nullif(da, '')) FROM a) AS a_dst_nn, "
+            + ", ".join(f"(SELECT count({c}) FROM b) AS b_nn_{c}, (SELECT count({c}) FROM a) AS a_nn_{c}"
+                        for c in analytic) + ", "
+            "(SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(sa, '^[a-f0-9]{16}$'), false) "
+            "AND NOT (sa IS NULL OR sa = '')) FROM a) AS bad_src, "
+            "(SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(da, '^[a-f0-9]{16}$'), false) "
+            "AND NOT (da IS NULL OR da = '')) FROM a) AS bad_dst, "
+            f"(SELECT count(*) FILTER (WHERE coalesce(regexp_matches(sa, '{quad}'), false) "
+            f"OR coalesce(regexp_matches(da, '{quad}'), false)) FROM a) AS leaks, "
+            "(SELECT count(*) FILTER (WHERE n <> 1) FROM (SELECT count(DISTINCT (sa, da)) AS n FROM j "
+            "GROUP BY src_ip, dst_ip)) AS broken, "
+            "(SELECT count(*) FILTER (WHERE n <> 1) FROM (SELECT count(DISTINCT (src_ip, dst_ip)) AS n FROM j "
+            "GROUP BY sa, da)) AS collisions, "
+            f"(SELECT count(*) FILTER (WHERE substr(sha256(g.ip || '{PUBLISHED_SALT}'), 1, 16) <> j.sa) "
+            "FROM j JOIN g ON j.src_ip = g.ip) AS known_bad, "
+            "(SELECT count(*) FROM (SELECT sa AS h FROM a UNION ALL SELECT da FROM a) WHERE h <> '') AS hashes, "
+            "(SELECT count(DISTINCT h) FROM (SELECT sa AS h FROM a UNION ALL SELECT da FROM a) WHERE h <> '') "
+            "AS unique_hashes)")
+    pairs = [("row_count_preserved", "b_rows", "a_rows"), ("unique_src_preserved", "b_src", "a_src"),
+             ("unique_dst_preserved", "b_dst", "a_dst"), ("src_completeness", "b_src_nn", "a_src_nn"),
+             ("dst_completeness", "b_dst_nn", "a_dst_nn"),
+             *[(f"intact_{c}", f"b_nn_{c}", f"a_nn_{c}") for c in analytic],
+             ("hash_format_src", "0", "bad_src"), ("hash_format_dst", "0", "bad_dst"),
+             ("no_address_leak", "0", "leaks"), ("relation_preserved", "0", "broken"),
+             ("no_pair_collision", "0", "collisions"), ("known_vectors", "0", "known_bad")]
+    sel = " UNION ALL ".join(
+        f"SELECT '{n}' AS check, CAST({e} AS BIGINT) AS expected, CAST({v} AS BIGINT) AS actual, "
+        f"CAST({e} AS BIGINT) = CAST({v} AS BIGINT) AS passed FROM m" for n, e, v in pairs)
+    sel += (" UNION ALL SELECT 'distinct_hashes', CAST(hashes AS BIGINT), CAST(unique_hashes AS BIGINT), "
+            "true FROM m")
+    return _with(body, sel)
+
+
 def _with(body: str, select: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + PK + ", " + body + " " + select
 
@@ -399,6 +499,10 @@ def oracles() -> dict[str, str]:
                                        "(SELECT src_ip_anonimizada AS h FROM nt UNION ALL "
                                        "SELECT dst_ip_anonimizada FROM nt) WHERE h IS NOT NULL AND h <> ''", True),
         "protocol_distribution": _with(nt, "SELECT protocol, count(*) AS count FROM nt GROUP BY protocol", True),
+        **_report_queries(_nt_modular(), "dst_ip_anon", "_modular"),
+        "clean_counters_integrated": _counters("integrated"),
+        "clean_counters_modular": _counters("modular"),
+        "pseudonym_checks": _pseudonym_checks(),
         "clean_pipeline_integrated": _with(_clean("integrated"), f"SELECT {OUT_COLS} FROM cl", True),
         "clean_pipeline_modular": _with(_clean("modular"), f"SELECT {OUT_COLS} FROM cl", True),
     }

@@ -146,7 +146,10 @@ def clean_counters(extracted: DataFrame, result: CleanResult) -> DataFrame:
     derived = long.agg(
         (F.coalesce(val("validated"), F.lit(0)) - F.coalesce(val("after_exact"), F.lit(0))).alias("exact_duplicates"),
         (F.coalesce(val("after_exact"), F.lit(0)) - F.coalesce(val("final"), F.lit(0))).alias("flow_duplicates"),
-        F.when(val("initial") > 0, F.round(val("final") * 100.0 / val("initial"), 2)).alias("retention_pct"),
+        F.when(val("initial") > 0,
+               ((val("final") * 20000 + val("initial")) - F.pmod(val("final") * 20000 + val("initial"),
+                                                             val("initial") * 2))
+               / (val("initial") * 2) / 100).alias("retention_pct"),
     )
     extra = derived.select(F.explode(F.array(
         F.struct(F.lit("exact_duplicates").alias("counter"), F.col("exact_duplicates").cast("double").alias("v")),

@@ -25,7 +25,7 @@ from ..operators.signals import port_scanners, with_signals
 from ..schema import INTEGRATED, MODULAR, RAW16_FIELDS, Profile
 from ..sources.packets import packets
 from ..session import materialize
-from .pipeline import clean
+from .pipeline import clean, clean_counters
 
 # Fixed value: the salt published with the reproduced pipeline; parity tests
 # and the golden pseudonyms depend on it.  Real runs must pass their own.
@@ -254,6 +254,27 @@ def protocol_distribution(spark, sf_dir):
     return G.value_distribution(network_traffic(spark, sf_dir), "protocol")
 
 
+def network_traffic_modular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded table of the modular profile (salt first, NULL for missing)."""
+    return pseudonymize(cleaned(spark, sf_dir, MODULAR).clean, MODULAR, PUBLISHED_SALT)
+
+
+def _q_modular(name):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = network_traffic_modular(spark, sf_dir)
+        if name == "q2_top_destinations":
+            return Q.q2_top_destinations(t, "dst_ip_anon")
+        return Q.QUERIES[name](t)
+    return run
+
+
+def _counters(prof: Profile):
+    def run(spark, sf_dir):
+        ex = extracted(spark, sf_dir, prof)
+        return clean_counters(ex, clean(ex, prof))
+    return run
+
+
 def _pipeline(prof: Profile):
     def run(spark, sf_dir):
         return _pipeline_output(cleaned(spark, sf_dir, prof).clean)
@@ -289,6 +310,9 @@ QUERIES = {
     "extraction_stats": extraction_stats,
     "hash_distribution": hash_distribution,
     "protocol_distribution": protocol_distribution,
+    **{f"{name}_modular": _q_modular(name) for name in Q.QUERIES},
+    "clean_counters_integrated": _counters(INTEGRATED),
+    "clean_counters_modular": _counters(MODULAR),
     "clean_pipeline_integrated": _pipeline(INTEGRATED),
     "clean_pipeline_modular": _pipeline(MODULAR),
 }
