@@ -56,9 +56,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="wiretable-bench-")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
-                          extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse",
-                                 "spark.checkpoint.dir": f"{scratch}/checkpoints"})
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
+                          extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse"})
+    # The checkpoint folder comes from the session (spark.checkpoint.dir);
+    # a scratch one is set only when nothing is configured.
+    if not spark.sparkContext.getCheckpointDir() and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     times: dict[str, float] = {}
     info: dict[str, float] = {}
