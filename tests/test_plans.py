@@ -1,7 +1,5 @@
 """Physical-plan properties: pushdown, pruning, top-k, no Python in the plan."""
 
-from pyspark.sql import functions as F
-
 from conftest import SF001
 from wiretable.operators import analytics as Q
 from wiretable.plans.registry import QUERIES

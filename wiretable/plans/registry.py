@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import constants as K
 from ..functions import fields as X
 from ..functions.addresses import DOTTED_QUAD_PATTERN, is_internal_ip
 from ..operators import analytics as Q

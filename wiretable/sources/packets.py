@@ -63,6 +63,8 @@ DUCKDB_FRAGMENTS = {
     "FRAME": "strftime(make_timestamp(t_us), '%b %d, %Y %H:%M:%S.%f')",
 }
 
+# The modulo conditions above are the fixture's junk and duplicate injection
+# rules (which rows get a bad address, port, time, ...); every event is used.
 PACKET_COLUMNS = ["packet_id", "t_us", "frame_time", "src_ip", "dst_ip", "ip_proto",
                   "src_port", "dst_port", "length", "dns_query", "http_host",
                   "http_path", "user_agent"]
@@ -86,17 +88,3 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spread(read_events(spark, sf_dir))
     # `{events}` is bound to the DataFrame by spark.sql; Catalyst sees one plan.
     return spark.sql(packet_view_sql("spark", "{events}"), events=events)
-
-
-def as_extracted(pk: DataFrame, protocol_label) -> DataFrame:
-    """The packet table in the 11-column extracted contract (+ lineage ids)."""
-    from pyspark.sql import functions as F
-    return pk.select(
-        "packet_id",
-        F.lit("events").alias("source_file"),
-        F.col("frame_time").alias("timestamp"),
-        "src_ip", "dst_ip",
-        protocol_label(F.col("ip_proto")).alias("protocol"),
-        "src_port", "dst_port", "length", "dns_query", "http_host", "http_path",
-        "user_agent",
-    )
