@@ -14,7 +14,7 @@ FAST = ["protocol_labels", "normalize_integrated", "normalize_modular", "timesta
         "distinct_endpoints", "completeness", "extraction_stats", "signals_integrated",
         "signals_modular", "flow_thin_60s", "flow_thin_1s", "q4_top_ports", "q6_protocol_share",
         "q2_top_destinations_modular", "clean_counters_integrated", "pseudonym_checks",
-        "clean_pipeline_modular"]
+        "cleaned_rows_modular"]
 
 
 @pytest.fixture(scope="module")

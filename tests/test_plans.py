@@ -10,7 +10,7 @@ def _plan(df):
 
 
 def test_pipeline_has_no_python_nodes(spark):
-    for name in ("clean_pipeline_integrated", "signals_modular", "q2_top_destinations"):
+    for name in ("cleaned_rows_integrated", "signals_modular", "q2_top_destinations"):
         plan = _plan(QUERIES[name](spark, SF001))
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 

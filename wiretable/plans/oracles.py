@@ -503,6 +503,6 @@ def oracles() -> dict[str, str]:
         "clean_counters_integrated": _counters("integrated"),
         "clean_counters_modular": _counters("modular"),
         "pseudonym_checks": _pseudonym_checks(),
-        "clean_pipeline_integrated": _with(_clean("integrated"), f"SELECT {OUT_COLS} FROM cl", True),
-        "clean_pipeline_modular": _with(_clean("modular"), f"SELECT {OUT_COLS} FROM cl", True),
+        "cleaned_rows_integrated": _with(_clean("integrated"), f"SELECT {OUT_COLS} FROM cl", True),
+        "cleaned_rows_modular": _with(_clean("modular"), f"SELECT {OUT_COLS} FROM cl", True),
     }

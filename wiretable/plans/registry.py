@@ -61,7 +61,7 @@ def network_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymize(c, INTEGRATED, PUBLISHED_SALT)
 
 
-def _pipeline_output(df: DataFrame) -> DataFrame:
+def _cleaned_output(df: DataFrame) -> DataFrame:
     return df.select("packet_id", "event_ns", "src_ip", "dst_ip", "protocol", "src_port",
                      "dst_port", "length", "dns_query", "http_host", "http_path", "user_agent",
                      F.array_join("signals", ",").alias("signals"), "is_attack_pattern")
@@ -274,9 +274,9 @@ def _counters(prof: Profile):
     return run
 
 
-def _pipeline(prof: Profile):
+def _cleaned_rows(prof: Profile):
     def run(spark, sf_dir):
-        return _pipeline_output(cleaned(spark, sf_dir, prof).clean)
+        return _cleaned_output(cleaned(spark, sf_dir, prof).clean)
     return run
 
 
@@ -312,6 +312,6 @@ QUERIES = {
     **{f"{name}_modular": _q_modular(name) for name in Q.QUERIES},
     "clean_counters_integrated": _counters(INTEGRATED),
     "clean_counters_modular": _counters(MODULAR),
-    "clean_pipeline_integrated": _pipeline(INTEGRATED),
-    "clean_pipeline_modular": _pipeline(MODULAR),
+    "cleaned_rows_integrated": _cleaned_rows(INTEGRATED),
+    "cleaned_rows_modular": _cleaned_rows(MODULAR),
 }
