@@ -51,6 +51,7 @@ def test_quoted_csv_export_modular(spark, scratch):
         [t, "10.0.2.15,10.0.2.16", "8.8.8.8", "6", "1234", "443", "", "", "60", "", "", "", ""],
         [t, "10.0.0.1", "10.0.0.2", "17", "", "", "1000", "2000", "", "", "", "", ""],
         [t, "10.0.0.1", "10.0.0.2", "47", "", "", "", "", "70", "", "", "", ""],
+        [t, "10.0.0.1", "8.8.8.8", "6", "1234", "443"],                 # short row
     ]
     _write(os.path.join(scratch, "b.csv"), ",", RAW13_FIELDS, rows, quote=True)
     raw = read_export(spark, scratch, "modular", glob="*.csv")
@@ -60,7 +61,7 @@ def test_quoted_csv_export_modular(spark, scratch):
     r = kept[0]
     assert (r.src_ip, r.protocol, r.src_port, r.dst_port, r.length) == ("10.0.2.15", "TCP", "1234", "443", "60")
     outcomes = sorted(r.extract_outcome for r in ex.tagged.collect())
-    assert outcomes == ["kept", "rule_9", "rule_9"]
+    assert outcomes == ["kept", "rule_9", "rule_9", "short_row"]
 
 
 def test_table_load_and_integrity(spark):

@@ -16,9 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import RAW13, RAW16, Profile, profile as _profile
-
-CORRUPT = "_corrupt_record"
+from ..schema import RAW13, RAW13_FIELDS, RAW16, Profile, profile as _profile
 
 
 def list_exports(spark: SparkSession, directory: str, glob: str) -> DataFrame:
@@ -48,17 +46,26 @@ def read_raw16(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return df.withColumn("source_file", F.col("_metadata.file_name"))
 
 
+# Never occurs in an export: with it as the NULL token, a present but empty
+# field reads as '' (the tool quotes every field) and only a *missing* field
+# reads as NULL.
+ABSENT = "\u0001"
+
+
 def read_raw13(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Quoted 13-field CSV export; rows with too few fields are flagged."""
-    schema = T.StructType(RAW13.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    reader = (spark.read.schema(schema).option("sep", ",").option("header", True)
-              .option("quote", '"').option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
+    """Quoted 13-field CSV export; rows with fewer than 13 fields are flagged.
+
+    The CSV reader pads short rows with NULLs; because every exported field is
+    quoted (empty ones as ``""``), a NULL in the last field means the row was
+    short, which the reference rejects.
+    """
+    reader = (spark.read.schema(RAW13).option("sep", ",").option("header", True)
+              .option("quote", '"').option("nullValue", ABSENT).option("mode", "PERMISSIVE"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path)
     return (df.withColumn("source_file", F.col("_metadata.file_name"))
-            .withColumn("short_row", F.col(CORRUPT).isNotNull()))
+            .withColumn("short_row", F.col(f"`{RAW13_FIELDS[-1]}`").isNull()))
 
 
 def read_export(spark: SparkSession, path: str, prof: str | Profile,

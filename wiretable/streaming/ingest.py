@@ -14,12 +14,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import extract
-from ..schema import RAW13, RAW16, Profile, profile as _profile
-from ..sources.exports import CORRUPT
+from ..schema import RAW13, RAW13_FIELDS, RAW16, Profile, profile as _profile
+from ..sources.exports import ABSENT
 
 
 def export_stream(spark: SparkSession, directory: str, prof: str | Profile,
@@ -31,17 +30,15 @@ def export_stream(spark: SparkSession, directory: str, prof: str | Profile,
                   .option("quote", "").option("escape", "")
                   .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
     else:
-        schema = T.StructType(RAW13.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-        reader = (spark.readStream.schema(schema).option("sep", ",").option("header", True)
-                  .option("quote", '"').option("mode", "PERMISSIVE")
-                  .option("columnNameOfCorruptRecord", CORRUPT))
+        reader = (spark.readStream.schema(RAW13).option("sep", ",").option("header", True)
+                  .option("quote", '"').option("nullValue", ABSENT).option("mode", "PERMISSIVE"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(directory).withColumn("source_file", F.col("_metadata.file_name"))
     if not prof.ipv6:
-        df = df.withColumn("short_row", F.col(CORRUPT).isNotNull())
+        df = df.withColumn("short_row", F.col(f"`{RAW13_FIELDS[-1]}`").isNull())
     return df
 
 
