@@ -1 +1 @@
-
+"""Structured Streaming: incremental ingest of export files."""
