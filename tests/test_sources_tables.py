@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wiretable.operators.profiling import extraction_stats, file_outcomes
-from wiretable.plans.pipeline import extract
+from wiretable.plans.pipeline import extract, run
 from wiretable.plans.tables import describe_table, integrity, write_table
 from wiretable.schema import RAW13_FIELDS, RAW16_FIELDS
 from wiretable.sources.exports import list_exports, read_export
@@ -43,6 +43,12 @@ def test_tab_export_integrated(spark, scratch):
         list_exports(spark, scratch, "*.pcapng")
     outcomes = file_outcomes(list_exports(spark, scratch, "*.tsv"), ex.tagged).collect()
     assert [r.outcome for r in outcomes] == ["processed"]
+    # Whole pipeline on the export: the ICMPv6, UDP and padded TCP rows survive.
+    result = run(raw, "integrated", salt="s3cret")
+    anon = result.anonymised.collect()
+    assert len(anon) == 3
+    assert all(len(r.src_ip_anonimizada) == 16 for r in anon)
+    assert "src_ip" not in result.anonymised.columns
 
 
 def test_quoted_csv_export_modular(spark, scratch):
