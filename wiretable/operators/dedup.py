@@ -67,86 +67,90 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     """Greedy per-flow thinning with window ``window`` (same unit as ``time_col``).
 
     ``time_col`` must be an integral epoch value (e.g. nanoseconds).  Flows
-    are the distinct values of ``key`` (NULLs equal).  Of several rows with
-    the same flow and time, the one with the smallest ``order_col`` stands for
-    them (rows sharing that ``order_col`` value are all returned; an exact
-    dedup of the small output removes such copies).  Rows without a time
-    cannot be placed and are passed through unchanged.
+    are the distinct values of ``key`` (NULLs equal).  ``order_col`` must
+    identify rows (exact copies may share a value).  Of several rows with the
+    same flow and time, the one with the smallest ``order_col`` stands for
+    them; copies sharing that value are all returned (an exact dedup of the
+    small output removes them).  Rows without a time cannot be placed and are
+    passed through unchanged.
+
+    After the node table, nodes are addressed by their representative id
+    (``_rep``, a long): pointer levels, expansion and the final semi-join move
+    two longs per row instead of the flow key.
     """
     if window <= 0:
         raise ValueError("window must be positive")
     w = int(window)
+    c = F.col
     fk = F.struct(*[F.col(k) for k in key]).alias("_fk")
     t = F.col(time_col)
     timed = df.where(t.isNotNull())
     untimed = df.where(t.isNull())
 
     nodes = (timed.groupBy(fk, t.cast("long").alias("_t"))
-             .agg(F.min(order_col).alias("_rep")))
-    nodes = materialize(nodes.withColumn("_b", F.expr(f"(_t - pmod(_t, {w})) div {w}")))
+             .agg(F.min(order_col).cast("long").alias("_rep")))
+    nodes = materialize(nodes.withColumn("_b", F.expr(f"(_t - pmod(_t, {w})) div {w}"))
+                        .withColumn("_node", F.struct("_t", "_rep")))
 
     # Bucket table, one row per (flow, bucket b) with what the lookups need:
-    # b's min and whether it starts a session (gap from b-1's max >= W), and
-    # the same for b+1.  Each bucket's stats are sent to keys b-1, b and b+1
-    # and folded in one aggregation (no self-joins).
-    stats = nodes.groupBy("_fk", "_b").agg(F.min("_t").alias("_mn"), F.max("_t").alias("_mx"))
+    # b's first node and whether it starts a session (gap from b-1's max >= W),
+    # and the same for b+1.  Each bucket's stats are sent to keys b-1, b and
+    # b+1 and folded in one aggregation (no self-joins).
+    stats = nodes.groupBy("_fk", "_b").agg(F.min("_node").alias("_mn"), F.max("_t").alias("_mx"))
     role = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_role")
     spread_stats = stats.select("_fk", "_b", "_mn", "_mx", role) \
-        .withColumn("_key", F.col("_b") - F.col("_role"))
-    pick = lambda r, col: F.max(F.when(F.col("_role") == r, F.col(col)))
+        .withColumn("_key", c("_b") - c("_role"))
+    pick = lambda r, col: F.max(F.when(c("_role") == r, c(col)))
     look = materialize(
-        spread_stats.groupBy("_fk", F.col("_key").alias("_b"))
+        spread_stats.groupBy("_fk", c("_key").alias("_b"))
         .agg(pick(0, "_mn").alias("_min1"), pick(0, "_mx").alias("_max1"),
              pick(-1, "_mx").alias("_pmax"), pick(1, "_mn").alias("_min2"))
         .select("_fk", "_b", "_min1", "_min2",
-                (F.col("_min1").isNotNull()
-                 & (F.col("_pmax").isNull() | (F.col("_min1") - F.col("_pmax") >= w))).alias("_st1"),
-                (F.col("_min2").isNotNull()
-                 & (F.col("_max1").isNull() | (F.col("_min2") - F.col("_max1") >= w))).alias("_st2")))
+                (c("_min1").isNotNull()
+                 & (c("_pmax").isNull() | (c("_min1._t") - c("_pmax") >= w))).alias("_st1"),
+                (c("_min2").isNotNull()
+                 & (c("_max1").isNull() | (c("_min2._t") - c("_max1") >= w))).alias("_st2")))
 
-    # As-of inside one bucket: smallest node >= t + W, via a running min in
+    # As-of inside one bucket: first node >= t + W, via a running min in
     # descending order (nodes sort before queries on equal values).
-    node_rows = nodes.select("_fk", "_b", F.col("_t").alias("_v"), F.lit(0).alias("_kind"),
+    node_rows = nodes.select("_fk", "_b", c("_t").alias("_v"), F.lit(0).alias("_kind"), "_node",
                              F.lit(None).cast("long").alias("_src"))
-    query_rows = nodes.select("_fk", (F.col("_b") + 1).alias("_b"), (F.col("_t") + w).alias("_v"),
-                              F.lit(1).alias("_kind"), F.col("_t").alias("_src"))
-    asof = Window.partitionBy("_fk", "_b").orderBy(F.col("_v").desc(), F.col("_kind").asc()) \
+    query_rows = nodes.select("_fk", (c("_b") + 1).alias("_b"), (c("_t") + w).alias("_v"),
+                              F.lit(1).alias("_kind"), F.lit(None).cast(nodes.schema["_node"].dataType)
+                              .alias("_node"), c("_rep").alias("_src"))
+    asof = Window.partitionBy("_fk", "_b").orderBy(c("_v").desc(), c("_kind").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cand = (node_rows.unionByName(query_rows)
-            .withColumn("_cand", F.min(F.when(F.col("_kind") == 0, F.col("_v"))).over(asof))
-            .where(F.col("_kind") == 1))
-    c = F.col
+            .withColumn("_cand", F.min("_node").over(asof))
+            .where(c("_kind") == 1))
     nxt = (F.when(c("_cand").isNotNull(),
-                  F.when((c("_cand") == c("_min1")) & c("_st1"), F.lit(None).cast("long"))
-                  .otherwise(c("_cand")))
-           .otherwise(F.when(c("_min2").isNotNull() & ~F.coalesce(c("_st2"), F.lit(True)), c("_min2"))))
+                  F.when((c("_cand._t") == c("_min1._t")) & c("_st1"), F.lit(None).cast("long"))
+                  .otherwise(c("_cand._rep")))
+           .otherwise(F.when(c("_min2").isNotNull() & ~F.coalesce(c("_st2"), F.lit(True)),
+                             c("_min2._rep"))))
     jump, live = materialize_counted(
         cand.join(look, ["_fk", "_b"], "left")
-        .select("_fk", c("_src").alias("_t"), nxt.alias("_n"))
+        .select(c("_src").alias("_rep"), nxt.alias("_n"))
         .where(c("_n").isNotNull()))
 
-    # Pointer doubling: levels[k] holds the non-null 2^k-th successors.
+    # Pointer doubling on node ids: levels[k] holds the 2^k-th successors.
     levels = []
     while live > 0:
         levels.append(jump)
-        right = jump.select(c("_fk").alias("_fk2"), c("_t").alias("_m"), c("_n").alias("_n2"))
+        right = jump.select(c("_rep").alias("_m"), c("_n").alias("_n2"))
         jump, live = materialize_counted(
-            jump.join(right, (c("_fk") == c("_fk2")) & (c("_n") == c("_m")))
-            .select("_fk", "_t", c("_n2").alias("_n")))
+            jump.join(right, c("_n") == c("_m")).select("_rep", c("_n2").alias("_n")))
 
     # Expansion from the session starts covers chain positions [0, 2^K): per
     # level one left join emits each node and its 2^k-th successor, so every
     # level reads the previous set once and the lineage stays linear.
-    kept = look.where(c("_st1")).select("_fk", c("_min1").alias("_t"))
+    kept = look.where(c("_st1")).select(c("_min1._rep").alias("_rep"))
     for level in reversed(levels):
-        kept = (kept.join(level, ["_fk", "_t"], "left")
-                .select("_fk", F.explode(F.array_compact(F.array(c("_t"), c("_n")))).alias("_t")))
-
-    reps = kept.join(nodes.select("_fk", "_t", "_rep"), ["_fk", "_t"])
-    keys = reps.select("_fk", c("_t").alias("_kt"), c("_rep").alias("_kr"))
-    tagged = timed.select("*", fk, t.cast("long").alias("_kt"), F.col(order_col).alias("_kr"))
-    out = (tagged.join(keys, ["_fk", "_kt", "_kr"], "left_semi")
-           .select(*df.columns).unionByName(untimed))
+        kept = (kept.join(level, "_rep", "left")
+                .select(F.explode(F.array_compact(F.array(c("_rep"), c("_n")))).alias("_rep")))
+
+    out = (timed.join(kept, F.col(order_col).cast("long") == kept["_rep"], "left_semi")
+           .unionByName(untimed))
     if with_stats:
         return out, {"levels": len(levels)}
     return out
