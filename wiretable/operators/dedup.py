@@ -12,16 +12,18 @@ over the distinct (flow, time) nodes:
 1. ``next(t)`` = first node ``>= t + W`` of the same flow.  With time buckets
    of width ``W`` it lies in bucket ``b(t)+1`` or is the minimum of bucket
    ``b(t)+2``: an as-of lookup inside one bucket (a window partitioned by
-   flow *and* bucket, so at most ``W`` worth of distinct times per task) plus
+   flow *and* bucket: one bucket's nodes plus the previous bucket's queries,
+   so a partition is bounded by ``W`` of time, never by a whole flow) plus
    one bucket-level join.
 2. A node whose predecessor is ``>= W`` earlier (a *session start*) is always
    kept, since the last kept node cannot be later than that predecessor.
    Pointers into a start are cut, so chains stay inside one session.
 3. Kept nodes = the chains from every start.  Pointer doubling
    (``J[k+1] = J[k] o J[k]``) followed by binary expansion from the starts
-   finds them in ``2 * ceil(log2(longest chain))`` joins.  Each level is
-   written to the checkpoint folder, which cuts lineage and survives
-   executor loss.
+   finds them in ``2 * ceil(log2(longest chain))`` joins.  Pointers are node
+   ids (the representative ``order_col`` value), so each level moves two
+   longs per node.  Each level is written to the checkpoint folder, which
+   cuts lineage and survives executor loss.
 
 Every step is a join, an aggregation or a bounded window; no step gathers a
 flow (or a session) into one task or one array.
