@@ -87,3 +87,19 @@ def test_plan_has_no_python(spark):
     out = thin_flows(df, ["f"], "t", 5, order_col="pid")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_nanosecond_epochs_and_negative_times(spark):
+    w = 60_000_000_000
+    base = 1_684_320_272_000_000_000
+    rng = random.Random(5)
+    rows, pid = [], 0
+    for flow, start in (("a", base), ("b", base + w - 1), ("c", -3 * w - 7)):
+        t = start
+        for _ in range(60):
+            t += rng.choice([0, 1, w // 2, w - 1, w, w + 1, 3 * w])
+            rows.append((flow, t, pid))
+            pid += 1
+    df = spark.createDataFrame(rows, "f string, t long, pid long")
+    got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid").collect()}
+    assert got == greedy(rows, w)
