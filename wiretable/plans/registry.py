@@ -219,7 +219,7 @@ def _leaks(table: str, id_col: str, text_col: str):
                 .select(F.col(id_col).alias("id"),
                         F.regexp_extract(text_col, DOTTED_QUAD_PATTERN, 0).alias("first_match"),
                         F.size(F.regexp_extract_all(text_col, F.lit(DOTTED_QUAD_PATTERN), F.lit(0)))
-                        .alias("matches")))
+                        .cast("bigint").alias("matches")))
     return run
 
 
