@@ -51,3 +51,17 @@ def test_pseudonym_checks_pass(spark):
     rows = {r.check: r for r in QUERIES["pseudonym_checks"](spark, SF01).collect()}
     assert all(r.passed for r in rows.values()), rows
     assert rows["row_count_preserved"].expected == 11000
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", ["relevance_rules", "ip_leak_scan", "completeness", "extraction_stats",
+                                  "q5_length_stats", "q6_protocol_share", "pseudonym_checks"])
+def test_column_types_match_oracle(spark, con, name):
+    df = QUERIES[name](spark, SF01)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(oracles()[name])
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
