@@ -33,8 +33,9 @@ def test_gap_exactly_window_and_interleaved(spark):
     rows = [("a", 0, 0), ("b", 10, 1), ("a", 60, 2), ("b", 69, 3), ("a", 60, 4), ("b", 70, 5),
             (None, 5, 6), (None, 64, 7), (None, 65, 8)]
     df = spark.createDataFrame(rows, "f string, t long, pid long")
-    got = {r.pid for r in thin_flows(df, ["f"], "t", 60, order_col="pid").collect()}
-    assert got == greedy([(f, t, p) for f, t, p in rows], 60) == {0, 2, 1, 5, 6, 8}
+    for bound in (4096, 0):
+        got = {r.pid for r in thin_flows(df, ["f"], "t", 60, order_col="pid", fold_max_nodes=bound).collect()}
+        assert got == greedy([(f, t, p) for f, t, p in rows], 60) == {0, 2, 1, 5, 6, 8}
 
 
 def test_random_flows_match_loop(spark):
@@ -48,9 +49,11 @@ def test_random_flows_match_loop(spark):
             rows.append((key, t, pid))
             pid += 1
     df = spark.createDataFrame(rows, "f string, t long, pid long")
-    for w in (1, 10, 37):
-        got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid").collect()}
-        assert got == greedy(rows, w)
+    # fold only (default bound), doubling only, and mixed routing (bound 40)
+    for w, bound in ((1, 4096), (10, 4096), (37, 4096), (10, 0), (37, 0), (10, 40)):
+        got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid",
+                                         fold_max_nodes=bound).collect()}
+        assert got == greedy(rows, w), (w, bound)
 
 
 def test_null_times_pass_through(spark):
@@ -101,5 +104,6 @@ def test_nanosecond_epochs_and_negative_times(spark):
             rows.append((flow, t, pid))
             pid += 1
     df = spark.createDataFrame(rows, "f string, t long, pid long")
-    got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid").collect()}
-    assert got == greedy(rows, w)
+    for bound in (4096, 0):
+        got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid", fold_max_nodes=bound).collect()}
+        assert got == greedy(rows, w)

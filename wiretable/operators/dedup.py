@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize, materialize_counted
+from ..session import materialize, materialize_counted, materialize_observed
 
 
 def drop_exact(df: DataFrame, columns: list[str], order_col: str = "packet_id") -> DataFrame:
@@ -65,7 +65,8 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str],
 
 
 def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
-               order_col: str = "packet_id", with_stats: bool = False):
+               order_col: str = "packet_id", with_stats: bool = False,
+               fold_max_nodes: int = 4096, route_broadcast_max: int = 1_000_000):
     """Greedy per-flow thinning with window ``window`` (same unit as ``time_col``).
 
     ``time_col`` must be an integral epoch value (e.g. nanoseconds).  Flows
@@ -76,9 +77,12 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     small output removes them).  Rows without a time cannot be placed and are
     passed through unchanged.
 
-    After the node table, nodes are addressed by their representative id
-    (``_rep``, a long): pointer levels, expansion and the final semi-join move
-    two longs per row instead of the flow key.
+    Flows are sized first.  Flows with at most ``fold_max_nodes`` distinct
+    times are thinned by a sequential fold over their sorted times inside one
+    grouped aggregation (a group of proven, bounded size); larger flows take
+    the pointer-doubling path, which never gathers a flow.  The set of large
+    flows is counted and broadcast only below ``route_broadcast_max`` rows.
+    ``fold_max_nodes=0`` sends every flow through pointer doubling.
     """
     if window <= 0:
         raise ValueError("window must be positive")
@@ -94,6 +98,50 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     nodes = materialize(nodes.withColumn("_b", F.expr(f"(_t - pmod(_t, {w})) div {w}"))
                         .withColumn("_node", F.struct("_t", "_rep")))
 
+    parts, levels = [], 0
+    small_nodes, big_nodes = None, nodes
+    if fold_max_nodes > 0:
+        sizes = nodes.groupBy("_fk").agg(F.count(F.lit(1)).alias("_cnt"))
+        sizes, seen = materialize_observed(sizes, flows=F.count(F.lit(1)),
+                                           big=F.count_if(c("_cnt") > fold_max_nodes))
+        if seen["big"] == 0:                      # every flow is small
+            small_nodes, big_nodes = nodes, None
+        elif seen["big"] < seen["flows"]:         # route by the (counted) set of big flows
+            big = sizes.where(c("_cnt") > fold_max_nodes).select("_fk", F.lit(True).alias("_big"))
+            route = F.broadcast(big) if seen["big"] <= route_broadcast_max else big
+            routed = nodes.join(route, "_fk", "left")
+            small_nodes = routed.where(c("_big").isNull()).drop("_big")
+            big_nodes = materialize(routed.where(c("_big")).drop("_big"))
+    if small_nodes is not None:
+        parts.append(_fold_small_flows(small_nodes, w))
+    if big_nodes is not None:
+        kept_big, levels = _pointer_doubling(big_nodes, w)
+        parts.append(kept_big)
+
+    kept = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    out = (timed.join(kept, F.col(order_col).cast("long") == kept["_rep"], "left_semi")
+           .unionByName(untimed))
+    if with_stats:
+        return out, {"levels": levels}
+    return out
+
+
+def _fold_small_flows(nodes: DataFrame, w: int) -> DataFrame:
+    """Kept node ids of bounded flows: the greedy rule as a fold over the
+    flow's sorted (time, id) pairs, evaluated JVM-side per group."""
+    fold = F.expr(f"""aggregate(
+        array_sort(collect_list(_node)),
+        named_struct('last', CAST(NULL AS BIGINT), 'kept', CAST(array() AS ARRAY<BIGINT>)),
+        (acc, x) -> IF(acc.last IS NULL OR x._t - acc.last >= {w},
+                       named_struct('last', x._t, 'kept', array_append(acc.kept, x._rep)),
+                       acc),
+        acc -> acc.kept)""")
+    return nodes.groupBy("_fk").agg(fold.alias("_kept")).select(F.explode("_kept").alias("_rep"))
+
+
+def _pointer_doubling(nodes: DataFrame, w: int) -> tuple[DataFrame, int]:
+    """Kept node ids of arbitrarily large flows, without gathering any flow."""
+    c = F.col
     # Bucket table, one row per (flow, bucket b) with what the lookups need:
     # b's first node and whether it starts a session (gap from b-1's max >= W),
     # and the same for b+1.  Each bucket's stats are sent to keys b-1, b and
@@ -150,9 +198,4 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     for level in reversed(levels):
         kept = (kept.join(level, "_rep", "left")
                 .select(F.explode(F.array_compact(F.array(c("_rep"), c("_n")))).alias("_rep")))
-
-    out = (timed.join(kept, F.col(order_col).cast("long") == kept["_rep"], "left_semi")
-           .unionByName(untimed))
-    if with_stats:
-        return out, {"levels": len(levels)}
-    return out
+    return kept, len(levels)

@@ -81,15 +81,23 @@ def materialize(df: DataFrame) -> DataFrame:
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``materialize`` plus the number of rows written, observed during the
     write (no second pass)."""
-    from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
+    out, seen = materialize_observed(df, rows=F.count(F.lit(1)))
+    return out, int(seen["rows"])
+
+
+def materialize_observed(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
+    """``materialize`` plus aggregate metrics (name -> Column) computed while
+    the rows are written."""
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/wiretable/{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error").parquet(path)
-    return spark.read.parquet(path), int(seen.get["rows"])
+    df.observe(seen, *[col.alias(name) for name, col in metrics.items()]).write.mode("error").parquet(path)
+    return spark.read.parquet(path), dict(seen.get)
 
 
 def spread(df: DataFrame) -> DataFrame:
