@@ -5,9 +5,12 @@ first row of each group and aggregates partially on the map side, so a hot
 group never lands whole in one task.
 
 D2 keeps, per flow in time order, the first packet and then every packet at
-least ``W`` after the *last kept* one.  That is a sequential fold; it is
-rebuilt here exactly, without collecting any group, as a pointer-doubling job
-over the distinct (flow, time) nodes:
+least ``W`` after the *last kept* one.  That is a sequential fold.  Flows are
+sized first; a flow with a bounded number of distinct times is folded
+directly (JVM-side ``aggregate`` over its sorted times, one grouped
+aggregation).  Larger flows, of any size, are rebuilt exactly without
+collecting any group, as a pointer-doubling job over the distinct (flow, time)
+nodes:
 
 1. ``next(t)`` = first node ``>= t + W`` of the same flow.  With time buckets
    of width ``W`` it lies in bucket ``b(t)+1`` or is the minimum of bucket
@@ -25,8 +28,8 @@ over the distinct (flow, time) nodes:
    longs per node.  Each level is written to the checkpoint folder, which
    cuts lineage and survives executor loss.
 
-Every step is a join, an aggregation or a bounded window; no step gathers a
-flow (or a session) into one task or one array.
+Every step of that path is a join, an aggregation or a bounded window; no
+step gathers a large flow (or a session) into one task or one array.
 """
 
 from __future__ import annotations
