@@ -45,7 +45,11 @@ def test_hot_flow_long_chain(spark):
     # Above the fold bound: the flow goes through pointer doubling.
     out, stats = thin_flows(df, ["f"], "t", 10, order_col="pid", with_stats=True, fold_max_nodes=500)
     assert {r.pid for r in out.collect()} == greedy(rows, 10)
-    assert stats["levels"] >= 6
+    assert stats["levels"] >= 6 and stats["large_flows"] == 1
+    # Below the bound the same flow is folded directly, with the same result.
+    out, stats = thin_flows(df, ["f"], "t", 10, order_col="pid", with_stats=True)
+    assert {r.pid for r in out.collect()} == greedy(rows, 10)
+    assert stats == {"levels": 0, "large_flows": 0}
 
 
 def test_keep_flagged_exempts_signals(spark):

@@ -101,12 +101,13 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     nodes = materialize(nodes.withColumn("_b", F.expr(f"(_t - pmod(_t, {w})) div {w}"))
                         .withColumn("_node", F.struct("_t", "_rep")))
 
-    parts, levels = [], 0
+    parts, levels, n_large = [], 0, None
     small_nodes, big_nodes = None, nodes
     if fold_max_nodes > 0:
         sizes = nodes.groupBy("_fk").agg(F.count(F.lit(1)).alias("_cnt"))
         sizes, seen = materialize_observed(sizes, flows=F.count(F.lit(1)),
                                            big=F.count_if(c("_cnt") > fold_max_nodes))
+        n_large = int(seen["big"])
         if seen["big"] == 0:                      # every flow is small
             small_nodes, big_nodes = nodes, None
         elif seen["big"] < seen["flows"]:         # route by the (counted) set of big flows
@@ -125,7 +126,7 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     out = (timed.join(kept, F.col(order_col).cast("long") == kept["_rep"], "left_semi")
            .unionByName(untimed))
     if with_stats:
-        return out, {"levels": levels}
+        return out, {"levels": levels, "large_flows": n_large}
     return out
 
 
