@@ -107,3 +107,52 @@ def test_pseudonym_golden_vectors(spark):
     assert last[:2] == ["4e5c743ef893bc85", "80537bff259cc51b"]
     assert first[2:] == [None, None]
     assert last[2:] == ["", ""]
+
+
+def _signals_of(spark, rows, profile):
+    from wiretable.operators.signals import with_signals
+    df = spark.createDataFrame(rows, "src_ip string, src_port_n int, dst_port_n int, length_n int, "
+                                     "dns_query string, http_path string")
+    return [r.signals for r in with_signals(df, profile).orderBy("src_ip", "dst_port_n").collect()]
+
+
+def test_signals_integrated(spark):
+    from wiretable.functions import constants as K
+    rows = [("scan11", 1000, p, 60, None, None) for p in range(2000, 2011)]      # 11 distinct ports
+    rows += [("scan10", 1000, p, 60, None, None) for p in range(3000, 3010)]     # exactly 10
+    rows += [("scan10", 1000, None, 60, None, None)]                             # NULL port not counted
+    rows += [("quiet", 1000, p, 60, None, None) for p in K.SENSITIVE_PORTS]
+    rows += [("quiet", 1000, 8443, 60, "x.example", None)]
+    got = _signals_of(spark, rows, "integrated")
+    by_src = {}
+    for (src, *_), sig in zip(sorted(rows, key=lambda r: (r[0], -1 if r[2] is None else r[2])), got):
+        by_src.setdefault(src, []).append(sig)
+    assert all("port_scan" in s for s in by_src["scan11"])
+    assert not any("port_scan" in s for s in by_src["scan10"])
+    quiet = by_src["quiet"]
+    assert sum("sensitive_port" in s for s in quiet) == len(K.SENSITIVE_PORTS)
+    assert sum("dns_query" in s for s in quiet) == 1
+
+
+def test_signals_modular(spark):
+    from wiretable.functions import constants as K
+    rows = [(f"p{p}", 1000, p, 60, None, None) for p in K.SUSPICIOUS_PORTS]
+    rows += [("h1", 1000, 49152, 60, None, None), ("h2", 1000, 49153, 60, None, None),
+             ("h3", None, 49153, 60, None, None),                                 # one port NULL
+             ("l39", 1000, 2000, 39, None, None), ("l40", 1000, 2000, 40, None, None),
+             ("l9000", 1000, 2000, 9000, None, None), ("l9001", 1000, 2000, 9001, None, None)]
+    rows += [(f"d{i}", 1000, 2000, 60, t.upper() + ".EXAMPLE", None)
+             for i, t in enumerate(K.SUSPICIOUS_DNS_TOKENS)]
+    rows += [(f"u{i}", 1000, 2000, 60, None, "/X/" + t.upper()) for i, t in enumerate(K.SUSPICIOUS_PATH_TOKENS)]
+    rows += [("udot", 1000, 2000, 60, None, "/xasp")]                          # '.asp' needs the dot
+    from wiretable.operators.signals import with_signals
+    df = spark.createDataFrame(rows, "src_ip string, src_port_n int, dst_port_n int, length_n int, "
+                                     "dns_query string, http_path string")
+    sig = {r.src_ip: r.signals for r in with_signals(df, "modular").collect()}
+    assert all(sig[f"p{p}"] == ["suspicious_port"] for p in K.SUSPICIOUS_PORTS)
+    assert sig["h1"] == [] and sig["h2"] == ["high_port"] and sig["h3"] == []
+    assert sig["l39"] == ["unusual_packet_size"] and sig["l40"] == []
+    assert sig["l9000"] == [] and sig["l9001"] == ["unusual_packet_size"]
+    assert all(sig[f"d{i}"] == ["suspicious_dns"] for i in range(len(K.SUSPICIOUS_DNS_TOKENS)))
+    assert all(sig[f"u{i}"] == ["suspicious_http_path"] for i in range(len(K.SUSPICIOUS_PATH_TOKENS)))
+    assert sig["udot"] == []
