@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import constants as K
+
 _HEX = "[0-9A-Fa-f]{1,4}"
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _V4 = f"{_OCTET}([.]{_OCTET}){{3}}"
@@ -35,8 +37,8 @@ IPV6_PATTERN = "^(" + "|".join(_ipv6_alternatives()) + ")(%[^%]+)?$"
 # Surrounding blanks are ignored, as the validators strip before parsing.
 _WS = r"[ \t\n\r\f\v]*"
 IP_PATTERN = f"^{_WS}({_V4}|(" + "|".join(_ipv6_alternatives()) + f")(%[^%]+)?){_WS}$"
-# A dotted quad anywhere in text (leak scan); `[.]` keeps it engine-neutral.
-DOTTED_QUAD_PATTERN = r"\b[0-9]{1,3}([.][0-9]{1,3}){3}\b"
+# Re-exported for the leak scan.
+DOTTED_QUAD_PATTERN = K.DOTTED_QUAD_PATTERN
 
 
 def is_valid_ip(c: Column) -> Column:

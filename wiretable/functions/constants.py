@@ -60,3 +60,23 @@ MODULAR_ZONE_SUFFIXES = [" CEST", " CET", " UTC"]
 # --- fixed values: capture discovery globs -----------------------------------------
 CAPTURE_GLOBS_INTEGRATED = ["*.pcap", "*.pcapng", "*.cap"]
 CAPTURE_GLOBS_MODULAR = ["*.pcapng"]
+
+# --- fixed values: text patterns and formats ---------------------------------------
+# Trailing zone abbreviation removed (not applied) before parsing a capture time.
+ZONE_SUFFIX_PATTERN = r"\s+[A-Z]{3,4}$"
+# A dotted quad anywhere in text (address leak scan); `[.]` keeps it engine-neutral.
+DOTTED_QUAD_PATTERN = r"\b[0-9]{1,3}([.][0-9]{1,3}){3}\b"
+# Shape of a pseudonym.
+HASH_FORMAT_PATTERN = "^[a-f0-9]{16}$"
+# The modular validator's time formats (month-name, ISO, day-first, month-first;
+# each with and without a fraction), written as Spark datetime patterns.
+MODULAR_TIME_FORMATS = [
+    "MMM d, yyyy HH:mm:ss[.SSSSSS]",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "dd/MM/yyyy HH:mm:ss[.SSSSSS]",
+    "MM/dd/yyyy HH:mm:ss[.SSSSSS]",
+]
+
+# --- fixed values: the salt published with the reproduced pipeline -----------------
+# Only for reproducing its golden pseudonyms; real runs must pass their own salt.
+PUBLISHED_SALT = "cybersec_dataset_2025"

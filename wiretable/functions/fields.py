@@ -122,12 +122,7 @@ FLEX_FORMATS = [
     "yyyy-MM-dd",
 ]
 # Strict list of the modular validator, fraction already cut to 6 digits.
-MODULAR_FORMATS = [
-    "MMM d, yyyy HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "dd/MM/yyyy HH:mm:ss[.SSSSSS]",
-    "MM/dd/yyyy HH:mm:ss[.SSSSSS]",
-]
+MODULAR_FORMATS = K.MODULAR_TIME_FORMATS
 
 
 def parse_formats(text: Column, formats: list[str]) -> Column:
@@ -147,7 +142,7 @@ def cut_fraction(c: Column) -> Column:
 
 def time_text_integrated(raw: Column) -> Column:
     """Quotes stripped and a trailing zone abbreviation removed (not applied)."""
-    return F.regexp_replace(strip_quotes(raw), r"\s+[A-Z]{3,4}$", "")
+    return F.regexp_replace(strip_quotes(raw), K.ZONE_SUFFIX_PATTERN, "")
 
 
 def time_text_modular(raw: Column) -> Column:

@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import fields as X
 from ..functions.addresses import DOTTED_QUAD_PATTERN
 from ..schema import Profile, profile as _profile
 
-HASH_FORMAT = "^[a-f0-9]{16}$"
+HASH_FORMAT = K.HASH_FORMAT_PATTERN
 
 
 def pseudonymize(df: DataFrame, prof: str | Profile, salt: str,

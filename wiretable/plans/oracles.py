@@ -60,7 +60,8 @@ def len_val(c: str) -> str:
 
 
 def text_a(c: str) -> str:
-    return "regexp_replace(regexp_replace(" + c + r""", '^"+|"+$', '', 'g'), '\s+[A-Z]{3,4}$', '')"""
+    return ("regexp_replace(regexp_replace(" + c + r""", '^"+|"+$', '', 'g'), '"""
+            + K.ZONE_SUFFIX_PATTERN + "', '')")
 
 
 def text_b(c: str) -> str:
@@ -306,9 +307,9 @@ def _pseudonym_checks() -> str:
             "(SELECT count(nullif(dst_ip, '')) FROM b) AS b_dst_nn, (SELECT count(nullif(da, '')) FROM a) AS a_dst_nn, "
             + ", ".join(f"(SELECT count({c}) FROM b) AS b_nn_{c}, (SELECT count({c}) FROM a) AS a_nn_{c}"
                         for c in analytic) + ", "
-            "(SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(sa, '^[a-f0-9]{16}$'), false) "
+            f"(SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(sa, '{K.HASH_FORMAT_PATTERN}'), false) "
             "AND NOT (sa IS NULL OR sa = '')) FROM a) AS bad_src, "
-            "(SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(da, '^[a-f0-9]{16}$'), false) "
+            f"(SELECT count(*) FILTER (WHERE NOT coalesce(regexp_matches(da, '{K.HASH_FORMAT_PATTERN}'), false) "
             "AND NOT (da IS NULL OR da = '')) FROM a) AS bad_dst, "
             f"(SELECT count(*) FILTER (WHERE coalesce(regexp_matches(sa, '{quad}'), false) "
             f"OR coalesce(regexp_matches(da, '{quad}'), false)) FROM a) AS leaks, "

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import fields as X
 from ..functions.addresses import DOTTED_QUAD_PATTERN, is_internal_ip
 from ..operators import analytics as Q
@@ -26,9 +27,8 @@ from ..sources.packets import packets
 from ..session import materialize
 from .pipeline import clean, clean_counters
 
-# Fixed value: the salt published with the reproduced pipeline; parity tests
-# and the golden pseudonyms depend on it.  Real runs must pass their own.
-PUBLISHED_SALT = "cybersec_dataset_2025"
+# Parity tests and the golden pseudonyms use the published salt (a fixed value).
+PUBLISHED_SALT = K.PUBLISHED_SALT
 
 TEXT_COLUMNS = ["frame_time", "src_ip", "dst_ip", "ip_proto", "src_port", "dst_port",
                 "length", "dns_query", "http_host", "http_path", "user_agent"]
