@@ -50,7 +50,8 @@ FLOW_WINDOW_INTEGRATED_S = 60
 FLOW_WINDOW_MODULAR_S = 1
 PSEUDONYM_HEX_CHARS = 16
 
-# --- fixed values: service labels of the port report ------------------------------
+# --- fixed values: report size and service labels of the port report ----------------
+REPORT_TOP_K = 10
 SERVICE_LABELS = {80: "HTTP", 443: "HTTPS", 53: "DNS"}
 SERVICE_OTHER = "Other"
 

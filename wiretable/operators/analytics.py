@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 
-TOP_K = 10
+TOP_K = K.REPORT_TOP_K
 
 
 def service_label(port: Column) -> Column:
