@@ -47,7 +47,7 @@ def test_hot_flow_long_chain(spark):
     assert {r.pid for r in out.collect()} == greedy(rows, 10)
     assert stats["levels"] >= 6 and stats["large_flows"] == 1
     # Below the bound the same flow is folded directly, with the same result.
-    out, stats = thin_flows(df, ["f"], "t", 10, order_col="pid", with_stats=True)
+    out, stats = thin_flows(df, ["f"], "t", 10, order_col="pid", with_stats=True, fold_max_nodes=4096)
     assert {r.pid for r in out.collect()} == greedy(rows, 10)
     assert stats == {"levels": 0, "large_flows": 0}
 

@@ -69,7 +69,7 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str],
 
 def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
                order_col: str = "packet_id", with_stats: bool = False,
-               fold_max_nodes: int = 4096, route_broadcast_max: int = 1_000_000):
+               fold_max_nodes: int = 1024, route_broadcast_max: int = 1_000_000):
     """Greedy per-flow thinning with window ``window`` (same unit as ``time_col``).
 
     ``time_col`` must be an integral epoch value (e.g. nanoseconds).  Flows
@@ -82,8 +82,10 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
 
     Flows are sized first.  Flows with at most ``fold_max_nodes`` distinct
     times are thinned by a sequential fold over their sorted times inside one
-    grouped aggregation (a group of proven, bounded size); larger flows take
-    the pointer-doubling path, which never gathers a flow.  The set of large
+    grouped aggregation (a group of proven, bounded size; the fold appends to
+    an immutable array, so its cost grows with the bound squared, which is
+    why the bound is kept moderate); larger flows take the pointer-doubling
+    path, which never gathers a flow.  The set of large
     flows is counted and broadcast only below ``route_broadcast_max`` rows.
     ``fold_max_nodes=0`` sends every flow through pointer doubling.
     """
