@@ -43,7 +43,7 @@ def main() -> None:
                      "after measuring it)", flagged))
     sections.append(("Quarantine (rejects) from the checked table", rejects))
     pk = materialize(R.packets(spark, sf))
-    sections.append(("Flow thinning, final stage (expansion joins, semi-join back to the rows)",
+    sections.append(("Flow thinning, final stage (fold of the bounded flows: one exchange; semi-join back to the rows)",
                      thin_flows(pk, ["src_ip", "dst_ip", "ip_proto", "src_port", "dst_port"],
                                 "t_us", 60_000_000)))
     t = materialize(R.network_traffic(spark, sf))
