@@ -500,6 +500,15 @@ def oracles() -> dict[str, str]:
                                        "(SELECT src_ip_anonimizada AS h FROM nt UNION ALL "
                                        "SELECT dst_ip_anonimizada FROM nt) WHERE h IS NOT NULL AND h <> ''", True),
         "protocol_distribution": _with(nt, "SELECT protocol, count(*) AS count FROM nt GROUP BY protocol", True),
+        "extraction_top_protocols": _with(_source("modular"), "SELECT protocol, count(*) AS count FROM src "
+                                          "GROUP BY protocol ORDER BY count DESC, protocol NULLS FIRST LIMIT 5"),
+        "value_ranges_modular": _with(
+            f"{_source('modular')}, {_ok('modular')}",
+            " UNION ALL ".join(f"SELECT '{c}' AS column, CAST(min({c}) AS VARCHAR) AS min_value, "
+                               f"CAST(max({c}) AS VARCHAR) AS max_value FROM ok"
+                               for c in ["timestamp", "src_port", "dst_port"])),
+        "missing_counts": _with("z AS (SELECT 1)", "SELECT " + ", ".join(
+            f"count(*) FILTER (WHERE {c} IS NULL OR {c} = '') AS {c}_missing" for c in TEXT) + " FROM pk"),
         **_report_queries(_nt_modular(), "dst_ip_anon", "_modular"),
         "clean_counters_integrated": _counters("integrated"),
         "clean_counters_modular": _counters("modular"),

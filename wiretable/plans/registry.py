@@ -25,7 +25,7 @@ from ..operators.signals import port_scanners, with_signals
 from ..schema import INTEGRATED, MODULAR, RAW16_FIELDS, Profile
 from ..sources.packets import packets
 from ..session import materialize
-from .pipeline import clean, clean_counters
+from .pipeline import clean, clean_counters, validate
 
 # Parity tests and the golden pseudonyms use the published salt (a fixed value).
 PUBLISHED_SALT = K.PUBLISHED_SALT
@@ -228,7 +228,7 @@ def distinct_endpoints(spark, sf_dir):
 
 
 def value_ranges(spark, sf_dir):
-    df = cleaned(spark, sf_dir, INTEGRATED).validated
+    df, _ = validate(extracted(spark, sf_dir, INTEGRATED), INTEGRATED)
     return G.value_ranges(df, ["src_port", "dst_port", "length", "event_ns"])
 
 
@@ -249,6 +249,22 @@ def hash_distribution(spark, sf_dir):
     return both.agg(F.count(F.lit(1)).alias("hashes"), F.count_distinct("h").alias("unique_hashes"))
 
 
+def extraction_top_protocols(spark, sf_dir):
+    """Top 5 protocol labels of the rows kept by the modular extraction."""
+    return G.value_distribution(extracted(spark, sf_dir, MODULAR), "protocol", top=5)
+
+
+def value_ranges_modular(spark, sf_dir):
+    """Ranges as the modular report shows them: time as *text*, ports typed."""
+    df, _ = validate(extracted(spark, sf_dir, MODULAR), MODULAR)
+    return G.value_ranges(df, ["timestamp", "src_port", "dst_port"])
+
+
+def missing_counts(spark, sf_dir):
+    """NULL-or-empty count of every text column of the packet view."""
+    return G.missing_counts(packets(spark, sf_dir), TEXT_COLUMNS)
+
+
 def protocol_distribution(spark, sf_dir):
     return G.value_distribution(network_traffic(spark, sf_dir), "protocol")
 
@@ -309,6 +325,9 @@ QUERIES = {
     "extraction_stats": extraction_stats,
     "hash_distribution": hash_distribution,
     "protocol_distribution": protocol_distribution,
+    "extraction_top_protocols": extraction_top_protocols,
+    "value_ranges_modular": value_ranges_modular,
+    "missing_counts": missing_counts,
     **{f"{name}_modular": _q_modular(name) for name in Q.QUERIES},
     "clean_counters_integrated": _counters(INTEGRATED),
     "clean_counters_modular": _counters(MODULAR),
