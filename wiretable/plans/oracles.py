@@ -202,7 +202,7 @@ def _greedy(nodes_src: str, key: list[str], t: str, w: int, out: str) -> str:
         f"{out} AS (SELECT g.rep AS packet_id FROM chain c JOIN g ON g.fid = c.fid AND g.t = c.t)")
 
 
-def _clean(profile: str) -> str:
+def _clean(profile: str, keep_flagged: bool = False) -> str:
     if profile == "integrated":
         dedup = ["event_ns", "src_ip", "dst_ip", "protocol", "src_port", "dst_port", "length",
                  "dns_query", "http_host", "http_path", "user_agent"]
@@ -214,10 +214,15 @@ def _clean(profile: str) -> str:
         key = ["src_ip", "dst_ip", "src_port", "dst_port"]
         w = K.FLOW_WINDOW_MODULAR_S * 1_000_000_000
     d = ", ".join(dedup)
-    return (f"{_source(profile)}, {_ok(profile)}, {_signals(profile)}, "
-            f"d1 AS (SELECT min(packet_id) AS packet_id, {d}, signals FROM sig GROUP BY {d}, signals), "
-            f"{_greedy('d1', key, 'event_ns', w, 'kept')}, "
-            "cl AS (SELECT * FROM d1 WHERE packet_id IN (SELECT packet_id FROM kept))")
+    head = (f"{_source(profile)}, {_ok(profile)}, {_signals(profile)}, "
+            f"d1 AS (SELECT min(packet_id) AS packet_id, {d}, signals FROM sig GROUP BY {d}, signals), ")
+    if not keep_flagged:
+        return head + (f"{_greedy('d1', key, 'event_ns', w, 'kept')}, "
+                       "cl AS (SELECT * FROM d1 WHERE packet_id IN (SELECT packet_id FROM kept))")
+    return head + ("d1n AS (SELECT * FROM d1 WHERE signals = ''), "
+                   f"{_greedy('d1n', key, 'event_ns', w, 'kept')}, "
+                   "cl AS (SELECT * FROM d1n WHERE packet_id IN (SELECT packet_id FROM kept) "
+                   "UNION ALL SELECT * FROM d1 WHERE signals <> '')")
 
 
 OUT_COLS = ("packet_id, event_ns, src_ip, dst_ip, protocol, src_port, dst_port, length, dns_query, "
@@ -515,4 +520,6 @@ def oracles() -> dict[str, str]:
         "pseudonym_checks": _pseudonym_checks(),
         "cleaned_rows_integrated": _with(_clean("integrated"), f"SELECT {OUT_COLS} FROM cl", True),
         "cleaned_rows_modular": _with(_clean("modular"), f"SELECT {OUT_COLS} FROM cl", True),
+        "cleaned_rows_keep_flagged_modular": _with(_clean("modular", keep_flagged=True),
+                                                   f"SELECT {OUT_COLS} FROM cl", True),
     }

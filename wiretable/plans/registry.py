@@ -290,6 +290,12 @@ def _counters(prof: Profile):
     return run
 
 
+def cleaned_rows_keep_flagged_modular(spark, sf_dir):
+    """Modular cleaning where rows with an attack signal bypass flow thinning."""
+    ex = extracted(spark, sf_dir, MODULAR)
+    return _cleaned_output(clean(ex, MODULAR, keep_flagged=True).clean)
+
+
 def _cleaned_rows(prof: Profile):
     def run(spark, sf_dir):
         return _cleaned_output(cleaned(spark, sf_dir, prof).clean)
@@ -333,4 +339,5 @@ QUERIES = {
     "clean_counters_modular": _counters(MODULAR),
     "cleaned_rows_integrated": _cleaned_rows(INTEGRATED),
     "cleaned_rows_modular": _cleaned_rows(MODULAR),
+    "cleaned_rows_keep_flagged_modular": cleaned_rows_keep_flagged_modular,
 }
