@@ -505,6 +505,8 @@ def oracles() -> dict[str, str]:
                                        "(SELECT src_ip_anonimizada AS h FROM nt UNION ALL "
                                        "SELECT dst_ip_anonimizada FROM nt) WHERE h IS NOT NULL AND h <> ''", True),
         "protocol_distribution": _with(nt, "SELECT protocol, count(*) AS count FROM nt GROUP BY protocol", True),
+        "distinct_ports_per_source": _with("z AS (SELECT 1)", f"SELECT src_ip, count(DISTINCT "
+                                           f"{port_val('dst_port')}) AS distinct_dst_ports FROM pk GROUP BY src_ip"),
         "extraction_top_protocols": _with(_source("modular"), "SELECT protocol, count(*) AS count FROM src "
                                           "GROUP BY protocol ORDER BY count DESC, protocol NULLS FIRST LIMIT 5"),
         "value_ranges_modular": _with(

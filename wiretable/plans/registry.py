@@ -249,6 +249,13 @@ def hash_distribution(spark, sf_dir):
     return both.agg(F.count(F.lit(1)).alias("hashes"), F.count_distinct("h").alias("unique_hashes"))
 
 
+def distinct_ports_per_source(spark, sf_dir):
+    """Distinct typed destination ports per source address."""
+    pk = packets(spark, sf_dir).withColumn("dst_port_n", X.port_value(F.col("dst_port")))
+    return G.distinct_per_group(pk, "src_ip", "dst_port_n") \
+        .withColumnRenamed("distinct_dst_port_n", "distinct_dst_ports")
+
+
 def extraction_top_protocols(spark, sf_dir):
     """Top 5 protocol labels of the rows kept by the modular extraction."""
     return G.value_distribution(extracted(spark, sf_dir, MODULAR), "protocol", top=5)
@@ -331,6 +338,7 @@ QUERIES = {
     "extraction_stats": extraction_stats,
     "hash_distribution": hash_distribution,
     "protocol_distribution": protocol_distribution,
+    "distinct_ports_per_source": distinct_ports_per_source,
     "extraction_top_protocols": extraction_top_protocols,
     "value_ranges_modular": value_ranges_modular,
     "missing_counts": missing_counts,
