@@ -138,10 +138,11 @@ def main() -> None:
         replicas, ["src_ip", "dst_ip", "ip_proto", "src_port", "dst_port"], "t_us", 60_000_000).count())
     info["d2_x10_60s_rows_per_s"] = round(rows * 10 / scale["d2_x10_60s"])
     hot = pk.select("packet_id", "t_us", F.lit("one-flow").alias("flow"))
-    (scale["d2_hot_flow_1s"], (info["d2_hot_flow_1s_kept"], levels)) = _timed(
-        lambda: (lambda r: (r[0].count(), r[1]["levels"]))(
+    (scale["d2_hot_flow_1s"], (info["d2_hot_flow_1s_kept"], stats)) = _timed(
+        lambda: (lambda r: (r[0].count(), r[1]))(
             thin_flows(hot, ["flow"], "t_us", 1_000_000, with_stats=True)))
-    info["d2_hot_flow_1s_levels"] = levels
+    info["d2_hot_flow_1s_levels"] = stats["levels"]
+    info["d2_hot_flow_1s_large_flows"] = stats["large_flows"]
     info["d2_hot_flow_1s_rows_per_s"] = round(rows / scale["d2_hot_flow_1s"])
 
     times["pseudonymise"], _ = _timed(lambda: _noop(pseudonymize(
