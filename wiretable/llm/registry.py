@@ -6,6 +6,17 @@ from pyspark.sql import functions as F
 
 from wiretable.llm.decontaminate import decontaminate
 from wiretable.llm.frames import sha, table
+from wiretable.llm.language_model import score_documents
+from wiretable.llm.simhash import near_duplicates
+
+
+def op2_simhash(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op7_language_model(spark, sf_dir):
+    return score_documents(table(spark, sf_dir, "documents"))
 
 
 def op8_decontaminate(spark, sf_dir):
@@ -15,5 +26,5 @@ def op8_decontaminate(spark, sf_dir):
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {"op8_decontaminate": op8_decontaminate}
+QUERIES = {"op2_simhash": op2_simhash, "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate}
 ORACLES: dict[str, str] = {}
