@@ -13,12 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wiretable.session import materialize_observed
+from wiretable.llm.frames import stored_with
 
 
 def _signed(edges: DataFrame) -> tuple[DataFrame, tuple]:
     print_ = F.xxhash64("u", "v")
-    out, seen = materialize_observed(edges, n=F.count(F.lit(1)), a=F.sum(F.shiftright(print_, 20)),
+    out, seen = stored_with(edges, n=F.count(F.lit(1)), a=F.sum(F.shiftright(print_, 20)),
                                      b=F.bit_xor(print_))
     return out, (seen["n"], seen["a"], seen["b"])
 

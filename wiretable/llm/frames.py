@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wiretable.session import materialize
-
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -16,9 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """The rows written under ``spark.checkpoint.dir`` and read back."""
+    from wiretable.session import materialize  # here, as tasks get this module without the library
+
     return materialize(df)
 
 
+def stored_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates observed while the rows are written."""
+    from wiretable.session import materialize_observed
+
+    return materialize_observed(df, **metrics)
+
+
 def keyed(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """Only id and text under fixed names; with ``carry`` the whole input row as struct ``row``.
 

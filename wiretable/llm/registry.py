@@ -8,6 +8,7 @@ from wiretable.llm.decontaminate import decontaminate
 from wiretable.llm.frames import sha, table
 from wiretable.llm.language_model import score_documents
 from wiretable.llm.simhash import near_duplicates
+from wiretable.llm.substring_dedup import drop_repeats
 
 
 def op2_simhash(spark, sf_dir):
@@ -15,6 +16,10 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark, sf_dir):
+    return drop_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_language_model(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -26,5 +31,5 @@ def op8_decontaminate(spark, sf_dir):
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate}
+QUERIES = {"op2_simhash": op2_simhash, "op5_substring_dedup": op5_substring_dedup, "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate}
 ORACLES: dict[str, str] = {}
