@@ -7,10 +7,27 @@ from pyspark.sql import functions as F
 from wiretable.llm.decontaminate import decontaminate
 from wiretable.llm.frames import sha, table
 from wiretable.llm.language_model import score_documents
+from wiretable.llm.secrets import scan
+from wiretable.llm.sentencepiece_codec import MARK, encode
 from wiretable.llm.simhash import near_duplicates
 from wiretable.llm.substring_dedup import drop_repeats
 
 
+def _listed(spans):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def op1_secrets(spark, sf_dir):
+    found = scan(table(spark, sf_dir, "documents"))
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of("assign", "access", "hex")
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, sha(_listed(base)).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
+
+
 def op2_simhash(spark, sf_dir):
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -31,5 +48,15 @@ def op8_decontaminate(spark, sf_dir):
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op5_substring_dedup": op5_substring_dedup, "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate}
+def op9_sentencepiece(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # What decoding has to give: the text, with the mark read as a blank.
+    want = sha(F.translate(F.coalesce("text", F.lit("")), MARK, " "))
+    found = encode(rows.withColumn("want", want), with_ids=False, with_digests=True, carry=True)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256",
+                        (F.col("decoded_sha256") == F.col("row.want")).alias("round_trip"))
+
+
+QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op5_substring_dedup": op5_substring_dedup, "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate,
+           "op9_sentencepiece": op9_sentencepiece}
 ORACLES: dict[str, str] = {}

@@ -31,6 +31,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,7 +214,7 @@ def _resolve(window: int, hot_segments: int):
             (own, _, _, _), texts, first = _asked(segments, ids)
             flags = []
             for kind, size in ((0, len(own)), (1, len(first))):
-                some = answers.filter(pa.compute.equal(answers.column("kind"), kind)).sort_by("part")
+                some = answers.filter(pc.equal(answers.column("kind"), kind)).sort_by("part")
                 got = [B.unpack(x.as_py()) for x in some.column("flags")]
                 flags.append(np.concatenate(got) if got else np.zeros(0, np.int64))
                 if len(flags[-1]) != size:
