@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wiretable.llm.decontaminate import decontaminate
-from wiretable.llm.frames import sha, table
+from wiretable.llm.frames import fold, sha, table
+from wiretable.llm.language_id import identify
 from wiretable.llm.language_model import score_documents
 from wiretable.llm.secrets import scan
 from wiretable.llm.sentencepiece_codec import MARK, encode
 from wiretable.llm.simhash import near_duplicates
 from wiretable.llm.substring_dedup import drop_repeats
+from wiretable.llm.toxicity import score_toxicity
 
 
 def _listed(spans):
@@ -33,10 +35,21 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_language_id(spark, sf_dir):
+    found = identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op5_substring_dedup(spark, sf_dir):
     return drop_repeats(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark, sf_dir):
+    found = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                        (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op7_language_model(spark, sf_dir):
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -57,6 +70,7 @@ def op9_sentencepiece(spark, sf_dir):
                         (F.col("decoded_sha256") == F.col("row.want")).alias("round_trip"))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op5_substring_dedup": op5_substring_dedup, "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate,
+QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op4_language_id": op4_language_id, "op5_substring_dedup": op5_substring_dedup, "op6_toxicity": op6_toxicity,
+           "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate,
            "op9_sentencepiece": op9_sentencepiece}
 ORACLES: dict[str, str] = {}
