@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wiretable.llm.conversations import reply_ordered
 from wiretable.llm.decontaminate import decontaminate
 from wiretable.llm.frames import fold, sha, table
 from wiretable.llm.language_id import identify
 from wiretable.llm.language_model import score_documents
+from wiretable.llm.quality import judge
 from wiretable.llm.secrets import scan
 from wiretable.llm.sentencepiece_codec import MARK, encode
 from wiretable.llm.simhash import near_duplicates
@@ -35,6 +37,10 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_quality(spark, sf_dir):
+    return judge(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
+
+
 def op4_language_id(spark, sf_dir):
     found = identify(table(spark, sf_dir, "documents"))
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "ambiguous")
@@ -70,7 +76,12 @@ def op9_sentencepiece(spark, sf_dir):
                         (F.col("decoded_sha256") == F.col("row.want")).alias("round_trip"))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op4_language_id": op4_language_id, "op5_substring_dedup": op5_substring_dedup, "op6_toxicity": op6_toxicity,
+def op10_quotations(spark, sf_dir):
+    found = reply_ordered(table(spark, sf_dir, "conversations"))
+    return found.select("conv_id", "thread", "turn", "depth", "parent", "role", sha(F.col("formatted")).alias("formatted_sha256"))
+
+
+QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op3_quality": op3_quality, "op4_language_id": op4_language_id, "op5_substring_dedup": op5_substring_dedup, "op6_toxicity": op6_toxicity,
            "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate,
-           "op9_sentencepiece": op9_sentencepiece}
+           "op9_sentencepiece": op9_sentencepiece, "op10_quotations": op10_quotations}
 ORACLES: dict[str, str] = {}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wiretable.llm import tokens as T
 from wiretable.llm.components import connected_components
-from wiretable.llm.frames import keyed, stored
+from wiretable.llm.frames import stored
 
 SHINGLE = 3
 DISTANCE = 3
@@ -77,16 +77,19 @@ def majority(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """doc_id and fp (the 64 bits as bigint) of every row."""
+                 text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """doc_id and fp (the 64 bits as bigint) of every row; with ``row_col`` also that column as row_no."""
+    rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                            *([F.col(row_col).alias("row_no")] if row_col else []))
+    kept = [n for n in rows.columns if n != "text"]
 
     def run(batches):
         for batch in T.chunks(batches):
             words = T.find_words(T.whole(batch), lower=True)
             fp = majority(*shingle_hashes(words, shingle, seed))
-            yield pa.RecordBatch.from_arrays([T.column(batch, "doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([T.column(batch, n) for n in kept] + [pa.array(fp.view(np.int64))], kept + ["fp"])
 
-    return keyed(documents, id_col, text_col, False).mapInArrow(run, "doc_id bigint, fp bigint")
+    return rows.mapInArrow(run, ", ".join(f"{n} bigint" for n in kept + ["fp"]))
 
 
 def trie_links(leaves: np.ndarray, low: np.ndarray, high: np.ndarray, other_low: np.ndarray, other_high: np.ndarray,
@@ -240,18 +243,36 @@ def links(leaves: DataFrame, distance: int = DISTANCE, node_limit: int = NODE_LI
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, seed: int = SEED,
-                    node_limit: int = NODE_LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp and component_id (the least doc_id reachable) of every row.
+                    node_limit: int = NODE_LIMIT, id_col: str = "doc_id", text_col: str = "text",
+                    row_col: str | None = None) -> DataFrame:
+    """doc_id, fp, component_id (the least doc_id reachable) and root (a fingerprint that names the
+    component) of every row; with ``row_col`` (a bigint column) also that column as row_no.
 
     Texts without words (null, empty, blanks) have fingerprint 0 and are linked
     like any other; rows with equal ids or texts each give a row; a null id is
     never a component id unless all ids of its component are null; an empty table
     gives an empty result; other columns are ignored.
     """
-    prints = stored(fingerprints(documents, shingle, seed, id_col, text_col))
+    prints = stored(fingerprints(documents, shingle, seed, id_col, text_col, row_col))
     leaves = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = stored(connected_components(links(leaves.select("fp"), distance, node_limit)))
     placed = leaves.join(roots, leaves.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     best = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(placed.join(best, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(placed.join(best, "root").select("fp", "component_id", "root"), "fp").select(
+        *[n for n in prints.columns if n != "fp"], "fp", "component_id", "root")
+
+
+def keep_one(documents: DataFrame, **options) -> DataFrame:
+    """The input rows, one of each group of near duplicates: the least id, then the first stored.
+
+    Null ids come last; repeated rows are one group; the columns are those of the input.
+    """
+    id_col = options.get("id_col", "doc_id")
+    numbered = stored(documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"),
+                                       F.monotonically_increasing_id().alias("row_no")))
+    narrow = numbered.select(F.col("row")[id_col].alias("doc_id"), F.col("row")[options.get("text_col", "text")].alias("text"), "row_no")
+    found = near_duplicates(narrow, **{**options, "id_col": "doc_id", "text_col": "text", "row_col": "row_no"})
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no")
+    keep = found.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_no").alias("row_no"))
+    return numbered.join(keep, "row_no", "left_semi").select("row.*")
