@@ -62,6 +62,13 @@ def test_null_times_pass_through(spark):
     assert got == [0, 1]
 
 
+def test_untimed_rows_of_timed_flows_can_go(spark):
+    df = spark.createDataFrame([("a", None, 0), ("a", 1, 1), ("b", None, 2), ("b", None, 3), (None, None, 4)],
+                               "f string, t long, pid long")
+    got = sorted(r.pid for r in thin_flows(df, ["f"], "t", 10, order_col="pid", untimed_rows="first").collect())
+    assert got == [1, 2, 4]
+
+
 def test_idempotent(spark):
     rng = random.Random(3)
     rows = [(f"k{rng.randint(0, 4)}", rng.randint(0, 500), i) for i in range(400)]

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from wiretable.functions import fields as X
-from wiretable.functions.addresses import is_internal_ip, is_valid_ip
+from wiretable.functions.addresses import is_internal, is_valid_ip, octets
 from wiretable.operators.relevance import with_relevance
 
 
@@ -32,9 +32,9 @@ def test_internal_addresses(spark):
         "255.255.255.255": False, "2001:db8::1": True, "a.b.c.d": True, "": True,
         "999.1.2.3": False, "010.1.2.3": True,
     }
-    got = _eval(spark, list(cases), is_internal_ip)
+    got = _eval(spark, list(cases), lambda c: is_internal(octets(c)))
     assert dict(zip(cases, got)) == cases
-    assert _eval(spark, [None], is_internal_ip) == [True]
+    assert _eval(spark, [None], lambda c: is_internal(octets(c))) == [True]
 
 
 def test_ports(spark):
@@ -64,6 +64,29 @@ def test_timestamps(spark):
     assert ns[8] is None and ns[9] is None
 
 
+def test_timestamp_spellings_and_odd_years(spark):
+    """What the generic parser accepts is accepted, and no year aborts a job."""
+    base = 1684317843 * 10**9      # 2023-05-17 10:04:03
+    june = 1687082400 * 10**9      # 2023-06-18 10:00:00
+    rows = {
+        "17/5/2023 10:04:03": base, "2023-5-17 10:04:03": base, "May 17, 2023 10:4:3": base,
+        "June 18, 2023 10:00:00": june, "17 May 2023 10:04:03": base, "2023-06-18 10:00": june,
+        "2023-05-17T10:04:03Z": base, "2023-05-17 10:04:03+02:00": base, "2023-05-17T10:04:03 +0200": base,
+        "5/7/2023 9:05:03": 1683450303 * 10**9,      # ambiguous: month first
+        "9999-12-31": None, "1600-01-01": None, "0001-01-01": None,
+    }
+    df = spark.createDataFrame([(t,) for t in rows], "timestamp string")
+    for text, parse in ((X.time_text_integrated, X.parse_time_integrated), (X.time_text_modular, X.parse_time_modular)):
+        got = df.select("timestamp", X.time_ns(parse(F.col("timestamp")), text(F.col("timestamp"))).alias("ns")).collect()
+        assert {r.timestamp: r.ns for r in got} == rows
+    full = df.select("timestamp", F.lit("10.0.0.1").alias("src_ip"), F.lit("10.0.0.2").alias("dst_ip"), F.lit("TCP").alias("protocol"),
+                     F.lit("1").alias("src_port"), F.lit("2").alias("dst_port"), F.lit("60").alias("length"))
+    from wiretable.operators.quality import with_reject_reason
+    bad = {p: {r.timestamp for r in with_reject_reason(full, p).where("reject_reason is not null").select("timestamp").collect()}
+           for p in ("integrated", "modular")}
+    assert bad == {"integrated": {t for t, ns in rows.items() if ns is None}, "modular": set()}
+
+
 def test_protocol_labels(spark):
     nums = ["1", "2", "6", "17", "41", "47", "50", "51", "58", "89", "132", "200", "1,17"]
     a = _eval(spark, nums, X.protocol_label_integrated)

@@ -17,7 +17,7 @@ def test_rows_are_accounted_for(spark):
     for prof in (INTEGRATED, MODULAR):
         ex = R.extracted(spark, SF001, prof)
         cr = clean(ex, prof)
-        counters = {r.counter: r.value for r in clean_counters(ex, cr).collect()}
+        counters = {r.counter: r.value for r in clean_counters(cr, prof).collect()}
         rejects = sum(v for k, v in counters.items() if k.startswith("invalid_") or k == "missing_required")
         assert counters["initial"] == rejects + counters["validated"]
         assert counters["validated"] == (counters["exact_duplicates"] + counters["flow_duplicates"]

@@ -32,6 +32,33 @@ def test_top_k_ties_broken_by_key(spark):
     assert out == [1, 2]
 
 
+def test_cleaning_writes_once_and_sorts_no_wide_rows(spark):
+    from wiretable import session
+    from wiretable.operators import dedup
+    from wiretable.plans import pipeline, registry
+
+    written = []
+
+    def spy(module, name):
+        real = getattr(module, name)
+
+        def called(df, **metrics):
+            written.append(df.columns)
+            return real(df, **metrics)
+        setattr(module, name, called)
+        return real
+
+    real = [(m, spy(m, "materialize_observed")) for m in (pipeline, dedup, session)]
+    try:
+        result = registry.cleaned(spark, SF001, registry.MODULAR)
+        exact = _plan(result.deduplicated)
+    finally:
+        for module, function in real:
+            module.materialize_observed = function
+    assert sum("http_path" in columns for columns in written) == 1
+    assert "SortAggregate" not in exact and "SortAggregate" not in _plan(result.clean)
+
+
 def test_protocol_share_uses_scalar_subquery(spark):
     t = spark.createDataFrame([("TCP",), ("TCP",), ("UDP",)], "protocol string")
     out = {r.protocol: r.percentage for r in Q.q6_protocol_share(t).collect()}

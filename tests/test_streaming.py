@@ -40,3 +40,16 @@ def test_ingest_quoted_csv_modular(spark, scratch):
     assert outcomes == ["kept", "rule_9", "short_row"]
     kept = spark.read.parquet(f"{sink}/extracted").collect()
     assert [(r.src_ip, r.protocol, r.dst_port) for r in kept] == [("10.0.2.15", "TCP", "443")]
+
+
+def test_a_batch_that_runs_again_adds_no_rows(spark, scratch):
+    src, sink = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    os.makedirs(src)
+    t = "May 17, 2023 10:44:38.201312000 CEST"
+    row = [t, "10.0.2.15", "", "8.8.8.8", "", "6", "", "1234", "80", "", "", "60", "", "", "", ""]
+    _write(os.path.join(src, "a.tsv"), "\t", RAW16_FIELDS, [row, row])
+    # Two streams with fresh checkpoints both run the files as batch 0.
+    for k in range(2):
+        ingest_exports(spark, src, "integrated", sink, os.path.join(scratch, f"ckpt{k}"), glob="*.tsv").awaitTermination(120)
+    assert spark.read.parquet(f"{sink}/extracted").count() == 2
+    assert spark.read.parquet(f"{sink}/outcomes").count() == 2

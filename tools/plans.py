@@ -38,7 +38,7 @@ def main() -> None:
     spark = build_session(extra={"spark.sql.warehouse.dir": tempfile.mkdtemp()})
     sections = []
     ex = R.extracted(spark, sf, INTEGRATED)
-    flagged, rejects = validate(ex, INTEGRATED)
+    flagged, rejects, _ = validate(ex, INTEGRATED)
     sections.append(("Validated rows with signals (reads the checked table; scanner set broadcast "
                      "after measuring it)", flagged))
     sections.append(("Quarantine (rejects) from the checked table", rejects))

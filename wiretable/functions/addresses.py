@@ -32,8 +32,6 @@ def _ipv6_alternatives() -> list[str]:
     return alts
 
 
-IPV4_PATTERN = f"^{_V4}$"
-IPV6_PATTERN = "^(" + "|".join(_ipv6_alternatives()) + ")(%[^%]+)?$"
 # Surrounding blanks are ignored, as the validators strip before parsing.
 _WS = r"[ \t\n\r\f\v]*"
 IP_PATTERN = f"^{_WS}({_V4}|(" + "|".join(_ipv6_alternatives()) + f")(%[^%]+)?){_WS}$"
@@ -46,21 +44,20 @@ def is_valid_ip(c: Column) -> Column:
     return F.coalesce(c.rlike(IP_PATTERN), F.lit(False))
 
 
-# Private/loopback/link-local prefixes over "<first>.<second>" as integers.
-PRIVATE_PREFIX_PATTERN = (r"^(10[.]-?[0-9]+|172[.](1[6-9]|2[0-9]|3[01])|192[.]168"
-                          r"|127[.]-?[0-9]+|169[.]254)$")
+def octets(c: Column) -> Column:
+    """First two octets as integers (NULL if not numeric) and the number of parts of an address."""
+    parts = F.split(c, "[.]")
+    return F.struct(F.get(parts, 0).try_cast("int").alias("a"), F.get(parts, 1).try_cast("int").alias("b"),
+                    F.size(parts).alias("n"))
 
 
-def is_internal_ip(c: Column) -> Column:
-    """Private/loopback/link-local IPv4 test of the relevance cascade.
+def is_internal(o: Column) -> Column:
+    """Private/loopback/link-local IPv4 test of the relevance cascade, on bound ``octets``.
 
     Missing, non-4-part (so every IPv6) and non-numeric leading octets count
-    as internal; multicast and broadcast count as external.  The first two
-    octets are parsed once each and matched as one canonical prefix.
+    as internal; multicast and broadcast count as external.
     """
-    parts = F.split(c, "[.]")
-    prefix = F.concat(F.get(parts, 0).try_cast("int").cast("string"), F.lit("."),
-                      F.get(parts, 1).try_cast("int").cast("string"))
-    return (F.when(c.isNull() | (c == ""), True)
-            .when(F.size(parts) != 4, True)
-            .otherwise(F.coalesce(prefix.rlike(PRIVATE_PREFIX_PATTERN), F.lit(True))))
+    a, b = o["a"], o["b"]
+    private = ((a == 10) | ((a == 172) & b.between(16, 31)) | ((a == 192) & (b == 168)) | (a == 127)
+               | ((a == 169) & (b == 254)))
+    return a.isNull() | b.isNull() | (o["n"] != 4) | private

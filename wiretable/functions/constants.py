@@ -72,12 +72,18 @@ HASH_FORMAT_PATTERN = "^[a-f0-9]{16}$"
 # The modular validator's time formats (month-name, ISO, day-first, month-first;
 # each with and without a fraction), written as Spark datetime patterns.
 MODULAR_TIME_FORMATS = [
-    "MMM d, yyyy HH:mm:ss[.SSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    "dd/MM/yyyy HH:mm:ss[.SSSSSS]",
-    "MM/dd/yyyy HH:mm:ss[.SSSSSS]",
+    "MMM d, yyyy H:m:s[.SSSSSS]",
+    "yyyy-M-d H:m:s[.SSSSSS]",
+    "d/M/yyyy H:m:s[.SSSSSS]",
+    "M/d/yyyy H:m:s[.SSSSSS]",
 ]
 
 # --- fixed values: the salt published with the reproduced pipeline -----------------
 # Only for reproducing its golden pseudonyms; real runs must pass their own salt.
 PUBLISHED_SALT = "cybersec_dataset_2025"
+
+# --- fixed values: pseudonyms of known addresses under the published salt ----------
+GOLDEN_SALT_FIRST = {"10.0.2.15": "7a62ce71a155f743", "192.168.1.1": "74a7aecfff460466",
+                     "93.184.216.34": "80fcfbc8ef3f2d4f"}
+GOLDEN_SALT_LAST = {"10.0.2.15": "4e5c743ef893bc85", "192.168.1.1": "80537bff259cc51b",
+                    "93.184.216.34": "a820b354ecaf81de"}

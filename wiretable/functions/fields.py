@@ -29,6 +29,11 @@ def strip_quotes(c: Column) -> Column:
     return F.regexp_replace(c, '^"+|"+$', "")
 
 
+def strip_blanks(c: Column) -> Column:
+    """Without white space at both ends (blanks, tabs, line ends)."""
+    return F.btrim(c, F.lit(" \t\n\r\u000b\f"))
+
+
 def first_occurrence(c: Column) -> Column:
     """Keep the first value of a repeated field exported as ``a,b``."""
     return F.get(F.split(c, ","), 0)
@@ -111,18 +116,22 @@ def integer_text_value(c: Column) -> Column:
 
 # ---------------------------------------------------------------------- timestamps
 
-# Flexible-parse format list (month-name export first, then ISO and the two
-# numeric orders); every pattern accepts an optional fraction of up to 9 digits.
+# Generic parser, as an ordered format list: month names first, then ISO, then
+# month-first and day-first numbers (an ambiguous date is month first).  One- and
+# two-digit fields are both read; seconds and a fraction of up to 9 digits are
+# optional; a zone offset has been removed before.
+_CLOCK = "H:m[:s][.SSSSSSSSS]"
 FLEX_FORMATS = [
-    "MMM d, yyyy HH:mm:ss[.SSSSSSSSS]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]",
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]",
-    "MM/dd/yyyy HH:mm:ss[.SSSSSSSSS]",
-    "dd/MM/yyyy HH:mm:ss[.SSSSSSSSS]",
-    "yyyy-MM-dd",
+    f"MMM d, yyyy {_CLOCK}", f"MMMM d, yyyy {_CLOCK}",
+    f"d MMM yyyy {_CLOCK}", f"d MMMM yyyy {_CLOCK}",
+    f"yyyy-M-d {_CLOCK}", f"yyyy-M-d'T'{_CLOCK}",
+    f"M/d/yyyy {_CLOCK}", f"d/M/yyyy {_CLOCK}",
+    "yyyy-M-d", "MMM d, yyyy", "MMMM d, yyyy", "M/d/yyyy", "d/M/yyyy",
 ]
 # Strict list of the modular validator, fraction already cut to 6 digits.
 MODULAR_FORMATS = K.MODULAR_TIME_FORMATS
+# `Z` or an offset behind a clock time: removed, not applied, like a zone abbreviation.
+ZONE_OFFSET_PATTERN = r"(:[0-9]{1,2}([.][0-9]+)?)\s*(Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
 def parse_formats(text: Column, formats: list[str]) -> Column:
@@ -132,7 +141,8 @@ def parse_formats(text: Column, formats: list[str]) -> Column:
 
 
 def squash_blanks(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    """Single blanks, and no zone offset at the end."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s+", " "), ZONE_OFFSET_PATTERN, "$1"))
 
 
 def cut_fraction(c: Column) -> Column:
@@ -161,10 +171,10 @@ def parse_time_integrated(raw: Column) -> Column:
 
 
 def parse_time_modular(raw: Column) -> Column:
-    """Format list first, generic parse as the fallback."""
+    """Generic parse (month first on ambiguous dates), then the validator's own list."""
     text = time_text_modular(raw)
-    return F.coalesce(parse_formats(cut_fraction(text), MODULAR_FORMATS),
-                      parse_formats(squash_blanks(text), FLEX_FORMATS))
+    return F.coalesce(parse_formats(squash_blanks(text), FLEX_FORMATS),
+                      parse_formats(cut_fraction(text), MODULAR_FORMATS))
 
 
 def fraction_digits(text: Column) -> Column:
@@ -179,7 +189,8 @@ def time_ns_from(ts: Column, frac: Column) -> Column:
     """
     sub_us = F.when(F.length(frac) > 6, F.rpad(F.substring(frac, 7, 3), 3, "0").cast("long")) \
         .otherwise(F.lit(0).cast("long"))
-    return F.unix_micros(ts) * F.lit(1000) + sub_us
+    # NULL beyond the range of 64-bit nanoseconds (years 1678 to 2261), never an error.
+    return F.try_add(F.try_multiply(F.unix_micros(ts), F.lit(1000).cast("long")), sub_us)
 
 
 def time_ns(ts: Column, text: Column) -> Column:

@@ -55,16 +55,15 @@ def q5_length_stats(t: DataFrame) -> DataFrame:
 
 
 def q6_protocol_share(t: DataFrame) -> DataFrame:
-    """Count and share per protocol; the total is an uncorrelated scalar.
+    """Count and share per protocol; the total is the sum of the few groups.
 
-    The total is a scalar subquery (computed once, like the SQL original);
-    the share is rounded half-up to 2 decimals with integer arithmetic.
+    The rows are grouped once, the NULL protocol included; the share is rounded
+    half-up to 2 decimals with integer arithmetic.
     """
-    total = t.agg(F.count(F.lit(1))).scalar()
+    groups = t.groupBy("protocol").agg(F.count(F.lit(1)).alias("count"))
+    total = groups.agg(F.sum("count")).scalar()
     hundredths = F.expr("(count * 20000 + _total) div (_total * 2)")
-    return (t.where(F.col("protocol").isNotNull())
-            .groupBy("protocol").agg(F.count(F.lit(1)).alias("count"))
-            .withColumn("_total", total)
+    return (groups.withColumn("_total", total).where(F.col("protocol").isNotNull())
             .select("protocol", "count", (hundredths / F.lit(100)).alias("percentage"))
             .orderBy(F.desc("count"), F.asc("protocol")))
 

@@ -17,6 +17,7 @@ from ..functions import constants as K
 from ..functions import fields as X
 from ..functions.addresses import DOTTED_QUAD_PATTERN
 from ..schema import Profile, profile as _profile
+from ..session import materialize
 
 HASH_FORMAT = K.HASH_FORMAT_PATTERN
 
@@ -52,23 +53,20 @@ def pseudonymize(df: DataFrame, prof: str | Profile, salt: str,
     return df.select(*cols)
 
 
-def leak_scan(df: DataFrame, columns: list[str], key: str | None = None) -> DataFrame:
-    """Rows whose text still holds a dotted quad (N3), per column, as counts."""
-    return df.agg(*[F.count_if(F.coalesce(F.col(c).rlike(DOTTED_QUAD_PATTERN), F.lit(False)))
-                    .alias(f"{c}_leaks") for c in columns])
-
-
-def pseudonym_checks(before: DataFrame, after: DataFrame, prof: str | Profile, salt: str,
-                     key: str = "packet_id",
-                     known: list[str] = ("10.0.2.15", "192.168.1.1", "8.8.8.8")) -> DataFrame:
+def pseudonym_checks(before: DataFrame, after: DataFrame, prof: str | Profile,
+                     key: str = "packet_id", known: dict[str, str] | None = None) -> DataFrame:
     """All validation checks as one metrics table: (check, expected, actual, passed).
 
-    ``before`` holds raw addresses and ``after`` the pseudonyms; both carry
-    ``key`` so rows align by identity, not position.
+    ``before`` holds raw addresses and ``after`` the pseudonyms, two stored
+    tables that carry ``key``, so rows align by identity, not position.  The
+    published vectors (``known``: address -> pseudonym) are literal values; they
+    hold for the published salt only, so pass an empty dict for another one.
+    Distribution figures are metrics, not checks: see ``hash_metrics``.
     """
     prof = _profile(prof)
     sa, da = prof.anon_columns
-    spark = before.sparkSession
+    if known is None:
+        known = K.GOLDEN_SALT_FIRST if prof.hash_salt_first else K.GOLDEN_SALT_LAST
     b = before.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_distinct("src_ip").alias("src"), F.count_distinct("dst_ip").alias("dst"),
@@ -90,28 +88,26 @@ def pseudonym_checks(before: DataFrame, after: DataFrame, prof: str | Profile, s
                    | F.coalesce(F.col(da).rlike(DOTTED_QUAD_PATTERN), F.lit(False))).alias("leaks"),
         *[F.count(c).alias(f"nn_{c}") for c in _analytic(after)],
     )
-    # Relation preserved: each raw pair maps to exactly one pseudonym pair.
-    pairs = (before.select(key, "src_ip", "dst_ip")
-             .join(after.select(key, sa, da), key)
-             .groupBy("src_ip", "dst_ip")
-             .agg(F.count_distinct(F.struct(sa, da)).alias("images")))
-    rel = pairs.agg(F.count_if(F.col("images") != 1).alias("broken"),
-                    F.count(F.lit(1)).alias("pairs"))
-    inverse = (before.select(key, "src_ip", "dst_ip").join(after.select(key, sa, da), key)
-               .groupBy(sa, da).agg(F.count_distinct(F.struct("src_ip", "dst_ip")).alias("pre"))
-               .agg(F.count_if(F.col("pre") != 1).alias("collisions"), F.count(F.lit(1)).alias("hpairs")))
-    # Hash distribution over both columns together.
-    both = after.select(F.explode(F.array(F.col(sa), F.col(da))).alias("h")).where(~X.is_missing(F.col("h")))
-    dist = both.agg(F.count(F.lit(1)).alias("hashes"), F.count_distinct("h").alias("unique_hashes"))
-    # Known vectors recomputed with the same expression.
-    golden = spark.createDataFrame([(ip,) for ip in known], "ip string").select(
-        "ip", X.pseudonym(F.col("ip"), salt, prof.hash_salt_first, prof.hash_missing_as_empty).alias("h"))
-    seen = (before.select(key, F.col("src_ip").alias("ip")).join(after.select(key, F.col(sa).alias("h2")), key)
-            .join(F.broadcast(golden), "ip").agg(F.count_if(F.col("h") != F.col("h2")).alias("known_bad")))
+    # One join of both tables, reduced to its distinct address pairs: few rows against the
+    # input, stored once for the three checks that read it.
+    pairs = materialize(before.select(key, "src_ip", "dst_ip").join(after.select(key, sa, da), key)
+                        .groupBy("src_ip", "dst_ip", sa, da).agg(F.count(F.lit(1)).alias("n")))
+    rel = pairs.groupBy("src_ip", "dst_ip").agg(F.count(F.lit(1)).alias("images")) \
+        .agg(F.count_if(F.col("images") != 1).alias("broken"))
+    inverse = pairs.groupBy(sa, da).agg(F.count(F.lit(1)).alias("pre")) \
+        .agg(F.count_if(F.col("pre") != 1).alias("collisions"))
+    wanted = F.create_map(*[F.lit(x) for pair in known.items() for x in pair]) if known else None
+
+    def wrong(ip: str, pseudonym: str):
+        want = F.element_at(wanted, F.coalesce(F.col(ip), F.lit("")))
+        return F.when(want.isNotNull() & ~F.col(pseudonym).eqNullSafe(want), F.col("n")).otherwise(0)
+
+    bad = wrong("src_ip", sa) + wrong("dst_ip", da) if known else F.lit(0)
+    seen = pairs.agg(F.coalesce(F.sum(bad), F.lit(0)).alias("known_bad"))
 
     # Every aggregate is one row; melt them into (metric, value) and pair up.
     metrics = None
-    for prefix, agg in (("b_", b), ("a_", a), ("", rel), ("", inverse), ("", dist), ("", seen)):
+    for prefix, agg in (("b_", b), ("a_", a), ("", rel), ("", inverse), ("", seen)):
         part = agg.select(F.explode(F.array(*[
             F.struct(F.lit(prefix + c).alias("metric"), F.col(c).cast("long").alias("value"))
             for c in agg.columns])).alias("m")).select("m.*")
@@ -130,15 +126,22 @@ def pseudonym_checks(before: DataFrame, after: DataFrame, prof: str | Profile, s
         ("relation_preserved", None, "broken"),
         ("no_pair_collision", None, "collisions"),
         ("known_vectors", None, "known_bad"),
-        ("distinct_hashes", "hashes", "unique_hashes"),
     ]
     val = lambda m: F.max(F.when(F.col("metric") == m, F.col("value")))
     wide = metrics.agg(*[F.struct(F.lit(n).alias("check"),
                                   (val(e) if e else F.lit(0).cast("long")).alias("expected"),
                                   val(v).alias("actual")).alias(n) for n, e, v in pairs_of])
     out = wide.select(F.explode(F.array(*[F.col(n) for n, _, _ in pairs_of])).alias("c")).select("c.*")
-    return out.withColumn("passed", F.when(F.col("check") == "distinct_hashes", F.lit(True))
-                          .otherwise(F.col("expected") == F.col("actual")))
+    return out.withColumn("passed", F.col("expected") == F.col("actual"))
+
+
+def hash_metrics(after: DataFrame, prof: str | Profile) -> DataFrame:
+    """Figures of a pseudonymised table (N11): rows, hashes, distinct hashes, missing addresses."""
+    prof = _profile(prof)
+    both = F.array(*[F.nullif(F.col(c), F.lit("")) for c in prof.anon_columns])
+    return after.select(F.explode(both).alias("h")).agg(
+        (F.count(F.lit(1)) / 2).cast("bigint").alias("rows_processed"), F.count("h").alias("hashes"),
+        F.count_distinct("h").alias("unique_hashes"), F.count_if(F.col("h").isNull()).alias("missing_addresses"))
 
 
 def _analytic(df: DataFrame) -> list[str]:

@@ -1,7 +1,7 @@
 """De-duplication: exact (D1), first per key (D3), greedy flow thinning.
 
-D1 and D3 are arg-min aggregations: ``min(struct(order, payload))`` keeps the
-first row of each group and aggregates partially on the map side, so a hot
+D1 takes the least row id of each group (a hash aggregation), D3 the least
+``struct(order, payload)``; both aggregate partially on the map side, so a hot
 group never lands whole in one task.
 
 D2 keeps, per flow in time order, the first packet and then every packet at
@@ -16,7 +16,7 @@ nodes:
    of width ``W`` it lies in bucket ``b(t)+1`` or is the minimum of bucket
    ``b(t)+2``: an as-of lookup inside one bucket (a window partitioned by
    flow *and* bucket: one bucket's nodes plus the previous bucket's queries,
-   so a partition is bounded by ``W`` of time, never by a whole flow) plus
+   so a partition is bounded by ``W`` of time) plus
    one bucket-level join.
 2. A node whose predecessor is ``>= W`` earlier (a *session start*) is always
    kept, since the last kept node cannot be later than that predecessor.
@@ -43,14 +43,15 @@ from ..session import materialize, materialize_counted, materialize_observed
 def drop_exact(df: DataFrame, columns: list[str], order_col: str = "packet_id") -> DataFrame:
     """One row per distinct value of ``columns``; the first by ``order_col`` wins.
 
-    NULLs compare equal, as in a pandas ``drop_duplicates``.
+    NULLs compare equal, as in a pandas ``drop_duplicates``.  ``order_col`` is a
+    number that identifies rows: its minimum per group is a hash aggregation
+    (partial before the shuffle); columns outside ``columns`` are brought back
+    by a semi-join on it.
     """
-    rest = [c for c in df.columns if c not in columns and c != order_col]
-    first = F.min(F.struct(F.col(order_col), *[F.col(c) for c in rest])).alias("_first")
-    out = df.groupBy(*columns).agg(first)
-    return out.select(*[F.col(f"_first.{order_col}").alias(order_col)],
-                      *[F.col(c) for c in columns],
-                      *[F.col(f"_first.{c}").alias(c) for c in rest]).select(*df.columns)
+    first = df.groupBy(*columns).agg(F.min(order_col).alias(order_col))
+    if set(df.columns) == {order_col, *columns}:
+        return first.select(*df.columns)
+    return df.join(first.select(order_col), order_col, "left_semi")
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[str],
@@ -69,16 +70,16 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str],
 
 def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
                order_col: str = "packet_id", with_stats: bool = False,
-               fold_max_nodes: int = 1024, route_broadcast_max: int = 1_000_000):
+               fold_max_nodes: int = 1024, route_broadcast_max: int = 1_000_000,
+               untimed_rows: str = "keep"):
     """Greedy per-flow thinning with window ``window`` (same unit as ``time_col``).
 
     ``time_col`` must be an integral epoch value (e.g. nanoseconds).  Flows
     are the distinct values of ``key`` (NULLs equal).  ``order_col`` must
-    identify rows (exact copies may share a value).  Of several rows with the
-    same flow and time, the one with the smallest ``order_col`` stands for
-    them; copies sharing that value are all returned (an exact dedup of the
-    small output removes them).  Rows without a time cannot be placed and are
-    passed through unchanged.
+    identify rows.  Of several rows with the same flow and time, the one with
+    the smallest ``order_col`` stands for them.  Rows without a time cannot be
+    placed: they are passed through (``untimed_rows="keep"``), or only the first
+    of a flow that has no timed row stays (``"first"``).
 
     Flows are sized first.  Flows with at most ``fold_max_nodes`` distinct
     times are thinned by a sequential fold over their sorted times inside one
@@ -125,6 +126,11 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
         parts.append(kept_big)
 
     kept = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if untimed_rows == "first":
+        # Flows are compared as structs, so NULL key parts are equal.
+        alone = untimed.groupBy(fk).agg(F.min(order_col).alias("_rep")).join(
+            nodes.select("_fk").distinct(), "_fk", "left_anti")
+        untimed = untimed.join(alone, F.col(order_col) == alone["_rep"], "left_semi")
     out = (timed.join(kept, F.col(order_col).cast("long") == kept["_rep"], "left_semi")
            .unionByName(untimed))
     if with_stats:

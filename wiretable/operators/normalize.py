@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fields as X
-from ..schema import Profile, profile as _profile
+from ..schema import EXTRACTED_COLUMNS, Profile, profile as _profile
 
 
-def _clean_text(c: Column, first_only: bool) -> Column:
-    c = X.strip_quotes(F.trim(c))
+def _clean_text(c: Column, first_only: bool, quotes: bool) -> Column:
+    """One exported field: its outer quotes *or* its outer blanks go, by profile."""
+    c = X.strip_quotes(c) if quotes else X.strip_blanks(c)
     return X.first_occurrence(c) if first_only else c
 
 
@@ -23,9 +24,12 @@ def _nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def normalize(raw: DataFrame, prof: str | Profile) -> DataFrame:
+def normalize(raw: DataFrame, prof: str | Profile, na: tuple[str, ...] = ()) -> DataFrame:
     """Export rows -> ``packet_id, source_file`` + the 11 extracted columns.
 
+    ``na`` lists further spellings of a missing value (such as ``NA`` or
+    ``null``), which become NULL in every extracted column.
+
     ``packet_id`` is assigned here, once (unless the input already has one),
     and carried by every later stage; it stands in for row positions.
     """
@@ -35,7 +39,7 @@ def normalize(raw: DataFrame, prof: str | Profile) -> DataFrame:
     repeatable = {"ip.src", "ip.dst", "ipv6.src", "ipv6.dst", "ip.proto", "ipv6.nxt",
                   "tcp.srcport", "tcp.dstport", "udp.srcport", "udp.dstport", "frame.len"}
     col = lambda name: _clean_text(
-        F.col(f"`{name}`"), prof.first_occurrence and name in repeatable)
+        F.col(f"`{name}`"), prof.first_occurrence and name in repeatable, prof.strip_quotes)
 
     if prof.ipv6:
         src = F.coalesce(_nonempty(col("ip.src")), _nonempty(col("ipv6.src")))
@@ -58,7 +62,7 @@ def normalize(raw: DataFrame, prof: str | Profile) -> DataFrame:
         (F.col("packet_id") if "packet_id" in raw.columns
          else F.monotonically_increasing_id()).alias("packet_id"),
         F.col("source_file"),
-        _nonempty(F.trim(F.col("`frame.time`"))).alias("timestamp"),
+        _nonempty(col("frame.time")).alias("timestamp"),
         src.alias("src_ip"), dst.alias("dst_ip"), protocol.alias("protocol"),
         _nonempty(sport).alias("src_port"), _nonempty(dport).alias("dst_port"),
         _nonempty(length).alias("length"),
@@ -68,6 +72,9 @@ def normalize(raw: DataFrame, prof: str | Profile) -> DataFrame:
         _nonempty(col("http.user_agent")).alias("user_agent"),
         *([F.col("short_row")] if "short_row" in raw.columns else []),
     )
+    if na:
+        out = out.select(*[X.blank_to_null(F.col(c), na).alias(c) if c in EXTRACTED_COLUMNS else F.col(c)
+                           for c in out.columns])
     return out
 
 
@@ -80,10 +87,3 @@ def presence_drop(df: DataFrame, prof: str | Profile) -> Column:
     if "short_row" in df.columns:
         cond = cond | F.col("short_row")
     return cond
-
-
-def na_tokens(df: DataFrame, columns: list[str], tokens: tuple[str, ...] = ("",)) -> DataFrame:
-    """Configurable missing-value tokens (the CSV readers of the reference
-    treat several spellings such as ``NA`` or ``null`` as missing)."""
-    return df.select(*[X.blank_to_null(F.col(c), tokens).alias(c) if c in columns else F.col(c)
-                       for c in df.columns])

@@ -75,12 +75,26 @@ def extraction_stats(tagged: DataFrame) -> DataFrame:
     return out
 
 
-def file_outcomes(listing: DataFrame, tagged: DataFrame) -> DataFrame:
-    """Processed vs failed files (G9): listed files that produced no row fail."""
-    listed = listing.select(F.element_at(F.split("path", "/"), -1).alias("source_file"))
-    produced = tagged.select("source_file").distinct()
-    return (listed.join(produced.withColumn("_seen", F.lit(True)), "source_file", "left")
-            .select("source_file", F.when(F.col("_seen"), "processed").otherwise("failed").alias("outcome")))
+def outcome_counts(tagged: DataFrame) -> DataFrame:
+    """Rows per file and extraction outcome."""
+    return tagged.groupBy("source_file", "extract_outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def file_outcomes(listing: DataFrame, tagged: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """Outcome of every listed file (G9): processed, no_data or failed.
+
+    A file that gave rows is processed; one without rows (only a header, or
+    empty) has no data; ``failed`` names the files whose capture could not be
+    exported (``source_file``), which the decoding tool reports.
+    """
+    produced = tagged.select("source_file").distinct().withColumn("_seen", F.lit(True))
+    out = listing.select("source_file").join(produced, "source_file", "left")
+    if failed is not None:
+        out = out.join(failed.select("source_file").distinct().withColumn("_failed", F.lit(True)), "source_file", "full")
+    else:
+        out = out.withColumn("_failed", F.lit(None).cast("boolean"))
+    return out.select("source_file", F.when(F.col("_failed"), "failed").when(F.col("_seen"), "processed")
+                      .otherwise("no_data").alias("outcome"))
 
 
 def missing_counts(df: DataFrame, columns: list[str]) -> DataFrame:

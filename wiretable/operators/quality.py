@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import fields as X
 from ..functions.addresses import is_valid_ip
 from ..schema import REQUIRED_COLUMNS, Profile, profile as _profile
+from ..session import bind
 
-REASONS = ["missing_required", "invalid_ip", "invalid_port", "invalid_timestamp",
-           "invalid_protocol"]
-
+#: Reject reasons in the order of the tests.
+REASONS = ["missing_required", "invalid_ip", "invalid_port", "invalid_timestamp", "invalid_protocol"]
 
 def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
     """Adds typed columns and ``reject_reason`` (NULL = passes every test).
@@ -27,52 +27,38 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
     """
     prof = _profile(prof)
     c = F.col
-    # Stage the cleaned time text once; every format attempt reads the column.
-    if prof.name == "integrated":
-        staged = df.withColumn("_tt", X.time_text_integrated(c("timestamp"))) \
-            .withColumn("_tp", X.squash_blanks(c("_tt")))
-        parsed = X.parse_formats(c("_tp"), X.FLEX_FORMATS)
-        proto_ok = X.protocol_whitelisted_integrated(c("protocol"))
-    else:
-        staged = df.withColumn("_tt", X.time_text_modular(c("timestamp"))) \
-            .withColumn("_tp", X.cut_fraction(c("_tt"))) \
-            .withColumn("_tf", X.squash_blanks(c("_tt")))
-        parsed = F.coalesce(X.parse_formats(c("_tp"), X.MODULAR_FORMATS),
-                            X.parse_formats(c("_tf"), X.FLEX_FORMATS))
-        proto_ok = X.protocol_whitelisted_modular(c("protocol"))
-    nan_missing = prof.name == "modular"
+    modular = prof.name == "modular"
+    text = X.time_text_modular(c("timestamp")) if modular else X.time_text_integrated(c("timestamp"))
+    proto_ok = (X.protocol_whitelisted_modular if modular else X.protocol_whitelisted_integrated)(c("protocol"))
     missing = None
     for name in REQUIRED_COLUMNS:
         m = X.is_missing(c(name))
         missing = m if missing is None else missing | m
 
-    staged = (staged.withColumn("event_time", parsed)
-              .withColumn("_frac", X.fraction_digits(c("_tt")))
-              .withColumn("_ip_ok", is_valid_ip(c("src_ip")) & is_valid_ip(c("dst_ip")))
-              .withColumn("_port_ok", X.port_is_valid(c("src_port"), nan_missing)
-                          & X.port_is_valid(c("dst_port"), nan_missing)))
+    # Each layer is bound once per row, so no format or pattern is tried twice.
+    staged = bind(df, _tt=text, _ip_ok=is_valid_ip(c("src_ip")) & is_valid_ip(c("dst_ip")),
+                  _port_ok=X.port_is_valid(c("src_port"), modular) & X.port_is_valid(c("dst_port"), modular),
+                  src_port_n=X.port_value(c("src_port")), dst_port_n=X.port_value(c("dst_port")),
+                  length_n=F.trim(c("length")).try_cast("double").try_cast("int"))
+    staged = bind(staged, _tf=X.squash_blanks(c("_tt")), _tp=X.cut_fraction(c("_tt")))
+    parsed = X.parse_formats(c("_tf"), X.FLEX_FORMATS)
+    if modular:
+        parsed = F.coalesce(parsed, X.parse_formats(c("_tp"), X.MODULAR_FORMATS))
+    staged = bind(staged, event_time=parsed)
+    staged = bind(staged, event_ns=X.time_ns_from(c("event_time"), X.fraction_digits(c("_tt"))))
+    # The integrated profile refuses a time beyond nanoseconds; the modular one keeps it without an instant.
+    known = c("event_time") if modular else c("event_ns")
     reason = (
         F.when(missing, "missing_required")
         .when(~c("_ip_ok"), "invalid_ip")
         .when(~c("_port_ok"), "invalid_port")
-        .when(c("event_time").isNull(), "invalid_timestamp")
+        .when(known.isNull(), "invalid_timestamp")
         .when(~proto_ok, "invalid_protocol")
     )
-    return (staged.withColumn("reject_reason", reason)
-            .withColumn("event_ns", X.time_ns_from(c("event_time"), c("_frac")))
-            .withColumn("src_port_n", X.port_value(c("src_port")))
-            .withColumn("dst_port_n", X.port_value(c("dst_port")))
-            .withColumn("length_n", F.trim(c("length")).try_cast("double").try_cast("int"))
-            .drop("_tt", "_tp", "_tf", "_frac", "_ip_ok", "_port_ok"))
+    return bind(staged, reject_reason=reason).drop("_tt", "_tp", "_tf", "_ip_ok", "_port_ok")
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(passing rows, quarantined rows with their reason)."""
     return (df.where(F.col("reject_reason").isNull()).drop("reject_reason"),
             df.where(F.col("reject_reason").isNotNull()))
-
-
-def reject_counts(df: DataFrame) -> DataFrame:
-    """One row per outcome (``ok`` for passing rows) with its count."""
-    return (df.groupBy(F.coalesce(F.col("reject_reason"), F.lit("ok")).alias("reason"))
-            .agg(F.count(F.lit(1)).alias("rows")))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import fields as X
-from ..functions.addresses import is_internal_ip
+from ..functions.addresses import is_internal, octets
+from ..session import bind
 
 KEEP_RULES = (3, 4, 6, 7, 8)
 
@@ -29,19 +30,18 @@ def _either(a: Column, b: Column, values: list[int]) -> Column:
 def with_relevance(df: DataFrame) -> DataFrame:
     """Adds ``relevance_rule`` (1-9) and ``relevant`` (kept by the cascade).
 
-    Intermediate values are staged as columns so that every sub-expression is
-    evaluated once per row and the generated code stays small.
+    Values that several rules read are bound once per row.
     """
     c = F.col
     zero = F.lit(0).cast("bigint")
-    staged = (
-        df.withColumn("_rs", F.when(X.is_missing(c("src_port")), zero).otherwise(X.integer_text_value(c("src_port"))))
-        .withColumn("_rd", F.when(X.is_missing(c("dst_port")), zero).otherwise(X.integer_text_value(c("dst_port"))))
-        .withColumn("_both", c("_rs").isNotNull() & c("_rd").isNotNull())
-        .withColumn("_s", F.when(c("_both"), c("_rs")).otherwise(zero))
-        .withColumn("_d", F.when(c("_both"), c("_rd")).otherwise(zero))
-        .withColumn("_internal", is_internal_ip(c("src_ip")) & is_internal_ip(c("dst_ip")))
-    )
+
+    def port(name: str) -> Column:
+        return F.when(X.is_missing(c(name)), zero).otherwise(X.integer_text_value(c(name)))
+
+    staged = bind(df, _rs=port("src_port"), _rd=port("dst_port"), _os=octets(c("src_ip")), _od=octets(c("dst_ip")))
+    both = c("_rs").isNotNull() & c("_rd").isNotNull()
+    staged = bind(staged, _s=F.when(both, c("_rs")).otherwise(zero), _d=F.when(both, c("_rd")).otherwise(zero),
+                  _internal=is_internal(c("_os")) & is_internal(c("_od")))
     app_data = (~X.is_missing(c("http_host")) | ~X.is_missing(c("http_path"))
                 | ~X.is_missing(c("user_agent")) | ~X.is_missing(c("dns_query")))
     s, d = c("_s"), c("_d")
@@ -55,12 +55,6 @@ def with_relevance(df: DataFrame) -> DataFrame:
         .when(app_data, 8)
         .otherwise(9)
     )
-    return (staged.withColumn("relevance_rule", rule)
+    return (bind(staged, relevance_rule=rule)
             .withColumn("relevant", F.col("relevance_rule").isin(*KEEP_RULES))
-            .drop("_rs", "_rd", "_both", "_s", "_d", "_internal"))
-
-
-def internal_split(df: DataFrame) -> DataFrame:
-    """Per-row internal flags of both addresses."""
-    return (df.withColumn("src_internal", is_internal_ip(F.col("src_ip")))
-            .withColumn("dst_internal", is_internal_ip(F.col("dst_ip"))))
+            .drop("_rs", "_rd", "_os", "_od", "_s", "_d", "_internal"))

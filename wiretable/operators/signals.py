@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..plans.joins import bounded_join
 from ..schema import Profile, profile as _profile
+from .joins import bounded_join
 
 
 def port_scanners(df: DataFrame, src: str = "src_ip", port: str = "dst_port_n",

@@ -9,7 +9,6 @@ check at small scale and is exactly the sequential definition.
 from __future__ import annotations
 
 from ..functions import constants as K
-from ..functions.addresses import DOTTED_QUAD_PATTERN, IP_PATTERN
 from ..sources.packets import packet_view_sql
 from .registry import PUBLISHED_SALT
 
@@ -41,8 +40,34 @@ def missing(c: str) -> str:
     return f"({c} IS NULL OR {c} = '')"
 
 
+# A dotted quad anywhere in a text.
+QUAD = r"\b[0-9]{1,3}([.][0-9]{1,3}){3}\b"
+
+
+def _quad_ok(t: str) -> str:
+    """Four parts, each a number up to 255 without sign, blank or leading zero."""
+    return (f"(len(string_split({t}, '.')) = 4 AND len(list_filter(string_split({t}, '.'), "
+            "lambda p: regexp_matches(p, '^[0-9]{1,3}$') AND TRY_CAST(p AS INTEGER) <= 255 "
+            "AND (p = '0' OR p[1] <> '0'))) = 4)")
+
+
 def valid_ip(c: str) -> str:
-    return f"coalesce(regexp_matches({c}, '{IP_PATTERN}'), false)"
+    """Address test by splitting and counting groups (the engine uses one generated pattern)."""
+    t = f"trim({c}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    scope = f"(instr({t}, '%') = 0 OR (len(string_split({t}, '%')) = 2 AND string_split({t}, '%')[2] <> ''))"
+    head = f"string_split({t}, '%')[1]"
+    last = f"string_split({head}, ':')[-1]"
+    # An embedded quad counts as two groups.
+    tail = f"(CASE WHEN contains({last}, '.') THEN CASE WHEN {_quad_ok(last)} THEN 1 ELSE -99 END ELSE 0 END)"
+    groups = f"list_filter(string_split({head}, ':'), lambda g: g <> '')"
+    plain = (f"len(list_filter({groups}, lambda g: NOT contains(g, '.') AND NOT regexp_matches(g, '^[0-9A-Fa-f]{{1,4}}$'))) = 0")
+    gaps = f"(len({head}) - len(replace({head}, '::', '')))"
+    n = f"(len({groups}) + {tail})"
+    edges = (f"(starts_with({head}, '::') OR NOT starts_with({head}, ':')) AND "
+             f"(ends_with({head}, '::') OR NOT ends_with({head}, ':')) AND NOT contains({head}, ':::')")
+    v6 = (f"(contains({t}, ':') AND {scope} AND {edges} AND {plain} AND len(list_filter({groups}, lambda g: contains(g, '.'))) <= 1 "
+          f"AND (({gaps} = 0 AND {n} = 8) OR ({gaps} = 2 AND {n} BETWEEN 0 AND 7)))")
+    return f"coalesce({_quad_ok(t)} OR {v6}, false)"
 
 
 def port_ok(c: str) -> str:
@@ -70,18 +95,19 @@ def text_b(c: str) -> str:
     return f"(CASE {whens} ELSE {s} END)"
 
 
+TIME_FORMATS = "['%b %d, %Y %H:%M:%S.%n', '%b %d, %Y %H:%M:%S']"
+
+
 def ns_a(c: str) -> str:
-    return f"epoch_ns(try_strptime({text_a(c)}, ['%b %d, %Y %H:%M:%S.%n', '%b %d, %Y %H:%M:%S']))"
+    return f"epoch_ns(try_strptime({text_a(c)}, {TIME_FORMATS}))"
 
 
 def valid_time_b(c: str) -> str:
-    cut = "regexp_replace(" + text_b(c) + r", '[.]([0-9]{6})[0-9]+', '.\1')"
-    return f"(try_strptime({cut}, ['%b %d, %Y %H:%M:%S.%f', '%b %d, %Y %H:%M:%S']) IS NOT NULL)"
+    return f"(try_strptime({text_b(c)}, {TIME_FORMATS}) IS NOT NULL)"
 
 
 def ns_b(c: str) -> str:
-    return (f"(CASE WHEN {valid_time_b(c)} THEN epoch_ns(try_strptime({text_b(c)}, "
-            f"['%b %d, %Y %H:%M:%S.%n', '%b %d, %Y %H:%M:%S'])) END)")
+    return f"epoch_ns(try_strptime({text_b(c)}, {TIME_FORMATS}))"
 
 
 def int_text(c: str) -> str:
@@ -145,10 +171,12 @@ def _reason(profile: str) -> str:
 
 
 def _source(profile: str) -> str:
-    """CTEs ending in ``src`` = extracted rows of the profile."""
+    """CTEs ending in ``src`` = extracted rows of the profile's export."""
+    head = _raw_export() + ", " + _normalized(profile) + ", "
     if profile == "integrated":
-        return _x(label_a) + ", src AS (SELECT * FROM x)"
-    return (_x(label_b) + ", " + _relevance_ctes("x")
+        return head + (f"src AS (SELECT * FROM nx WHERE NOT {missing('src_ip')} AND NOT {missing('dst_ip')} "
+                       f"AND NOT {missing('timestamp')})")
+    return (head + _relevance_ctes("nx")
             + ", src AS (SELECT * EXCLUDE (relevance_rule) FROM r WHERE relevance_rule IN (3, 4, 6, 7, 8))")
 
 
@@ -296,14 +324,14 @@ def _counters(profile: str) -> str:
 def _pseudonym_checks() -> str:
     hs = _hash("src_ip", False)
     hd = _hash("dst_ip", False)
-    quad = DOTTED_QUAD_PATTERN
+    quad = QUAD
     analytic = ["timestamp", "protocol", "src_port", "dst_port", "length", "dns_query", "http_host",
                 "http_path", "user_agent"]
-    body = (_x(label_a) + ", b AS (SELECT * FROM x), "
+    body = (_source("integrated") + ", x AS (SELECT * FROM src), b AS (SELECT * FROM x), "
             f"a AS (SELECT * EXCLUDE (src_ip, dst_ip), CASE WHEN {missing('src_ip')} THEN '' ELSE {hs} END AS sa, "
             f"CASE WHEN {missing('dst_ip')} THEN '' ELSE {hd} END AS da FROM x), "
             "j AS (SELECT b.src_ip, b.dst_ip, a.sa, a.da FROM b JOIN a USING (packet_id)), "
-            "g AS (SELECT * FROM (VALUES ('10.0.2.15'), ('192.168.1.1'), ('8.8.8.8')) t(ip)), "
+            "g AS (SELECT * FROM (VALUES ('10.0.2.15'), ('192.168.1.1'), ('93.184.216.34')) t(ip)), "
             "m AS (SELECT "
             "(SELECT count(*) FROM b) AS b_rows, (SELECT count(*) FROM a) AS a_rows, "
             "(SELECT count(DISTINCT src_ip) FROM b) AS b_src, (SELECT count(DISTINCT nullif(sa, '')) FROM a) AS a_src, "
@@ -322,11 +350,8 @@ def _pseudonym_checks() -> str:
             "GROUP BY src_ip, dst_ip)) AS broken, "
             "(SELECT count(*) FILTER (WHERE n <> 1) FROM (SELECT count(DISTINCT (src_ip, dst_ip)) AS n FROM j "
             "GROUP BY sa, da)) AS collisions, "
-            f"(SELECT count(*) FILTER (WHERE substr(sha256(g.ip || '{PUBLISHED_SALT}'), 1, 16) <> j.sa) "
-            "FROM j JOIN g ON j.src_ip = g.ip) AS known_bad, "
-            "(SELECT count(*) FROM (SELECT sa AS h FROM a UNION ALL SELECT da FROM a) WHERE h <> '') AS hashes, "
-            "(SELECT count(DISTINCT h) FROM (SELECT sa AS h FROM a UNION ALL SELECT da FROM a) WHERE h <> '') "
-            "AS unique_hashes)")
+            f"(SELECT count(*) FILTER (WHERE substr(sha256(g.ip || '{PUBLISHED_SALT}'), 1, 16) <> k.h) "
+            "FROM (SELECT src_ip AS ip, sa AS h FROM j UNION ALL SELECT dst_ip, da FROM j) k JOIN g USING (ip)) AS known_bad)")
     pairs = [("row_count_preserved", "b_rows", "a_rows"), ("unique_src_preserved", "b_src", "a_src"),
              ("unique_dst_preserved", "b_dst", "a_dst"), ("src_completeness", "b_src_nn", "a_src_nn"),
              ("dst_completeness", "b_dst_nn", "a_dst_nn"),
@@ -337,8 +362,6 @@ def _pseudonym_checks() -> str:
     sel = " UNION ALL ".join(
         f"SELECT '{n}' AS check, CAST({e} AS BIGINT) AS expected, CAST({v} AS BIGINT) AS actual, "
         f"CAST({e} AS BIGINT) = CAST({v} AS BIGINT) AS passed FROM m" for n, e, v in pairs)
-    sel += (" UNION ALL SELECT 'distinct_hashes', CAST(hashes AS BIGINT), CAST(unique_hashes AS BIGINT), "
-            "true FROM m")
     return _with(body, sel)
 
 
@@ -348,29 +371,36 @@ def _with(body: str, select: str, recursive: bool = False) -> str:
 
 def _raw_export() -> str:
     v6s, v6d = "contains(src_ip, ':')", "contains(dst_ip, ':')"
+    src = "CASE WHEN packet_id % 83 = 0 THEN src_ip || ',10.0.2.254' ELSE src_ip END"
+    dport = "CASE WHEN packet_id % 71 = 0 THEN dst_port || ',9' ELSE dst_port END"
     return (
         'rx AS (SELECT packet_id, frame_time AS "frame.time", '
-        f'CASE WHEN {v6s} THEN \'\' ELSE src_ip END AS "ip.src", '
-        f'CASE WHEN {v6s} THEN src_ip ELSE \'\' END AS "ipv6.src", '
+        f'CASE WHEN {v6s} THEN \'\' ELSE {src} END AS "ip.src", '
+        f'CASE WHEN {v6s} THEN {src} ELSE \'\' END AS "ipv6.src", '
         f'CASE WHEN {v6d} THEN \'\' ELSE dst_ip END AS "ip.dst", '
         f'CASE WHEN {v6d} THEN dst_ip ELSE \'\' END AS "ipv6.dst", '
         f'CASE WHEN {v6s} THEN \'\' ELSE ip_proto END AS "ip.proto", '
         f'CASE WHEN {v6s} THEN ip_proto ELSE \'\' END AS "ipv6.nxt", '
         "CASE WHEN ip_proto = '6' THEN src_port ELSE '' END AS \"tcp.srcport\", "
-        "CASE WHEN ip_proto = '6' THEN dst_port ELSE '' END AS \"tcp.dstport\", "
+        f"CASE WHEN ip_proto = '6' THEN {dport} ELSE '' END AS \"tcp.dstport\", "
         "CASE WHEN ip_proto = '17' THEN src_port ELSE '' END AS \"udp.srcport\", "
-        "CASE WHEN ip_proto = '17' THEN dst_port ELSE '' END AS \"udp.dstport\", "
-        'length AS "frame.len", dns_query AS "dns.qry.name", http_host AS "http.host", '
-        'http_path AS "http.request.uri", user_agent AS "http.user_agent", '
+        f"CASE WHEN ip_proto = '17' THEN {dport} ELSE '' END AS \"udp.dstport\", "
+        'length AS "frame.len", dns_query AS "dns.qry.name", '
+        "CASE WHEN packet_id % 73 = 0 THEN ' ' || http_host || '  ' ELSE http_host END AS \"http.host\", "
+        'http_path AS "http.request.uri", '
+        "CASE WHEN packet_id % 79 = 0 THEN '\"' || user_agent || '\"' ELSE user_agent END AS \"http.user_agent\", "
         "'capture_' || strftime(make_timestamp(t_us), '%Y%m%d%H%M') || '.tsv' AS source_file FROM pk)")
 
 
-def _q(c: str) -> str:
-    return "regexp_replace(trim(" + c + r"""), '^"+|"+$', '', 'g')"""
+def _stripped(c: str, profile: str) -> str:
+    """A field without its outer blanks (integrated) or its outer quotes (modular)."""
+    if profile == "integrated":
+        return f"trim({c}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+    return f"trim({c}, '\"')"
 
 
 def _normalized(profile: str) -> str:
-    f = lambda name: _q(f'"{name}"')
+    f = lambda name: _stripped(f'"{name}"', profile)
     first = lambda name: f"split_part({f(name)}, ',', 1)"
     ne = lambda e: f"nullif({e}, '')"
     if profile == "integrated":
@@ -387,7 +417,7 @@ def _normalized(profile: str) -> str:
         dp = f"coalesce({ne(first('tcp.dstport'))}, {ne(first('udp.dstport'))})"
         length = f"coalesce({ne(first('frame.len'))}, '0')"
     return (
-        f"nx AS (SELECT packet_id, source_file, nullif(trim(\"frame.time\"), '') AS timestamp, "
+        f"nx AS (SELECT packet_id, source_file, {ne(f('frame.time'))} AS timestamp, "
         f"{src} AS src_ip, {dst} AS dst_ip, {proto} AS protocol, {ne(sp)} AS src_port, "
         f"{ne(dp)} AS dst_port, {ne(length)} AS length, {ne(f('dns.qry.name'))} AS dns_query, "
         f"{ne(f('http.host'))} AS http_host, {ne(f('http.request.uri'))} AS http_path, "
@@ -395,7 +425,7 @@ def _normalized(profile: str) -> str:
 
 
 def _leak(table: str, id_col: str, text_col: str) -> str:
-    p = DOTTED_QUAD_PATTERN
+    p = QUAD
     return (f"SELECT {id_col} AS id, regexp_extract({text_col}, '{p}', 0) AS first_match, "
             f"len(regexp_extract_all({text_col}, '{p}', 0)) AS matches FROM {table} "
             f"WHERE regexp_matches({text_col}, '{p}')")
@@ -422,9 +452,49 @@ def _signals_q(profile: str) -> str:
                  "SELECT packet_id, signals, signals <> '' AS is_attack_pattern FROM sig")
 
 
+def _outcome(profile: str) -> str:
+    """CTEs ending in ``o``: every exported row with its extraction outcome."""
+    head = _raw_export() + ", " + _normalized(profile) + ", "
+    if profile == "integrated":
+        return head + (f"o AS (SELECT *, CASE WHEN {missing('src_ip')} OR {missing('dst_ip')} OR {missing('timestamp')} "
+                       "THEN 'missing_address_or_time' ELSE 'kept' END AS extract_outcome FROM nx)")
+    return head + _relevance_ctes("nx") + (
+        ", o AS (SELECT *, CASE WHEN relevance_rule IN (3, 4, 6, 7, 8) THEN 'kept' "
+        "ELSE 'rule_' || relevance_rule END AS extract_outcome FROM r)")
+
+
+def _stats(profile: str) -> str:
+    kept = "count(*) FILTER (WHERE extract_outcome = 'kept')"
+    return _with(_outcome(profile),
+                 f"SELECT coalesce(source_file, '__all__') AS source_file, count(*) AS total, {kept} AS kept, "
+                 f"count(*) - {kept} AS filtered, ((count(*) - {kept}) * 20000 + count(*)) // (count(*) * 2) / 100 "
+                 "AS filtered_pct FROM o GROUP BY ROLLUP (source_file)")
+
+
+def _roundtrip(profile: str) -> str:
+    # The rows that are written with two fields less are refused, whatever else they are.
+    outcome = ("CASE WHEN packet_id % 67 = 0 THEN 'short_row' ELSE extract_outcome END" if profile == "modular"
+               else "extract_outcome")
+    return _with(_outcome(profile), "SELECT 'a b+' || regexp_extract(source_file, '([0-9]+)', 1) AS source_file, "
+                                    f"{outcome} AS extract_outcome, count(*) AS rows FROM o GROUP BY 1, 2")
+
+
+def _loads(nt: str, src: str, dst: str) -> str:
+    return _with(nt, f"SELECT 2 * count(*) AS rows, count(DISTINCT {src}) AS distinct_src, count(DISTINCT {dst}) "
+                     "AS distinct_dst, 2 * count(*) AS distinct_ids, CAST(0 AS BIGINT) AS broken_rows FROM nt", True)
+
+
+def _spellings() -> str:
+    """The instants that the spellings stand for, from the clock itself and not by parsing."""
+    us = {0: "t_us", 1: "t_us", 2: "t_us // 1000000 * 1000000", 6: "t_us // 60000000 * 60000000",
+          7: "t_us // 86400000000 * 86400000000"}
+    whens = " ".join(f"WHEN {k} THEN {us.get(k, us[2])} * 1000" for k in range(8))
+    return _with("z AS (SELECT 1)", f"SELECT packet_id, CAST(CASE packet_id % 9 {whens} END AS BIGINT) AS ns_integrated, "
+                                    f"CAST(CASE packet_id % 9 {whens} END AS BIGINT) AS ns_modular, true AS valid_modular FROM pk")
+
+
 def oracles() -> dict[str, str]:
     nt = _nt()
-    svc = " ".join(f"WHEN dst_port = {p} THEN '{s}'" for p, s in K.SERVICE_LABELS.items())
     comp_cols = ["dns_query", "http_host", "http_path", "user_agent"]
     comp = " UNION ALL ".join(
         f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
@@ -436,23 +506,7 @@ def oracles() -> dict[str, str]:
         f"CAST(max({c}) AS VARCHAR) AS max_value FROM sig"
         for c in ["src_port", "dst_port", "length", "event_ns"])
     return {
-        "q1_total": _with(nt, "SELECT count(*) AS total_records FROM nt", True),
-        "q2_top_destinations": _with(nt, "SELECT dst_ip_anonimizada, count(*) AS count FROM nt GROUP BY 1 "
-                                         "ORDER BY count DESC, dst_ip_anonimizada NULLS FIRST LIMIT 10", True),
-        "q3_top_domains": _with(nt, "SELECT dns_query, count(*) AS count FROM nt WHERE dns_query IS NOT NULL "
-                                    "AND dns_query <> '' GROUP BY 1 ORDER BY count DESC, dns_query LIMIT 10", True),
-        "q4_top_ports": _with(nt, f"SELECT dst_port, count(*) AS count, CASE {svc} ELSE '{K.SERVICE_OTHER}' END "
-                                  "AS service_type FROM nt WHERE dst_port IS NOT NULL GROUP BY dst_port "
-                                  "ORDER BY count DESC, dst_port LIMIT 10", True),
-        "q5_length_stats": _with(nt, "SELECT CAST(sum(length) AS BIGINT) / count(length) AS avg_length, "
-                                     "max(length) AS max_length, min(length) AS min_length, "
-                                     "CAST(sum(length) AS BIGINT) // count(length) AS avg_length_int "
-                                     "FROM nt WHERE length IS NOT NULL", True),
-        "q6_protocol_share": _with(nt, "SELECT protocol, count(*) AS count, "
-                                       "(count(*) * 20000 + (SELECT count(*) FROM nt)) // "
-                                       "((SELECT count(*) FROM nt) * 2) / 100 AS percentage FROM nt "
-                                       "WHERE protocol IS NOT NULL GROUP BY protocol "
-                                       "ORDER BY count DESC, protocol", True),
+        **_report_queries(nt, "dst_ip_anonimizada", ""),
         "protocol_labels": _with("z AS (SELECT 1)", f"SELECT packet_id, ip_proto, {label_a('ip_proto')} AS "
                                  f"label_integrated, {label_b('ip_proto')} AS label_modular FROM pk"),
         "normalize_integrated": _with(_raw_export() + ", " + _normalized("integrated"), "SELECT * FROM nx"),
@@ -493,17 +547,18 @@ def oracles() -> dict[str, str]:
                                     "count(DISTINCT dst_ip) AS distinct_dst FROM pk"),
         "value_ranges": _with(f"{_source('integrated')}, {_ok('integrated')}, {_signals('integrated')}", ranges),
         "completeness": _with("z AS (SELECT 1)", comp),
-        "extraction_stats": _with(_raw_export() + ", " + _normalized("modular") + ", "
-                                  + _relevance_ctes("nx"),
-                                  "SELECT coalesce(source_file, '__all__') AS source_file, count(*) AS total, "
-                                  "count(*) FILTER (WHERE relevance_rule IN (3, 4, 6, 7, 8)) AS kept, "
-                                  "count(*) - count(*) FILTER (WHERE relevance_rule IN (3, 4, 6, 7, 8)) AS filtered, "
-                                  "((count(*) - count(*) FILTER (WHERE relevance_rule IN (3, 4, 6, 7, 8))) * 20000 "
-                                  "+ count(*)) // (count(*) * 2) / 100 AS filtered_pct "
-                                  "FROM r GROUP BY ROLLUP (source_file)"),
-        "hash_distribution": _with(nt, "SELECT count(*) AS hashes, count(DISTINCT h) AS unique_hashes FROM "
-                                       "(SELECT src_ip_anonimizada AS h FROM nt UNION ALL "
-                                       "SELECT dst_ip_anonimizada FROM nt) WHERE h IS NOT NULL AND h <> ''", True),
+        "extraction_stats": _stats("modular"),
+        "extraction_stats_integrated": _stats("integrated"),
+        "export_roundtrip_integrated": _roundtrip("integrated"),
+        "export_roundtrip_modular": _roundtrip("modular"),
+        "load_checks_integrated": _loads(nt, "src_ip_anonimizada", "dst_ip_anonimizada"),
+        "load_checks_modular": _loads(_nt_modular(), "src_ip_anon", "dst_ip_anon"),
+        "stage_roundtrip": _with(_nt_modular(), "SELECT packet_id, src_ip_anon, dst_port, length, dns_query FROM nt", True),
+        "timestamp_spellings": _spellings(),
+        "hash_distribution": _with(nt, "SELECT CAST(count(*) // 2 AS BIGINT) AS rows_processed, count(h) AS hashes, "
+                                       "count(DISTINCT h) AS unique_hashes, count(*) - count(h) AS missing_addresses FROM "
+                                       "(SELECT nullif(src_ip_anonimizada, '') AS h FROM nt UNION ALL "
+                                       "SELECT nullif(dst_ip_anonimizada, '') FROM nt)", True),
         "protocol_distribution": _with(nt, "SELECT protocol, count(*) AS count FROM nt GROUP BY protocol", True),
         "distinct_ports_per_source": _with("z AS (SELECT 1)", f"SELECT src_ip, count(DISTINCT "
                                            f"{port_val('dst_port')}) AS distinct_dst_ports FROM pk GROUP BY src_ip"),

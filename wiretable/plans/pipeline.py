@@ -1,10 +1,10 @@
 """End-to-end plans: extract -> clean -> pseudonymise -> load (both profiles).
 
 Each stage is a lazy DataFrame transformation.  Reliable checkpoints sit only
-where a result is read more than once: the extraction outcome table (kept
-rows + per-file statistics), the checked table (clean rows + quarantine),
-the node tables of the flow thinning and the loaded table.  Counters come from grouped counts over the outcome/reject columns,
-not from one pass per filter phase.
+where a result is read more than once: the checked table (clean rows and
+quarantine), the node tables of the flow thinning and the loaded table.
+Computed outcomes are bound once per row (``session.bind``), so filtering on
+them needs no write.  Counters are observed while the checked table is written.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from ..operators.anonymize import pseudonymize
 from ..operators.dedup import drop_exact, thin_flows
 from ..operators.normalize import normalize, presence_drop
-from ..operators.quality import split_rejects, with_reject_reason
+from ..operators.quality import REASONS, split_rejects, with_reject_reason
 from ..operators.relevance import with_relevance
 from ..operators.signals import with_signals
 from ..schema import EXTRACTED_COLUMNS, Profile, profile as _profile
-from ..session import ensure_utc, materialize
+from ..session import Workspace, bind, ensure_utc, materialize_observed
 
 CLEAN_COLUMNS = ["packet_id", "source_file", "timestamp", "src_ip", "dst_ip", "protocol",
                  "src_port", "dst_port", "length", "dns_query", "http_host", "http_path",
@@ -40,32 +40,27 @@ class CleanResult:
     rejects: DataFrame       # quarantined rows with reject_reason
     validated: DataFrame     # passing rows before de-duplication
     deduplicated: DataFrame  # passing rows after exact de-duplication
+    counts: dict             # rows checked and rows per reject reason, observed while written
 
 
-def extract(raw: DataFrame, prof: str | Profile) -> ExtractResult:
+def extract(raw: DataFrame, prof: str | Profile, na: tuple[str, ...] = ()) -> ExtractResult:
     """Normalise an export and apply the extraction-time filters.
 
     ``integrated`` drops rows without addresses or time; ``modular`` runs the
-    relevance cascade (its rule 1 is the address check).
+    relevance cascade (its rule 1 is the address check).  ``na``: further
+    spellings of a missing value.
     """
     prof = _profile(prof)
-    df = normalize(raw, prof)
+    df = normalize(raw, prof, na)
     if prof.relevance_filter:
-        tagged = with_relevance(df).withColumn(
-            "extract_outcome",
-            F.when(F.col("relevant"), F.lit("kept"))
-            .otherwise(F.concat(F.lit("rule_"), F.col("relevance_rule").cast("string"))))
+        df = with_relevance(df)
+        outcome = F.when(F.col("relevant"), "kept").otherwise(
+            F.concat(F.lit("rule_"), F.col("relevance_rule").cast("string")))
         if "short_row" in df.columns:
-            tagged = tagged.withColumn(
-                "extract_outcome", F.when(F.col("short_row"), F.lit("short_row"))
-                .otherwise(F.col("extract_outcome")))
+            outcome = F.when(F.col("short_row"), "short_row").otherwise(outcome)
     else:
-        tagged = df.withColumn("extract_outcome",
-                               F.when(presence_drop(df, prof), F.lit("missing_address_or_time"))
-                               .otherwise(F.lit("kept")))
-    # Read twice (kept rows, per-file statistics) and filtered on a computed
-    # outcome: materialised for the same reasons as the checked table.
-    tagged = materialize(tagged)
+        outcome = F.when(presence_drop(df, prof), "missing_address_or_time").otherwise("kept")
+    tagged = bind(df, extract_outcome=outcome)
     kept = tagged.where(F.col("extract_outcome") == "kept").select(
         "packet_id", "source_file", *EXTRACTED_COLUMNS)
     return ExtractResult(extracted=kept, tagged=tagged)
@@ -78,16 +73,15 @@ def _dedup_columns(prof: Profile) -> list[str]:
 
 
 def validate(extracted: DataFrame, prof: str | Profile,
-             extra_signals: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Validation with quarantine and signals: (flagged passing rows, rejects)."""
+             extra_signals: dict | None = None) -> tuple[DataFrame, DataFrame, dict]:
+    """Validation with quarantine and signals: (flagged passing rows, rejects, counts)."""
     prof = _profile(prof)
     ensure_utc(extracted.sparkSession)
-    # The checked table is read twice (passing rows, quarantine).  It is
-    # materialised: besides avoiding a recomputation, a filter on the computed
-    # reason would otherwise be pushed below the projection that computes it,
-    # inlining every validation expression into the scan filter (evaluated
-    # twice per row, and generated code past the JVM method-size limit).
-    checked = materialize(with_reject_reason(extracted, prof))
+    # The checked table is read more than once (passing rows, port scans, quarantine):
+    # written once, and counted while it is written.
+    checked, counts = materialize_observed(
+        with_reject_reason(extracted, prof), initial=F.count(F.lit(1)),
+        **{r: F.count_if(F.coalesce(F.col("reject_reason") == r, F.lit(False))) for r in REASONS})
     ok, rejects = split_rejects(checked)
     typed = (ok.drop("src_port", "dst_port", "length")
              .withColumnRenamed("src_port_n", "src_port")
@@ -98,7 +92,7 @@ def validate(extracted: DataFrame, prof: str | Profile,
         typed.withColumn("src_port_n", F.col("src_port")).withColumn("dst_port_n", F.col("dst_port"))
         .withColumn("length_n", F.col("length")), prof, extra_signals)
     flagged = flagged.drop("src_port_n", "dst_port_n", "length_n").select(*CLEAN_COLUMNS)
-    return flagged, rejects
+    return flagged, rejects, counts
 
 
 def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
@@ -110,54 +104,39 @@ def clean(extracted: DataFrame, prof: str | Profile, keep_flagged: bool = False,
     iterative part eagerly (the number of doubling rounds depends on the data).
     """
     prof = _profile(prof)
-    flagged, rejects = validate(extracted, prof, extra_signals)
-    cols = _dedup_columns(prof)
-    exact = drop_exact(flagged, cols)   # lazy: counters and the keep_flagged branch
-    # Exact dedup is fused into the flow thinning: exact duplicates share flow
-    # and time, and the smallest packet_id of a (flow, time) node over all rows
-    # is always an exact-dedup survivor, so thinning the validated rows keeps
-    # the same packets.  Only the (small) kept set is de-duplicated afterwards,
-    # which removes copies that share a packet_id.  One full shuffle saved.
+    flagged, rejects, counts = validate(extracted, prof, extra_signals)
+    exact = drop_exact(flagged, _dedup_columns(prof))   # lazy: counters and the keep_flagged branch
+    # The thinning runs on the validated rows: exact duplicates share flow and
+    # time, and the least packet_id of a (flow, time) node is always an exact-
+    # dedup survivor, so it keeps the same packets without the extra shuffle.
+    options = {"untimed_rows": "first" if prof.name == "modular" else "keep"}
     if keep_flagged:
-        thin = thin_flows(flagged.where(~F.col("is_attack_pattern")), prof.flow_key, "event_ns",
-                          prof.flow_window_ns)
-        thinned = drop_exact(thin, cols).unionByName(exact.where(F.col("is_attack_pattern")))
+        thinned = thin_flows(flagged.where(~F.col("is_attack_pattern")), prof.flow_key, "event_ns",
+                             prof.flow_window_ns, **options)
+        thinned = thinned.unionByName(exact.where(F.col("is_attack_pattern")))
     else:
-        thinned = drop_exact(thin_flows(flagged, prof.flow_key, "event_ns", prof.flow_window_ns), cols)
-    return CleanResult(clean=thinned, rejects=rejects, validated=flagged, deduplicated=exact)
-
-
-def clean_counters(extracted: DataFrame, result: CleanResult) -> DataFrame:
-    """Removal counters and retention (G7) as one (counter, value) table."""
-    parts = [
-        extracted.agg(F.count(F.lit(1)).alias("v")).select(F.lit("initial").alias("counter"), "v"),
-        result.rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("v"))
-        .select(F.col("reject_reason").alias("counter"), "v"),
-        result.validated.agg(F.count_if("is_attack_pattern").alias("v"))
-        .select(F.lit("attack_signals_seen").alias("counter"), "v"),
-        result.validated.agg(F.count(F.lit(1)).alias("v")).select(F.lit("validated").alias("counter"), "v"),
-        result.deduplicated.agg(F.count(F.lit(1)).alias("v")).select(F.lit("after_exact").alias("counter"), "v"),
-        result.clean.agg(F.count(F.lit(1)).alias("v")).select(F.lit("final").alias("counter"), "v"),
-    ]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    val = lambda n: F.max(F.when(F.col("counter") == n, F.col("v")))
-    derived = long.agg(
-        (F.coalesce(val("validated"), F.lit(0)) - F.coalesce(val("after_exact"), F.lit(0))).alias("exact_duplicates"),
-        (F.coalesce(val("after_exact"), F.lit(0)) - F.coalesce(val("final"), F.lit(0))).alias("flow_duplicates"),
-        F.when(val("initial") > 0,
-               ((val("final") * 20000 + val("initial")) - F.pmod(val("final") * 20000 + val("initial"),
-                                                             val("initial") * 2))
-               / (val("initial") * 2) / 100).alias("retention_pct"),
-    )
-    extra = derived.select(F.explode(F.array(
-        F.struct(F.lit("exact_duplicates").alias("counter"), F.col("exact_duplicates").cast("double").alias("v")),
-        F.struct(F.lit("flow_duplicates").alias("counter"), F.col("flow_duplicates").cast("double").alias("v")),
-        F.struct(F.lit("retention_pct").alias("counter"), F.col("retention_pct").cast("double").alias("v")),
-    )).alias("m")).select("m.*")
-    return long.select("counter", F.col("v").cast("double").alias("v")).unionByName(extra) \
-        .withColumnRenamed("v", "value")
+        thinned = thin_flows(flagged, prof.flow_key, "event_ns", prof.flow_window_ns, **options)
+    return CleanResult(clean=thinned, rejects=rejects, validated=flagged, deduplicated=exact, counts=counts)
+
+
+def clean_counters(result: CleanResult, prof: str | Profile) -> DataFrame:
+    """Removal counters and retention (G7) as one (counter, value) table of a few rows.
+
+    The checked rows were counted while they were written; what is left is one
+    aggregation over the validated rows, one distinct count and the kept rows.
+    """
+    prof = _profile(prof)
+    seen = result.validated.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_attack_pattern").alias("a")).first()
+    after_exact = result.validated.select(*_dedup_columns(prof)).distinct().count()
+    final = result.clean.count()
+    initial = int(result.counts["initial"])
+    values = {"initial": initial,
+              **{r: int(result.counts[r]) for r in REASONS if result.counts[r]},
+              "attack_signals_seen": seen["a"], "validated": seen["n"], "after_exact": after_exact, "final": final,
+              "exact_duplicates": seen["n"] - after_exact, "flow_duplicates": after_exact - final,
+              "retention_pct": (final * 20000 + initial) // (initial * 2) / 100 if initial else None}
+    rows = [(k, float(v) if v is not None else None) for k, v in values.items()]
+    return result.validated.sparkSession.createDataFrame(rows, "counter string, value double")
 
 
 def anonymise(clean_df: DataFrame, prof: str | Profile, salt: str) -> DataFrame:
@@ -166,14 +145,29 @@ def anonymise(clean_df: DataFrame, prof: str | Profile, salt: str) -> DataFrame:
 
 @dataclass
 class PipelineResult:
+    """Results of a run; they read its intermediate tables until ``close``."""
+
     extract: ExtractResult
     clean: CleanResult
     anonymised: DataFrame
+    workspace: Workspace
+
+    def close(self) -> None:
+        """Removes the run's intermediate tables (write the results before)."""
+        self.workspace.close()
+
+    def __enter__(self) -> PipelineResult:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
 
-def run(raw: DataFrame, prof: str | Profile, salt: str, keep_flagged: bool = False) -> PipelineResult:
+def run(raw: DataFrame, prof: str | Profile, salt: str, keep_flagged: bool = False,
+        na: tuple[str, ...] = ()) -> PipelineResult:
     """Whole pipeline over an export DataFrame (see ``sources.exports``)."""
     prof = _profile(prof)
-    ex = extract(raw, prof)
-    cr = clean(ex.extracted, prof, keep_flagged)
-    return PipelineResult(extract=ex, clean=cr, anonymised=anonymise(cr.clean, prof, salt))
+    with Workspace(raw.sparkSession) as workspace:
+        ex = extract(raw, prof, na)
+        cr = clean(ex.extracted, prof, keep_flagged)
+        return PipelineResult(extract=ex, clean=cr, anonymised=anonymise(cr.clean, prof, salt), workspace=workspace)

@@ -8,24 +8,28 @@ named identically to the DuckDB oracles in ``plans.oracles``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import fields as X
-from ..functions.addresses import DOTTED_QUAD_PATTERN, is_internal_ip
+from ..functions.addresses import DOTTED_QUAD_PATTERN, is_internal, octets
 from ..operators import analytics as Q
 from ..operators import profiling as G
-from ..operators.anonymize import pseudonym_checks, pseudonymize
+from ..operators.anonymize import hash_metrics, pseudonym_checks, pseudonymize
 from ..operators.dedup import drop_exact, first_per_key, thin_flows
 from ..operators.normalize import normalize
 from ..operators.quality import with_reject_reason
 from ..operators.relevance import with_relevance
 from ..operators.signals import port_scanners, with_signals
-from ..schema import INTEGRATED, MODULAR, RAW16_FIELDS, Profile
+from ..schema import INTEGRATED, MODULAR, RAW13_FIELDS, RAW16_FIELDS, Profile
+from ..session import Workspace, bind, ensure_checkpoint_dir, materialize
+from ..sources.exports import read_export, read_stage
 from ..sources.packets import packets
-from ..session import materialize
-from .pipeline import clean, clean_counters, validate
+from .pipeline import clean, clean_counters, extract, validate
+from .tables import load_checks, write_stage, write_table
 
 # Parity tests and the golden pseudonyms use the published salt (a fixed value).
 PUBLISHED_SALT = K.PUBLISHED_SALT
@@ -38,27 +42,36 @@ TEXT_COLUMNS = ["frame_time", "src_ip", "dst_ip", "ip_proto", "src_port", "dst_p
 
 
 def extracted(spark: SparkSession, sf_dir: str, prof: Profile) -> DataFrame:
-    """Packet view in the extracted contract; '' is missing (CSV-stage semantics)."""
-    pk = packets(spark, sf_dir)
-    label = X.protocol_label_integrated if prof.name == "integrated" else X.protocol_label_modular
-    df = pk.select(
-        "packet_id", F.lit("events").alias("source_file"),
-        *[X.blank_to_null(F.col(c)).alias(c) for c in TEXT_COLUMNS])
-    df = df.withColumn("protocol", label(F.col("ip_proto"))).withColumnRenamed("frame_time", "timestamp")
-    if prof.relevance_filter:
-        # Materialised before filtering on the computed rule (see pipeline.clean).
-        df = materialize(with_relevance(df)).where(F.col("relevant")).drop("relevance_rule", "relevant")
-    return df.drop("ip_proto")
+    """The profile's extraction of the exported packet view."""
+    return extract(raw_export(spark, sf_dir), prof).extracted
 
 
 def cleaned(spark: SparkSession, sf_dir: str, prof: Profile):
     return clean(extracted(spark, sf_dir, prof), prof)
 
 
+_LOADED: dict[tuple, DataFrame] = {}
+
+
+def loaded_table(spark: SparkSession, sf_dir: str, prof: Profile) -> DataFrame:
+    """The profile's pseudonymised table: built once per session and folder, then read by every report."""
+    key = (spark.sparkContext.applicationId, sf_dir, prof.name)
+    if key not in _LOADED:
+        workspace = Workspace(spark)
+        with workspace:
+            c = cleaned(spark, sf_dir, prof).clean
+            anonymised = pseudonymize(c, prof, PUBLISHED_SALT)
+        _LOADED[key] = materialize(anonymised)
+        workspace.close()
+    return _LOADED[key]
+
+
 def network_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loaded table of the integrated profile (pseudonymised, typed)."""
-    c = cleaned(spark, sf_dir, INTEGRATED).clean
-    return pseudonymize(c, INTEGRATED, PUBLISHED_SALT)
+    return loaded_table(spark, sf_dir, INTEGRATED)
+
+
+def network_traffic_modular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loaded_table(spark, sf_dir, MODULAR)
 
 
 def _cleaned_output(df: DataFrame) -> DataFrame:
@@ -69,8 +82,17 @@ def _cleaned_output(df: DataFrame) -> DataFrame:
 
 def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 16-field export derived from the packet view (IPv6 addresses and the
-    protocol number go to the IPv6 columns; ports to the TCP or UDP fields)."""
+    protocol number go to the IPv6 columns; ports to the TCP or UDP fields),
+    with quoted agents, repeated addresses and ports, and blank edges injected.
+    """
     pk = packets(spark, sf_dir)
+    pid = F.col("packet_id")
+
+    def where(every: int, changed: Column, plain: Column) -> Column:
+        return F.when(pid % every == 0, changed).otherwise(plain)
+
+    src = where(83, F.concat("src_ip", F.lit(",10.0.2.254")), F.col("src_ip"))
+    dport = where(71, F.concat("dst_port", F.lit(",9")), F.col("dst_port"))
     v6_src = F.col("src_ip").contains(":")
     v6_dst = F.col("dst_ip").contains(":")
     tcp = F.col("ip_proto") == "6"
@@ -78,21 +100,21 @@ def raw_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.lit("")
     cols = {
         "frame.time": F.col("frame_time"),
-        "ip.src": F.when(v6_src, e).otherwise(F.col("src_ip")),
-        "ipv6.src": F.when(v6_src, F.col("src_ip")).otherwise(e),
+        "ip.src": F.when(v6_src, e).otherwise(src),
+        "ipv6.src": F.when(v6_src, src).otherwise(e),
         "ip.dst": F.when(v6_dst, e).otherwise(F.col("dst_ip")),
         "ipv6.dst": F.when(v6_dst, F.col("dst_ip")).otherwise(e),
         "ip.proto": F.when(v6_src, e).otherwise(F.col("ip_proto")),
         "ipv6.nxt": F.when(v6_src, F.col("ip_proto")).otherwise(e),
         "tcp.srcport": F.when(tcp, F.col("src_port")).otherwise(e),
-        "tcp.dstport": F.when(tcp, F.col("dst_port")).otherwise(e),
+        "tcp.dstport": F.when(tcp, dport).otherwise(e),
         "udp.srcport": F.when(udp, F.col("src_port")).otherwise(e),
-        "udp.dstport": F.when(udp, F.col("dst_port")).otherwise(e),
+        "udp.dstport": F.when(udp, dport).otherwise(e),
         "frame.len": F.col("length"),
         "dns.qry.name": F.col("dns_query"),
-        "http.host": F.col("http_host"),
+        "http.host": where(73, F.concat(F.lit(" "), "http_host", F.lit("  ")), F.col("http_host")),
         "http.request.uri": F.col("http_path"),
-        "http.user_agent": F.col("user_agent"),
+        "http.user_agent": where(79, F.concat(F.lit('"'), "user_agent", F.lit('"')), F.col("user_agent")),
     }
     hour = F.date_format(F.expr("timestampadd(MICROSECOND, t_us, TIMESTAMP_NTZ'1970-01-01 00:00:00')"),
                          "yyyyMMddHHmm")
@@ -144,9 +166,8 @@ def relevance_rules(spark, sf_dir):
 
 
 def internal_split(spark, sf_dir):
-    pk = packets(spark, sf_dir)
-    return pk.select("packet_id", is_internal_ip(F.col("src_ip")).alias("src_internal"),
-                     is_internal_ip(F.col("dst_ip")).alias("dst_internal"))
+    pk = bind(packets(spark, sf_dir), s=octets(F.col("src_ip")), d=octets(F.col("dst_ip")))
+    return pk.select("packet_id", is_internal(F.col("s")).alias("src_internal"), is_internal(F.col("d")).alias("dst_internal"))
 
 
 def _rejects(prof: Profile):
@@ -189,9 +210,7 @@ def _thin(window_s: int, with_protocol: bool):
     def run(spark, sf_dir):
         pk = packets(spark, sf_dir)
         key = ["src_ip", "dst_ip"] + (["ip_proto"] if with_protocol else []) + ["src_port", "dst_port"]
-        # Exact dedup fused after the thinning (see pipeline.clean).
-        thin = thin_flows(pk, key, "t_us", window_s * 1_000_000)
-        return drop_exact(thin, [c for c in pk.columns if c != "packet_id"]) \
+        return thin_flows(pk, key, "t_us", window_s * 1_000_000) \
             .select("packet_id", "src_ip", "dst_ip", "ip_proto", "src_port", "dst_port", "t_us")
     return run
 
@@ -207,9 +226,10 @@ def _pseudonyms(salt_first: bool):
 
 
 def pseudonym_checks_q(spark, sf_dir):
-    before = extracted(spark, sf_dir, INTEGRATED)
-    after = pseudonymize(before, INTEGRATED, PUBLISHED_SALT)
-    return pseudonym_checks(before, after, INTEGRATED, PUBLISHED_SALT)
+    # Two stored tables, as the check of a finished run reads them.
+    before = materialize(extracted(spark, sf_dir, INTEGRATED))
+    after = materialize(pseudonymize(before, INTEGRATED, PUBLISHED_SALT))
+    return pseudonym_checks(before, after, INTEGRATED)
 
 
 def _leaks(table: str, id_col: str, text_col: str):
@@ -228,7 +248,7 @@ def distinct_endpoints(spark, sf_dir):
 
 
 def value_ranges(spark, sf_dir):
-    df, _ = validate(extracted(spark, sf_dir, INTEGRATED), INTEGRATED)
+    df, *_ = validate(extracted(spark, sf_dir, INTEGRATED), INTEGRATED)
     return G.value_ranges(df, ["src_port", "dst_port", "length", "event_ns"])
 
 
@@ -236,17 +256,88 @@ def completeness(spark, sf_dir):
     return G.completeness(packets(spark, sf_dir), ["dns_query", "http_host", "http_path", "user_agent"])
 
 
-def extraction_stats(spark, sf_dir):
-    from .pipeline import extract
-    raw = raw_export(spark, sf_dir)
-    return G.extraction_stats(extract(raw, MODULAR).tagged)
+def _extraction_stats(prof: Profile):
+    def run(spark, sf_dir):
+        return G.extraction_stats(extract(raw_export(spark, sf_dir), prof).tagged)
+    return run
+
+
+def _roundtrip(prof: Profile):
+    """The export written as text, a folder per capture with a header in each file, read by
+    the export reader and extracted; rows per capture and outcome."""
+    def run(spark, sf_dir):
+        fields = RAW16_FIELDS if prof.ipv6 else RAW13_FIELDS
+        raw = raw_export(spark, sf_dir)
+        sep, pid = ("\t" if prof.ipv6 else ","), F.col("packet_id")
+        cells = [F.coalesce(F.col(f"`{f}`"), F.lit("")) for f in fields]
+        if not prof.ipv6:
+            # Absent fields stay bare, present ones are quoted with their quotes doubled.
+            cells = [F.when(c == "", c).otherwise(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+                     for c in cells]
+        line = F.concat_ws(sep, *cells)
+        if not prof.ipv6:  # some rows lack their last two fields, others have one more
+            line = (F.when(pid % 67 == 0, F.concat_ws(sep, *cells[:-2]))
+                    .when(pid % 61 == 0, F.concat(line, F.lit(",extra"))).otherwise(line))
+        # Names with a blank and a plus, which file systems escape in their own ways.
+        capture = F.concat(F.lit("a b+"), F.regexp_extract("source_file", "([0-9]+)", 1))
+        body = raw.select(capture.alias("capture"), F.lit(1).alias("place"), line.alias("line"))
+        header = body.select("capture").distinct().select("capture", F.lit(0).alias("place"), F.lit(sep.join(fields)).alias("line"))
+        folder = f"{_scratch(spark)}/exports/{uuid.uuid4().hex}"
+        (body.unionByName(header).repartition("capture").sortWithinPartitions("capture", "place")
+         .drop("place").write.partitionBy("capture").text(folder))
+        read = read_export(spark, f"{folder}/*", prof, by_folder=True)
+        read = read.withColumn("source_file", F.regexp_replace("source_file", "^capture=", ""))
+        return G.outcome_counts(extract(read, prof).tagged)
+    return run
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/wiretable/{spark.sparkContext.applicationId}"
+
+
+def _loads(prof: Profile):
+    """The loaded table written twice (overwrite, then append), checked after both."""
+    def run(spark, sf_dir):
+        t = loaded_table(spark, sf_dir, prof)
+        name = f"wiretable_load_{prof.name}_{uuid.uuid4().hex}"
+        write_table(t, name, prof)
+        write_table(t, name, prof, mode="append")
+        checks = materialize(load_checks(spark.table(name), prof))
+        spark.sql(f"DROP TABLE {name}")
+        return checks
+    return run
+
+
+def stage_roundtrip(spark, sf_dir):
+    """The cleaned rows written as a CSV stage and read with their schema."""
+    rows = loaded_table(spark, sf_dir, MODULAR).select("packet_id", "src_ip_anon", "dst_port", "length", "dns_query")
+    folder = f"{_scratch(spark)}/stages/{uuid.uuid4().hex}"
+    write_stage(rows, folder, "csv")
+    return read_stage(spark, folder, rows.schema, "csv")
+
+
+SPELLINGS = [
+    "MMM d, yyyy HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy HH:mm:ss",
+    "d MMM yyyy HH:mm:ss", "MMMM d, yyyy H:mm:ss", "yyyy-M-d HH:mm", "yyyy-MM-dd",
+]
+
+
+def timestamp_spellings(spark, sf_dir):
+    """Packet times in several spellings (zone signs added to some, and years beyond nanoseconds)."""
+    ts = F.expr("timestampadd(MICROSECOND, t_us, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    kind = F.pmod(F.col("packet_id"), F.lit(len(SPELLINGS) + 1))
+    text = F.lit("9999-12-31 00:00:00")
+    for k, f in enumerate(SPELLINGS):
+        zone = {1: " CEST", 2: "Z", 3: " UTC", 4: "+02:00"}.get(k, "")
+        text = F.when(kind == k, F.concat(F.date_format(ts, f), F.lit(zone))).otherwise(text)
+    df = bind(packets(spark, sf_dir), text=text)
+    a, b = X.parse_time_integrated(F.col("text")), X.parse_time_modular(F.col("text"))
+    return df.select("packet_id", X.time_ns(a, X.time_text_integrated(F.col("text"))).alias("ns_integrated"),
+                     X.time_ns(b, X.time_text_modular(F.col("text"))).alias("ns_modular"), b.isNotNull().alias("valid_modular"))
 
 
 def hash_distribution(spark, sf_dir):
-    t = network_traffic(spark, sf_dir)
-    both = t.select(F.explode(F.array("src_ip_anonimizada", "dst_ip_anonimizada")).alias("h")) \
-        .where(~X.is_missing(F.col("h")))
-    return both.agg(F.count(F.lit(1)).alias("hashes"), F.count_distinct("h").alias("unique_hashes"))
+    return hash_metrics(network_traffic(spark, sf_dir), INTEGRATED)
 
 
 def distinct_ports_per_source(spark, sf_dir):
@@ -263,7 +354,7 @@ def extraction_top_protocols(spark, sf_dir):
 
 def value_ranges_modular(spark, sf_dir):
     """Ranges as the modular report shows them: time as *text*, ports typed."""
-    df, _ = validate(extracted(spark, sf_dir, MODULAR), MODULAR)
+    df, *_ = validate(extracted(spark, sf_dir, MODULAR), MODULAR)
     return G.value_ranges(df, ["timestamp", "src_port", "dst_port"])
 
 
@@ -276,11 +367,6 @@ def protocol_distribution(spark, sf_dir):
     return G.value_distribution(network_traffic(spark, sf_dir), "protocol")
 
 
-def network_traffic_modular(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loaded table of the modular profile (salt first, NULL for missing)."""
-    return pseudonymize(cleaned(spark, sf_dir, MODULAR).clean, MODULAR, PUBLISHED_SALT)
-
-
 def _q_modular(name):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = network_traffic_modular(spark, sf_dir)
@@ -292,8 +378,7 @@ def _q_modular(name):
 
 def _counters(prof: Profile):
     def run(spark, sf_dir):
-        ex = extracted(spark, sf_dir, prof)
-        return clean_counters(ex, clean(ex, prof))
+        return clean_counters(cleaned(spark, sf_dir, prof), prof)
     return run
 
 
@@ -335,7 +420,14 @@ QUERIES = {
     "distinct_endpoints": distinct_endpoints,
     "value_ranges": value_ranges,
     "completeness": completeness,
-    "extraction_stats": extraction_stats,
+    "extraction_stats": _extraction_stats(MODULAR),
+    "extraction_stats_integrated": _extraction_stats(INTEGRATED),
+    "export_roundtrip_integrated": _roundtrip(INTEGRATED),
+    "export_roundtrip_modular": _roundtrip(MODULAR),
+    "load_checks_integrated": _loads(INTEGRATED),
+    "load_checks_modular": _loads(MODULAR),
+    "stage_roundtrip": stage_roundtrip,
+    "timestamp_spellings": timestamp_spellings,
     "hash_distribution": hash_distribution,
     "protocol_distribution": protocol_distribution,
     "distinct_ports_per_source": distinct_ports_per_source,

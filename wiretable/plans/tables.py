@@ -10,64 +10,67 @@ because appending the same rows twice doubles every count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fields as X
+from ..schema import Profile, profile as _profile
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """UTF-8 CSV with header (the reference's stage format)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_stage(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """A stage between runs: Parquet, or UTF-8 CSV with header (K1)."""
+    writer = df.write.mode("overwrite")
+    writer.option("header", True).csv(path) if fmt == "csv" else writer.format(fmt).save(path)
 
 
-def write_stage(df: DataFrame, path: str) -> None:
-    """Parquet between stages (typed, columnar, pushdown on re-read)."""
-    df.write.mode("overwrite").parquet(path)
-
-
-def with_load_columns(df: DataFrame) -> DataFrame:
-    """Surrogate ``id`` (unique, not dense) and ``created_at`` (K5)."""
-    return (df.withColumn("id", F.monotonically_increasing_id())
+def with_load_columns(df: DataFrame, first_id: int = 0) -> DataFrame:
+    """Surrogate ``id`` from ``first_id`` on (unique, not dense) and ``created_at`` (K5)."""
+    return (df.withColumn("id", F.monotonically_increasing_id() + F.lit(first_id).cast("bigint"))
             .withColumn("created_at", F.current_timestamp()))
 
 
 def assert_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NOT NULL contract (K4) enforced while writing: a violating row fails the job."""
-    cond = None
-    for c in columns:
-        m = X.is_missing(F.col(c).cast("string"))
-        cond = m if cond is None else cond | m
-    return df.withColumn("_nn", F.assert_true(~cond, F.lit(f"NOT NULL violated on {columns}"))).drop("_nn")
-
-
-def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None,
-                not_null: list[str] = ("timestamp", "protocol"),
-                partition_col: str | None = "event_time",
-                sort_cols: list[str] = ("dst_ip_anon", "src_ip_anon", "protocol"),
-                bloom_col: str | None = "dns_query") -> int:
+    """NOT NULL contract (K4) enforced while writing: a violating row fails the job.
+
+    The test stands in the column itself, so it cannot be pruned as unused.
+    """
+    def checked(name: str) -> Column:
+        broken = X.is_missing(F.col(name).cast("string"))
+        return F.when(broken, F.raise_error(F.lit(f"NOT NULL violated on {name}"))).otherwise(F.col(name))
+
+    return df.withColumns({c: checked(c) for c in columns})
+
+
+def write_table(df: DataFrame, name: str, prof: str | Profile, mode: str = "overwrite", path: str | None = None,
+                partition_col: str | None = "event_time", bloom_col: str | None = "dns_query") -> int:
     """Load ``df`` into table ``name`` and check the count (K2-K7).
 
-    Returns the number of rows written; raises when the table count after an
-    overwrite differs from the rows loaded.
+    The profile gives the NOT NULL columns and the sort order inside files;
+    ``df`` has to have them.  Rows are rebalanced on the date, so a date's files
+    have the size that AQE aims at: small dates share a task, a hot date is
+    split.  Appended ids go on behind the table's largest.  Returns the number of
+    rows loaded; raises when the table holds another number than the source.
     """
     from pyspark.sql import Observation
 
+    prof = _profile(prof)
     spark = df.sparkSession
-    before = spark.table(name).count() if (mode == "append" and spark.catalog.tableExists(name)) else 0
-    # Rows are counted while they are written (no second pass over the source).
+    absent = [c for c in {*prof.not_null, *prof.layout} if c not in df.columns]
+    if absent:
+        raise ValueError(f"no columns {sorted(absent)} for profile {prof.name}")
+    before, first_id = 0, 0
+    if mode == "append" and spark.catalog.tableExists(name):
+        held = spark.table(name).agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("id")).first()
+        before, first_id = held["n"], (held["id"] if held["id"] is not None else -1) + 1
     seen = Observation("load")
-    out = assert_not_null(with_load_columns(df.observe(seen, F.count(F.lit(1)).alias("rows"))),
-                          [c for c in not_null if c in df.columns])
-    writer_cols = [c for c in sort_cols if c in out.columns]
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if partition_col and partition_col in out.columns:
-        # No shuffle by date (a hot day would land in one task): each task
-        # sorts its rows by date then layout columns and writes its own files.
-        out = out.withColumn("event_date", F.to_date(F.col(partition_col)))
-        out = out.sortWithinPartitions("event_date", *writer_cols)
-        writer = out.write.partitionBy("event_date")
+        out = out.withColumn("event_date", F.to_date(F.col(partition_col))).hint("rebalance", "event_date")
+    out = assert_not_null(with_load_columns(out, first_id), prof.not_null)
+    if "event_date" in out.columns:
+        writer = out.sortWithinPartitions("event_date", *prof.layout).write.partitionBy("event_date")
     else:
-        writer = (out.sortWithinPartitions(*writer_cols) if writer_cols else out).write
+        writer = out.sortWithinPartitions(*prof.layout).write
     writer = writer.mode(mode).format("parquet")
     if bloom_col and bloom_col in out.columns:
         writer = writer.option(f"parquet.bloom.filter.enabled#{bloom_col}", "true")
@@ -76,11 +79,26 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
     writer.saveAsTable(name)
     loaded = spark.table(name).count() - before
     source = seen.get["rows"]
+    if loaded != source:
+        source = df.count()  # a retried task is observed twice: count the source itself before refusing the load
     if loaded != source:
         raise AssertionError(f"load count mismatch: {source} rows read, {loaded} in table {name}")
     return loaded
 
 
+def load_checks(t: DataFrame, prof: str | Profile) -> DataFrame:
+    """Row count, distinct endpoints and ids, and missing NOT NULL values of a loaded table (K7, K9)."""
+    prof = _profile(prof)
+    src, dst = prof.anon_columns
+    missing = [X.is_missing(F.col(c).cast("string")) for c in prof.not_null]
+    broken = missing[0]
+    for m in missing[1:]:
+        broken = broken | m
+    return t.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(src).alias("distinct_src"),
+                 F.count_distinct(dst).alias("distinct_dst"), F.count_distinct("id").alias("distinct_ids"),
+                 F.count_if(broken).alias("broken_rows"))
+
+
 def describe_table(spark: SparkSession, name: str, sample: int = 3) -> dict:
     """Existence, columns, count and a small sample (K8)."""
     if not spark.catalog.tableExists(name):
@@ -92,10 +110,3 @@ def describe_table(spark: SparkSession, name: str, sample: int = 3) -> dict:
         "rows": t.count(),
         "sample": [r.asDict() for r in t.limit(sample).collect()],
     }
-
-
-def integrity(t: DataFrame, src: str = "src_ip_anon", dst: str = "dst_ip_anon") -> DataFrame:
-    """Final recount and distinct endpoints in one aggregation (K9)."""
-    return t.agg(F.count(F.lit(1)).alias("rows"),
-                 F.count_distinct(src).alias("distinct_src"),
-                 F.count_distinct(dst).alias("distinct_dst"))

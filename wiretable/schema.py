@@ -37,18 +37,7 @@ EXTRACTED_COLUMNS = [
     "timestamp", "src_ip", "dst_ip", "protocol", "src_port", "dst_port", "length",
     "dns_query", "http_host", "http_path", "user_agent",
 ]
-OPTIONAL_COLUMNS = ["dns_query", "http_host", "http_path", "user_agent"]
 REQUIRED_COLUMNS = ["timestamp", "src_ip", "dst_ip", "protocol"]
-EXTRACTED = _strings(EXTRACTED_COLUMNS)
-
-# Typed table the analytics run on (managed Parquet).
-NETWORK_TRAFFIC_DDL = """
-  id BIGINT, packet_id BIGINT, event_time TIMESTAMP, timestamp STRING,
-  src_ip_anon STRING, dst_ip_anon STRING, protocol STRING,
-  src_port INT, dst_port INT, length INT,
-  dns_query STRING, http_host STRING, http_path STRING, user_agent STRING,
-  created_at TIMESTAMP
-"""
 
 
 @dataclass(frozen=True)
@@ -59,6 +48,7 @@ class Profile:
     ipv6: bool                      # coalesce IPv6 fields into the address columns
     relevance_filter: bool          # run the relevance cascade at extraction
     first_occurrence: bool          # keep the first of a repeated field
+    strip_quotes: bool              # outer quotes of a field go (else its outer blanks)
     flow_window_s: float            # greedy flow-thinning window
     flow_key_with_protocol: bool    # flow key includes the protocol label
     hash_salt_first: bool           # sha256(salt||ip) vs sha256(ip||salt)
@@ -74,20 +64,30 @@ class Profile:
             key.append("protocol")
         return key + ["src_port", "dst_port"]
 
+    @property
+    def not_null(self) -> list[str]:
+        """Columns that the loaded table may not lack."""
+        return ["timestamp", *self.anon_columns, "protocol", "length"]
+
+    @property
+    def layout(self) -> list[str]:
+        """Sort order inside the loaded table's files."""
+        return [self.anon_columns[1], self.anon_columns[0], "protocol"]
+
     @property
     def flow_window_ns(self) -> int:
         return int(round(self.flow_window_s * 1_000_000_000))
 
 
 INTEGRATED = Profile(
-    name="integrated", ipv6=True, relevance_filter=False, first_occurrence=False,
+    name="integrated", ipv6=True, relevance_filter=False, first_occurrence=False, strip_quotes=False,
     flow_window_s=K.FLOW_WINDOW_INTEGRATED_S, flow_key_with_protocol=True,
     hash_salt_first=False, hash_missing_as_empty=True, default_length=None,
     anon_columns=("src_ip_anonimizada", "dst_ip_anonimizada"),
     capture_globs=tuple(K.CAPTURE_GLOBS_INTEGRATED),
 )
 MODULAR = Profile(
-    name="modular", ipv6=False, relevance_filter=True, first_occurrence=True,
+    name="modular", ipv6=False, relevance_filter=True, first_occurrence=True, strip_quotes=True,
     flow_window_s=K.FLOW_WINDOW_MODULAR_S, flow_key_with_protocol=False,
     hash_salt_first=True, hash_missing_as_empty=False, default_length="0",
     anon_columns=("src_ip_anon", "dst_ip_anon"),

@@ -9,10 +9,12 @@ time zone pinned to UTC.  Iterative operators cut their lineage with
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 UTC = "UTC"
 
@@ -40,7 +42,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Plans are analysed with the session zone; pin it before building them."""
+    """Sets the session zone to UTC, for the caller's session too.
+
+    Capture times are naive wall clock; plans are analysed with the session
+    zone, so it is pinned before they are built and stays so afterwards.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
@@ -67,6 +73,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_WORKSPACE: contextvars.ContextVar = contextvars.ContextVar("wiretable_workspace", default=None)
+
+
+def _session_folder(spark: SparkSession) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/wiretable/{spark.sparkContext.applicationId}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Workspace:
+    """Owner of the intermediate tables of one run.
+
+    Tables materialised inside ``with workspace:`` lie in its folder, which
+    ``close`` removes; results that read them must be written before.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{_session_folder(spark)}/{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Workspace:
+        self._token = _WORKSPACE.set(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        _WORKSPACE.reset(self._token)
+
+    def close(self) -> None:
+        _delete(self.spark, self.folder)
+
+
+def clear_intermediate(spark: SparkSession) -> None:
+    """Removes every intermediate table that this session has written."""
+    _delete(spark, _session_folder(spark))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint as a written table in the checkpoint folder.
 
@@ -81,8 +127,6 @@ def materialize(df: DataFrame) -> DataFrame:
 def materialize_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """``materialize`` plus the number of rows written, observed during the
     write (no second pass)."""
-    from pyspark.sql import functions as F
-
     out, seen = materialize_observed(df, rows=F.count(F.lit(1)))
     return out, int(seen["rows"])
 
@@ -93,22 +137,20 @@ def materialize_observed(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/wiretable/{uuid.uuid4().hex}"
+    owner = _WORKSPACE.get()
+    folder = owner.folder if owner else f"{_session_folder(spark)}/shared"
+    path = f"{folder}/{uuid.uuid4().hex}"
     seen = Observation()
     df.observe(seen, *[col.alias(name) for name, col in metrics.items()]).write.mode("error").parquet(path)
     return spark.read.parquet(path), dict(seen.get)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-split scan across the cluster.
+def bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns whose values are computed once per row.
 
-    A source that yields fewer input partitions than the default parallelism
-    (one small file with one row group) would run every narrow stage in a few
-    tasks.  It is then redistributed round-robin; large inputs, which already
-    have more splits than cores, are left untouched (no extra shuffle).
+    ``inline(array(struct(...)))`` gives exactly one row; expressions above are
+    not pushed below it, so a filter or a later column reads the values instead
+    of repeating their expressions.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

@@ -12,66 +12,81 @@ Every row keeps the file it came from (``source_file``) through the hidden
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW13, RAW13_FIELDS, RAW16, Profile, profile as _profile
 
 
+# Holds the text of a row whose number of fields is not the export's.
+ODD_ROW = "_odd_row"
+
+
+def file_name(c: Column) -> Column:
+    """File name of a ``_metadata`` path: its percent escapes decoded, ``+`` kept."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def list_exports(spark: SparkSession, directory: str, glob: str) -> DataFrame:
-    """Non-recursive listing of files matching ``glob`` (path, size), sorted.
+    """Non-recursive listing of files matching ``glob`` (path, source_file, bytes), sorted.
 
     Uses the binary-file source with its content column pruned, so only file
     metadata is read.  An empty listing is an error, as in the reference.
     """
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                .option("recursiveFileLookup", "false").load(directory)
-               .select(F.col("path"), F.col("length").alias("bytes"))
+               .select("path", file_name(F.col("_metadata.file_name")).alias("source_file"),
+                       F.col("length").alias("bytes"))
                .orderBy("path"))
-    if listing.limit(1).count() == 0:
+    if not listing.head(1):
         raise FileNotFoundError(f"no export matching {glob!r} in {directory}")
     return listing
 
 
-def read_raw16(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Tab-separated 16-field export; short rows are padded with NULLs."""
-    reader = (spark.read.schema(RAW16).option("sep", "\t").option("header", True)
-              .option("quote", "").option("escape", "")
-              .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
-              .option("mode", "PERMISSIVE"))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
-    return df.withColumn("source_file", F.col("_metadata.file_name"))
-
-
-# Never occurs in an export: with it as the NULL token, a present but empty
-# field reads as '' (the tool quotes every field) and only a *missing* field
-# reads as NULL.
-ABSENT = "\u0001"
+def export_options(reader, prof: str | Profile, glob: str | None = None):
+    """Schema and options of a profile's export, for a batch or a stream reader.
 
-
-def read_raw13(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Quoted 13-field CSV export; rows with fewer than 13 fields are flagged.
-
-    The CSV reader pads short rows with NULLs; because every exported field is
-    quoted (empty ones as ``""``), a NULL in the last field means the row was
-    short, which the reference rejects.
+    ``raw16``: tab separated, unquoted; short rows are padded with NULLs.
+    ``raw13``: comma separated; a field may be quoted, quotes inside it are
+    doubled and a backslash is an ordinary character.  Rows with another number
+    of fields come with their text in ``ODD_ROW``: longer rows are valid (the
+    first 13 fields count), shorter ones are not.
     """
-    reader = (spark.read.schema(RAW13).option("sep", ",").option("header", True)
-              .option("quote", '"').option("nullValue", ABSENT).option("mode", "PERMISSIVE"))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
-    return (df.withColumn("source_file", F.col("_metadata.file_name"))
-            .withColumn("short_row", F.col(f"`{RAW13_FIELDS[-1]}`").isNull()))
+    prof = _profile(prof)
+    if prof.ipv6:
+        reader = (reader.schema(RAW16).option("sep", "\t").option("header", True)
+                  .option("quote", "").option("escape", "")
+                  .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
+    else:
+        schema = T.StructType([*RAW13.fields, T.StructField(ODD_ROW, T.StringType())])
+        # Without column pruning every row is parsed whole, so its fields are counted.
+        reader = (reader.schema(schema).option("sep", ",").option("header", True)
+                  .option("quote", '"').option("escape", '"').option("columnPruning", False)
+                  .option("columnNameOfCorruptRecord", ODD_ROW))
+    reader = reader.option("mode", "PERMISSIVE")
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def with_lineage(df: DataFrame, by_folder: bool = False) -> DataFrame:
+    """Adds ``source_file``, and ``short_row`` where the export can have short rows.
+
+    ``by_folder``: a capture's export is a folder of part files, named by the folder.
+    """
+    source = (F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1) if by_folder
+              else F.col("_metadata.file_name"))
+    df = df.withColumn("source_file", file_name(source))
+    if ODD_ROW not in df.columns:
+        return df
+    outside = F.regexp_replace(F.col(ODD_ROW), '"([^"]|"")*("|$)', "")
+    commas = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
+    return df.withColumn("short_row", F.coalesce(commas < len(RAW13_FIELDS) - 1, F.lit(False))).drop(ODD_ROW)
 
 
 def read_export(spark: SparkSession, path: str, prof: str | Profile,
-                glob: str | None = None) -> DataFrame:
-    prof = _profile(prof)
-    return read_raw16(spark, path, glob) if prof.ipv6 else read_raw13(spark, path, glob)
+                glob: str | None = None, by_folder: bool = False) -> DataFrame:
+    """A profile's text exports, with their lineage."""
+    return with_lineage(export_options(spark.read, prof, glob).csv(path), by_folder)
 
 
 def read_stage(spark: SparkSession, path: str, schema: T.StructType | str,

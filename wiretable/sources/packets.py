@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_utc, spread
+from ..session import ensure_utc
 
 PACKET_VIEW_TEMPLATE = """
 WITH e AS (
@@ -49,7 +49,10 @@ p AS (
       CASE WHEN k % 7 = 0 THEN '/wp-admin/login' ELSE '/index.html' END END AS http_path,
     CASE WHEN event_type = 'purchase' AND k % 3 = 0 THEN 'agent/1.0' END AS user_agent
   FROM e)
-SELECT * FROM p UNION ALL SELECT * FROM p WHERE packet_id % 10 = 0
+SELECT * FROM p UNION ALL
+SELECT packet_id + 100000000000 AS packet_id, t_us, frame_time, src_ip, dst_ip, ip_proto, src_port, dst_port,
+       length, dns_query, http_host, http_path, user_agent
+FROM p WHERE packet_id % 10 = 0
 """
 
 SPARK_FRAGMENTS = {
@@ -78,6 +81,15 @@ def packet_view_sql(dialect: str, events: str = "events") -> str:
     return sql.replace("{EVENTS}", events)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads the fixture's few input splits over the cluster (a round-robin shuffle).
+
+    Only for fixtures: a table of one file would run every narrow stage in one task.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 

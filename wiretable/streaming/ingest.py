@@ -2,44 +2,32 @@
 
 New export files dropped into a folder are picked up by a file stream, each
 micro-batch runs the same extraction as the batch path (normalise + the
-profile's extraction filters) and is appended to Parquet: kept rows to
-``<sink>/extracted`` and every row's outcome to ``<sink>/outcomes``.  The
-stream's checkpoint makes restarts exactly-once per file.
+profile's extraction filters) and is written to Parquet: kept rows to
+``<sink>/extracted`` and every row's outcome to ``<sink>/outcomes``, each batch in
+its own ``batch_id=`` folder.  The stream's checkpoint runs a batch at least once;
+a batch that runs again overwrites its folder, so each file's rows arrive once.
 
-Row ids: ``packet_id`` is unique within a micro-batch; ``batch_id`` is added so
-that ``(batch_id, packet_id)`` identifies a row across the stream.
+Row ids: ``packet_id`` is unique within a micro-batch; with the partition column
+``batch_id`` it identifies a row across the stream.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pipeline import extract
-from ..schema import RAW13, RAW13_FIELDS, RAW16, Profile, profile as _profile
-from ..sources.exports import ABSENT
+from ..schema import Profile, profile as _profile
+from ..sources.exports import export_options, with_lineage
 
 
 def export_stream(spark: SparkSession, directory: str, prof: str | Profile,
                   glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame over export files (explicit schema, never inferred)."""
-    prof = _profile(prof)
-    if prof.ipv6:
-        reader = (spark.readStream.schema(RAW16).option("sep", "\t").option("header", True)
-                  .option("quote", "").option("escape", "")
-                  .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
-    else:
-        reader = (spark.readStream.schema(RAW13).option("sep", ",").option("header", True)
-                  .option("quote", '"').option("nullValue", ABSENT).option("mode", "PERMISSIVE"))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    reader = export_options(spark.readStream, prof, glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(directory).withColumn("source_file", F.col("_metadata.file_name"))
-    if not prof.ipv6:
-        df = df.withColumn("short_row", F.col(f"`{RAW13_FIELDS[-1]}`").isNull())
-    return df
+    return with_lineage(reader.csv(directory))
 
 
 def ingest_exports(spark: SparkSession, directory: str, prof: str | Profile, sink: str,
@@ -49,12 +37,11 @@ def ingest_exports(spark: SparkSession, directory: str, prof: str | Profile, sin
     prof = _profile(prof)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # A retried batch overwrites its own folder, so its rows are not repeated.
         result = extract(batch, prof)
-        result.extracted.withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(f"{sink}/extracted")
+        result.extracted.write.mode("overwrite").parquet(f"{sink}/extracted/batch_id={batch_id}")
         result.tagged.select("packet_id", "source_file", "extract_outcome") \
-            .withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(f"{sink}/outcomes")
+            .write.mode("overwrite").parquet(f"{sink}/outcomes/batch_id={batch_id}")
 
     writer = (export_stream(spark, directory, prof, glob).writeStream
               .foreachBatch(per_batch)
