@@ -42,8 +42,8 @@ def fingerprint(text, size=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(prints, distance=3):
-    """Of (id, fingerprint) rows: the least id reachable, per row."""
+def components(prints, distance=3, groups=False):
+    """Of (id, fingerprint) rows: the least id reachable, per row or (``groups``) per component."""
     parent = list(range(len(prints)))
 
     def find(i):
@@ -60,7 +60,7 @@ def components(prints, distance=3):
     for i, (doc_id, _) in enumerate(prints):
         least[find(i)].append(doc_id)
     ids = {k: min((x for x in v if x is not None), default=None) for k, v in least.items()}
-    return [ids[find(i)] for i in range(len(prints))]
+    return list(ids.values()) if groups else [ids[find(i)] for i in range(len(prints))]
 
 
 def quality(text):

@@ -9,6 +9,7 @@ from wiretable.llm.decontaminate import decontaminate
 from wiretable.llm.frames import fold, sha, table
 from wiretable.llm.language_id import identify
 from wiretable.llm.language_model import score_documents
+from wiretable.llm.oracles import ORACLES  # noqa: F401
 from wiretable.llm.quality import judge
 from wiretable.llm.secrets import scan
 from wiretable.llm.sentencepiece_codec import MARK, encode
@@ -84,4 +85,4 @@ def op10_quotations(spark, sf_dir):
 QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op3_quality": op3_quality, "op4_language_id": op4_language_id, "op5_substring_dedup": op5_substring_dedup, "op6_toxicity": op6_toxicity,
            "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate,
            "op9_sentencepiece": op9_sentencepiece, "op10_quotations": op10_quotations}
-ORACLES: dict[str, str] = {}
+
