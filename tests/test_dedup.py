@@ -5,7 +5,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from wiretable.operators.dedup import drop_exact, first_per_key, thin_flows
+from wiretable.operators.dedup import SLICES, drop_exact, first_per_key, thin_flows
 
 
 def greedy(rows, w):
@@ -91,6 +91,20 @@ def test_first_per_key_orders_nulls_last(spark):
     assert out == {"a": 3, "b": 4}
 
 
+def test_dense_bucket_is_spread(spark):
+    """Every packet of one flow inside one window: the as-of partitions hold a slice of it each."""
+    rng = random.Random(9)
+    w = 60_000_000_000
+    times = sorted(rng.sample(range(w + 5), 3000)) + [2 * w + 1, 2 * w + 9, 3 * w + 5]
+    rows = [("one", t, k) for k, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "f string, t long, pid long")
+    got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid", fold_max_nodes=0).collect()}
+    assert got == greedy(rows, w)
+    slices = df.where(F.col("t") < w).groupBy(F.expr(f"t * {SLICES} div {w}")).count()
+    largest = slices.agg(F.max("count"), F.count("*")).first()
+    assert largest[0] < 3000 / 16 and largest[1] == SLICES
+
+
 def test_plan_has_no_python(spark):
     df = spark.range(100).select(F.col("id").alias("pid"), (F.col("id") % 7).alias("f"),
                                  (F.col("id") * 13 % 50).alias("t"))

@@ -14,10 +14,12 @@ nodes:
 
 1. ``next(t)`` = first node ``>= t + W`` of the same flow.  With time buckets
    of width ``W`` it lies in bucket ``b(t)+1`` or is the minimum of bucket
-   ``b(t)+2``: an as-of lookup inside one bucket (a window partitioned by
-   flow *and* bucket: one bucket's nodes plus the previous bucket's queries,
-   so a partition is bounded by ``W`` of time) plus
-   one bucket-level join.
+   ``b(t)+2``.  Buckets are cut into ``SLICES`` slices; ``t + W`` lies in the
+   same slice of its bucket as ``t``.  The first node is found by an as-of
+   lookup inside that slice (a window partitioned by flow, bucket *and* slice, so
+   a dense flow is spread within ``W`` too), else it is the minimum of the next
+   filled slice of the bucket, else of bucket ``b(t)+2`` (one bucket-level join
+   that carries at most ``SLICES`` minima).
 2. A node whose predecessor is ``>= W`` earlier (a *session start*) is always
    kept, since the last kept node cannot be later than that predecessor.
    Pointers into a start are cut, so chains stay inside one session.
@@ -39,6 +41,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, materialize_counted, materialize_observed
 
+#: Slices of a bucket of the large-flow path.
+SLICES = 64
+
 
 def drop_exact(df: DataFrame, columns: list[str], order_col: str = "packet_id") -> DataFrame:
     """One row per distinct value of ``columns``; the first by ``order_col`` wins.
@@ -154,44 +159,49 @@ def _fold_small_flows(nodes: DataFrame, w: int) -> DataFrame:
 def _pointer_doubling(nodes: DataFrame, w: int) -> tuple[DataFrame, int]:
     """Kept node ids of arbitrarily large flows, without gathering any flow."""
     c = F.col
+    nodes = nodes.withColumn("_s", F.expr(f"(_t - _b * {w}) * {SLICES} div {w}"))
     # Bucket table, one row per (flow, bucket b) with what the lookups need:
     # b's first node and whether it starts a session (gap from b-1's max >= W),
-    # and the same for b+1.  Each bucket's stats are sent to keys b-1, b and
-    # b+1 and folded in one aggregation (no self-joins).
-    stats = nodes.groupBy("_fk", "_b").agg(F.min("_node").alias("_mn"), F.max("_t").alias("_mx"))
+    # the same for b+1, and the first nodes of b's slices.  Each bucket's stats are
+    # sent to keys b-1, b and b+1 and folded in one aggregation (no self-joins).
+    slices = nodes.groupBy("_fk", "_b", "_s").agg(F.min("_node").alias("_mn"), F.max("_t").alias("_mx"))
+    stats = slices.groupBy("_fk", "_b").agg(F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"),
+                                            F.collect_list(F.struct("_s", "_mn")).alias("_slices"))
     role = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_role")
-    spread_stats = stats.select("_fk", "_b", "_mn", "_mx", role) \
+    spread_stats = stats.select("_fk", "_b", "_mn", "_mx", "_slices", role) \
         .withColumn("_key", c("_b") - c("_role"))
     pick = lambda r, col: F.max(F.when(c("_role") == r, c(col)))
     look = materialize(
         spread_stats.groupBy("_fk", c("_key").alias("_b"))
         .agg(pick(0, "_mn").alias("_min1"), pick(0, "_mx").alias("_max1"),
-             pick(-1, "_mx").alias("_pmax"), pick(1, "_mn").alias("_min2"))
-        .select("_fk", "_b", "_min1", "_min2",
+             pick(-1, "_mx").alias("_pmax"), pick(1, "_mn").alias("_min2"), pick(0, "_slices").alias("_slices"))
+        .select("_fk", "_b", "_min1", "_min2", "_slices",
                 (c("_min1").isNotNull()
                  & (c("_pmax").isNull() | (c("_min1._t") - c("_pmax") >= w))).alias("_st1"),
                 (c("_min2").isNotNull()
                  & (c("_max1").isNull() | (c("_min2._t") - c("_max1") >= w))).alias("_st2")))
 
-    # As-of inside one bucket: first node >= t + W, via a running min in
+    # As-of inside one slice: first node >= t + W, via a running min in
     # descending order (nodes sort before queries on equal values).
-    node_rows = nodes.select("_fk", "_b", c("_t").alias("_v"), F.lit(0).alias("_kind"), "_node",
+    node_rows = nodes.select("_fk", "_b", "_s", c("_t").alias("_v"), F.lit(0).alias("_kind"), "_node",
                              F.lit(None).cast("long").alias("_src"))
-    query_rows = nodes.select("_fk", (c("_b") + 1).alias("_b"), (c("_t") + w).alias("_v"),
+    query_rows = nodes.select("_fk", (c("_b") + 1).alias("_b"), "_s", (c("_t") + w).alias("_v"),
                               F.lit(1).alias("_kind"), F.lit(None).cast(nodes.schema["_node"].dataType)
                               .alias("_node"), c("_rep").alias("_src"))
-    asof = Window.partitionBy("_fk", "_b").orderBy(c("_v").desc(), c("_kind").asc()) \
+    asof = Window.partitionBy("_fk", "_b", "_s").orderBy(c("_v").desc(), c("_kind").asc()) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cand = (node_rows.unionByName(query_rows)
-            .withColumn("_cand", F.min("_node").over(asof))
+            .withColumn("_in", F.min("_node").over(asof))
             .where(c("_kind") == 1))
+    # Slices behind the query's own, if it has no later node.
+    later = F.array_min(F.transform(F.filter("_slices", lambda x: x["_s"] > c("_s")), lambda x: x["_mn"]))
     nxt = (F.when(c("_cand").isNotNull(),
                   F.when((c("_cand._t") == c("_min1._t")) & c("_st1"), F.lit(None).cast("long"))
                   .otherwise(c("_cand._rep")))
            .otherwise(F.when(c("_min2").isNotNull() & ~F.coalesce(c("_st2"), F.lit(True)),
                              c("_min2._rep"))))
     jump, live = materialize_counted(
-        cand.join(look, ["_fk", "_b"], "left")
+        cand.join(look, ["_fk", "_b"], "left").withColumn("_cand", F.coalesce("_in", later))
         .select(c("_src").alias("_rep"), nxt.alias("_n"))
         .where(c("_n").isNotNull()))
 
