@@ -15,8 +15,8 @@ the segments of its own minimizer: that is how text is dealt into shards.
    reach the window length and the interval holds more than one row, the rows
    are located by the sampled places and all but the earliest are copies.
    Segments of a minimizer with more than ``hot_segments`` segments are cut into
-   single windows and resolved by a distributed minimum instead, so that a
-   passage in a third of all documents fills no shard.
+   single windows, which blocks collapse and key ranges resolve as in step 1, so
+   that a passage in a third of all documents fills no shard.
 3. Copies cover words; what is left of each document is hashed.
 
 Windows are judged on the input.  Order is doc_id, then place; rows with equal
@@ -45,6 +45,7 @@ GRAM = 4
 HOT_SEGMENTS = 1000
 BLOCK_BYTES = 6 << 20
 RANGE_BYTES = 24 << 20
+#: Text of the corpus per shard; segments overlap about threefold, most are not shared.
 SHARD_BYTES = 4 << 20
 LAST = np.iinfo(np.int64).max
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -176,11 +177,18 @@ def _answer(table: pa.Table) -> pa.Table:
                      "flags": pa.array([B.pack(x) for x in np.split(out, cuts)], pa.binary())})
 
 
-FOUND = ("kind string, doc_id bigint, row_no bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
-         "text string, spans binary, key bigint, guard bigint, start bigint")
-_FOUND = {"kind": pa.string(), "doc_id": pa.int64(), "row_no": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(),
-          "kept_sha256": pa.string(), "text": pa.string(), "spans": pa.binary(), "key": pa.int64(), "guard": pa.int64(),
-          "start": pa.int64()}
+FOUND = ("kind string, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
+         "part bigint, block bigint, a binary, b binary, c binary, d binary, e binary")
+_FOUND = {"kind": pa.string(), "doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(),
+          "kept_sha256": pa.string(), "part": pa.int64(), "block": pa.int64(), **{k: pa.binary() for k in "abcde"}}
+LATE = "block bigint, docs binary, starts binary, stops binary"
+
+
+def _stream(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
 
 
 def _kept(words: T.Words, hit: np.ndarray, docs: np.ndarray) -> tuple[list[int], list[str]]:
@@ -201,12 +209,20 @@ def _table(n: int, **columns) -> pa.Table:
     return pa.table({k: pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in _FOUND.items()})
 
 
-def _row_no(block: int, doc: np.ndarray) -> np.ndarray:
-    # Block numbers are Spark's monotonic ids (partition << 33 | place); documents of a block get the next bits.
-    return (np.int64(block >> 33) << np.int64(40)) + (np.int64(block & ((1 << 33) - 1)) << np.int64(24)) + doc
+def _dealt(kind: str, block: int, part: np.ndarray, rows: pa.Table) -> pa.Table:
+    """One packed row per part of rows in any order."""
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    stops = np.append(heads[1:], len(part))
+    rows = rows.take(pa.array(order))
+    return _table(len(heads), kind=[kind] * len(heads), part=part[heads], block=[block] * len(heads),
+                  a=[_stream(rows.slice(x, y - x)) for x, y in zip(heads.tolist(), stops.tolist())])
+
 
+def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
+    """A block with its answers: finished documents, and for the others what is left to ask."""
 
-def _resolve(window: int, hot_segments: int):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
         for block, payload in zip(rows.column("block").to_pylist(), rows.column("payload").to_pylist()):
@@ -222,41 +238,77 @@ def _resolve(window: int, hot_segments: int):
             shared = flags[0][np.searchsorted(own, segments.minimizer)] if len(own) else np.zeros(0, np.int64)
             copy = np.ones(len(texts), bool)
             copy[texts[first]] = flags[1] == 1
-            hit = T.covered(len(words.starts), segments.at[copy], (segments.at + segments.size)[copy])
             ask = ~copy & ((shared > 0) | segments.looped)
             hot = ask & (shared > hot_segments)
             ask &= ~hot
             opened = np.zeros(table.num_rows, bool)
             opened[segments.doc[ask | hot]] = True
-            done = np.flatnonzero(~opened)
-            removed, prints = _kept(words, hit, done)
-            out.append(_table(len(done), kind=["done"] * len(done), doc_id=table.column("doc_id").take(pa.array(done)).combine_chunks(),
-                              n_words=words.counts[done], n_removed=removed, kept_sha256=prints))
-            left = np.flatnonzero(opened)
-            if len(left):
-                spans = [np.stack(T.runs(hit[words.first[d]:words.first[d + 1]])).astype(np.int64).tobytes() for d in left]
-                out.append(_table(len(left), kind=["open"] * len(left), row_no=_row_no(block, left), spans=spans,
-                                  doc_id=table.column("doc_id").take(pa.array(left)).combine_chunks(),
-                                  text=table.column("text").take(pa.array(left)).combine_chunks()))
+            starts, stops = [segments.at[copy]], [(segments.at + segments.size)[copy]]
+
             which = np.flatnonzero(ask)
             if len(which):
+                doc = segments.doc[which]
                 a, b = words.starts[segments.at[which]], words.ends[segments.at[which] + segments.size[which] - 1]
                 body = [words.data[x:y].tobytes().decode() for x, y in zip(a.tolist(), b.tolist())]
-                out.append(_table(len(which), kind=["segment"] * len(which), row_no=_row_no(block, segments.doc[which]),
-                                  doc_id=ids[segments.doc[which]], start=segments.start[which], text=body,
-                                  key=segments.minimizer[which].view(np.int64)))
+                shard = (T.mix(segments.minimizer[which]) >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else 0 * which
+                out.append(_dealt("segment", block, shard, pa.table({
+                    "doc": doc, "doc_id": ids[doc], "start": segments.start[which], "text": pa.array(body, pa.string())})))
             which = np.flatnonzero(hot)
             if len(which):
                 at = T.ranges(segments.at[which], segments.windows[which])
                 doc = np.repeat(segments.doc[which], segments.windows[which])
+                start = at - words.first[doc]
                 hashes = words.hashes()
-                out.append(_table(len(at), kind=["window"] * len(at), row_no=_row_no(block, doc), doc_id=ids[doc],
-                                  start=at - words.first[doc], key=T.grams(hashes, window, 21)[at].view(np.int64),
-                                  guard=T.grams(hashes, window, 22)[at].view(np.int64)))
+                key, guard = T.grams(hashes, window, 21)[at], T.grams(hashes, window, 22)[at].view(np.int64)
+                place, heads = _firsts((key, guard), (ids[doc], doc, start))
+                late = np.ones(len(place), bool)
+                late[heads] = False
+                starts.append(at[place[late]])
+                stops.append(at[place[late]] + window)
+                lead = place[heads]
+                key = key[lead]
+                for part, a, b in zip(*B.by_range(key, width)):
+                    s = lead[a:b]
+                    out.append(_table(1, kind=["window"], part=[part], block=[block], a=[B.pack(B.gaps(key[a:b]))], b=[B.pack(guard[s])],
+                                      c=[B.pack(ids[doc[s]])], d=[B.pack(doc[s])], e=[B.pack(start[s])]))
+
+            hit = T.covered(len(words.starts), np.concatenate(starts), np.concatenate(stops))
+            done = np.flatnonzero(~opened)
+            removed, prints = _kept(words, hit, done)
+            out.append(_table(len(done), kind=["done"] * len(done), n_words=words.counts[done], n_removed=removed, kept_sha256=prints,
+                              doc_id=table.column("doc_id").take(pa.array(done)).combine_chunks()))
+            left = np.flatnonzero(opened)
+            if len(left):
+                spans = [np.stack(T.runs(hit[words.first[d]:words.first[d + 1]])).astype(np.int64).tobytes() for d in left]
+                some = table.take(pa.array(left)).combine_chunks()
+                some = some.append_column("doc", pa.array(left)).append_column("spans", pa.array(spans, pa.binary()))
+                out.append(_table(1, kind=["open"], block=[block], a=[_stream(some)]))
         return pa.concat_tables(out) if out else _table(0)
     return run
 
 
+def _late(table: pa.Table) -> pa.Table:
+    """Windows of one key range that are found earlier, packed by block."""
+    read = lambda name, kind=np.int64: [B.unpack(x.as_py(), kind) for x in table.column(name)]
+    keys = [np.cumsum(k) for k in read("a", np.uint64)]
+    block = np.repeat(table.column("block").to_numpy(), [len(k) for k in keys])
+    doc, start = np.concatenate(read("d")), np.concatenate(read("e"))
+    place, heads = _firsts((np.concatenate(keys), np.concatenate(read("b"))), (np.concatenate(read("c")), block, doc, start))
+    late = np.ones(len(place), bool)
+    late[place[heads]] = False
+    return _by_block(block[late], doc[late], start[late], None)
+
+
+def _by_block(block: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray | None) -> pa.Table:
+    order = np.argsort(block, kind="stable")
+    block, doc, start = block[order], doc[order], start[order]
+    heads = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else block
+    stops = np.append(heads[1:], len(block))[:len(heads)]
+    cut = lambda x: pa.array([B.pack(x[a:b]) for a, b in zip(heads, stops)], pa.binary())
+    return pa.table({"block": pa.array(block[heads], pa.int64()), "docs": cut(doc), "starts": cut(start),
+                     "stops": cut(stop[order]) if stop is not None else pa.nulls(len(heads), pa.binary())})
+
+
 def repeated_windows(texts: pa.Array, order: tuple[np.ndarray, ...], start: np.ndarray,
                      window: int) -> tuple[np.ndarray, np.ndarray]:
     """One shard: which windows of its segments are not the earliest of their kind.
@@ -323,35 +375,47 @@ def repeated_windows(texts: pa.Array, order: tuple[np.ndarray, ...], start: np.n
 
 def _shard(window: int):
     def run(table: pa.Table) -> pa.Table:
-        row, doc, start = (table.column(c).to_numpy() for c in ("row_no", "doc_id", "start"))
-        segment, at = repeated_windows(table.column("text").combine_chunks(), (doc, row), start, window)
+        parts = [B.rows_of(x.as_py()) for x in table.column("a")]
+        block = np.repeat(table.column("block").to_numpy(), [p.num_rows for p in parts])
+        rows = pa.concat_tables(parts).combine_chunks()
+        doc, doc_id, start = (rows.column(c).to_numpy() for c in ("doc", "doc_id", "start"))
+        segment, at = repeated_windows(rows.column("text").combine_chunks(), (doc_id, block, doc), start, window)
         order = np.lexsort((at, segment))
         segment, at = segment[order], at[order]
-        head = np.concatenate([[True], (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + 1)])[:len(at)]
-        heads = np.flatnonzero(head)
-        stops = np.append(heads[1:], len(at))[:len(heads)] - 1
+        heads = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + 1)])[:len(at)])
+        last = np.append(heads[1:], len(at))[:len(heads)] - 1
         own = segment[heads]
-        return pa.table({"row_no": pa.array(row[own]), "start": pa.array(start[own] + at[heads]),
-                         "stop": pa.array(start[own] + at[stops] + window)})
+        return _by_block(block[own], doc[own], start[own] + at[heads], start[own] + at[last] + window)
     return run
 
 
-def _finish(batches):
-    for batch in T.chunks(batches):
-        words = T.find_words(T.whole(batch))
-        hit = np.zeros(len(words.starts), bool)
-        more = T.column(batch, "more").to_pylist()
-        for d, known in enumerate(T.column(batch, "spans").to_pylist()):
-            a, b = np.frombuffer(known, np.int64).reshape(2, -1)
-            extra = more[d] or []
-            starts = np.concatenate([a, np.array([m["start"] for m in extra], np.int64)])
-            stops = np.concatenate([b, np.array([m["stop"] for m in extra], np.int64)])
-            first, last = words.first[d:d + 2]
-            hit[first:last] = T.covered(int(last - first), starts, stops)
-        removed, prints = _kept(words, hit, np.arange(batch.num_rows))
-        yield pa.RecordBatch.from_arrays([T.column(batch, "doc_id"), pa.array(words.counts, pa.int64()),
-                                          pa.array(removed, pa.int64()), pa.array(prints, pa.string())],
-                                         ["doc_id", "n_words", "n_removed", "kept_sha256"])
+def _finish(window: int):
+    def run(rows: pa.Table, late: pa.Table) -> pa.Table:
+        out = []
+        docs, starts, stops = [], [], []
+        for some in late.to_batches():
+            for d, a, b in zip(*(T.column(some, k).to_pylist() for k in ("docs", "starts", "stops"))):
+                docs.append(B.unpack(d))
+                starts.append(B.unpack(a))
+                stops.append(B.unpack(b) if b is not None else starts[-1] + window)
+        for payload in rows.column("a").to_pylist():
+            table = B.rows_of(payload)
+            words = T.find_words(table.column("text").combine_chunks().fill_null(""))
+            known = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("spans").to_pylist()]
+            begin = [k[0] + a for k, a in zip(known, words.first.tolist())]
+            end = [k[1] + a for k, a in zip(known, words.first.tolist())]
+            if docs:
+                at = words.first[np.searchsorted(table.column("doc").to_numpy(), np.concatenate(docs))]
+                begin.append(np.concatenate(starts) + at)
+                end.append(np.concatenate(stops) + at)
+            hit = T.covered(len(words.starts), np.concatenate(begin), np.concatenate(end))
+            removed, prints = _kept(words, hit, np.arange(table.num_rows))
+            out.append(pa.table({"doc_id": table.column("doc_id"), "n_words": pa.array(words.counts, pa.int64()),
+                                 "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(prints, pa.string())}))
+        return pa.concat_tables(out) if out else pa.table({
+            "doc_id": pa.nulls(0, pa.int64()), "n_words": pa.nulls(0, pa.int64()), "n_removed": pa.nulls(0, pa.int64()),
+            "kept_sha256": pa.nulls(0, pa.string())})
+    return run
 
 
 def drop_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
@@ -361,24 +425,17 @@ def drop_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_
     packed = B.in_blocks(keyed(documents, id_col, text_col, False), limit=block_bytes)
     size = packed.agg(F.sum("n_bytes")).first()[0] or 0
     width = B.ranges_for(size, range_bytes)
-    asked = packed.select("block", "payload").mapInArrow(_requests(window, width), REQUEST)
+    shard_bits = B.ranges_for(size, shard_bytes)
+    rows = packed.select("block", "payload")
+    asked = rows.mapInArrow(_requests(window, width), REQUEST)
     answers = asked.groupBy("kind", "part").applyInArrow(_answer, "kind int, part bigint, block bigint, flags binary")
-    found = stored(packed.select("block", "payload").groupBy("block").cogroup(answers.groupBy("block"))
-                   .applyInArrow(_resolve(window, hot_segments), FOUND))
-
-    segments = found.where("kind = 'segment'").select("key", "row_no", "doc_id", "start", "text")
-    load = segments.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-int(load) // shard_bytes))
-    copies = (segments.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards))).groupBy("shard")
-              .applyInArrow(_shard(window), "row_no bigint, start bigint, stop bigint"))
-    # Windows of hot minimizers: the earliest of each kind stays, found by a partial aggregation.
-    windows = found.where("kind = 'window'").select("key", "guard", F.struct("doc_id", "row_no", "start").alias("at"))
-    earliest = windows.groupBy("key", "guard").agg(F.min("at").alias("earliest"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    late = windows.join(earliest, ["key", "guard"]).where("at != earliest").select(
-        "at.row_no", "at.start", (F.col("at.start") + window).alias("stop"))
-    spans = copies.unionByName(late).groupBy("row_no").agg(F.collect_list(F.struct("start", "stop")).alias("more"))
-    left = found.where("kind = 'open'").select("row_no", "doc_id", "text", "spans").join(spans, "row_no", "left")
+    found = stored(rows.groupBy("block").cogroup(answers.groupBy("block"))
+                   .applyInArrow(_resolve(window, hot_segments, width, shard_bits), FOUND))
+    copies = found.where("kind = 'segment'").select("part", "block", "a").groupBy("part").applyInArrow(_shard(window), LATE)
+    late = (found.where("kind = 'window'").select("part", "block", "a", "b", "c", "d", "e").groupBy("part")
+            .applyInArrow(_late, LATE))
+    left = found.where("kind = 'open'").select("block", "a")
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    finished = left.select("doc_id", "text", "spans", "more").mapInArrow(
-        _finish, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
+    finished = left.groupBy("block").cogroup(copies.unionByName(late).groupBy("block")).applyInArrow(
+        _finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return found.where("kind = 'done'").select(*columns).unionByName(finished)
