@@ -22,7 +22,7 @@ def in_blocks(rows: DataFrame, text_col: str = "text", limit: int = 6 << 20) ->
 
     def run(batches):
         held, size = [], 0
-        for part in T.chunks(batches, text_col):
+        for part in T.chunks(batches, text_col, min(T.CHUNK_BYTES, limit // 2)):
             held.append(part)
             size += T.column(part, text_col).nbytes
             if size >= limit:

@@ -43,7 +43,8 @@ from wiretable.llm.frames import keyed, stored
 WINDOW = 20
 GRAM = 4
 HOT_SEGMENTS = 1000
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 3 << 20
+SLICE = 1 << 14
 RANGE_BYTES = 24 << 20
 #: Text of the corpus per shard; segments overlap about threefold, most are not shared.
 SHARD_BYTES = 4 << 20
@@ -84,8 +85,11 @@ class Segments:
         self.content = T.mix(span ^ T.mix(self.size.astype(np.uint64)))
         # Two equal windows of one segment hold its minimizer at two places.
         held = self.size - GRAM + 1
-        places = np.repeat(self.minimizer, held) == gram[T.ranges(self.at, held)]
-        self.looped = np.add.reduceat(places.astype(np.int64), np.cumsum(held) - held) > 1 if len(held) else held > 0
+        self.looped = np.zeros(len(held), bool)
+        for a in range(0, len(held), SLICE):  # in slices, as segments overlap many times
+            own, n = slice(a, a + SLICE), held[a:a + SLICE]
+            places = np.repeat(self.minimizer[own], n) == gram[T.ranges(self.at[own], n)]
+            self.looped[own] = np.add.reduceat(places.astype(np.int64), np.cumsum(n) - n) > 1
 
 
 def _read(payload: bytes, window: int) -> tuple[pa.Table, np.ndarray, T.Words, Segments]:
@@ -144,6 +148,7 @@ def _requests(window: int, width: int):
                     s = lead[a:b]
                     rows.append((1, part, block, B.pack(B.gaps(content[a:b])), B.pack(_check(segments.minimizer[s])),
                                  B.pack(ids[segments.doc[s]]), B.pack(segments.doc[s]), B.pack(segments.start[s])))
+                pa.default_memory_pool().release_unused()
                 if rows:
                     kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)],
