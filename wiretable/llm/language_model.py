@@ -1,7 +1,7 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Training counts cover every training document and grow with the corpus, so no
-task holds the model.  Documents are dealt into blocks of bounded size; a block
+task holds the model.  Documents are packed into blocks of bounded size; a block
 asks for the counts of its own distinct n-grams only: sorted key arrays, cut by
 key range, go to the range's reducer, which adds up the training counts of all
 blocks and answers each block with the totals in the order of its request
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wiretable.llm import blocks as B
 from wiretable.llm import tokens as T
 from wiretable.llm.frames import fold, keyed, stored
 
@@ -67,22 +68,6 @@ class BlockText:
         return (np.bincount(self.one, weight, len(self.keys)) + np.bincount(self.two, weight, len(self.keys))).astype(np.int64)
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Byte planes of unsigned numbers, compressed."""
-    planes = np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
-    return len(values).to_bytes(8, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
-
-
-def unpack(blob: bytes) -> np.ndarray:
-    n = int.from_bytes(blob[:8], "little")
-    planes = np.frombuffer(pa.decompress(blob[8:], 8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.uint64).reshape(n)
-
-
-def gaps(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=np.uint64(0))
-
-
 class Automaton:
     """States: 0 empty context, 1 + w the context of word w, and the start of a text.
 
@@ -166,54 +151,58 @@ def score_documents(documents: DataFrame, held_out: Column | None = None, mu: fl
     held = held_out if held_out is not None else fold(F.col(id_col), 7) == 2
     rows = keyed(documents.withColumn("row_held", F.coalesce(held, F.lit(False))), id_col, text_col, True).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("row.row_held").alias("held_out"))
-    size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 1
-    blocks = max(1, -(-int(size) // block_bytes))
-    width = max(0, (-(-int(size) // range_bytes) - 1).bit_length())  # 2 ** width key ranges
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-
-    def request(table: pa.Table) -> pa.Table:
-        block = BlockText(table.column("text"))
-        train = ~table.column("held_out").to_numpy()
-        counts = block.trained(train)
-        part = (block.keys >> np.uint64(64 - width)).astype(np.int64) if width else np.zeros(len(block.keys), np.int64)
-        heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        stops = np.append(heads[1:], len(part))
-        name = table.column("block")[0].as_py()
-        return pa.table({"part": pa.array(part[heads]), "block": pa.array([name] * len(heads), pa.int32()),
-                         "keys": pa.array([pack(gaps(block.keys[a:b])) for a, b in zip(heads, stops)], pa.binary()),
-                         "counts": pa.array([pack(counts[a:b]) for a, b in zip(heads, stops)], pa.binary())})
+    packed = B.in_blocks(rows, limit=block_bytes)
+    size = packed.agg(F.sum("n_bytes")).first()[0] or 0
+    width = B.ranges_for(size, range_bytes)
+    packed = packed.select("block", "payload")
+
+    def request(batches):
+        for batch in batches:
+            for name, payload in zip(T.column(batch, "block").to_pylist(), T.column(batch, "payload").to_pylist()):
+                table = B.rows_of(payload)
+                block = BlockText(table.column("text").combine_chunks())
+                counts = block.trained(~table.column("held_out").to_numpy())
+                part, heads, stops = B.by_range(block.keys, width)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part), pa.array([name] * len(part), pa.int64()),
+                    pa.array([B.pack(B.gaps(block.keys[a:b])) for a, b in zip(heads, stops)], pa.binary()),
+                    pa.array([B.pack(counts[a:b]) for a, b in zip(heads, stops)], pa.binary())],
+                    ["part", "block", "keys", "counts"])
 
     def reduce(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unpack(x.as_py())) for x in table.column("keys")]
-        counts = [unpack(x.as_py()) for x in table.column("counts")]
+        keys = [np.cumsum(B.unpack(x.as_py(), np.uint64)) for x in table.column("keys")]
+        counts = [B.unpack(x.as_py()) for x in table.column("counts")]
         sizes = [len(k) for k in keys]
         all_keys, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(counts).astype(np.float64), len(all_keys)).astype(np.int64)
         words = (all_keys & _KIND) == 1
         n = table.num_rows
-        replies = [pack(total[p]) for p in np.split(place, np.cumsum(sizes)[:-1])]
+        replies = [B.pack(total[p]) for p in np.split(place, np.cumsum(sizes)[:-1])]
         stat = lambda x: pa.array([int(x)] + [0] * (n - 1), pa.int64())
         return pa.table({"block": table.column("block"), "part": table.column("part"),
                          "totals": pa.array(replies, pa.binary()), "tokens": stat(total[words].sum()),
                          "types": stat((total[words] > 0).sum())})
 
-    asked = dealt.select("block", "text", "held_out").groupBy("block").applyInArrow(
-        request, "part bigint, block int, keys binary, counts binary")
+    asked = packed.mapInArrow(request, "part bigint, block bigint, keys binary, counts binary")
     replies = stored(asked.groupBy("part").applyInArrow(
-        reduce, "block int, part bigint, totals binary, tokens bigint, types bigint"))
+        reduce, "block bigint, part bigint, totals binary, tokens bigint, types bigint"))
     stats = replies.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
     tokens, types = int(stats["n"] or 0), int(stats["v"] or 0)
 
-    def finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        block = BlockText(texts.column("text"))
+    def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         answers = answers.sort_by("part")
-        totals = np.concatenate([unpack(x.as_py()) for x in answers.column("totals")])
-        if len(totals) != len(block.keys):
-            raise ValueError("the counts do not fit the block's n-grams: its rows changed between two reads")
-        names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-        out = dict(zip(names, _score(block, totals.astype(np.int64), tokens, types, mu)))
-        return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), **out})
-
-    return dealt.groupBy("block").cogroup(replies.select("block", "part", "totals").groupBy("block")).applyInArrow(
+        totals = np.concatenate([B.unpack(x.as_py()) for x in answers.column("totals")])
+        out = []
+        for payload in rows.column("payload").to_pylist():
+            table = B.rows_of(payload)
+            block = BlockText(table.column("text").combine_chunks())
+            if len(totals) != len(block.keys):
+                raise ValueError("the counts do not fit the block's n-grams")
+            names = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+            out.append(pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"),
+                                 **dict(zip(names, _score(block, totals, tokens, types, mu)))}))
+        return pa.concat_tables(out)
+
+    return packed.groupBy("block").cogroup(replies.select("block", "part", "totals").groupBy("block")).applyInArrow(
         finish, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                 "base_score double, score double")
