@@ -117,8 +117,9 @@ def learn(rows: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Mod
     n = known.select("doc_id").count()
     parts = 1 << 20
     share = math.ceil(min(1.0, sample_rows / max(n, 1)) * parts)
-    sample = stored(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share).select("text", "lang")
-                    .repartition(SAMPLE_TASKS, F.xxhash64("text")))
+    # Dealt by id: equal texts and a common language are spread.
+    sample = stored(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
+                    .repartition(SAMPLE_TASKS, "doc_id").select("text", "lang"))
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
