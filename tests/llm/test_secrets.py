@@ -65,6 +65,64 @@ def test_tokens_need_a_header_and_a_fitting_signature():
     assert not is_token("first.second", "x", "y") and "jwt" not in kinds("some.sentence.with dots.and.more")
 
 
+def found(text):
+    return [(KINDS[k], text[a:b]) for a, k, b in scan_text(text) if KINDS[k] in ("der", "pem", "openssh")]
+
+
+def wrapped(body, width=64, end="\n"):
+    return end.join(b64(body)[i:i + width] for i in range(0, len(b64(body)), width))
+
+
+def test_keys_on_one_line_with_written_line_ends():
+    for label, body in (("PRIVATE KEY", PKCS8), ("RSA PRIVATE KEY", RSA), ("EC PRIVATE KEY", SEC1)):
+        for end in ("\\n", "\\r\\n", "\\\\n"):
+            pem = f"-----BEGIN {label}-----{end}{wrapped(body, end=end)}{end}-----END {label}-----"
+            text = json.dumps({"type": "service_account"})[:-1] + f', "private_key": "{pem}{end}"}}'
+            assert found(text) == [("pem", pem)]
+            assert found(text.replace(b64(body)[:4], "AAAA", 1)) == []
+
+
+def test_legacy_encrypted_pem():
+    def pem(cipher, value, body):
+        return (f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: {cipher},{value}\n\n"
+                f"{wrapped(body)}\n-----END RSA PRIVATE KEY-----")
+
+    secret = b"\x01" + os.urandom(607)
+    for text in (pem("AES-128-CBC", "0F" * 16, secret), pem("DES-EDE3-CBC", "0F" * 8, secret)):
+        assert found(f"x {text} y") == [("pem", text)]
+        assert found(text.replace("\n", "\\n")) == [("pem", text.replace("\n", "\\n"))]
+    assert found(pem("AES-128-CBC", "0F" * 8, secret)) == []  # initial value of another size
+    assert found(pem("AES-128-CBC", "0F" * 16, secret[:-1])) == []  # no whole blocks
+    assert found(pem("NONE-CBC", "0F" * 16, secret)) == []
+    plain_key = f"-----BEGIN RSA PRIVATE KEY-----\nComment: mine\n\n{wrapped(RSA)}\n-----END RSA PRIVATE KEY-----"
+    assert found(plain_key) == [("pem", plain_key)]
+
+
+def test_keys_inside_a_run_and_over_line_ends():
+    container = b"openssh-key-v1\0" + ssh(b"none", b"none", b"") + struct.pack(">I", 1) + ssh(b"pub" * 9, b"private part" * 9)
+    blob = ssh(b"ssh-ed25519", os.urandom(32))
+    for body, kind in ((RSA, "der"), (PKCS8, "der"), (SEC1, "der"), (container, "openssh"), (blob, "openssh")):
+        for before in ("/", "-", "_", "key_", "n", "abc/", "\\n"):
+            assert found(f"{before}{b64(body)} x") == [(kind, b64(body))], before
+        for key in (wrapped(body), wrapped(body, 76, "\r\n"), wrapped(body, 20, "\\n"), wrapped(body, 64, "\n    ")):
+            assert found(f"the key\n{key}\nand prose") == [(kind, key)]
+        assert found(b64(body[:-4])) == [] and found(wrapped(body[:-4])) == []
+    for body in (RSA, PKCS8, SEC1):
+        assert found(f"abc{body.hex()} x") == [("der", body.hex())]
+    spki = tlv(0x30, tlv(0x30, tlv(6, b"\x2a\x86\x48")) + tlv(3, b"\0" + os.urandom(64)))
+    assert found("k" + b64(spki)) == [("der", b64(spki))]
+    for pad in range(3):  # a certificate is no find, wherever its public key lies
+        signed = tlv(0x30, tlv(0x30, tlv(4, bytes(pad)) + spki) + tlv(0x30, tlv(6, b"\x2a\x86\x48")) + tlv(3, b"\0" * 9))
+        assert found(b64(signed)) == [] and found(wrapped(signed)) == [] and found(signed.hex()) == []
+
+
+def test_masked_service_account(spark):
+    pem = f"-----BEGIN PRIVATE KEY-----\\n{wrapped(PKCS8, end=chr(92) + 'n')}\\n-----END PRIVATE KEY-----"
+    rows = [(1, f'{{"private_key": "{pem}"}}'), (2, "MIN " + wrapped(SEC1, 20))]
+    got = {r.doc_id: r.clean_text for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), mask="[m]").collect()}
+    assert got == {1: '{"private_key": "[m]"}', 2: "MIN [m]"}
+
+
 def test_random_text_is_left_alone():
     assert not kinds(b64(os.urandom(200))) - {"hex", "assign"}
     assert scan_text(None) == [] and scan_text("") == []

@@ -5,14 +5,20 @@ hex characters of a fitting length is a candidate that is reported only if its
 decoded bytes have the structure of a secret:
 
 * ``der``: nested DER lengths that add up exactly, in the shape of a private or
-  public key (PKCS#1, PKCS#8, SEC1, SPKI), from base64 or hex;
+  public key (PKCS#1, PKCS#8, SEC1, SPKI), from base64 or hex, at any place of a
+  run and over line ends (at least eight characters a line), as its outer length
+  tells where it ends;
 * ``pem``: the same inside BEGIN/END lines, the body joined over its lines, or
-  any body under a private-key label whose decoded bytes are a key;
+  any body under a private-key label whose decoded bytes are a key; header lines
+  are left out, and a legacy encrypted key (Proc-Type, DEK-Info) needs a known
+  cipher, an initial value of its size and whole cipher blocks;
 * ``openssh``: the openssh-key-v1 container or an SSH public-key blob with
-  length-prefixed fields that add up;
+  length-prefixed fields that add up, the container also over line ends;
 * ``jwt``: three parts, of which the first two decode to JSON objects, the
   header with a string ``alg``, the signature of the length the algorithm has.
 
+Line ends are real or written as backslash-n and backslash-r (JSON, .env files).
+
 A candidate that only looks the part is not reported by the method (it stays a
 base span if it is one).  Offsets are code points, ends exclusive.
 
@@ -47,20 +53,36 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 HEX_CANDIDATE = re.compile(r"(?:[0-9a-fA-F]{2}){24,}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+HEX_RUN = re.compile(r"[0-9a-fA-F]{48,}")
+#: Places where a key may begin inside a run: a DER sequence, the OpenSSH container, an SSH public-key blob.
+START = re.compile(r"(?=M[A-P][A-Za-z0-9+/_-]{2}|b3BlbnNzaC1rZXktdjEA|AAAA[BCE][23][NV][zj][aZ])")
+HEX_START = re.compile(r"(?=30(?:8[1-4]|[2-7][0-9a-fA-F]))")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+LINE_END = re.compile(r"[ \t]*(?:\r\n?|\n|(?:\\+[rn])+)[ \t]*")
+PEM_LINE = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,40})-----")
+ESCAPED_BLANK = re.compile(r"\\+[nrt]")
+ENCRYPTED = re.compile(r"\s*Proc-Type:\s*4\s*,\s*ENCRYPTED\s+DEK-Info:\s*([A-Z0-9-]+)\s*,\s*([0-9A-Fa-f]+)\s+")
+HEADERS = re.compile(r"(?:\s*[A-Za-z][A-Za-z0-9-]*:[^\n]*\n)+")
 JWT = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{10,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 
 #: What a text needs for a pattern to match at all; run over whole Arrow columns (RE2).
 NEEDS_ASSIGN = r"(?i)password|passwd|secret|token|api_?key"
 NEEDS_HEX = r"[0-9a-f]{24}"
-NEEDS_RUN = r"[A-Za-z0-9+/_-]{32}"
+NEEDS_RUN = r"[A-Za-z0-9+/_-]{32}|M[A-P][A-Za-z0-9+/_-]{6}"
 NEEDS_JWT = r"[A-Za-z0-9_-]{10}\.[A-Za-z0-9_-]{2,}\."
 
 #: Signature bytes by algorithm (fixed values of RFC 7518); None: any length of an RSA key.
 SIGNATURES = {"none": {0}, "HS256": {32}, "HS384": {48}, "HS512": {64}, "ES256": {64}, "ES384": {96}, "ES512": {132},
               "EdDSA": {64, 114}, "RS256": None, "RS384": None, "RS512": None, "PS256": None, "PS384": None, "PS512": None}
-SSH_KINDS = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
+#: Fields of a public-key blob by its first one.
+SSH_KINDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2, b"ecdsa-sha2-nistp256": 3, b"ecdsa-sha2-nistp384": 3,
+             b"ecdsa-sha2-nistp521": 3}
 OPENSSH = b"openssh-key-v1\0"
+#: Block bytes of the ciphers of legacy encrypted PEM.
+BLOCKS = {"DES-CBC": 8, "DES-EDE3-CBC": 8, "BF-CBC": 8, "CAST5-CBC": 8, "IDEA-CBC": 8, "RC2-CBC": 8, "SEED-CBC": 16,
+          **{f"{name}-{bits}-CBC": 16 for name in ("AES", "CAMELLIA", "ARIA") for bits in (128, 192, 256)}}
+#: Characters that hold a key's first fields, and the least of a key (as of a run).
+HEAD, LEAST = 44, 32
 
 
 def unbase64(text: str) -> bytes | None:
@@ -162,6 +184,143 @@ def is_openssh(body: bytes) -> bool:
     return bool(parts) and len(parts) >= 2 and parts[0] in SSH_KINDS and all(parts)
 
 
+def is_signed(body: bytes) -> bool:
+    """Whether the bytes are a certificate or a like signed structure, whose inner public key is no find of its own."""
+    top = der(body, 0, len(body))
+    parts = elements(body, top[1], top[2]) if top and top[0] == 0x30 and top[2] == len(body) else None
+    return [p[0] for p in parts or ()] == [0x30, 0x30, 0x03]
+
+
+def der_size(head: bytes) -> int:
+    """Bytes of the DER sequence that begins here, by its outer length; 0 if its first element is no key's."""
+    if len(head) < 8 or head[0] != 0x30:
+        return 0
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    if n > 4:
+        return 0
+    at = 2 + n
+    size = int.from_bytes(head[2:at], "big") if n else head[1]
+    return at + size if head[at] == 0x30 or head[at:at + 3] in (b"\x02\x01\0", b"\x02\x01\x01") else 0
+
+
+def ssh_size(body: bytes) -> tuple[int, bool]:
+    """Bytes of the OpenSSH container or public-key blob that begins here, as far as they can be told, and whether
+    these are all; 0 if none begins."""
+    if body.startswith(OPENSSH):
+        at, left, counted = len(OPENSSH), 3, False  # cipher, key derivation, its options, then the counted keys
+        if int.from_bytes(body[at:at + 4], "big") > 64:
+            return 0, True
+    else:
+        at, counted = 0, True
+        left = SSH_KINDS.get(body[4:4 + int.from_bytes(body[:4], "big")], 0)
+        if not left:
+            return 0, True
+    while left or not counted:
+        if at + 4 > len(body):
+            return at + 4, False
+        size = int.from_bytes(body[at:at + 4], "big")
+        at += 4
+        if left:
+            at, left = at + size, left - 1
+        else:
+            left, counted = size + 1, True
+    return at, True
+
+
+def joined(text: str, at: int, most: int) -> tuple[str, int]:
+    """Up to ``most`` base64 characters from a place on, line ends left out, and the place behind them."""
+    parts: list[str] = []
+    end = at
+    while run := RUN.match(text, at, at + most):
+        parts.append(run[0])
+        most -= len(run[0])
+        end = run.end()
+        line_end = LINE_END.match(text, end) if most else None
+        if line_end is None:
+            break
+        at = line_end.end()
+    return "".join(parts), end
+
+
+def key_at(text: str, start: int) -> tuple[int, bytes, int] | None:
+    """Kind, bytes and end of what begins at a place with a key's first fields and is there as a whole."""
+    chars = joined(text, start, HEAD)[0]
+    kind = 3 if text[start] == "M" else 5
+    while True:
+        body = unbase64(chars[:len(chars) // 4 * 4]) or b""
+        size, whole = (der_size(body), True) if kind == 3 else ssh_size(body)
+        need = -(-size * 4 // 3)
+        if need < LEAST or need > len(text) - start:
+            return None
+        if whole:
+            break
+        more = joined(text, start, max(need + 4, 2 * len(chars)))[0]
+        if len(more) <= len(chars):
+            return None
+        chars = more
+    chars, end = joined(text, start, need)
+    found = unbase64(chars) if len(chars) == need else None
+    if found is None:
+        return None
+    for _ in range(-need % 4):
+        end += text.startswith("=", end)
+    return kind, found, end
+
+
+def keys_inside(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Keys that begin anywhere in a run and may go on over line ends; none inside ``taken`` (in order)."""
+    out: list[tuple[int, int, int]] = []
+    at = skip = 0
+    while m := START.search(text, at):
+        start = m.start()
+        at = start + 1
+        while skip < len(taken) and taken[skip][1] <= start:
+            skip += 1
+        if skip < len(taken) and taken[skip][0] <= start:
+            at = taken[skip][1]
+        elif found := key_at(text, start):
+            kind, body, end = found
+            if is_der_key(body) if kind == 3 else is_openssh(body):
+                out.append((start, kind, end))
+                at = end
+            elif kind == 3 and is_signed(body):
+                at = end
+    return out
+
+
+def hex_keys(run: str) -> list[tuple[int, int]]:
+    """Start and end of the DER keys anywhere in a run of hex digits."""
+    out: list[tuple[int, int]] = []
+    at = 0
+    while m := HEX_START.search(run, at):
+        start = m.start()
+        at = start + 1
+        end = start + 2 * der_size(bytes.fromhex(run[start:start + HEAD]) if len(run) - start >= HEAD else b"")
+        if LEAST * 3 // 2 <= end - start <= len(run) - start:
+            body = bytes.fromhex(run[start:end])
+            if is_der_key(body):
+                out.append((start, end))
+                at = end
+            elif is_signed(body):
+                at = end
+    return out
+
+
+def is_pem_key(label: str, body: str) -> bool:
+    """Whether the text between BEGIN and END lines is a key."""
+    body = ESCAPED_BLANK.sub("\n", body).replace("\\/", "/").replace("\\u003d", "=")
+    encrypted = ENCRYPTED.match(body)
+    headers = encrypted or HEADERS.match(body)
+    found = unbase64("".join(body[headers.end() if headers else 0:].split()))
+    if not found:
+        return False
+    if encrypted:
+        block = BLOCKS.get(encrypted[1])
+        return (label.endswith("PRIVATE KEY") and block is not None and len(encrypted[2]) == 2 * block
+                and len(found) >= 32 and len(found) % block == 0)
+    return is_der_key(found) or is_openssh(found)
+
+
 def is_token(header: str, claims: str, signature: str) -> bool:
     """A signed token: JSON objects in front, a signature of the right length behind."""
     try:
@@ -193,25 +352,30 @@ def structural_spans(text: str, run: bool = True, token: bool = True) -> list[tu
     out = []
     if token:
         out += [(m.start(), 6, m.end()) for m in JWT.finditer(text) if is_token(*m.groups())]
-    inside = [(m.start(), m.end()) for m in PEM.finditer(text)] if "-----BEGIN " in text else []
-    for a, b in inside:
-        m = PEM.match(text, a)
-        body = unbase64("".join(m[2].split()))
-        if body and (is_der_key(body) or is_openssh(body)):
-            out.append((a, 4, b))
+    taken: list[tuple[int, int]] = []
+    if "-----BEGIN " in text:
+        begin = None
+        for m in PEM_LINE.finditer(text):
+            if m[1] == "END" and begin and begin[2] == m[2] and is_pem_key(m[2], text[begin.end():m.start()]):
+                out.append((begin.start(), 4, m.end()))
+                taken.append((begin.start(), m.end()))
+            begin = m if m[1] == "BEGIN" else None
     if run:
+        found = []
         for m in CANDIDATE.finditer(text):
             body = unbase64(m[0])
             if body and is_openssh(body):
-                out.append((m.start(), 5, m.end()))
+                found.append((m.start(), 5, m.end()))
             elif body and body[0] == 0x30 and is_der_key(body):
-                out.append((m.start(), 3, m.end()))
+                found.append((m.start(), 3, m.end()))
+        out += found
+        out += keys_inside(text, sorted(taken + [(a, b) for a, _, b in found]))
         for m in HEX_CANDIDATE.finditer(text):
             body = bytes.fromhex(m[0])
-            if body[0] == 0x30 and is_der_key(body):
-                out.append((m.start(), 3, m.end()))
-            elif is_openssh(body):
+            if is_openssh(body):
                 out.append((m.start(), 5, m.end()))
+        for m in HEX_RUN.finditer(text):
+            out += [(m.start() + a, 3, m.start() + b) for a, b in hex_keys(m[0])]
     return out
 
 
