@@ -4,10 +4,11 @@ import random
 
 import numpy as np
 import plain
+from pyspark.sql import functions as F
 
 from wiretable.llm import registry
 from wiretable.llm.language_id import codewords, identify
-from wiretable.llm.toxicity import best_segments, decay, maximal_segments, score_toxicity
+from wiretable.llm.toxicity import best_segments, decay, learn, maximal_segments, score_toxicity
 
 SF01 = "/root/testdata/sf0.01"
 
@@ -84,6 +85,34 @@ def test_toxicity_held_out(spark):
     assert all(any(x.startswith(tuple(bad)) for x in w[p.start:p.end]) for p in hit.passages)
 
 
+def variants(pairs):
+    """Clean texts, and behind them their toxic variants."""
+    rng = random.Random(5)
+    clean = [" ".join(f"w{rng.randrange(400)}" for _ in range(80 + k % 40)) for k in range(pairs)]
+    return [(k, t, 0) for k, t in enumerate(clean)] + [(pairs + k, t + " vilething", 1) for k, t in enumerate(clean)]
+
+
+def test_toxic_variants_of_clean_texts_are_learned_from(spark):
+    base = variants(60)
+    rows = [(k, f"{t} copy{k}", 0) for k, (_, t, _) in enumerate([x for x in base if not x[2]] * 9)]
+    rows += [(1000 + k, t, 1) for k, t, toxic in base if toxic]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").coalesce(1)
+    found = score_toxicity(docs.drop("toxic"), docs.drop("text")).collect()
+    held = [r for r in found if plain.fold(r.doc_id, 5) == 0]
+    assert sum((r.score >= 0.5) == (r.doc_id >= 1000) for r in held) >= 0.97 * len(held)
+
+
+def test_toxicity_model_is_the_same_for_any_order_of_rows(spark):
+    rows = [(3 * i + k, t + f" tail{k}" * k, label) for i, t, label in variants(100) for k in range(3)]
+    models = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, toxic int").repartition(3 if order is rows else 5)
+        models.append(learn(docs.drop("toxic"), docs.selectExpr("doc_id", "toxic AS label"), F.lit(True)))
+    a, b = models
+    assert len(a.keys) and a.keys.tolist() == b.keys.tolist() and a.weights.tolist() == b.weights.tolist()
+    assert a.lam == b.lam and a.curve == b.curve
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, empty):
     none = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, toxic int")
     got = score_toxicity(odd, none, carry=True).collect()

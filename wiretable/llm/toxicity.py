@@ -1,8 +1,9 @@
 """Toxic passages as maximum-scoring segments of token log-odds.
 
 Learning uses a bounded sample of labelled documents (``sample_rows``, chosen by
-a hash of the id), of which near copies count once (documents that share a least
-word-triple hash).  A token's evidence is the log-odds ratio of its document
+a hash of the id), of which near copies with the same label count once, by the
+least id (documents that share a least word-triple hash), so that no toxic row
+goes for a clean one like it.  A token's evidence is the log-odds ratio of its document
 frequency in toxic and other documents under a symmetric Dirichlet prior, less
 its standard error, if the difference is significant; a token is known by itself
 or by a prefix, so inflected and compound forms share evidence.  All other tokens
@@ -173,7 +174,7 @@ def learn(documents: DataFrame, labels: DataFrame, train: Column, sample_rows: i
     parts = 1 << 20
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < math.ceil(min(1.0, sample_rows / n) * parts))
     # About sample_rows rows of two numbers: broadcast.
-    sample = stored(documents.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int").alias("label")))
+    sample = stored(documents.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("label").cast("int").alias("label")))
 
     def sketches(batches):
         for batch in T.chunks(batches):
@@ -187,10 +188,14 @@ def learn(documents: DataFrame, labels: DataFrame, train: Column, sample_rows: i
                 least = [gram[a:max(a + 1, b - 2)].min(initial=np.uint64(2 ** 64 - 1)) if b > a else np.uint64(0)
                          for a, b in zip(words.first[:-1].tolist(), ends.tolist())]
                 out.append(pa.array(np.array(least, np.uint64).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([T.column(batch, "text"), T.column(batch, "label"), *out], ["text", "label", "one", "two"])
-
-    distinct = stored(sample.mapInArrow(sketches, "text string, label int, one bigint, two bigint")
-                      .dropDuplicates(["one"]).dropDuplicates(["two"]).select("text", "label"))
+            yield pa.RecordBatch.from_arrays([T.column(batch, k) for k in ("doc_id", "text", "label")] + out, ["doc_id", "text", "label", "one", "two"])
+
+    # The least row of each label and sketch: the same rows in every run, however the tasks come.
+    distinct = sample.mapInArrow(sketches, "doc_id bigint, text string, label int, one bigint, two bigint")
+    for sketch in ("one", "two"):
+        distinct = distinct.groupBy("label", sketch).agg(F.min(F.struct("doc_id", "text", *["two"] * (sketch == "one"))).alias("least")).select(
+            "label", "least.*")
+    distinct = stored(distinct.select("text", "label"))
     sizes = {r["label"]: r["n"] for r in distinct.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -242,9 +247,11 @@ def learn(documents: DataFrame, labels: DataFrame, train: Column, sample_rows: i
     # Bounded by the sample: a row per sampled document, and one per rounded score.
     tokens = (measured.where("label = 0").select(F.inline(F.arrays_zip("value", "count")))
               .groupBy("value").agg(F.sum("count").alias("count")).collect())
+    # Sorted, as sums of floats depend on their order.
+    tokens.sort(key=lambda r: r["value"])
     values = np.array([r["value"] for r in tokens] + [float(model.weights.max(initial=1.0))])
     model.lam = decay(values, np.array([r["count"] for r in tokens] + [0.5], np.float64))
-    points = measured.select("best", "n", "label").collect()
+    points = sorted(measured.select("best", "n", "label").collect())
     best, n, label = (np.array([r[k] for r in points], np.float64) for k in ("best", "n", "label"))
     intercept, slope = logistic(-model.log_e(best, n), label)
     model.curve = (intercept, slope)
