@@ -48,6 +48,16 @@ def test_odd_rows(spark, odd, odd_rows, block_bytes):
             assert r.clean_text == (r.row.text or "")
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 16])
+def test_items_without_an_id_hit_and_are_not_listed(spark, block_bytes):
+    docs = spark.createDataFrame([(1, "a b see the Hidden passage here"), (2, "hidden passage, other words"), (3, "none")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "hidden passage"), (None, "see"), (7, "other words"), (None, None)], "item_id int, text string")
+    found = decontaminate(docs, items, block_bytes=block_bytes, with_text=True).collect()
+    got = {r.doc_id: (r.n_hit, list(r["items"]), r.clean_text.split()) for r in found}
+    assert got == {1: (3, [], ["a", "b", "the", "here"]), 2: (4, ["7"], got[2][2]), 3: (0, [], ["none"])}
+    assert "hidden" not in got[2][2]
+
+
 def test_empty_tables(spark, odd, empty):
     nothing = spark.createDataFrame([], "item_id int, text string")
     assert decontaminate(empty, nothing).count() == 0

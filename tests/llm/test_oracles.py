@@ -43,6 +43,17 @@ def odd_folder(spark, odd_rows, tmp_path_factory):
     return folder
 
 
+def test_items_without_an_id_match_oracle(spark, odd_folder, tmp_path):
+    for table in os.listdir(odd_folder):
+        if table != "benchmark.parquet" and table.endswith(".parquet"):
+            os.symlink(os.path.realpath(f"{odd_folder}/{table}"), f"{tmp_path}/{table}")
+    items = [(1, "one two THREE alpha"), (None, "delta one"), (None, "x x x"), (None, None), (5, "été")]
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark")
+    part = next(f for f in os.listdir(f"{tmp_path}/benchmark") if f.endswith(".parquet"))
+    os.symlink(f"{tmp_path}/benchmark/{part}", f"{tmp_path}/benchmark.parquet")
+    agrees(spark, str(tmp_path), "op8_decontaminate")
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_odd_rows_match_oracle(spark, odd_folder, name):
     agrees(spark, odd_folder, name)

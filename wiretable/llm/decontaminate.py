@@ -11,7 +11,8 @@ set, sent to the tasks in blocks of at most ``block_bytes`` of text (a checked
 bound; a larger benchmark takes several passes, joined by a row number).
 
 Defined results: null or empty texts have no words and no hits; items without
-words are ignored; equal items count as several items; repeated documents are
+words are ignored; equal items count as several items; an item without an id hits
+like any other and is not listed; repeated documents are
 judged one by one; an empty benchmark hits nothing; other columns are ignored,
 or returned inside ``row`` with ``carry``.
 """
@@ -41,7 +42,7 @@ BASE = ("n_words", "n_hit", "spans", "items")
 class Phrases:
     """The windows of a block of test items, as word hashes."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         self.names = [name for name, _ in items]
         words = T.find_words(pa.array([text for _, text in items], pa.string()), T.ALNUM, lower=True)
         hashes = words.hashes()
@@ -116,8 +117,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     docs = keyed(documents, id_col, text_col, carry)
     items = benchmark.select(F.col(item_col).cast("string").alias("item"),
-                             F.coalesce(F.col(item_text), F.lit("")).alias("body")).where("item is not null")
-    size = items.agg(F.sum(F.octet_length("body") + F.octet_length("item"))).first()[0] or 0
+                             F.coalesce(F.col(item_text), F.lit("")).alias("body"))
+    size = items.agg(F.sum(F.octet_length("body") + F.coalesce(F.octet_length("item"), F.lit(0)))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
     kept = [n for n in docs.columns if n != "text"]
     schema = StructType([docs.schema[n] for n in kept] + [
@@ -126,7 +127,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
     def passed(block: int, source: DataFrame, kept: list[str], schema: StructType, text_out: bool) -> DataFrame:
         # One block of the stated query set; its text is bounded by block_bytes.
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()
+        rows = items.where(F.pmod(F.xxhash64(F.coalesce("item", "body")), F.lit(blocks)) == block).collect()
         phrases = Phrases([(r["item"], r["body"]) for r in rows], window)
 
         def search(batches):
@@ -142,7 +143,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                 named: dict[int, set[int]] = defaultdict(set)
                 for doc, phrase in np.unique(np.stack([owner, found[0]], 1), axis=0).tolist():
                     named[doc].update(phrases.owners[phrase])
-                out.append(pa.array([sorted(phrases.names[i] for i in named.get(d, ())) for d in range(batch.num_rows)],
+                out.append(pa.array([sorted(phrases.names[i] for i in named.get(d, ()) if phrases.names[i] is not None)
+                                     for d in range(batch.num_rows)],
                                     pa.list_(pa.string())))
                 yield pa.RecordBatch.from_arrays([T.column(batch, n) for n in kept] + out, schema.names)
 
