@@ -7,7 +7,7 @@ import plain
 from pyspark.sql import functions as F
 
 from wiretable.llm import registry
-from wiretable.llm.language_id import codewords, identify
+from wiretable.llm.language_id import codewords, even_share, identify
 from wiretable.llm.toxicity import best_segments, decay, learn, maximal_segments, score_toxicity
 
 SF01 = "/root/testdata/sf0.01"
@@ -38,6 +38,17 @@ def test_languages_of_odd_rows(spark, odd, odd_rows, empty):
     assert {r.lang_pred for r in identify(one).collect()} == {"und"}
 
 
+def test_rare_languages_are_learned_at_every_size(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(6))
+    rows = [(k, " ".join(word(letters) for _ in range(30)), lang)
+            for k, (lang, letters) in enumerate([("aa", "abcdef"), ("bb", "ghijkl")] * 1500 + [("cc", "mnopqr")] * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in identify(docs, sample_rows=20).collect()}
+    assert got == {i: lang for i, _, lang in rows}
+    assert even_share([5, 100, 1000], 45) == 20 and even_share([5, 7], 45) == 7 and even_share([], 45) == 0
+
+
 def test_segments_against_plain():
     rng = random.Random(3)
     for _ in range(200):

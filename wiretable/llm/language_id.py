@@ -8,8 +8,10 @@ Decoding adds, per codeword, the logistic loss of every bit's margin, weighted b
 how well the bit is told apart on the sample, and takes the codeword of least
 loss; a small lead over the next codeword is flagged as ambiguous.
 
-Learning uses a bounded sample of labelled rows (``sample_rows``, chosen by a hash
-of the id).  Up to seven languages get the exhaustive code, more get random
+Learning uses a bounded sample of labelled rows, chosen by a hash of the id:
+``sample_rows`` dealt over the languages, so that small ones are taken whole and
+the others give equally many, and about ``LEAST_ROWS`` of each at least.  A rare
+language is thus learned at every size.  Up to seven languages get the exhaustive code, more get random
 codewords (fixed seed) of 15 log2(languages) bits with distinct rows and columns.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0;
@@ -31,6 +33,8 @@ from wiretable.llm import tokens as T
 from wiretable.llm.frames import fold, keyed, stored
 
 SAMPLE_ROWS = 20_000
+#: Rows of a language in the sample at least, if it has as many; with very many languages the sample grows by these.
+LEAST_ROWS = 100
 BUCKETS = 1 << 14
 SMOOTHING = 0.5
 AMBIGUOUS = 0.2
@@ -111,14 +115,26 @@ class Model:
         return np.stack([(np.logaddexp(0, -margins * word) * self.trust).sum(1) for word in self.code], 1)
 
 
+def even_share(sizes: list[int], total: int) -> float:
+    """Rows of each language at most, so that the sample has ``total`` rows (or all there are)."""
+    left = total
+    for k, size in enumerate(sorted(sizes)):
+        each = left / (len(sizes) - k)
+        if size > each:
+            return each
+        left -= size
+    return float(max(sizes, default=0))
+
+
 def learn(rows: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
     """``rows``: doc_id, text, lang; ``train``: a condition on doc_id."""
     known = rows.where("lang is not null and text is not null").where(train)
-    n = known.select("doc_id").count()
-    parts = 1 << 20
-    share = math.ceil(min(1.0, sample_rows / max(n, 1)) * parts)
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("size")))  # one small row per language
+    most = max(even_share([r["size"] for r in sizes.select("size").collect()], sample_rows), LEAST_ROWS)
+    parts = 1 << 40
+    shares = sizes.select("lang", F.ceil(F.least(F.lit(1.0), F.lit(float(most)) / F.col("size")) * parts).alias("share"))
     # Dealt by id: equal texts and a common language are spread.
-    sample = stored(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < share)
+    sample = stored(known.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) < F.col("share"))
                     .repartition(SAMPLE_TASKS, "doc_id").select("text", "lang"))
 
     def count(batches):
