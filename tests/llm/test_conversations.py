@@ -1,4 +1,4 @@
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm import registry
 from wiretable.llm.conversations import reply_ordered

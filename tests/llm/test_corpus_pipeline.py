@@ -1,6 +1,6 @@
 import corpus_pipeline
 import plain
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm.frames import DOCUMENTS
 from wiretable.llm.registry import op6_toxicity

@@ -1,7 +1,7 @@
 import numpy as np
 import plain
 import pytest
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm import registry
 from wiretable.llm.decontaminate import decontaminate

@@ -1,6 +1,6 @@
 import plain
 import pytest
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm import registry
 from wiretable.llm.language_model import score_documents

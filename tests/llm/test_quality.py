@@ -2,7 +2,7 @@ import math
 
 import plain
 import pytest
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm import registry
 from wiretable.llm.quality import WORDS, judge, measures, nearest

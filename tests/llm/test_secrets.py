@@ -4,7 +4,7 @@ import os
 import struct
 
 import plain
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm import registry
 from wiretable.llm.secrets import KINDS, is_der_key, is_token, scan, scan_text

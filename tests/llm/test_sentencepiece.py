@@ -2,10 +2,11 @@ import random
 
 import pyarrow as pa
 import sentencepiece
-from conftest_llm import SF001
+from plain import SF001
 
 from wiretable.llm import registry
-from wiretable.llm.sentencepiece_codec import MARK, MODEL, Memory, Pieces, _model, decode, decode_ids, encode, encode_texts
+from wiretable.llm.memo import WordMemory
+from wiretable.llm.sentencepiece_codec import MARK, MODEL, Pieces, _model, decode, decode_ids, encode, encode_texts
 
 ODD = ["", "  ", "a  b   c", "日本語テスト 😀\x00x", "foo▁bar ▁", "\n\n  x\t\ty", "a" * 900, " " * 100 + "x", " ▁ ▁▁  y"]
 
@@ -16,7 +17,7 @@ def test_ids_are_those_of_the_library(sf_rows):
     texts = [t or "" for _, t in sf_rows] + ODD + ["".join(rng.choice(letters) for _ in range(rng.randrange(80))) for _ in range(800)]
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     pieces = Pieces(_model(MODEL))
-    ids, first = encode_texts(pa.array(texts), pieces, Memory())
+    ids, first = encode_texts(pa.array(texts), pieces, WordMemory(limit=500))
     assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == library.encode(texts)
     assert [x.decode() for x in decode_ids(ids, first, pieces)] == [t.replace(MARK, " ") for t in texts]
 

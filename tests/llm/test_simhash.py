@@ -3,7 +3,7 @@ import random
 import numpy as np
 import plain
 import pytest
-from conftest_llm import SF001
+from plain import SF001
 from pyspark.sql import functions as F
 
 from wiretable.llm import registry

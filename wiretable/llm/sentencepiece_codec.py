@@ -31,11 +31,11 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from wiretable.llm import tokens as T
 from wiretable.llm.frames import keyed
+from wiretable.llm.memo import WordMemory, per_worker, word_ids
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Distinct words and piece pairs that a task remembers.
-WORDS_KEPT = 400_000
+#: Piece pairs that a worker remembers.
 PAIRS_KEPT = 1_000_000
 UNKNOWN = -1
 
@@ -54,7 +54,12 @@ class Pieces:
         self.ids = {p: i for i, p in enumerate(self.text) if not special[i] and not is_byte[i]}
         self.score = [sp.get_score(i) for i in range(size)]
         self.bytes = {int(self.text[i][1:-1], 16): i for i in range(size) if is_byte[i]}
-        self.longest = max(map(len, self.ids))
+        self.backward: dict = {}  # trie of reversed pieces; a node holds its piece under ""
+        for piece, i in self.ids.items():
+            node = self.backward
+            for char in reversed(piece):
+                node = node.setdefault(char, {})
+            node[""] = i
         if any(MARK in p.lstrip(MARK) for p in self.ids) or len(self.bytes) != 256:
             raise ValueError("the model has pieces that cross words, or no byte pieces")
         plain = [bytes([int(p[1:-1], 16)]) if b else b"" if s else p.replace(MARK, " ").encode()
@@ -62,7 +67,7 @@ class Pieces:
         self.plain = np.frombuffer(b"".join(plain) + bytes(8), np.uint8)
         self.plain_size = np.array([len(p) for p in plain], np.int64)
         self.plain_at = np.cumsum(self.plain_size) - self.plain_size
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Pieces that the model's merges make of a text: best score first, leftmost first."""
@@ -81,7 +86,7 @@ class Pieces:
 
     def stays_apart(self, before: int, piece: int) -> bool:
         """Whether the merges leave a piece (after ``before``, or alone) as it is."""
-        key = (before, piece)
+        key = before << 32 | piece
         known = self.apart.get(key)
         if known is None:
             own = self.text[piece]
@@ -94,7 +99,7 @@ class Pieces:
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
         """Piece ids of sorted words; prefixes shared with the word before are not computed again."""
-        ids, longest, apart = self.ids, self.longest, self.apart
+        backward, apart = self.backward, self.apart
         out, before = [], ""
         last: list[int] = []  # last piece of each prefix
         begin: list[int] = []  # where that piece begins
@@ -107,12 +112,17 @@ class Pieces:
                 same += 1
             del last[same:], begin[same:]
             for end in range(same + 1, n + 1):
-                for at in range(max(0, end - longest), end):
-                    piece = ids.get(word[at:end])
+                node = backward
+                for at in range(end - 1, -1, -1):
+                    node = node.get(word[at])
+                    if node is None:
+                        at, piece = end - 1, UNKNOWN
+                        break
+                    piece = node.get("")
                     if piece is None:
                         continue
                     prior = last[at - 1] if at else UNKNOWN
-                    good = apart.get((prior, piece))
+                    good = apart.get(prior << 32 | piece)
                     if good or good is None and self.stays_apart(prior, piece):
                         break
                 else:
@@ -132,34 +142,22 @@ class Pieces:
             before = word
         return out
 
+    def encode_words(self, words: list[bytes]) -> list[list[int]]:
+        """Piece ids of words in any order, with blanks where the model has marks."""
+        marked = [w.decode().replace(" ", MARK) for w in words]
+        order = sorted(range(len(words)), key=marked.__getitem__)
+        out: list = [None] * len(words)
+        for k, ids in zip(order, self.encode_sorted([marked[k] for k in order])):
+            out[k] = ids
+        return out
 
-class Memory:
-    """Pieces of the words seen so far, by sorted word hashes."""
-
-    def __init__(self):
-        self.keys = np.zeros(0, np.uint64)
-        self.at = self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        place = np.searchsorted(self.keys, keys)
-        place[place == len(self.keys)] = 0
-        return place if len(self.keys) else np.full(len(keys), -1)
-
-    def missing(self, keys: np.ndarray) -> np.ndarray:
-        return self.keys[self.find(keys)] != keys if len(self.keys) else np.ones(len(keys), bool)
 
-    def add(self, keys: np.ndarray, pieces: list[list[int]]) -> None:
-        size = np.array([len(p) for p in pieces], np.int64)
-        at = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.array([i for p in pieces for i in p], np.int32)])
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        self.at, self.size = np.concatenate([self.at, at])[order], np.concatenate([self.size, size])[order]
+def worker_state(proto: bytes) -> tuple[Pieces, WordMemory]:
+    """The model's tables and the words known so far, kept by the Python worker."""
+    return per_worker(("sentencepiece", hashlib.sha256(proto).hexdigest()), lambda: (Pieces(proto), WordMemory()))
 
 
-def encode_texts(texts: pa.Array, pieces: Pieces, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(texts: pa.Array, pieces: Pieces, memory: WordMemory) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts behind one another, and the first id of each text (one more than texts)."""
     data, docs = T.utf8(pc.replace_substring(texts, MARK, " "))
     sizes = np.diff(docs)
@@ -172,18 +170,7 @@ def encode_texts(texts: pa.Array, pieces: Pieces, memory: Memory) -> tuple[np.nd
     head[docs[:-1][filled]] = True
     starts = np.flatnonzero(head)
     lens = np.diff(np.append(starts, docs[-1]))
-    hashes = T.hash_spans(data, starts, lens)
-    keys, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    if len(memory.keys) > WORDS_KEPT:
-        memory.__init__()
-    new = np.flatnonzero(memory.missing(keys))
-    words = [(data[a:a + n].tobytes().decode().replace(" ", MARK), k)
-             for k, a, n in zip(new.tolist(), starts[first[new]].tolist(), lens[first[new]].tolist())]
-    words.sort()
-    memory.add(keys[[k for _, k in words]] if words else keys[:0], pieces.encode_sorted([w for w, _ in words]))
-    at = memory.find(keys)[place]
-    size = memory.size[at]
-    ids = memory.flat[T.ranges(memory.at[at], size)]
+    ids, size = word_ids(data, starts, lens, memory, pieces.encode_words)
     before = np.concatenate([[0], np.cumsum(size)])
     return ids, before[np.searchsorted(starts, docs)]
 
@@ -216,7 +203,7 @@ def encode(documents: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
     proto = _model(model)
 
     def run(batches):
-        pieces, memory = Pieces(proto), Memory()
+        pieces, memory = worker_state(proto)
         for batch in T.chunks(batches):
             ids, first = encode_texts(T.whole(batch), pieces, memory)
             out = [T.column(batch, n) for n in kept] + [pa.array(np.diff(first))]
@@ -236,7 +223,7 @@ def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_c
     proto = _model(model)
 
     def run(batches):
-        pieces = Pieces(proto)
+        pieces, _ = worker_state(proto)
         for batch in batches:
             lists = T.column(batch, "ids")
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
