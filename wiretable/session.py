@@ -108,6 +108,13 @@ class Workspace:
         _delete(self.spark, self.folder)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A folder for one intermediate table, inside the current workspace if there is one."""
+    owner = _WORKSPACE.get()
+    folder = owner.folder if owner else f"{_session_folder(spark)}/shared"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
 def clear_intermediate(spark: SparkSession) -> None:
     """Removes every intermediate table that this session has written."""
     _delete(spark, _session_folder(spark))
@@ -137,9 +144,7 @@ def materialize_observed(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
     from pyspark.sql import Observation
 
     spark = df.sparkSession
-    owner = _WORKSPACE.get()
-    folder = owner.folder if owner else f"{_session_folder(spark)}/shared"
-    path = f"{folder}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     seen = Observation()
     df.observe(seen, *[col.alias(name) for name, col in metrics.items()]).write.mode("error").parquet(path)
     return spark.read.parquet(path), dict(seen.get)
