@@ -26,6 +26,13 @@ def stored_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     return materialize_observed(df, **metrics)
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, inside the owner's of the current run."""
+    from wiretable.session import new_folder
+
+    return new_folder(spark)
+
+
 def keyed(df: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
     """Only id and text under fixed names; with ``carry`` the whole input row as struct ``row``.
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wiretable.llm.conversations import reply_ordered
 from wiretable.llm.decontaminate import decontaminate
-from wiretable.llm.frames import fold, sha, table
+from wiretable.llm.frames import fold, scratch_folder, sha, table
 from wiretable.llm.language_id import identify
 from wiretable.llm.language_model import score_documents
 from wiretable.llm.oracles import ORACLES  # noqa: F401
@@ -15,6 +15,7 @@ from wiretable.llm.secrets import scan
 from wiretable.llm.sentencepiece_codec import MARK, encode
 from wiretable.llm.simhash import near_duplicates
 from wiretable.llm.substring_dedup import drop_repeats
+from wiretable.llm.token_files import read_tokens, write_tokens
 from wiretable.llm.toxicity import score_toxicity
 
 
@@ -82,7 +83,12 @@ def op10_quotations(spark, sf_dir):
     return found.select("conv_id", "thread", "turn", "depth", "parent", "role", sha(F.col("formatted")).alias("formatted_sha256"))
 
 
-QUERIES = {"op1_secrets": op1_secrets, "op2_simhash": op2_simhash, "op3_quality": op3_quality, "op4_language_id": op4_language_id, "op5_substring_dedup": op5_substring_dedup, "op6_toxicity": op6_toxicity,
-           "op7_language_model": op7_language_model, "op8_decontaminate": op8_decontaminate,
-           "op9_sentencepiece": op9_sentencepiece, "op10_quotations": op10_quotations}
+def op12_token_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    write_tokens(table(spark, sf_dir, "documents"), folder)
+    return read_tokens(spark, folder, with_ids=False, with_crc=True)
 
+
+QUERIES = {f.__name__: f for f in (
+    op1_secrets, op2_simhash, op3_quality, op4_language_id, op5_substring_dedup, op6_toxicity, op7_language_model,
+    op8_decontaminate, op9_sentencepiece, op10_quotations, op12_token_files)}
