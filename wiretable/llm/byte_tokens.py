@@ -20,6 +20,9 @@ ASCII_SIGN[0x21:0x7F] = True
 #: Lead bytes of characters that are never white space, by the character's size.
 LEADS = {2: (0xC3, 0xDF), 3: (0xE4, 0xEF), 4: (0xF0, 0xF4)}
 
+#: Pieces are encoded together up to about this many bytes.
+JOINED_BYTES = 1 << 14
+
 
 def read_model(path: str) -> str:
     with open(path, encoding="utf-8") as f:
@@ -53,9 +56,32 @@ class ByteTokens:
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.encode_special_tokens = plain
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        texts = [w.decode() for w in words]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder()
+        #: Bytes of each id: an entry has one character for each byte, an added token its own text.
+        self.n_bytes = np.array([len(added[i].content.encode()) if i in added else len(self.tokenizer.id_to_token(i) or "")
+                                 for i in range(size)], np.int64)
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces behind one another, and the number of ids of each.
+
+        Pieces that can follow one another in a text are encoded as one text, as
+        the library takes longer over many short ones; the bytes of the ids tell
+        where a piece ends.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(sizes)
+        joined = b"".join(words)
+        data = np.frombuffer(joined + bytes(8), np.uint8)
+        begins = ends - sizes
+        free = np.zeros(len(joined) + 1, bool)
+        free[piece_starts(data, np.array([0, len(joined)]))] = True
+        apart = ~free[begins] | (begins // JOINED_BYTES != np.append(-1, begins[:-1] // JOINED_BYTES))
+        cuts = begins[apart].tolist()
+        texts = [joined[a:b].decode() for a, b in zip(cuts, [*cuts[1:], len(joined)])]
+        ids = np.concatenate([np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        at = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, "left") + 1
+        return ids, np.diff(at, prepend=0)
 
 
 def worker_state(model: str, plain: bool) -> tuple[ByteTokens, WordMemory]:

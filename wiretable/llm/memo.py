@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import sys
 import types
-from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -64,10 +63,11 @@ class WordMemory:
 
 
 def word_ids(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, memory: WordMemory,
-             encode: Callable[[list[bytes]], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+             encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all word spans behind one another, and the number of ids of each word.
 
-    ``encode`` gets the distinct unknown words as bytes and returns their ids.
+    ``encode`` gets the distinct unknown words as bytes and returns their ids
+    behind one another and the number of ids of each.
     """
     keys, first, place = np.unique(T.hash_spans(data, starts, lens), return_index=True, return_inverse=True)
     keys = keys.tolist()
@@ -75,9 +75,12 @@ def word_ids(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, memory: Wor
     new = [k for k, x in enumerate(found) if x is None]
     at = first[new]
     words = [data[a:a + n].tobytes() for a, n in zip(starts[at].tolist(), lens[at].tolist())]
-    for k, ids in zip(new, encode(words)):
-        found[k] = array("i", ids).tobytes()
-        memory.add(keys[k], found[k])
+    if words:
+        ids, sizes = encode(words)
+        body, ends = ids.astype(np.int32).tobytes(), 4 * np.cumsum(sizes)
+        for k, a, b in zip(new, (ends - 4 * sizes).tolist(), ends.tolist()):
+            found[k] = body[a:b]
+            memory.add(keys[k], found[k])
     size = np.fromiter(map(len, found), np.int64, len(found)) // 4
     flat = np.frombuffer(b"".join(found), np.int32)
     begin = np.cumsum(size) - size

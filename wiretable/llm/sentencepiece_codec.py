@@ -22,6 +22,7 @@ ignored, or returned inside ``row`` with ``carry``.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -142,14 +143,15 @@ class Pieces:
             before = word
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Piece ids of words in any order, with blanks where the model has marks."""
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of words in any order behind one another (blanks stand for marks), and the number of each."""
         marked = [w.decode().replace(" ", MARK) for w in words]
         order = sorted(range(len(words)), key=marked.__getitem__)
         out: list = [None] * len(words)
         for k, ids in zip(order, self.encode_sorted([marked[k] for k in order])):
             out[k] = ids
-        return out
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(itertools.chain.from_iterable(out), np.int32, int(sizes.sum())), sizes
 
 
 def worker_state(proto: bytes) -> tuple[Pieces, WordMemory]:
