@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wiretable.llm.alignment import align
 from wiretable.llm.conversations import reply_ordered
 from wiretable.llm.decontaminate import decontaminate
 from wiretable.llm.frames import fold, scratch_folder, sha, table
@@ -89,6 +90,10 @@ def op12_token_files(spark, sf_dir):
     return read_tokens(spark, folder, with_ids=False, with_crc=True)
 
 
+def op13_alignment(spark, sf_dir):
+    return align(table(spark, sf_dir, "documents"), with_groups=False, with_digests=True)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_simhash, op3_quality, op4_language_id, op5_substring_dedup, op6_toxicity, op7_language_model,
-    op8_decontaminate, op9_sentencepiece, op10_quotations, op12_token_files)}
+    op8_decontaminate, op9_sentencepiece, op10_quotations, op12_token_files, op13_alignment)}
