@@ -15,6 +15,7 @@ from wiretable.llm.quality import judge
 from wiretable.llm.secrets import scan
 from wiretable.llm.sentencepiece_codec import MARK, encode
 from wiretable.llm.simhash import near_duplicates
+from wiretable.llm.spelling import group_variants
 from wiretable.llm.substring_dedup import drop_repeats
 from wiretable.llm.token_files import read_tokens, write_tokens
 from wiretable.llm.toxicity import score_toxicity
@@ -84,6 +85,11 @@ def op10_quotations(spark, sf_dir):
     return found.select("conv_id", "thread", "turn", "depth", "parent", "role", sha(F.col("formatted")).alias("formatted_sha256"))
 
 
+def op11_spelling(spark, sf_dir):
+    found = group_variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op12_token_files(spark, sf_dir):
     folder = scratch_folder(spark)
     write_tokens(table(spark, sf_dir, "documents"), folder)
@@ -96,4 +102,4 @@ def op13_alignment(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_secrets, op2_simhash, op3_quality, op4_language_id, op5_substring_dedup, op6_toxicity, op7_language_model,
-    op8_decontaminate, op9_sentencepiece, op10_quotations, op12_token_files, op13_alignment)}
+    op8_decontaminate, op9_sentencepiece, op10_quotations, op11_spelling, op12_token_files, op13_alignment)}
