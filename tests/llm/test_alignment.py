@@ -72,7 +72,7 @@ def test_odd_rows(spark, odd, odd_rows, empty, libraries):
     docs = odd.select("doc_id", "text", "n_words").unionByName(
         spark.createDataFrame([(i, t, 1) for i, t in more], "doc_id long, text string, n_words int"))
     short = [(i, t) for i, t in odd_rows + more if len(t or "") < 3000]
-    got = AL.align(docs.where("coalesce(length(text), 0) < 3000"), with_digests=True, block_bytes=4000, range_bytes=1500, fan_in=3)
+    got = AL.align(docs.where("coalesce(length(text), 0) < 3000"), with_digests=True, block_bytes=4000, range_keys=300, fan_in=3)
     rows = got.collect()
     assert sorted(tuple(r)[:7] + (r.groups_sha256,) for r in rows) == sorted(plain_alignment(libraries, short))
     assert all(r.groups_sha256 == (sha(r.groups) if r.groups else "") for r in rows)

@@ -10,12 +10,13 @@ to the one of the first unless both end there.  Following the pointers, each
 round doubles the step (``pointer = pointer[pointer]``) for all tokens of a chunk
 at once, until every pointer stays at its group's terminal token, which labels it.
 
-How often a pair of ids is linked in the corpus is counted in two passes over
-stored blocks of documents: blocks ask key ranges for the sums of their distinct
-pairs (``corpus_sums``), then read their documents again with the answers.  A key
-is the scrambled second id and the first id, so all pairs of a second id lie in one
-range, which so knows their highest count; they are at most as many as the first
-vocabulary has ids.
+Texts are read and encoded once.  What is written of a block of documents are its
+distinct id pairs with their counts, and for each document its figures and how often
+it links which of these pairs.  Blocks ask key ranges for the corpus-wide sums of
+their pairs (``corpus_sums``) and weigh their documents' links with the answers.  A
+key is the scrambled second id and the first id, so all pairs of a second id lie in
+one range, which so knows their highest count; they are at most as many as the
+first vocabulary has ids.
 
 Defined results: texts that are null or empty, or whose tokens of either side do
 not spell the blank and the text (a U+2581 reads as a blank), have no tokens, zeros
@@ -36,14 +37,15 @@ from wiretable.llm import blocks as B
 from wiretable.llm import byte_tokens as BT
 from wiretable.llm import tokens as T
 from wiretable.llm.corpus_sums import ASKED, FAN_IN, corpus_values, requests
-from wiretable.llm.frames import keyed
+from wiretable.llm.frames import keyed, stored_with
 from wiretable.llm.memo import WordMemory, per_worker, word_ids
 
 BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-BLOCK_BYTES = 3 << 20
-RANGE_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Keys of one range, over all blocks that ask.
+RANGE_KEYS = 1 << 20
 #: Bytes of text whose tokens are aligned at once (a longer document is a chunk of its own).
 CHUNK_BYTES = 1 << 20
 #: Odd, so that multiplying scrambles 32-bit ids without collisions.
@@ -167,7 +169,8 @@ class Chunk:
         self.b = b[np.repeat(good, np.diff(b_first))]
         a_ends, b_ends = np.cumsum(tk.first_spelling.size[self.a]), np.cumsum(tk.second.spelling.size[self.b])
         # Each cut between neighbouring ends is the overlap of one pair of tokens.
-        cuts = np.union1d(a_ends, b_ends)
+        cuts = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")  # merges the two sorted runs
+        cuts = cuts[np.concatenate([[True], cuts[1:] != cuts[:-1]])] if len(cuts) else cuts
         link_a, link_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
         self.keys = ((self.b[link_b].astype(np.uint64) * SCRAMBLE) & LOW) << np.uint64(32) | self.a[link_a].astype(np.uint64)
         a_stop = np.cumsum(self.n_a)
@@ -226,64 +229,101 @@ def pair_values(keys: np.ndarray, total: np.ndarray) -> np.ndarray:
     return 2 * total + (total == np.repeat(best, np.diff(np.append(heads, len(total)))))
 
 
+def _block(held: list[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row of a block: its documents, its distinct pairs, their counts."""
+    keys = np.unique(np.concatenate([k for _, k, *_ in held]))
+    counts, tables = np.zeros(len(keys), np.int64), []
+    for table, own, link, times, sizes in held:
+        place = np.searchsorted(keys, own)[link]
+        counts += np.bincount(place, times, len(keys)).astype(np.int64)
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        gaps = np.diff(place, prepend=0)
+        heads = first[:-1][sizes > 0]
+        gaps[heads] = place[heads]  # a document's first pair by its number, the others by their distance
+        lists = [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(x, pa.int32())) for x in (gaps, times)]
+        tables.append(table.append_column("link", lists[0]).append_column("times", lists[1]))
+    table = pa.concat_tables(tables).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in (
+        (sink.getvalue().to_pybytes(), pa.binary()), (B.pack(B.gaps(keys)), pa.binary()), (B.pack(counts), pa.binary()),
+        (len(keys), pa.int64()))], ["payload", "keys", "counts", "n_keys"])
+
+
 def align(documents: DataFrame, byte_model: str = BYTE_MODEL, piece_model: str = PIECE_MODEL, id_col: str = "doc_id",
           text_col: str = "text", with_groups: bool = True, with_digests: bool = False, block_bytes: int = BLOCK_BYTES,
-          range_bytes: int = RANGE_BYTES, fan_in: int = FAN_IN) -> DataFrame:
+          range_keys: int = RANGE_KEYS, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum of every row; the groups as text; their digest."""
     definition = BT.read_model(byte_model)
     with open(piece_model, "rb") as f:
         proto = f.read()
+
+    def figures(part: pa.RecordBatch, tk: Tokenizers):
+        chunk = Chunk(T.whole(part), tk)
+        columns = {"doc_id": T.column(part, "doc_id"), "n_a": chunk.n_a, "n_b": chunk.n_b, "n_groups": chunk.groups,
+                   "n_links": chunk.links}
+        texts = chunk.texts(tk) if with_groups or with_digests else []
+        if with_groups:
+            columns["groups"] = pa.array([x.decode() for x in texts], pa.string())
+        if with_digests:
+            columns["groups_sha256"] = pa.array([hashlib.sha256(x).hexdigest() if x else "" for x in texts], pa.string())
+        keys, place = np.unique(chunk.keys, return_inverse=True)
+        doc = np.repeat(np.arange(part.num_rows), chunk.links)
+        held, times = np.unique(doc * max(1, len(keys)) + place, return_counts=True)
+        doc, link = np.divmod(held, max(1, len(keys)))
+        return pa.table(columns), keys, link, times, np.bincount(doc, minlength=part.num_rows)
+
+    def read(batches):
+        tk = worker_state(definition, proto)
+        held, size = [], 0
+        for part in T.chunks(batches, limit=min(CHUNK_BYTES, block_bytes)):
+            held.append(figures(part, tk))
+            size += T.column(part, "text").nbytes
+            if size >= block_bytes:
+                yield _block(held)
+                held, size = [], 0
+        if held:
+            yield _block(held)
+
     rows = keyed(documents, id_col, text_col, False).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    packed = B.in_blocks(rows, limit=block_bytes)
-    seen = packed.agg(F.sum("n_bytes").alias("size"), F.count(F.lit(1)).alias("blocks")).first()
+    read_once = rows.mapInArrow(read, "payload binary, keys binary, counts binary, n_keys bigint")
+    blocks, seen = stored_with(read_once.withColumn("block", F.monotonically_increasing_id()),
+                               keys=F.sum("n_keys"), blocks=F.count(F.lit(1)))
     # A range holds all pairs of a second id, so there are at most 2**16 ranges.
-    width = min(16, B.ranges_for(seen["size"] or 0, range_bytes))
-    packed = packed.select("block", "payload")
-
-    def chunks_of(payload: bytes, tk: Tokenizers):
-        for part in T.chunks(B.rows_of(payload).combine_chunks().to_batches(), limit=CHUNK_BYTES):
-            yield part, Chunk(T.whole(part), tk)
+    width = min(16, B.ranges_for(seen["keys"] or 0, range_keys))
 
     def request(batches):
-        tk = worker_state(definition, proto)
         for batch in batches:
-            for name, payload in zip(T.column(batch, "block").to_pylist(), T.column(batch, "payload").to_pylist()):
-                found = [np.unique(chunk.keys, return_counts=True) for _, chunk in chunks_of(payload, tk)]
-                keys, place = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                counts = np.bincount(place, np.concatenate([c for _, c in found]), len(keys)).astype(np.int64)
-                yield requests(name, keys, counts, width)
+            for name, keys, counts in zip(*(T.column(batch, c).to_pylist() for c in ("block", "keys", "counts"))):
+                yield requests(name, np.cumsum(B.unpack(keys, np.uint64)), B.unpack(counts), width)
 
+    answers = corpus_values(blocks.select("block", "keys", "counts").mapInArrow(request, ASKED), seen["blocks"], pair_values,
+                            fan_in=fan_in)
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    schema = (", ".join(f"{n} bigint" for n in names) + ", groups string" * with_groups + ", groups_sha256 string" * with_digests)
+    texts = ["groups"] * with_groups + ["groups_sha256"] * with_digests
 
-    def finish(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        tk = worker_state(definition, proto)
-        answers = answers.sort_by("part")
-        values = np.concatenate([np.zeros(0, np.int64), *[B.unpack(x.as_py()) for x in answers.column("values")]])
+    def finish(held: pa.Table, replies: pa.Table) -> pa.Table:
+        replies = replies.sort_by("part")
+        values = np.concatenate([np.zeros(0, np.int64), *[B.unpack(x.as_py()) for x in replies.column("values")]])
         out = []
-        for payload in blocks.column("payload").to_pylist():
-            parts = list(chunks_of(payload, tk))
-            keys = np.unique(np.concatenate([np.unique(chunk.keys) for _, chunk in parts]))
-            if len(keys) != len(values):
+        for payload, n_keys in zip(held.column("payload").to_pylist(), held.column("n_keys").to_pylist()):
+            if n_keys != len(values):
                 raise ValueError("the counts do not fit the block's pairs")
-            for part, chunk in parts:
-                value = values[np.searchsorted(keys, chunk.keys)]
-                ends = np.cumsum(chunk.links)
-
-                def over_links(x):
-                    return np.diff(np.concatenate([[0], np.cumsum(x)])[np.concatenate([[0], ends])])
-
-                columns = [T.column(part, "doc_id"), chunk.n_a, chunk.n_b, chunk.groups, chunk.links, over_links(value & 1),
-                           over_links(value >> 1)]
-                texts = chunk.texts(tk)
-                if with_groups:
-                    columns.append(pa.array([x.decode() for x in texts], pa.string()))
-                if with_digests:
-                    columns.append(pa.array([hashlib.sha256(x).hexdigest() if x else "" for x in texts], pa.string()))
-                out.append(pa.table(dict(zip([c.split()[0] for c in schema.split(", ")],
-                                             [c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, pa.int64()) for c in columns]))))
+            table = B.rows_of(payload).combine_chunks()
+            link, times = (table.column(c).combine_chunks() for c in ("link", "times"))
+            first = np.concatenate([[0], np.cumsum(link.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+            place = np.concatenate([[0], np.cumsum(link.flatten().to_numpy().astype(np.int64))])
+            place = place[1:] - np.repeat(place[first[:-1]], np.diff(first))
+            value, times = values[place], times.flatten().to_numpy().astype(np.int64)
+
+            def summed(x):
+                return pa.array(np.diff(np.concatenate([[0], np.cumsum(x * times)])[first]), pa.int64())
+
+            out.append(pa.table({**{n: table.column(n) for n in names[:5]}, "n_best": summed(value & 1),
+                                 "count_sum": summed(value >> 1), **{n: table.column(n) for n in texts}}))
         return pa.concat_tables(out)
 
-    asked = packed.mapInArrow(request, ASKED)
-    replies = corpus_values(asked, seen["blocks"], pair_values, fan_in=fan_in)
-    return packed.groupBy("block").cogroup(replies.select("block", "part", "values").groupBy("block")).applyInArrow(finish, schema)
+    schema = ", ".join([f"{n} bigint" for n in names] + [f"{n} string" for n in texts])
+    answers = answers.select("block", "part", "values").groupBy("block")
+    return blocks.select("block", "payload", "n_keys").groupBy("block").cogroup(answers).applyInArrow(finish, schema)
