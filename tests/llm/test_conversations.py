@@ -1,4 +1,5 @@
 from plain import SF001
+from pyspark.sql import functions as F
 
 from wiretable.llm import registry
 from wiretable.llm.conversations import reply_ordered
@@ -41,6 +42,30 @@ def test_odd_rows(spark):
     assert reply_ordered(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_very_long_marks_and_blanks(spark):
+    marks, blanks = ">" * 100_000, " " * (1 << 20)
+    rows = [(1, 0, "user", f"said {blanks}once{blanks}"), (1, 1, "user", f"{marks} said once\nreply"), (1, 2, "user", f"{blanks}> said once\n{blanks}x"),
+            (1, 3, "user", f"{blanks}\n{marks}\n" + "> " * 50_000 + "said once\nlast")]
+    got = {r.turn: r for r in reply_ordered(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[k].parent for k in range(4)] == [None, 0, 0, 0]
+    assert (got[1].text, got[2].text, got[3].text) == ("reply", "x", "last") and len(got[0].text) == len("said once") + len(blanks)
+
+
+def test_many_messages_that_quote(spark):
+    """100,000 messages of which two of three quote: a third of them in one conversation."""
+    n = F.col("id")
+    conv = F.when(n % 3 == 0, F.lit(0).cast("bigint")).otherwise(n % 997)
+    # In the large conversation every message quotes the one three before, in the others the one 997 before.
+    before = n - F.when(n % 3 == 0, 3).otherwise(997 * 3)
+    quotes = (n % 9 != 0) & (before >= 0)
+    text = F.concat(F.when(quotes, F.concat(F.lit("> message number "), before.cast("string"), F.lit("\n"))).otherwise(""),
+                    F.lit("message number "), n.cast("string"))
+    rows = spark.range(100_000).select(conv.alias("conv_id"), n.alias("turn"), F.lit("user").alias("role"), text.alias("text"))
+    got = reply_ordered(rows, ordered=False).where("parent is not null")
+    r = got.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("turn") - F.col("parent") == F.when(F.col("conv_id") == 0, 3).otherwise(2991)).alias("good")).first()
+    assert r.n > 50_000 and r.good >= r.n - 200
+
+
 def test_plan_is_native(spark):
     plan = reply_ordered(spark.createDataFrame(TALK, SCHEMA))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

@@ -16,7 +16,8 @@ the order is a range-partitioned sort.
 
 Defined results: null texts are empty messages; rows with null conversation or turn
 answer nothing and are their own thread; rows with equal conversation and turn share
-their links and are all kept; a quotation without original links nothing; an empty
+their links and are all kept; a quotation without original links nothing; lines with
+any number of ``>`` and texts with any run of blanks are read in one pass; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -28,13 +29,16 @@ from pyspark.sql import functions as F
 
 from wiretable.llm.frames import stored
 
-MARKS = r"^(?:[ \t]*>)*"
+#: Signs and blanks before a quoted line.  Possessive: a group that repeats recurses once per sign.
+MARKS = r"^[ \t>]*+"
+BLANKS = " \t\n\u000b\f\r"
 #: One message in the text format of a conversation.
 FORMAT = "<|%s|>\n%s<|end|>\n"
 
 
 def level(line: Column) -> Column:
-    return F.length(F.regexp_replace(F.regexp_extract(line, MARKS, 0), "[^>]+", ""))
+    marks = F.regexp_extract(line, MARKS, 0)
+    return F.length(marks) - F.length(F.replace(marks, F.lit(">"), F.lit("")))
 
 
 def normal(line: Column) -> Column:
@@ -44,12 +48,12 @@ def normal(line: Column) -> Column:
 def without_quotes(text: Column) -> Column:
     """The lines of level 0, without the blank lines around them."""
     own = F.filter(F.split(text, "\n"), lambda line: level(line) == 0)
-    return F.regexp_replace(F.array_join(own, "\n"), r"^\s+|\s+$", "")
+    return F.btrim(F.array_join(own, "\n"), F.lit(BLANKS))
 
 
 def passages(messages: DataFrame) -> DataFrame:
     """conv_id, turn, depth, print, size: passages and lines of the conversations that quote."""
-    quoting = messages.where(F.col("text").rlike(r"(?m)^[ \t]*>")).select("conv_id").distinct()
+    quoting = messages.where(F.col("text").rlike(r"(?m)^[ \t]*+>")).select("conv_id").distinct()
     some = messages.join(quoting, "conv_id", "left_semi").where("turn is not null").distinct()
     lines = some.select("conv_id", "turn", F.xxhash64("text").alias("version"),
                         F.posexplode(F.split("text", "\n")).alias("line", "body"))
