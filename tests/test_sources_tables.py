@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wiretable.operators.profiling import extraction_stats, file_outcomes
 from wiretable.plans.pipeline import extract, run
-from wiretable.plans.tables import describe_table, load_checks, write_table
+from wiretable.plans.tables import describe_table, load_checks, write_load, write_table
 from wiretable.schema import RAW13_FIELDS, RAW16_FIELDS
 from wiretable.sources.exports import list_exports, read_export
 
@@ -97,6 +97,18 @@ def test_export_rows_as_a_csv_reader_splits_them(spark, scratch):
     assert [r.source_file for r in listing.collect()] == ["x y+z%1.csv"]
 
 
+def test_long_quoted_fields_of_short_rows(spark, scratch):
+    """A short row with a field of a megabyte, one of doubled quotes and one that never closes."""
+    long = 1 << 20
+    lines = ['t,"' + "x," * (long // 2) + '"', 't,"' + '""' * (long // 2) + '",1', 't,"' + "y" * long, "t,10.0.0.1,8.8.8.8,6,1,2,,,60,,,,ua"]
+    with open(os.path.join(scratch, "long.csv"), "w") as fh:
+        fh.write("\n".join([EXPORT, *reversed(lines)]) + "\n")
+    read = read_export(spark, scratch, "modular", glob="*.csv")
+    # Only the counts are asked for: no other column is read.
+    r = read.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), F.count_if("short_row").alias("short")).first()
+    assert (r.source_file, r.rows, r.short) == ("long.csv", 4, 3)
+
+
 def test_file_outcomes(spark, scratch):
     for name, body in (("full one.csv", "t,10.0.0.1,8.8.8.8,6,1,2,,,60,,,,\n"), ("empty.csv", "")):
         with open(os.path.join(scratch, name), "w") as fh:
@@ -142,6 +154,33 @@ def test_table_load_and_integrity(spark):
             write_table(_traffic(spark, [bad]), "nt_bad", "modular")
 
 
+def test_integrated_rows_may_lack_a_length(spark):
+    df = _traffic(spark, [("2023-05-17 10:00:00", "b", 1), ("2023-05-17 10:00:00", "b", None)])
+    df = df.withColumnsRenamed({"src_ip_anon": "src_ip_anonimizada", "dst_ip_anon": "dst_ip_anonimizada"})
+    assert write_table(df, "nt_integrated", "integrated") == 2
+    assert load_checks(spark.table("nt_integrated"), "integrated").first().broken_rows == 0
+
+
+def test_replayed_load_leaves_the_table(spark):
+    def held():
+        return sorted((r.id, r.load_id, r.dst_ip_anon, str(r.event_date)) for r in spark.table("nt_loads").collect())
+
+    a = _traffic(spark, [("2023-05-17 10:00:00", "b", 1), ("2023-05-18 10:00:00", "c", 2)])
+    b = _traffic(spark, [("2023-05-18 10:00:00", "d", 3)])
+    assert write_load(a, "nt_loads", "modular", "a") == 2
+    first = held()
+    assert write_load(a, "nt_loads", "modular", "a") == 2 and held() == first
+    assert write_load(b, "nt_loads", "modular", "b") == 1
+    both = held()
+    assert len(both) == 3 and len({i for i, *_ in both}) == 3 and both[:2] == first
+    assert write_load(a, "nt_loads", "modular", "a") == 2 and held() == both
+    # A corrected load that lost a date leaves nothing of it.
+    assert write_load(a.where("dst_ip_anon = 'b'"), "nt_loads", "modular", "a") == 1
+    assert held() == [both[0], both[2]]
+    with pytest.raises(Exception, match="NOT NULL"):
+        write_load(_traffic(spark, [("2023-05-17 10:00:00", "b", None)]), "nt_loads", "modular", "c")
+
+
 def test_load_writes_few_files_per_date(spark, scratch):
     df = _traffic(spark, [(f"2023-05-{1 + k % 20:02d} 10:00:00", "b", k) for k in range(400)]).repartition(16)
     write_table(df, "nt_files", "modular", path=f"{scratch}/nt_files")

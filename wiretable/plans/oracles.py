@@ -494,6 +494,8 @@ def _spellings() -> str:
 
 
 def oracles() -> dict[str, str]:
+    from .threat_oracles import threat_oracles  # it builds on the fragments above
+
     nt = _nt()
     comp_cols = ["dns_query", "http_host", "http_path", "user_agent"]
     comp = " UNION ALL ".join(
@@ -551,6 +553,12 @@ def oracles() -> dict[str, str]:
         "extraction_stats_integrated": _stats("integrated"),
         "export_roundtrip_integrated": _roundtrip("integrated"),
         "export_roundtrip_modular": _roundtrip("modular"),
+        "export_rows_per_file": _with(_outcome("modular"), "SELECT 'a b+' || regexp_extract(source_file, '([0-9]+)', 1) AS source_file, "
+                                      "count(*) AS rows, count(*) FILTER (WHERE packet_id % 67 = 0) AS short_rows FROM o GROUP BY 1"),
+        "replayed_load_checks": _with(_nt_modular(), "SELECT 2 * count(*) AS rows, count(DISTINCT src_ip_anon) AS distinct_src, "
+                                      "count(DISTINCT dst_ip_anon) AS distinct_dst, 2 * count(*) AS distinct_ids, "
+                                      "CAST(0 AS BIGINT) AS broken_rows, 2 * count(*) AS kept_ids FROM nt", True),
+        **threat_oracles(),
         "load_checks_integrated": _loads(nt, "src_ip_anonimizada", "dst_ip_anonimizada"),
         "load_checks_modular": _loads(_nt_modular(), "src_ip_anon", "dst_ip_anon"),
         "stage_roundtrip": _with(_nt_modular(), "SELECT packet_id, src_ip_anon, dst_port, length, dns_query FROM nt", True),

@@ -29,7 +29,8 @@ from ..session import Workspace, bind, ensure_checkpoint_dir, materialize
 from ..sources.exports import read_export, read_stage
 from ..sources.packets import packets
 from .pipeline import clean, clean_counters, extract, validate
-from .tables import load_checks, write_stage, write_table
+from .tables import load_checks, write_load, write_stage, write_table
+from .threat_queries import THREAT_QUERIES
 
 # Parity tests and the golden pseudonyms use the published salt (a fixed value).
 PUBLISHED_SALT = K.PUBLISHED_SALT
@@ -262,35 +263,44 @@ def _extraction_stats(prof: Profile):
     return run
 
 
+def _written_export(spark: SparkSession, sf_dir: str, prof: Profile) -> DataFrame:
+    """The export written as text, a folder per capture with a header in each file, and read back."""
+    fields = RAW16_FIELDS if prof.ipv6 else RAW13_FIELDS
+    raw = raw_export(spark, sf_dir)
+    sep, pid = ("\t" if prof.ipv6 else ","), F.col("packet_id")
+    cells = [F.coalesce(F.col(f"`{f}`"), F.lit("")) for f in fields]
+    if not prof.ipv6:
+        # Absent fields stay bare, present ones are quoted with their quotes doubled.
+        cells = [F.when(c == "", c).otherwise(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
+                 for c in cells]
+    line = F.concat_ws(sep, *cells)
+    if not prof.ipv6:  # some rows lack their last two fields, others have one more
+        line = (F.when(pid % 67 == 0, F.concat_ws(sep, *cells[:-2]))
+                .when(pid % 61 == 0, F.concat(line, F.lit(",extra"))).otherwise(line))
+    # Names with a blank and a plus, which file systems escape in their own ways.
+    capture = F.concat(F.lit("a b+"), F.regexp_extract("source_file", "([0-9]+)", 1))
+    body = raw.select(capture.alias("capture"), F.lit(1).alias("place"), line.alias("line"))
+    header = body.select("capture").distinct().select("capture", F.lit(0).alias("place"), F.lit(sep.join(fields)).alias("line"))
+    folder = f"{_scratch(spark)}/exports/{uuid.uuid4().hex}"
+    (body.unionByName(header).repartition("capture").sortWithinPartitions("capture", "place")
+     .drop("place").write.partitionBy("capture").text(folder))
+    read = read_export(spark, f"{folder}/*", prof, by_folder=True)
+    return read.withColumn("source_file", F.regexp_replace("source_file", "^capture=", ""))
+
+
 def _roundtrip(prof: Profile):
-    """The export written as text, a folder per capture with a header in each file, read by
-    the export reader and extracted; rows per capture and outcome."""
+    """The written export extracted; rows per capture and outcome."""
     def run(spark, sf_dir):
-        fields = RAW16_FIELDS if prof.ipv6 else RAW13_FIELDS
-        raw = raw_export(spark, sf_dir)
-        sep, pid = ("\t" if prof.ipv6 else ","), F.col("packet_id")
-        cells = [F.coalesce(F.col(f"`{f}`"), F.lit("")) for f in fields]
-        if not prof.ipv6:
-            # Absent fields stay bare, present ones are quoted with their quotes doubled.
-            cells = [F.when(c == "", c).otherwise(F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')))
-                     for c in cells]
-        line = F.concat_ws(sep, *cells)
-        if not prof.ipv6:  # some rows lack their last two fields, others have one more
-            line = (F.when(pid % 67 == 0, F.concat_ws(sep, *cells[:-2]))
-                    .when(pid % 61 == 0, F.concat(line, F.lit(",extra"))).otherwise(line))
-        # Names with a blank and a plus, which file systems escape in their own ways.
-        capture = F.concat(F.lit("a b+"), F.regexp_extract("source_file", "([0-9]+)", 1))
-        body = raw.select(capture.alias("capture"), F.lit(1).alias("place"), line.alias("line"))
-        header = body.select("capture").distinct().select("capture", F.lit(0).alias("place"), F.lit(sep.join(fields)).alias("line"))
-        folder = f"{_scratch(spark)}/exports/{uuid.uuid4().hex}"
-        (body.unionByName(header).repartition("capture").sortWithinPartitions("capture", "place")
-         .drop("place").write.partitionBy("capture").text(folder))
-        read = read_export(spark, f"{folder}/*", prof, by_folder=True)
-        read = read.withColumn("source_file", F.regexp_replace("source_file", "^capture=", ""))
-        return G.outcome_counts(extract(read, prof).tagged)
+        return G.outcome_counts(extract(_written_export(spark, sf_dir, prof), prof).tagged)
     return run
 
 
+def export_rows_per_file(spark, sf_dir):
+    """Rows and short rows of each file of the quoted export; no field is extracted for it."""
+    read = _written_export(spark, sf_dir, MODULAR)
+    return read.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"), F.count_if("short_row").alias("short_rows"))
+
+
 def _scratch(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/wiretable/{spark.sparkContext.applicationId}"
 
@@ -299,6 +309,8 @@ def _loads(prof: Profile):
     """The loaded table written twice (overwrite, then append), checked after both."""
     def run(spark, sf_dir):
         t = loaded_table(spark, sf_dir, prof)
+        if not prof.length_required:  # rows without a length are loaded too
+            t = t.withColumn("length", F.when(F.col("packet_id") % 7 != 0, F.col("length")))
         name = f"wiretable_load_{prof.name}_{uuid.uuid4().hex}"
         write_table(t, name, prof)
         write_table(t, name, prof, mode="append")
@@ -308,6 +320,21 @@ def _loads(prof: Profile):
     return run
 
 
+def replayed_load_checks(spark, sf_dir):
+    """Two loads, of which the first is written again: nothing is doubled and every id stays."""
+    t = loaded_table(spark, sf_dir, MODULAR)
+    name = f"wiretable_replay_{uuid.uuid4().hex}"
+    write_load(t, name, MODULAR, "a")
+    write_load(t, name, MODULAR, "b")
+    before = materialize(spark.table(name).select("id", "packet_id", "load_id"))
+    write_load(t, name, MODULAR, "a")
+    after = spark.table(name)
+    kept = after.join(before, ["id", "packet_id", "load_id"], "left_semi").agg(F.count(F.lit(1)).alias("kept_ids"))
+    checks = materialize(load_checks(after, MODULAR).withColumn("k", F.lit(1)).join(kept.withColumn("k", F.lit(1)), "k").drop("k"))
+    spark.sql(f"DROP TABLE {name}")
+    return checks
+
+
 def stage_roundtrip(spark, sf_dir):
     """The cleaned rows written as a CSV stage and read with their schema."""
     rows = loaded_table(spark, sf_dir, MODULAR).select("packet_id", "src_ip_anon", "dst_port", "length", "dns_query")
@@ -424,6 +451,7 @@ QUERIES = {
     "extraction_stats_integrated": _extraction_stats(INTEGRATED),
     "export_roundtrip_integrated": _roundtrip(INTEGRATED),
     "export_roundtrip_modular": _roundtrip(MODULAR),
+    "export_rows_per_file": export_rows_per_file,
     "load_checks_integrated": _loads(INTEGRATED),
     "load_checks_modular": _loads(MODULAR),
     "stage_roundtrip": stage_roundtrip,
@@ -440,4 +468,6 @@ QUERIES = {
     "cleaned_rows_integrated": _cleaned_rows(INTEGRATED),
     "cleaned_rows_modular": _cleaned_rows(MODULAR),
     "cleaned_rows_keep_flagged_modular": cleaned_rows_keep_flagged_modular,
+    "replayed_load_checks": replayed_load_checks,
+    **THREAT_QUERIES,
 }

@@ -54,6 +54,7 @@ class Profile:
     hash_salt_first: bool           # sha256(salt||ip) vs sha256(ip||salt)
     hash_missing_as_empty: bool     # '' (integrated) or NULL (modular) pseudonym
     default_length: str | None      # missing frame length replaced by this text
+    length_required: bool           # the loaded table refuses rows without a length
     anon_columns: tuple[str, str] = field(default=("src_ip_anon", "dst_ip_anon"))
     capture_globs: tuple[str, ...] = ()
 
@@ -67,7 +68,8 @@ class Profile:
     @property
     def not_null(self) -> list[str]:
         """Columns that the loaded table may not lack."""
-        return ["timestamp", *self.anon_columns, "protocol", "length"]
+        length = ["length"] if self.length_required else []
+        return ["timestamp", *self.anon_columns, "protocol", *length]
 
     @property
     def layout(self) -> list[str]:
@@ -82,14 +84,14 @@ class Profile:
 INTEGRATED = Profile(
     name="integrated", ipv6=True, relevance_filter=False, first_occurrence=False, strip_quotes=False,
     flow_window_s=K.FLOW_WINDOW_INTEGRATED_S, flow_key_with_protocol=True,
-    hash_salt_first=False, hash_missing_as_empty=True, default_length=None,
+    hash_salt_first=False, hash_missing_as_empty=True, default_length=None, length_required=False,
     anon_columns=("src_ip_anonimizada", "dst_ip_anonimizada"),
     capture_globs=tuple(K.CAPTURE_GLOBS_INTEGRATED),
 )
 MODULAR = Profile(
     name="modular", ipv6=False, relevance_filter=True, first_occurrence=True, strip_quotes=True,
     flow_window_s=K.FLOW_WINDOW_MODULAR_S, flow_key_with_protocol=False,
-    hash_salt_first=True, hash_missing_as_empty=False, default_length="0",
+    hash_salt_first=True, hash_missing_as_empty=False, default_length="0", length_required=True,
     anon_columns=("src_ip_anon", "dst_ip_anon"),
     capture_globs=tuple(K.CAPTURE_GLOBS_MODULAR),
 )

@@ -78,9 +78,12 @@ def with_lineage(df: DataFrame, by_folder: bool = False) -> DataFrame:
     df = df.withColumn("source_file", file_name(source))
     if ODD_ROW not in df.columns:
         return df
-    outside = F.regexp_replace(F.col(ODD_ROW), '"([^"]|"")*("|$)', "")
+    # Possessive, as a backtracking group recurses once per character of a long field.
+    outside = F.regexp_replace(F.col(ODD_ROW), '"(?:[^"]++|"")*+(?:"|$)', "")
     commas = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit("")))
-    return df.withColumn("short_row", F.coalesce(commas < len(RAW13_FIELDS) - 1, F.lit(False))).drop(ODD_ROW)
+    # A short row lacks its last field; reading that column too, the odd rows can be asked for alone.
+    short = F.col(f"`{RAW13_FIELDS[-1]}`").isNull() & (commas < len(RAW13_FIELDS) - 1)
+    return df.withColumn("short_row", F.coalesce(short, F.lit(False))).drop(ODD_ROW)
 
 
 def read_export(spark: SparkSession, path: str, prof: str | Profile,
