@@ -14,7 +14,7 @@ def check(got, rows):
         assert g[4:] == pytest.approx(w[4:], abs=1e-7)
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 3000, "range_bytes": 2000}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 3000, "range_bytes": 2000}, {"block_bytes": 1000, "range_bytes": 5000, "fan_in": 3}])
 def test_odd_rows(odd, odd_rows, options):
     check(score_documents(odd, **options).collect(), odd_rows)
 

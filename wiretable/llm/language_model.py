@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from wiretable.llm import blocks as B
 from wiretable.llm import tokens as T
+from wiretable.llm.corpus_sums import ASKED, FAN_IN, corpus_values, requests
 from wiretable.llm.frames import fold, keyed, stored
 
 MU = 500.0
@@ -142,7 +143,8 @@ def _score(block: BlockText, totals: np.ndarray, tokens: int, types: int, mu: fl
 
 
 def score_documents(documents: DataFrame, held_out: Column | None = None, mu: float = MU, id_col: str = "doc_id",
-                    text_col: str = "text", block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+                    text_col: str = "text", block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES,
+                    fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
     ``held_out`` (a condition on the input's columns) marks the documents that
@@ -152,8 +154,8 @@ def score_documents(documents: DataFrame, held_out: Column | None = None, mu: fl
     rows = keyed(documents.withColumn("row_held", F.coalesce(held, F.lit(False))), id_col, text_col, True).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("row.row_held").alias("held_out"))
     packed = B.in_blocks(rows, limit=block_bytes)
-    size = packed.agg(F.sum("n_bytes")).first()[0] or 0
-    width = B.ranges_for(size, range_bytes)
+    seen = packed.agg(F.sum("n_bytes").alias("size"), F.count(F.lit(1)).alias("blocks")).first()
+    width = B.ranges_for(seen["size"] or 0, range_bytes)
     packed = packed.select("block", "payload")
 
     def request(batches):
@@ -162,37 +164,17 @@ def score_documents(documents: DataFrame, held_out: Column | None = None, mu: fl
                 table = B.rows_of(payload)
                 block = BlockText(table.column("text").combine_chunks())
                 counts = block.trained(~table.column("held_out").to_numpy())
-                part, heads, stops = B.by_range(block.keys, width)
                 pa.default_memory_pool().release_unused()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part), pa.array([name] * len(part), pa.int64()),
-                    pa.array([B.pack(B.gaps(block.keys[a:b])) for a, b in zip(heads, stops)], pa.binary()),
-                    pa.array([B.pack(counts[a:b]) for a, b in zip(heads, stops)], pa.binary())],
-                    ["part", "block", "keys", "counts"])
-
-    def reduce(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(B.unpack(x.as_py(), np.uint64)) for x in table.column("keys")]
-        counts = [B.unpack(x.as_py()) for x in table.column("counts")]
-        sizes = [len(k) for k in keys]
-        all_keys, place = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(place, np.concatenate(counts).astype(np.float64), len(all_keys)).astype(np.int64)
-        words = (all_keys & _KIND) == 1
-        n = table.num_rows
-        replies = [B.pack(total[p]) for p in np.split(place, np.cumsum(sizes)[:-1])]
-        stat = lambda x: pa.array([int(x)] + [0] * (n - 1), pa.int64())
-        return pa.table({"block": table.column("block"), "part": table.column("part"),
-                         "totals": pa.array(replies, pa.binary()), "tokens": stat(total[words].sum()),
-                         "types": stat((total[words] > 0).sum())})
-
-    asked = packed.mapInArrow(request, "part bigint, block bigint, keys binary, counts binary")
-    replies = stored(asked.groupBy("part").applyInArrow(
-        reduce, "block bigint, part bigint, totals binary, tokens bigint, types bigint"))
-    stats = replies.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
+                yield requests(name, block.keys, counts, width)
+
+    replies = stored(corpus_values(packed.mapInArrow(request, ASKED), seen["blocks"], lambda keys, total: total,
+                                   lambda keys: (keys & _KIND) == 1, fan_in))
+    stats = replies.agg(F.sum("n").alias("n"), F.sum("kinds").alias("v")).first()
     tokens, types = int(stats["n"] or 0), int(stats["v"] or 0)
 
     def finish(rows: pa.Table, answers: pa.Table) -> pa.Table:
         answers = answers.sort_by("part")
-        totals = np.concatenate([B.unpack(x.as_py()) for x in answers.column("totals")])
+        totals = np.concatenate([B.unpack(x.as_py()) for x in answers.column("values")])
         out = []
         for payload in rows.column("payload").to_pylist():
             table = B.rows_of(payload)
@@ -204,6 +186,6 @@ def score_documents(documents: DataFrame, held_out: Column | None = None, mu: fl
                                  **dict(zip(names, _score(block, totals, tokens, types, mu)))}))
         return pa.concat_tables(out)
 
-    return packed.groupBy("block").cogroup(replies.select("block", "part", "totals").groupBy("block")).applyInArrow(
+    return packed.groupBy("block").cogroup(replies.select("block", "part", "values").groupBy("block")).applyInArrow(
         finish, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                 "base_score double, score double")

@@ -22,12 +22,7 @@ def quality() -> str:
         return f"length(regexp_replace(t, '[^{members}]+', '', 'g'))"
 
     marks = r""".,;:!?''"()\-"""
-    words = ", ".join("'" + w + "'" for w in Q.WORDS)
     classes = ["solid - upper - digit - symbol - wide - mark", "upper", "digit", "n - solid", "symbol", "wide", "mark"]
-    sums = ", ".join(f"sum(chars[{k + 1}]) AS c{k}" for k in range(7))
-    sums += ", " + ", ".join(f"sum(words[{k + 1}]) AS w{k}" for k in range(len(Q.WORDS) + 1))
-    shares = ", ".join("[" + ", ".join(f"{x}{k} / ({' + '.join(f'{x}{j}' for j in range(n))})" for k in range(n)) + f"] AS {name}"
-                       for x, n, name in (("c", 7, "rc"), ("w", len(Q.WORDS) + 1, "rw")))
 
     def distance(own: str, ref: str) -> str:
         share = f"list_transform({own}, lambda x: x / list_sum({own}))"
@@ -35,6 +30,15 @@ def quality() -> str:
         return (f"sqrt(greatest(list_sum(list_transform(list_zip({share}, {ref}), lambda z: {part.format('z[1]')} + "
                 f"{part.format('z[2]')})) / 2, 0.0))")
 
+    def shares(column: str, name: str) -> str:
+        """The summed histogram of each language, as shares."""
+        return (f"{name} AS (SELECT lang, list(s / t ORDER BY k) AS {name} FROM (SELECT lang, k, sum({column}[k]) AS s, "
+                f"sum(sum({column}[k])) OVER (PARTITION BY lang) AS t FROM (SELECT lang, {column}, unnest(range(1, len({column}) + 1)) AS k "
+                f"FROM v JOIN l USING (lang) WHERE NOT base_failed) GROUP BY 1, 2) GROUP BY 1)")
+
+    def limit(base: float, slack: float) -> str:
+        return f"sqrt({base} * {base} + {slack} * greatest(1 / n_words - 1 / {Q.STEADY_WORDS}, 0.0) * {base} * {base})"
+
     return rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 f AS (SELECT *, regexp_extract_all(t, '{WORD}') AS w, length(t) AS n,
@@ -44,20 +48,26 @@ f AS (SELECT *, regexp_extract_all(t, '{WORD}') AS w, length(t) AS n,
 g AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM f WHERE len(w) >= 3),
 h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS c FROM g),
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM h, (SELECT unnest([0, 1, 2]) AS k) WHERE c > 1 GROUP BY 1),
-m AS (SELECT f.*, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words,
-  [{', '.join(classes)}] AS chars,
-  list_transform([{words}], lambda x: len(list_filter(w, lambda y: lower(y) = x)))
-    || [len(list_filter(w, lambda y: lower(y) NOT IN ({words})))] AS words FROM f LEFT JOIN r USING (doc_id)),
-s AS (SELECT lang, {sums} FROM m WHERE lang IS NOT NULL GROUP BY 1),
-q AS (SELECT {shares} FROM s),
-j AS (SELECT doc_id, min({distance('chars', 'rc')}) AS dc, min({distance('words', 'rw')}) AS dw
-  FROM m, q WHERE n_words > 0 GROUP BY 1),
-b AS (SELECT m.*, dc, dw, n_words < {Q.BASE_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed
-  FROM m LEFT JOIN j USING (doc_id))
+m AS (SELECT f.*, len(w) AS n_words, coalesce(n_repeat_words, 0) AS n_repeat_words, [{', '.join(classes)}] AS chars,
+  list_transform(list_filter(w, lambda x: length(x) <= {Q.COMMON_LETTERS}), lambda x: lower(x)) AS short,
+  len(w) < {Q.BASE_WORDS} OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed FROM f LEFT JOIN r USING (doc_id)),
+l AS (SELECT lang FROM m WHERE NOT base_failed AND lang IS NOT NULL GROUP BY 1 HAVING count(*) >= {Q.REFERENCE_DOCUMENTS}
+  ORDER BY count(*) DESC, lang LIMIT {Q.MOST_LANGUAGES}),
+e AS (SELECT lang, unnest(short) AS word FROM m JOIN l USING (lang) WHERE NOT base_failed),
+k AS (SELECT word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place FROM e GROUP BY lang, word),
+x AS (SELECT coalesce(list(DISTINCT word ORDER BY word), []) AS common FROM k WHERE place <= {Q.COMMON_WORDS}),
+u AS (SELECT m.*, common, list_transform(common, lambda y: len(list_filter(short, lambda z: z = y))) AS found FROM m, x),
+v AS (SELECT *, found || [n_words - coalesce(list_sum(found), 0)] AS words FROM u),
+{shares('chars', 'rc')},
+{shares('words', 'rw')},
+q AS (SELECT rc, rw, list_transform(range(len(rw)), lambda j: CASE WHEN j = len(rw) - 1 THEN 1.0 ELSE 0.0 END) AS bare
+  FROM rc JOIN rw USING (lang) WHERE len(rw) > 1 AND rw[-1] < 1),
+j AS (SELECT doc_id, min({distance('chars', 'rc')}) AS dc, min({distance('words', 'rw')} / {distance('bare', 'rw')}) AS dw
+  FROM v, q WHERE n_words > 0 GROUP BY 1)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(solid AS BIGINT) AS word_chars, CAST(symbol AS BIGINT) AS n_symbols,
   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-  base_failed, NOT base_failed AND NOT (n_words >= {Q.MIN_WORDS} AND
-    (coalesce(dc > {Q.CHAR_LIMIT}, false) OR coalesce(dw > {Q.WORD_LIMIT}, false))) AS kept FROM b"""
+  base_failed, NOT base_failed AND NOT (coalesce(dc > {limit(Q.CHAR_LIMIT, Q.CHAR_SLACK)}, false)
+    OR coalesce((lang IS NULL OR lang IN (SELECT lang FROM l)) AND dw > {limit(Q.WORD_SHARE, Q.WORD_SLACK)}, false)) AS kept FROM v LEFT JOIN j USING (doc_id)"""
 
 
 def substring_dedup() -> str:
