@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .joins import bounded_join
 from ..functions.addresses import is_valid_ip
-from ..session import bind
+from ..session import bind, materialize
 
 V4_BITS, V6_BITS = 32, 128
 
@@ -64,16 +64,15 @@ def with_address_bits(df: DataFrame, column: str, name: str = "bits") -> DataFra
 
 def range_blocks(low: Column, high: Column) -> Column:
     """The aligned blocks (start, size) that an IPv4 range of numbers is cut into, at most two of a size."""
-    def inside(width: int) -> tuple[Column, Column]:
-        """Begin and end of the aligned blocks of a width that lie in the range."""
-        return F.ceil(low / width).cast("bigint") * width, F.floor((high + 1) / width).cast("bigint") * width
+    none = F.array().cast("array<bigint>")
 
-    def sized(starts: Column, size: int) -> Column:
-        return F.transform(starts, lambda x: F.struct(x.alias("start"), F.lit(size).alias("size")))
+    def of_size(size: Column) -> Column:
+        width = F.pow(F.lit(2), V4_BITS - size).cast("bigint")
+
+        def inside(w: Column) -> tuple[Column, Column]:
+            """Begin and end of the aligned blocks of a width that lie in the range."""
+            return F.ceil(low / w).cast("bigint") * w, F.floor((high + 1) / w).cast("bigint") * w
 
-    blocks, none = [], F.array().cast("array<bigint>")
-    for size in range(V4_BITS + 1):
-        width = 1 << (V4_BITS - size)
         begin, end = inside(width)
         wide_begin, wide_end = inside(2 * width)
         # Next to what wider blocks cover there is at most one at each side; without wider blocks at most two.
@@ -81,8 +80,9 @@ def range_blocks(low: Column, high: Column) -> Column:
                          F.when(wide_end < end, F.array(end - width)).otherwise(none))
         own = F.when(begin >= end, none).when(wide_begin < wide_end, edges).otherwise(
             F.array_distinct(F.array(begin, end - width)))
-        blocks.append(sized(own, size))
-    return F.concat(*blocks)
+        return F.transform(own, lambda x: F.struct(x.alias("start"), size.alias("size")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(V4_BITS)), of_size))
 
 
 def address_prefixes(indicators: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def address_prefixes(indicators: DataFrame) -> DataFrame:
 
 def match_addresses(values: DataFrame, indicators: DataFrame) -> DataFrame:
     """address, indicator: the longest block of each distinct address of column ``address`` (ties: least text)."""
-    prefixes = address_prefixes(indicators)
+    prefixes = materialize(address_prefixes(indicators))
     # At most 33 + 129 lengths: a bounded list, whatever the number of indicators.
     lengths = sorted(r[0] for r in prefixes.select(F.length("prefix")).distinct().collect())
     distinct = with_address_bits(values.select("address").where("address is not null").distinct(), "address").where("bits is not null")
@@ -135,8 +135,8 @@ def indicator_match(packets: DataFrame, indicators: DataFrame, id_col: str = "pa
     blocks = indicators.where("kind = 'address'").select("indicator")
     domains = indicators.where("kind = 'domain'").select("indicator")
     ends = packets.select(F.col("src_ip").alias("address")).unionByName(packets.select(F.col("dst_ip").alias("address")))
-    addresses = match_addresses(ends, blocks)
-    names = match_domains(packets.select(F.col("dns_query").alias("name")), domains)
+    addresses = materialize(match_addresses(ends, blocks))
+    names = materialize(match_domains(packets.select(F.col("dns_query").alias("name")), domains))
     out = packets.select(id_col, "src_ip", "dst_ip", "dns_query")
     for column, found, key in (("src_ip", addresses, "address"), ("dst_ip", addresses, "address"), ("dns_query", names, "name")):
         own = found.select(F.col(key).alias(column), F.col("indicator").alias(f"{column.split('_')[0]}_indicator"))
