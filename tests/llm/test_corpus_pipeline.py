@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline
 import plain
 from plain import SF001
@@ -42,6 +44,19 @@ def test_each_stage_against_plain(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF001).collect()) == sorted(r.doc_id for r in last.collect())
 
 
+def test_run_leaves_only_what_its_result_reads(spark, scratch):
+    from wiretable.session import Workspace
+
+    def folders():
+        base = os.path.dirname(Workspace(spark).folder).replace("file:", "")
+        return {f for f in (os.listdir(base) if os.path.isdir(base) else []) if f != "shared"}
+
+    before = folders()
+    result = corpus_pipeline.run(spark, SF001)
+    left = folders() - before
+    assert len(left) == 1 and result.count() > 0  # the masked documents that the last stage reads
+
+
 def test_stages_take_odd_and_empty_documents(spark, odd_rows, empty):
     rows = [(i, t, None, None, None) for i, t in odd_rows] + [(None, None, "en", "s", 1), (None, "some text here", "en", "s", 1)]
     for docs in (spark.createDataFrame(rows, empty.schema), empty):

@@ -26,6 +26,13 @@ def stored_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     return materialize_observed(df, **metrics)
 
 
+def without_rows(df: DataFrame, dropped: DataFrame, on: str, max_rows: int = 1_000_000) -> DataFrame:
+    """The rows whose ``on`` is not among the dropped ones, which are broadcast only if they are measured few."""
+    from wiretable.operators.joins import bounded_join
+
+    return bounded_join(df, dropped, [on], "left_anti", max_rows)
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, inside the owner's of the current run."""
     from wiretable.session import new_folder

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wiretable.llm import tokens as T
 from wiretable.llm.components import connected_components
-from wiretable.llm.frames import stored
+from wiretable.llm.frames import without_rows, stored
 
 SHINGLE = 3
 DISTANCE = 3
@@ -274,5 +274,8 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     narrow = numbered.select(F.col("row")[id_col].alias("doc_id"), F.col("row")[options.get("text_col", "text")].alias("text"), "row_no")
     found = near_duplicates(narrow, **{**options, "id_col": "doc_id", "text_col": "text", "row_col": "row_no"})
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no")
-    keep = found.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row_no").alias("row_no"))
-    return numbered.join(keep, "row_no", "left_semi").select("row.*")
+    found = stored(found.select("root", "doc_id", "row_no"))
+    first = found.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Only the dropped rows meet the documents: broadcast if they are few, else a shuffled join.
+    dropped = found.join(first.select("root", F.col("first.row_no").alias("kept")), "root").where("row_no != kept").select("row_no")
+    return without_rows(numbered, dropped, "row_no").select("row.*")
