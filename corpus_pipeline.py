@@ -17,6 +17,7 @@ from wiretable.llm.secrets import scan
 from wiretable.llm.sentencepiece_codec import encode
 from wiretable.llm.simhash import keep_one
 from wiretable.llm.toxicity import score_toxicity
+from wiretable.session import Workspace
 
 TOXIC = 0.5
 MASK = "[secret]"
@@ -69,10 +70,20 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``; what each keeps is written and read again, as the next reads it twice."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stored(docs)
-    return docs
+    """The stages over ``documents``; what each keeps is written and read again, as the next reads it twice.
+
+    A stage's intermediate tables, and the table it read, are removed once what it keeps
+    is written, so at most two copies of the documents lie in the checkpoint folder.
+    """
+    docs, held = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        work, kept = Workspace(spark), Workspace(spark)
+        with work:
+            out = stage(spark, docs, sf_dir)
+        with kept:
+            docs = stored(out)
+        work.close()
+        if held:
+            held.close()
+        held = kept
+    return STAGES[-1][1](spark, docs, sf_dir)
