@@ -3,7 +3,7 @@
 import pytest
 
 from compare import compare, duck
-from conftest import SF01
+from compare import SF01
 from wiretable.plans.oracles import oracles
 from wiretable.plans.registry import QUERIES
 

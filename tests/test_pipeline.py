@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from compare import SF001
 from test_dedup import greedy
 from wiretable.operators import analytics as Q
 from wiretable.operators.dedup import thin_flows

@@ -1,6 +1,6 @@
 """Physical-plan properties: pushdown, pruning, top-k, no Python in the plan."""
 
-from conftest import SF001
+from compare import SF001
 from wiretable.operators import analytics as Q
 from wiretable.plans.registry import QUERIES
 
