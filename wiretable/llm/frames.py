@@ -26,11 +26,11 @@ def stored_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
     return materialize_observed(df, **metrics)
 
 
-def without_rows(df: DataFrame, dropped: DataFrame, on: str, max_rows: int = 1_000_000) -> DataFrame:
-    """The rows whose ``on`` is not among the dropped ones, which are broadcast only if they are measured few."""
+def bounded(df: DataFrame, small: DataFrame, on: str, how: str, max_rows: int = 1_000_000) -> DataFrame:
+    """A join that broadcasts ``small`` only if it is measured small."""
     from wiretable.operators.joins import bounded_join
 
-    return bounded_join(df, dropped, [on], "left_anti", max_rows)
+    return bounded_join(df, small, [on], how, max_rows)
 
 
 def scratch_folder(spark: SparkSession) -> str:

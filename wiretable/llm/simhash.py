@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from wiretable.llm import tokens as T
 from wiretable.llm.components import connected_components
-from wiretable.llm.frames import without_rows, stored
+from wiretable.llm.frames import bounded, stored
 
 SHINGLE = 3
 DISTANCE = 3
@@ -276,6 +276,7 @@ def keep_one(documents: DataFrame, **options) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no")
     found = stored(found.select("root", "doc_id", "row_no"))
     first = found.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Only the dropped rows meet the documents: broadcast if they are few, else a shuffled join.
-    dropped = found.join(first.select("root", F.col("first.row_no").alias("kept")), "root").where("row_no != kept").select("row_no")
-    return without_rows(numbered, dropped, "row_no").select("row.*")
+    # Rows of a large group stay where they are if the groups are few; so do the documents if few are dropped.
+    kept = first.select("root", F.col("first.row_no").alias("kept"))
+    dropped = bounded(found, kept, "root", "inner").where("row_no != kept").select("row_no")
+    return bounded(numbered, dropped, "row_no", "left_anti").select("row.*")
