@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wiretable.operators import indicators as I
 from wiretable.operators.bursts import bursts
-from wiretable.operators.masking import mask_domain, shift_checks, shift_times
+from wiretable.operators.masking import agent_family, mask_domain, shift_checks, shift_times
 from wiretable.operators.outliers import limits, outliers
 from wiretable.operators.sketches import daily_sketches, distinct_between
 from wiretable.operators.token_map import grow, replace, restore
@@ -162,3 +162,17 @@ def test_sketches_merge_over_dates(spark):
         exact = rows.where("true" if low is None else f"day between {low} and {high}").select("v").distinct().count()
         r = distinct_between(held, "day", ["v"], low, high).first()
         assert abs(r.v - exact) <= 0.05 * exact and r.days == (10 if low is None else 3)
+
+
+def test_agent_families(spark):
+    agents = {
+        "Mozilla/5.0 (X11; Linux x86_64; rv:109.0) Gecko/20100101 Firefox/115.0": "Firefox",
+        "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/113.0.0.0 Safari/537.36": "Chrome",
+        "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 Chrome/113.0.0.0 Safari/537.36 Edg/113.0": "Edge",
+        "Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 Chrome/99.0 Safari/537.36 OPR/85.0": "Opera",
+        "Mozilla/5.0 (Macintosh) AppleWebKit/605.1.15 Version/16.4 Safari/605.1.15": "Safari",
+        "Mozilla/5.0 (Windows NT 6.1; Trident/7.0; rv:11.0) like Gecko": "Internet Explorer",
+        "Mozilla/5.0 (compatible; Googlebot/2.1) Chrome/100.0": "Bot", "curl/8.0.1": "Command line", "agent/1.0": "Other", "": None, None: None,
+    }
+    df = spark.createDataFrame([(a,) for a in agents], "agent string")
+    assert {r.agent: r.family for r in df.select("agent", agent_family(F.col("agent")).alias("family")).collect()} == agents

@@ -54,6 +54,14 @@ PSEUDONYM_HEX_CHARS = 16
 REPORT_TOP_K = 10
 SERVICE_LABELS = {80: "HTTP", 443: "HTTPS", 53: "DNS"}
 SERVICE_OTHER = "Other"
+LARGE_PACKET_BYTES = 2000
+# Families of user agents, the first pattern that a lower-cased agent contains.
+AGENT_FAMILIES = {
+    "Bot": "bot|crawler|spider", "Command line": "^(curl|wget|python|go-http-client|libwww)",
+    "Edge": "edg(e|a|ios)?/", "Opera": "opr/|opera", "Firefox": "firefox/|fxios/", "Internet Explorer": "msie |trident/",
+    "Chrome": "chrome/|crios/|chromium/", "Safari": "safari/",
+}
+AGENT_OTHER = "Other"
 
 # --- fixed values: timestamp zone suffixes removed by the modular validator -------
 MODULAR_ZONE_SUFFIXES = [" CEST", " CET", " UTC"]

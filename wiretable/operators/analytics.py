@@ -68,6 +68,20 @@ def q6_protocol_share(t: DataFrame) -> DataFrame:
             .orderBy(F.desc("count"), F.asc("protocol")))
 
 
+def service_share(t: DataFrame) -> DataFrame:
+    """Count and share of all packets per service of the destination port; packets without a port are ``Other``."""
+    groups = t.groupBy(service_label(F.col("dst_port")).alias("service_type")).agg(F.count(F.lit(1)).alias("count"))
+    total = groups.agg(F.sum("count")).scalar()
+    hundredths = F.expr("(count * 20000 + _total) div (_total * 2)")
+    return (groups.withColumn("_total", total).select("service_type", "count", (hundredths / F.lit(100)).alias("percentage"))
+            .orderBy(F.desc("count"), F.asc("service_type")))
+
+
+def large_packets(t: DataFrame, most: int = K.LARGE_PACKET_BYTES) -> DataFrame:
+    """Packets of more than ``most`` bytes (a filter that reaches the scan); rows without a length are not among them."""
+    return t.where(F.col("length") > most)
+
+
 QUERIES = {
     "q1_total": q1_total,
     "q2_top_destinations": q2_top_destinations,

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
+
 LABEL_CHARS = 12
 
 
@@ -27,6 +29,14 @@ def mask_domain(name: Column, salt: str) -> Column:
     return F.when(F.contains(name, F.lit(".")), F.transform(F.array(labels), masked)[0]).otherwise(name)
 
 
+def agent_family(agent: Column) -> Column:
+    """The family of a user agent: the first whose pattern it contains, else ``Other``; a missing or empty one has none."""
+    families = F.lit(K.AGENT_OTHER)
+    for family, pattern in reversed(K.AGENT_FAMILIES.items()):
+        families = F.when(F.lower(agent).rlike(pattern), family).otherwise(families)
+    return F.when(agent != "", families)
+
+
 def flow_offset(key: list[Column], salt: str, most: int) -> Column:
     """Between -most and most, the same for all rows of a flow (nulls are equal)."""
     text = F.concat_ws("|", F.lit(salt), *[F.coalesce(k.cast("string"), F.lit("\\N")) for k in key])

@@ -278,6 +278,25 @@ def _nt_modular() -> str:
             "FROM cl)")
 
 
+def _clustered_lookups() -> str:
+    flow = ["src_ip_anon", "dst_ip_anon", "dst_port"]
+    parts = []
+    for lookup, keys in (("source", flow[:1]), ("port", flow[2:]), ("flow", flow)):
+        own = ", ".join(keys)
+        busiest = (f"(SELECT {own} FROM nt WHERE dst_port IS NOT NULL GROUP BY ALL "
+                   f"ORDER BY count(*) DESC, {own} LIMIT 1)")
+        parts.append(f"SELECT '{lookup}' AS lookup, count(*) AS packets, CAST(sum(length) AS BIGINT) AS bytes, min(packet_id) AS first_packet, "
+                     f"max(packet_id) AS last_packet FROM nt JOIN {busiest} USING ({own})")
+    return _with(_nt_modular(), " UNION ALL ".join(parts), True)
+
+
+def _service_share(nt: str) -> str:
+    svc = " ".join(f"WHEN dst_port = {p} THEN '{s}'" for p, s in K.SERVICE_LABELS.items())
+    return _with(nt, "SELECT service_type, count(*) AS count, CAST((count(*) * 20000 + sum(count(*)) OVER ()) // (sum(count(*)) OVER () * 2) "
+                     f"AS BIGINT) / 100 AS percentage FROM (SELECT CASE {svc} ELSE '{K.SERVICE_OTHER}' END AS service_type FROM nt) "
+                     "GROUP BY service_type", True)
+
+
 def _report_queries(nt: str, dst: str, suffix: str) -> dict[str, str]:
     svc = " ".join(f"WHEN dst_port = {p} THEN '{s}'" for p, s in K.SERVICE_LABELS.items())
     return {
@@ -558,6 +577,10 @@ def oracles() -> dict[str, str]:
         "replayed_load_checks": _with(_nt_modular(), "SELECT 2 * count(*) AS rows, count(DISTINCT src_ip_anon) AS distinct_src, "
                                       "count(DISTINCT dst_ip_anon) AS distinct_dst, 2 * count(*) AS distinct_ids, "
                                       "CAST(0 AS BIGINT) AS broken_rows, 2 * count(*) AS kept_ids FROM nt", True),
+        "clustered_lookups": _clustered_lookups(),
+        "service_share": _service_share(nt),
+        "large_packets": _with(nt, "SELECT packet_id, src_ip_anonimizada, dst_ip_anonimizada, protocol, dst_port, length FROM nt "
+                                   f"WHERE length > {K.LARGE_PACKET_BYTES}", True),
         **threat_oracles(),
         "load_checks_integrated": _loads(nt, "src_ip_anonimizada", "dst_ip_anonimizada"),
         "load_checks_modular": _loads(_nt_modular(), "src_ip_anon", "dst_ip_anon"),

@@ -28,6 +28,7 @@ from ..schema import INTEGRATED, MODULAR, RAW13_FIELDS, RAW16_FIELDS, Profile
 from ..session import Workspace, bind, ensure_checkpoint_dir, materialize
 from ..sources.exports import read_export, read_stage
 from ..sources.packets import packets
+from .clustering import write_clustered
 from .pipeline import clean, clean_counters, extract, validate
 from .tables import load_checks, write_load, write_stage, write_table
 from .threat_queries import THREAT_QUERIES
@@ -335,6 +336,36 @@ def replayed_load_checks(spark, sf_dir):
     return checks
 
 
+def clustered_lookups(spark, sf_dir):
+    """The busiest source, port and flow, looked up in the table clustered along the Z-order key."""
+    t = loaded_table(spark, sf_dir, MODULAR)
+    name = f"wiretable_clustered_{uuid.uuid4().hex}"
+    flow = ["src_ip_anon", "dst_ip_anon", "dst_port"]
+    write_clustered(t, name, [*flow, "event_time"])
+    held = spark.table(name)
+    parts = []
+    for lookup, keys in (("source", flow[:1]), ("port", flow[2:]), ("flow", flow)):
+        busiest = (t.where(F.col("dst_port").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                   .orderBy(F.desc("n"), *keys).first())
+        rows = held
+        for k in keys:
+            rows = rows.where(F.col(k) == (busiest[k] if busiest else None))
+        parts.append(rows.agg(F.lit(lookup).alias("lookup"), F.count(F.lit(1)).alias("packets"), F.sum(F.col("length").cast("long")).alias("bytes"),
+                              F.min("packet_id").alias("first_packet"), F.max("packet_id").alias("last_packet")))
+    found = materialize(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
+def service_share(spark, sf_dir):
+    return Q.service_share(network_traffic(spark, sf_dir))
+
+
+def large_packets(spark, sf_dir):
+    t = Q.large_packets(network_traffic(spark, sf_dir))
+    return t.select("packet_id", "src_ip_anonimizada", "dst_ip_anonimizada", "protocol", "dst_port", "length")
+
+
 def stage_roundtrip(spark, sf_dir):
     """The cleaned rows written as a CSV stage and read with their schema."""
     rows = loaded_table(spark, sf_dir, MODULAR).select("packet_id", "src_ip_anon", "dst_port", "length", "dns_query")
@@ -469,5 +500,8 @@ QUERIES = {
     "cleaned_rows_modular": _cleaned_rows(MODULAR),
     "cleaned_rows_keep_flagged_modular": cleaned_rows_keep_flagged_modular,
     "replayed_load_checks": replayed_load_checks,
+    "clustered_lookups": clustered_lookups,
+    "service_share": service_share,
+    "large_packets": large_packets,
     **THREAT_QUERIES,
 }

@@ -82,6 +82,12 @@ def masked_domains() -> str:
                        f"lambda k: {part}), '.') || '.' || p[len(p)] ELSE dns_query END AS masked FROM d")
 
 
+def _agent_families() -> str:
+    whens = " ".join(f"WHEN regexp_matches(lower(user_agent), '{p}') THEN '{f}'" for f, p in K.AGENT_FAMILIES.items())
+    return _with("", f"SELECT packet_id, CASE WHEN user_agent IS NULL OR user_agent = '' THEN NULL {whens} ELSE '{K.AGENT_OTHER}' END "
+                     "AS agent_family FROM pk")
+
+
 def _shift() -> str:
     key = " || '|' || ".join(f"coalesce({c}, '\\N')" for c in Q.FLOW)
     return (f"CAST(('0x' || substr(sha256('{K.PUBLISHED_SALT}' || '|' || {key}), 1, 13)) AS BIGINT) % {2 * Q.SHIFT_MOST + 1} - {Q.SHIFT_MOST}")
@@ -95,6 +101,7 @@ def threat_oracles() -> dict[str, str]:
         "length_outliers": length_outliers(),
         "token_map_growth": token_map_growth(),
         "masked_domains": masked_domains(),
+        "agent_families": _agent_families(),
         "shifted_times": _with("", f"SELECT packet_id, t_us + ({_shift()}) AS t_us, {flow} FROM pk"),
         "time_shift_checks": _with(f"s AS (SELECT DISTINCT {flow}, {_shift()} AS o FROM pk)",
                                    "SELECT count(*) AS flows, count(*) FILTER (WHERE o <> 0) AS moved_flows, CAST(0 AS BIGINT) AS broken_flows, "

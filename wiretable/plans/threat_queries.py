@@ -9,7 +9,7 @@ from ..functions import constants as K
 from ..functions import fields as X
 from ..operators.bursts import brute_force_bursts
 from ..operators.indicators import indicator_match
-from ..operators.masking import mask_domain, shift_checks, shift_times
+from ..operators.masking import agent_family, mask_domain, shift_checks, shift_times
 from ..operators.outliers import outliers
 from ..operators.sketches import daily_sketches, distinct_between
 from ..operators.token_map import grow, replace, restore
@@ -80,6 +80,11 @@ def masked_domains(spark, sf_dir):
     return pk.select("packet_id", mask_domain(F.col("dns_query"), K.PUBLISHED_SALT).alias("masked"))
 
 
+def agent_families(spark, sf_dir):
+    """Every packet with its agent's family in place of the agent."""
+    return packets(spark, sf_dir).select("packet_id", agent_family(F.col("user_agent")).alias("agent_family"))
+
+
 def shifted_times(spark, sf_dir):
     return shift_times(packets(spark, sf_dir).select("packet_id", "t_us", *FLOW), FLOW, "t_us", K.PUBLISHED_SALT, SHIFT_MOST)
 
@@ -106,6 +111,7 @@ THREAT_QUERIES = {
     "length_outliers": length_outliers,
     "token_map_growth": token_map_growth,
     "masked_domains": masked_domains,
+    "agent_families": agent_families,
     "shifted_times": shifted_times,
     "time_shift_checks": time_shift_checks,
     "sketched_endpoints": sketched_endpoints,
