@@ -6,17 +6,20 @@ windows always have equal minimizers, so a segment has to be compared only with
 the segments of its own minimizer: that is how text is dealt into shards.
 
 1. Blocks of documents (bounded, written once) ask two sorted key ranges, after
-   collapsing what repeats inside the block: is a minimizer shared by different
-   segments, and is a segment's very text found earlier (then all its windows
-   are copies)?  Answers carry flags only.
-2. First copies of segments with a shared minimizer (or with room for an inner
-   repeat) are indexed: one compressed FM-index per shard.  The shard's segments
+   collapsing what repeats inside the block: how many different segments share a
+   minimizer, and how often is a segment's very text found, here first or not?
+   Answers carry numbers only.
+2. Each different segment with a shared minimizer, with room for an inner repeat
+   or found several times is indexed once: one compressed FM-index per shard,
+   beside it the list of the segment's other occurrences.  The shard's segments
    are streamed backward through it, keeping matching statistics; where they
-   reach the window length and the interval holds more than one row, the rows
-   are located by the sampled places and all but the earliest are copies.
-   Segments of a minimizer with more than ``hot_segments`` segments are cut into
-   single windows, which blocks collapse and key ranges resolve as in step 1, so
-   that a passage in a third of all documents fills no shard.
+   reach the window length and the interval stands for more than one occurrence,
+   its rows are located by the sampled places, and the window is reported for
+   every occurrence of its segment but the earliest of all.
+   Hot text fills no shard: the later ones of more than ``hot_segments``
+   occurrences are copies by step 1 alone, and segments of a minimizer with more
+   than ``hot_segments`` segments are cut into single windows, which blocks
+   collapse and key ranges resolve as in step 1.
 3. Copies cover words; what is left of each document is hashed.
 
 Windows are judged on the input.  Order is doc_id, then place; rows with equal
@@ -115,7 +118,7 @@ def _check(minimizer: np.ndarray) -> np.ndarray:
     return (minimizer & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-REQUEST = "kind int, part bigint, block bigint, a binary, b binary, c binary, d binary, e binary"
+REQUEST = "kind int, part bigint, block bigint, a binary, b binary, c binary, d binary, e binary, f binary"
 
 
 def _asked(segments: Segments, ids: np.ndarray):
@@ -141,23 +144,25 @@ def _requests(window: int, width: int):
                 rows = []
                 for part, a, b in zip(*B.by_range(own, width)):
                     rows.append((0, part, block, B.pack(B.gaps(own[a:b])), B.pack(low[a:b].view(np.int64)),
-                                 B.pack((low[a:b] ^ high[a:b]).view(np.int64)), B.pack(distinct[a:b]), None))
-                lead = texts[first]
+                                 B.pack((low[a:b] ^ high[a:b]).view(np.int64)), B.pack(distinct[a:b]), None, None))
+                lead, held = texts[first], np.diff(np.append(first, len(texts)))
                 content = segments.content[lead]
                 for part, a, b in zip(*B.by_range(content, width)):
                     s = lead[a:b]
                     rows.append((1, part, block, B.pack(B.gaps(content[a:b])), B.pack(_check(segments.minimizer[s])),
-                                 B.pack(ids[segments.doc[s]]), B.pack(segments.doc[s]), B.pack(segments.start[s])))
+                                 B.pack(ids[segments.doc[s]]), B.pack(segments.doc[s]), B.pack(segments.start[s]),
+                                 B.pack(held[a:b])))
                 pa.default_memory_pool().release_unused()
                 if rows:
-                    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+                    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["kind", "part", "block", "a", "b", "c", "d", "e"])
+                                                     ["kind", "part", "block", "a", "b", "c", "d", "e", "f"])
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Of one key range: 0 one segment has the minimizer, else how many (kind 0); 1 found earlier (kind 1)."""
+    """Of one key range: 0 one segment has the minimizer, else how many (kind 0); how often the text
+    is found, negative where it is found earlier (kind 1)."""
     read = lambda name, kind=np.int64: [B.unpack(x.as_py(), kind) for x in table.column(name)]
     keys = [np.cumsum(k) for k in read("a", np.uint64)]
     cuts = np.cumsum([len(k) for k in keys])[:-1]
@@ -176,8 +181,10 @@ def _answer(table: pa.Table) -> pa.Table:
         block = np.repeat(table.column("block").to_numpy(), [len(k) for k in keys])
         order = (np.concatenate(read("c")), block, np.concatenate(read("d")), np.concatenate(read("e")))
         place, heads = _firsts((key, np.concatenate(read("b"))), order)
-        out = np.ones(len(place), np.int64)
-        out[place[heads]] = 0
+        total = np.add.reduceat(np.concatenate(read("f"))[place], heads)
+        out = np.empty(len(place), np.int64)
+        out[place] = -np.repeat(total, np.diff(np.append(heads, len(place))))
+        out[place[heads]] = total
     return pa.table({"kind": table.column("kind"), "part": table.column("part"), "block": table.column("block"),
                      "flags": pa.array([B.pack(x) for x in np.split(out, cuts)], pa.binary())})
 
@@ -242,22 +249,28 @@ def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
                     raise ValueError("the answers do not fit the block's segments")
             shared = flags[0][np.searchsorted(own, segments.minimizer)] if len(own) else np.zeros(0, np.int64)
             copy = np.ones(len(texts), bool)
-            copy[texts[first]] = flags[1] == 1
-            ask = ~copy & ((shared > 0) | segments.looped)
+            copy[texts[first]] = flags[1] < 0
+            total = np.zeros(len(texts), np.int64)
+            total[texts] = np.repeat(np.abs(flags[1]), np.diff(np.append(first, len(texts))))
+            listed = copy & (total <= hot_segments) & (shared <= hot_segments)
+            known = copy & ~listed
+            ask = ~copy & ((shared > 0) | segments.looped | ((total > 1) & (total <= hot_segments)))
             hot = ask & (shared > hot_segments)
             ask &= ~hot
             opened = np.zeros(table.num_rows, bool)
-            opened[segments.doc[ask | hot]] = True
-            starts, stops = [segments.at[copy]], [(segments.at + segments.size)[copy]]
+            opened[segments.doc[ask | hot | listed]] = True
+            starts, stops = [segments.at[known]], [(segments.at + segments.size)[known]]
 
-            which = np.flatnonzero(ask)
+            which = np.flatnonzero(ask | listed)
             if len(which):
                 doc = segments.doc[which]
                 a, b = words.starts[segments.at[which]], words.ends[segments.at[which] + segments.size[which] - 1]
-                body = [words.data[x:y].tobytes().decode() for x, y in zip(a.tolist(), b.tolist())]
+                body = [words.data[x:y].tobytes().decode() if own else None
+                        for x, y, own in zip(a.tolist(), b.tolist(), ask[which].tolist())]
                 shard = (T.mix(segments.minimizer[which]) >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else 0 * which
                 out.append(_dealt("segment", block, shard, pa.table({
-                    "doc": doc, "doc_id": ids[doc], "start": segments.start[which], "text": pa.array(body, pa.string())})))
+                    "doc": doc, "doc_id": ids[doc], "start": segments.start[which], "content": segments.content[which],
+                    "check": _check(segments.minimizer[which]), "text": pa.array(body, pa.string())})))
             which = np.flatnonzero(hot)
             if len(which):
                 at = T.ranges(segments.at[which], segments.windows[which])
@@ -314,12 +327,13 @@ def _by_block(block: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.nd
                      "stops": cut(stop[order]) if stop is not None else pa.nulls(len(heads), pa.binary())})
 
 
-def repeated_windows(texts: pa.Array, order: tuple[np.ndarray, ...], start: np.ndarray,
-                     window: int) -> tuple[np.ndarray, np.ndarray]:
-    """One shard: which windows of its segments are not the earliest of their kind.
+def repeated_windows(texts: pa.Array, order: tuple[np.ndarray, ...], start: np.ndarray, many: np.ndarray,
+                     window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One shard: which windows of its segments occur more than once, and which of these are the earliest.
 
     ``order`` ranks the segments' documents, ``start`` is the first word of each
-    segment in its document.  Returns segment and place (in the segment).
+    segment in its document, ``many`` says that the segment has further
+    occurrences.  Returns segment, place (in the segment) and earliest.
     """
     words = T.find_words(texts)
     _, ids = np.unique(words.hashes(), return_inverse=True)
@@ -345,7 +359,7 @@ def repeated_windows(texts: pa.Array, order: tuple[np.ndarray, ...], start: np.n
     # Stream all segments backward, longest first, one word a step.
     by_size = np.argsort(-counts, kind="stable")
     last = (begin + counts - 1)[by_size]
-    sizes = counts[by_size]
+    sizes, many = counts[by_size], many[by_size]
     low, high = index.everything(len(sizes))
     matched = np.zeros(len(sizes), np.int64)
     at_, low_, high_ = [], [], []
@@ -356,26 +370,34 @@ def repeated_windows(texts: pa.Array, order: tuple[np.ndarray, ...], start: np.n
         matched[:live] += 1
         long = np.flatnonzero(matched[:live] >= window)
         low[long], high[long], matched[long] = lower[low[long]], upper[low[long]], window
-        more = long[high[long] - low[long] > 1]  # an interval above the threshold
+        more = long[(high[long] - low[long] > 1) | many[long]]  # an interval above the threshold
         at_.append(place[more])
         low_.append(low[more])
         high_.append(high[more])
     none = [np.zeros(0, np.int64)]
     at, lows, highs = (np.concatenate(x or none) for x in (at_, low_, high_))
-    if not len(at):
-        return at, at
-    intervals, which = np.unique(lows, return_inverse=True)
+    earliest = np.ones(len(at), bool)  # an interval of one row is the window itself
+    wide = np.flatnonzero(highs - lows > 1)
+    intervals, which = np.unique(lows[wide], return_inverse=True)
     ends = np.zeros(len(intervals), np.int64)
-    ends[which] = highs
+    ends[which] = highs[wide]
     size = ends - intervals
     places = index.locate(T.ranges(intervals, size))
     segment = np.searchsorted(begin, places, "right") - 1
     keys = tuple(o[segment] for o in order) + (start[segment] + places - begin[segment],)
     ranked = np.lexsort((*reversed(keys), np.repeat(np.arange(len(intervals)), size)))
-    earliest = places[ranked[np.cumsum(size) - size]]
-    copies = at[at != earliest[which]]
-    segment = np.searchsorted(begin, copies, "right") - 1
-    return segment, copies - begin[segment]
+    earliest[wide] = at[wide] == places[ranked[np.cumsum(size) - size]][which]
+    segment = np.searchsorted(begin, at, "right") - 1
+    return segment, at - begin[segment], earliest
+
+
+def _spans(segment: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring windows: segment, first and last window."""
+    order = np.lexsort((at, segment))
+    segment, at = segment[order], at[order]
+    heads = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + 1)])[:len(at)])
+    last = np.append(heads[1:], len(at))[:len(heads)] - 1
+    return segment[heads], at[heads], at[last]
 
 
 def _shard(window: int):
@@ -383,14 +405,32 @@ def _shard(window: int):
         parts = [B.rows_of(x.as_py()) for x in table.column("a")]
         block = np.repeat(table.column("block").to_numpy(), [p.num_rows for p in parts])
         rows = pa.concat_tables(parts).combine_chunks()
-        doc, doc_id, start = (rows.column(c).to_numpy() for c in ("doc", "doc_id", "start"))
-        segment, at = repeated_windows(rows.column("text").combine_chunks(), (doc_id, block, doc), start, window)
-        order = np.lexsort((at, segment))
-        segment, at = segment[order], at[order]
-        heads = np.flatnonzero(np.concatenate([[True], (segment[1:] != segment[:-1]) | (at[1:] != at[:-1] + 1)])[:len(at)])
-        last = np.append(heads[1:], len(at))[:len(heads)] - 1
-        own = segment[heads]
-        return _by_block(block[own], doc[own], start[own] + at[heads], start[own] + at[last] + window)
+        doc, doc_id, start, content, check = (rows.column(c).to_numpy() for c in ("doc", "doc_id", "start", "content", "check"))
+        listed = rows.column("text").is_null().to_numpy(zero_copy_only=False)
+        own = np.flatnonzero(~listed)
+        # Each listed occurrence follows the segment that has its text.
+        place, heads = _firsts((content, check), (listed,))
+        held = np.diff(np.append(heads, len(place)))
+        at_own = np.full(len(rows), -1, np.int64)
+        at_own[own] = np.arange(len(own))
+        segment_of = np.empty(len(rows), np.int64)
+        segment_of[place] = np.repeat(at_own[place[heads]], held)
+        if (segment_of < 0).any():
+            raise ValueError("a listed occurrence without its segment's text")
+        many = np.bincount(segment_of, minlength=len(own)) > 1
+        segment, at, earliest = repeated_windows(rows.column("text").drop_null(), (doc_id[own], block[own], doc[own]),
+                                                 start[own], many, window)
+        lead, first, last = _spans(segment[~earliest], at[~earliest])
+        lead = own[lead]
+        # What is repeated in a segment is a copy in all its later occurrences.
+        of, begin, stop = _spans(segment, at)
+        bounds = np.searchsorted(of, np.arange(len(own) + 1))
+        later = np.flatnonzero(listed)
+        base, n = bounds[segment_of[later]], np.diff(bounds)[segment_of[later]]
+        spans = T.ranges(base, n)
+        row = np.concatenate([lead, np.repeat(later, n)])
+        first, last = np.concatenate([first, begin[spans]]), np.concatenate([last, stop[spans]])
+        return _by_block(block[row], doc[row], start[row] + first, start[row] + last + window)
     return run
 
 
