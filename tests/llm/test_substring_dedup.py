@@ -8,13 +8,14 @@ from wiretable.llm import registry
 from wiretable.llm.substring_dedup import drop_repeats
 
 SMALL = dict(block_bytes=4000, range_bytes=4000, shard_bytes=1500)
+MANY = {**SMALL, "fan_in": 2}
 
 
 def result(df, **options):
     return sorted(tuple(r) for r in drop_repeats(df, **options).collect())
 
 
-@pytest.mark.parametrize("options", [{}, SMALL, {**SMALL, "hot_segments": 1}])
+@pytest.mark.parametrize("options", [{}, SMALL, {**SMALL, "hot_segments": 1}, MANY, {**MANY, "hot_segments": 1}])
 def test_against_plain(spark, options):
     rng = random.Random(5)
     vocabulary = ["a", "b", "c", "dd"]

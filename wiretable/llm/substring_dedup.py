@@ -22,6 +22,10 @@ the segments of its own minimizer: that is how text is dealt into shards.
    collapse and key ranges resolve as in step 1.
 3. Copies cover words; what is left of each document is hashed.
 
+Key ranges take at most ``fan_in`` blocks in one call: with more blocks, what
+they ask is merged in groups first, and the answers go down the same way, so that
+a passage of every block puts no row of every block into one task.
+
 Windows are judged on the input.  Order is doc_id, then place; rows with equal
 ids follow the order in which they are stored; null ids come last.  Null texts
 have no words; texts below the window lose nothing; an empty table gives an
@@ -31,6 +35,7 @@ empty result; other columns are ignored.  Words are compared by 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +54,8 @@ HOT_SEGMENTS = 1000
 BLOCK_BYTES = 3 << 20
 SLICE = 1 << 14
 RANGE_BYTES = 24 << 20
+#: Blocks that ask one range in one call: some MB of headers, 48 GB of text before groups are merged.
+FAN_IN = 1 << 14
 #: Text of the corpus per shard; segments overlap about threefold, most are not shared.
 SHARD_BYTES = 4 << 20
 LAST = np.iinfo(np.int64).max
@@ -118,7 +125,21 @@ def _check(minimizer: np.ndarray) -> np.ndarray:
     return (minimizer & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-REQUEST = "kind int, part bigint, block bigint, a binary, b binary, c binary, d binary, e binary, f binary"
+#: What blocks send: minimizers, texts and single windows to key ranges; segments to shards; known copies to themselves.
+MINIMIZER, TEXT, WINDOWS, SEGMENTS, KNOWN = range(5)
+REQUEST = "kind int, part bigint, block bigint, a binary, b binary, c binary, d binary, e binary, f binary, g binary"
+_REQUEST = pa.schema([("kind", pa.int32()), ("part", pa.int64()), ("block", pa.int64()), *[(k, pa.binary()) for k in "abcdefg"]])
+ANSWER = "kind int, part bigint, block bigint, flags binary"
+LATE = "block bigint, docs binary, starts binary, stops binary"
+
+
+def _row(kind: int, part: int, block: int, *values: bytes) -> dict:
+    return {"kind": kind, "part": part, "block": block, **dict(zip("abcdefg", values))}
+
+
+def _found(kind: int, part: int, block: int, keys, check, order, count) -> dict:
+    """A row of sorted keys, each with the order (id, block, document, place) of its first occurrence and their number."""
+    return _row(kind, part, block, B.pack(B.gaps(keys)), B.pack(check), *(B.pack(o) for o in order), B.pack(count))
 
 
 def _asked(segments: Segments, ids: np.ndarray):
@@ -143,57 +164,102 @@ def _requests(window: int, width: int):
                 (own, low, high, distinct), texts, first = _asked(segments, ids)
                 rows = []
                 for part, a, b in zip(*B.by_range(own, width)):
-                    rows.append((0, part, block, B.pack(B.gaps(own[a:b])), B.pack(low[a:b].view(np.int64)),
-                                 B.pack((low[a:b] ^ high[a:b]).view(np.int64)), B.pack(distinct[a:b]), None, None))
+                    rows.append(_row(MINIMIZER, part, block, B.pack(B.gaps(own[a:b])), B.pack(low[a:b].view(np.int64)),
+                                     B.pack((low[a:b] ^ high[a:b]).view(np.int64)), B.pack(distinct[a:b])))
                 lead, held = texts[first], np.diff(np.append(first, len(texts)))
                 content = segments.content[lead]
                 for part, a, b in zip(*B.by_range(content, width)):
                     s = lead[a:b]
-                    rows.append((1, part, block, B.pack(B.gaps(content[a:b])), B.pack(_check(segments.minimizer[s])),
-                                 B.pack(ids[segments.doc[s]]), B.pack(segments.doc[s]), B.pack(segments.start[s]),
-                                 B.pack(held[a:b])))
+                    order = ids[segments.doc[s]], np.full(b - a, block), segments.doc[s], segments.start[s]
+                    rows.append(_found(TEXT, part, block, content[a:b], _check(segments.minimizer[s]), order, held[a:b]))
                 pa.default_memory_pool().release_unused()
                 if rows:
-                    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)],
-                                                     ["kind", "part", "block", "a", "b", "c", "d", "e", "f"])
+                    yield pa.RecordBatch.from_pylist(rows, _REQUEST)
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Of one key range: 0 one segment has the minimizer, else how many (kind 0); how often the text
-    is found, negative where it is found earlier (kind 1)."""
-    read = lambda name, kind=np.int64: [B.unpack(x.as_py(), kind) for x in table.column(name)]
-    keys = [np.cumsum(k) for k in read("a", np.uint64)]
-    cuts = np.cumsum([len(k) for k in keys])[:-1]
-    key = np.concatenate(keys)
-    if table.column("kind")[0].as_py() == 0:
-        low = np.concatenate(read("b", np.uint64))
-        high = low ^ np.concatenate(read("c", np.uint64))
-        place, heads = _firsts((key,), ())
-        few = np.minimum.reduceat(low[place], heads) == np.maximum.reduceat(high[place], heads)
-        count = np.where(few, 0, np.add.reduceat(np.concatenate(read("d"))[place], heads))
-        group = np.zeros(len(place), np.int64)
-        group[heads[1:]] = 1
-        out = np.empty(len(place), np.int64)
-        out[place] = count[np.cumsum(group)]
-    else:
-        block = np.repeat(table.column("block").to_numpy(), [len(k) for k in keys])
-        order = (np.concatenate(read("c")), block, np.concatenate(read("d")), np.concatenate(read("e")))
-        place, heads = _firsts((key, np.concatenate(read("b"))), order)
-        total = np.add.reduceat(np.concatenate(read("f"))[place], heads)
-        out = np.empty(len(place), np.int64)
-        out[place] = -np.repeat(total, np.diff(np.append(heads, len(place))))
-        out[place[heads]] = total
-    return pa.table({"kind": table.column("kind"), "part": table.column("part"), "block": table.column("block"),
-                     "flags": pa.array([B.pack(x) for x in np.split(out, cuts)], pa.binary())})
-
-
-FOUND = ("kind string, doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, "
-         "part bigint, block bigint, a binary, b binary, c binary, d binary, e binary")
-_FOUND = {"kind": pa.string(), "doc_id": pa.int64(), "n_words": pa.int64(), "n_removed": pa.int64(),
-          "kept_sha256": pa.string(), "part": pa.int64(), "block": pa.int64(), **{k: pa.binary() for k in "abcde"}}
-LATE = "block bigint, docs binary, starts binary, stops binary"
+class Asked:
+    """What some blocks (or groups of them) ask one key range: groups of equal keys, in the order of their occurrences."""
+
+    def __init__(self, table: pa.Table):
+        self.table, self.kind = table, table.column("kind")[0].as_py()
+        keys = [np.cumsum(k) for k in self.read("a", np.uint64)]
+        self.cuts = np.cumsum([len(k) for k in keys])[:-1]
+        self.key = np.concatenate(keys)
+        if self.kind == MINIMIZER:
+            self.low = np.concatenate(self.read("b", np.uint64))
+            self.high = self.low ^ np.concatenate(self.read("c", np.uint64))
+            self.count = np.concatenate(self.read("d"))
+            self.place, self.heads = _firsts((self.key,), ())
+        else:
+            self.check, *self.order, self.count = (np.concatenate(self.read(k)) for k in "bcdefg")
+            self.place, self.heads = _firsts((self.key, self.check), tuple(self.order))
+        self.total = np.add.reduceat(self.count[self.place], self.heads)
+
+    def read(self, name: str, kind: type = np.int64) -> list[np.ndarray]:
+        return [B.unpack(x.as_py(), kind) for x in self.table.column(name)]
+
+    def merged(self) -> dict:
+        """The group asks as one."""
+        part, node = self.table.column("part")[0].as_py(), self.table.column("node")[0].as_py()
+        lead = self.place[self.heads]
+        if self.kind == MINIMIZER:
+            low, high = (f.reduceat(x[self.place], self.heads) for f, x in ((np.minimum, self.low), (np.maximum, self.high)))
+            return _row(self.kind, part, node, B.pack(B.gaps(self.key[lead])), B.pack(low.view(np.int64)),
+                        B.pack((low ^ high).view(np.int64)), B.pack(self.total))
+        return _found(self.kind, part, node, self.key[lead], self.check[lead], [o[lead] for o in self.order], self.total)
+
+    def flags(self, above: np.ndarray | None = None) -> np.ndarray:
+        """Minimizers: 0 one segment has it, else how many.  Others: how often found, negative where found earlier.
+
+        ``above``: the answers to the merged keys, where others ask as well.
+        """
+        if above is not None and len(above) != len(self.heads):
+            raise ValueError("the answers do not fit the merged keys")
+        out = np.empty(len(self.place), np.int64)
+        each = np.diff(np.append(self.heads, len(self.place)))
+        if self.kind == MINIMIZER:
+            if above is None:
+                few = np.minimum.reduceat(self.low[self.place], self.heads) == np.maximum.reduceat(self.high[self.place], self.heads)
+                above = np.where(few, 0, self.total)
+            out[self.place] = np.repeat(above, each)
+        else:
+            above = self.total if above is None else above
+            out[self.place] = -np.repeat(np.abs(above), each)
+            out[self.place[self.heads]] = above
+        return out
+
+    def answers(self, flags: np.ndarray) -> pa.Table:
+        return self.table.select(["kind", "part", "block"]).append_column(
+            "flags", pa.array([B.pack(x) for x in np.split(flags, self.cuts)], pa.binary()))
+
+    def late(self, flags: np.ndarray) -> pa.Table:
+        """Windows that are found earlier, packed by block."""
+        _, block, doc, start = (o[flags < 0] for o in self.order)
+        return _by_block(block, doc, start, None)
+
+
+def _judged(asked: DataFrame, blocks: int, emit: Callable, schema: str, fan_in: int) -> DataFrame:
+    """``emit(asked, flags)`` of every key range."""
+    def top(table: pa.Table) -> pa.Table:
+        own = Asked(table)
+        return emit(own, own.flags())
+
+    if blocks <= fan_in:
+        return asked.groupBy("kind", "part").applyInArrow(top, schema)
+
+    def merge(table: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist([Asked(table).merged()], _REQUEST)
+
+    def descend(table: pa.Table, above: pa.Table) -> pa.Table:
+        own = Asked(table)
+        return emit(own, own.flags(B.unpack(above.column("flags")[0].as_py())))
+
+    nodes = 1 << (-(-blocks // fan_in) - 1).bit_length()
+    asked = stored(asked).withColumn("node", F.pmod(F.xxhash64("block"), F.lit(nodes)).cast("bigint"))
+    group = ["kind", "part", "node"]
+    above = _judged(asked.groupBy(*group).applyInArrow(merge, REQUEST), nodes, Asked.answers, ANSWER, fan_in)
+    return asked.groupBy(*group).cogroup(above.withColumnRenamed("block", "node").groupBy(*group)).applyInArrow(descend, schema)
 
 
 def _stream(table: pa.Table) -> bytes:
@@ -203,12 +269,11 @@ def _stream(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _kept(words: T.Words, hit: np.ndarray, docs: np.ndarray) -> tuple[list[int], list[str]]:
-    """Removed words and the hash of what is left, for some documents."""
+def _kept(words: T.Words, hit: np.ndarray) -> tuple[list[int], list[str]]:
+    """Removed words and the hash of what is left, for each document."""
     lens = words.ends - words.starts
     removed, prints = [], []
-    for d in docs.tolist():
-        a, b = words.first[d:d + 2]
+    for a, b in zip(words.first[:-1], words.first[1:]):
         keep = np.flatnonzero(~hit[a:b]) + a
         removed.append(int(b - a - len(keep)))
         body = words.data[T.ranges(words.starts[keep], lens[keep] + 1)]
@@ -217,23 +282,18 @@ def _kept(words: T.Words, hit: np.ndarray, docs: np.ndarray) -> tuple[list[int],
     return removed, prints
 
 
-def _table(n: int, **columns) -> pa.Table:
-    return pa.table({k: pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in _FOUND.items()})
-
-
-def _dealt(kind: str, block: int, part: np.ndarray, rows: pa.Table) -> pa.Table:
-    """One packed row per part of rows in any order."""
+def _dealt(block: int, part: np.ndarray, rows: pa.Table) -> list[dict]:
+    """One packed row per shard of segments in any order."""
     order = np.argsort(part, kind="stable")
     part = part[order]
     heads = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
     stops = np.append(heads[1:], len(part))
     rows = rows.take(pa.array(order))
-    return _table(len(heads), kind=[kind] * len(heads), part=part[heads], block=[block] * len(heads),
-                  a=[_stream(rows.slice(x, y - x)) for x, y in zip(heads.tolist(), stops.tolist())])
+    return [_row(SEGMENTS, part[x], block, _stream(rows.slice(x, y - x))) for x, y in zip(heads.tolist(), stops.tolist())]
 
 
 def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
-    """A block with its answers: finished documents, and for the others what is left to ask."""
+    """A block with its answers: the copies known by them, and what is left to ask."""
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         out = []
@@ -241,7 +301,7 @@ def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
             table, ids, words, segments = _read(payload, window)
             (own, _, _, _), texts, first = _asked(segments, ids)
             flags = []
-            for kind, size in ((0, len(own)), (1, len(first))):
+            for kind, size in ((MINIMIZER, len(own)), (TEXT, len(first))):
                 some = answers.filter(pc.equal(answers.column("kind"), kind)).sort_by("part")
                 got = [B.unpack(x.as_py()) for x in some.column("flags")]
                 flags.append(np.concatenate(got) if got else np.zeros(0, np.int64))
@@ -257,9 +317,7 @@ def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
             ask = ~copy & ((shared > 0) | segments.looped | ((total > 1) & (total <= hot_segments)))
             hot = ask & (shared > hot_segments)
             ask &= ~hot
-            opened = np.zeros(table.num_rows, bool)
-            opened[segments.doc[ask | hot | listed]] = True
-            starts, stops = [segments.at[known]], [(segments.at + segments.size)[known]]
+            docs, starts, stops = ([x[known]] for x in (segments.doc, segments.start, segments.start + segments.size))
 
             which = np.flatnonzero(ask | listed)
             if len(which):
@@ -268,7 +326,7 @@ def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
                 body = [words.data[x:y].tobytes().decode() if own else None
                         for x, y, own in zip(a.tolist(), b.tolist(), ask[which].tolist())]
                 shard = (T.mix(segments.minimizer[which]) >> np.uint64(64 - shard_bits)).astype(np.int64) if shard_bits else 0 * which
-                out.append(_dealt("segment", block, shard, pa.table({
+                out.extend(_dealt(block, shard, pa.table({
                     "doc": doc, "doc_id": ids[doc], "start": segments.start[which], "content": segments.content[which],
                     "check": _check(segments.minimizer[which]), "text": pa.array(body, pa.string())})))
             which = np.flatnonzero(hot)
@@ -281,42 +339,23 @@ def _resolve(window: int, hot_segments: int, width: int, shard_bits: int):
                 place, heads = _firsts((key, guard), (ids[doc], doc, start))
                 late = np.ones(len(place), bool)
                 late[heads] = False
-                starts.append(at[place[late]])
-                stops.append(at[place[late]] + window)
-                lead = place[heads]
+                again = place[late]
+                docs.append(doc[again])
+                starts.append(start[again])
+                stops.append(start[again] + window)
+                lead, held = place[heads], np.diff(np.append(heads, len(place)))
                 key = key[lead]
                 for part, a, b in zip(*B.by_range(key, width)):
                     s = lead[a:b]
-                    out.append(_table(1, kind=["window"], part=[part], block=[block], a=[B.pack(B.gaps(key[a:b]))], b=[B.pack(guard[s])],
-                                      c=[B.pack(ids[doc[s]])], d=[B.pack(doc[s])], e=[B.pack(start[s])]))
-
-            hit = T.covered(len(words.starts), np.concatenate(starts), np.concatenate(stops))
-            done = np.flatnonzero(~opened)
-            removed, prints = _kept(words, hit, done)
-            out.append(_table(len(done), kind=["done"] * len(done), n_words=words.counts[done], n_removed=removed, kept_sha256=prints,
-                              doc_id=table.column("doc_id").take(pa.array(done)).combine_chunks()))
-            left = np.flatnonzero(opened)
-            if len(left):
-                spans = [np.stack(T.runs(hit[words.first[d]:words.first[d + 1]])).astype(np.int64).tobytes() for d in left]
-                some = table.take(pa.array(left)).combine_chunks()
-                some = some.append_column("doc", pa.array(left)).append_column("spans", pa.array(spans, pa.binary()))
-                out.append(_table(1, kind=["open"], block=[block], a=[_stream(some)]))
-        return pa.concat_tables(out) if out else _table(0)
+                    order = ids[doc[s]], np.full(b - a, block), doc[s], start[s]
+                    out.append(_found(WINDOWS, part, block, key[a:b], guard[s], order, held[a:b]))
+            docs, starts, stops = (np.concatenate(x) for x in (docs, starts, stops))
+            if len(docs):
+                out.append(_row(KNOWN, 0, block, B.pack(docs), B.pack(starts), B.pack(stops)))
+        return pa.Table.from_pylist(out, _REQUEST)
     return run
 
 
-def _late(table: pa.Table) -> pa.Table:
-    """Windows of one key range that are found earlier, packed by block."""
-    read = lambda name, kind=np.int64: [B.unpack(x.as_py(), kind) for x in table.column(name)]
-    keys = [np.cumsum(k) for k in read("a", np.uint64)]
-    block = np.repeat(table.column("block").to_numpy(), [len(k) for k in keys])
-    doc, start = np.concatenate(read("d")), np.concatenate(read("e"))
-    place, heads = _firsts((np.concatenate(keys), np.concatenate(read("b"))), (np.concatenate(read("c")), block, doc, start))
-    late = np.ones(len(place), bool)
-    late[place[heads]] = False
-    return _by_block(block[late], doc[late], start[late], None)
-
-
 def _by_block(block: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray | None) -> pa.Table:
     order = np.argsort(block, kind="stable")
     block, doc, start = block[order], doc[order], start[order]
@@ -443,18 +482,15 @@ def _finish(window: int):
                 docs.append(B.unpack(d))
                 starts.append(B.unpack(a))
                 stops.append(B.unpack(b) if b is not None else starts[-1] + window)
-        for payload in rows.column("a").to_pylist():
+        for payload in rows.column("payload").to_pylist():
             table = B.rows_of(payload)
             words = T.find_words(table.column("text").combine_chunks().fill_null(""))
-            known = [np.frombuffer(x, np.int64).reshape(2, -1) for x in table.column("spans").to_pylist()]
-            begin = [k[0] + a for k, a in zip(known, words.first.tolist())]
-            end = [k[1] + a for k, a in zip(known, words.first.tolist())]
+            begin = end = np.zeros(0, np.int64)
             if docs:
-                at = words.first[np.searchsorted(table.column("doc").to_numpy(), np.concatenate(docs))]
-                begin.append(np.concatenate(starts) + at)
-                end.append(np.concatenate(stops) + at)
-            hit = T.covered(len(words.starts), np.concatenate(begin), np.concatenate(end))
-            removed, prints = _kept(words, hit, np.arange(table.num_rows))
+                at = words.first[np.concatenate(docs)]
+                begin, end = np.concatenate(starts) + at, np.concatenate(stops) + at
+            hit = T.covered(len(words.starts), begin, end)
+            removed, prints = _kept(words, hit)
             out.append(pa.table({"doc_id": table.column("doc_id"), "n_words": pa.array(words.counts, pa.int64()),
                                  "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(prints, pa.string())}))
         return pa.concat_tables(out) if out else pa.table({
@@ -465,22 +501,19 @@ def _finish(window: int):
 
 def drop_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                  hot_segments: int = HOT_SEGMENTS, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES,
-                 shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                 shard_bytes: int = SHARD_BYTES, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by spaces) of every row."""
     packed = B.in_blocks(keyed(documents, id_col, text_col, False), limit=block_bytes)
-    size = packed.agg(F.sum("n_bytes")).first()[0] or 0
-    width = B.ranges_for(size, range_bytes)
-    shard_bits = B.ranges_for(size, shard_bytes)
+    size, blocks = packed.agg(F.sum("n_bytes"), F.count(F.lit(1))).first()
+    width = B.ranges_for(size or 0, range_bytes)
+    shard_bits = B.ranges_for(size or 0, shard_bytes)
     rows = packed.select("block", "payload")
-    asked = rows.mapInArrow(_requests(window, width), REQUEST)
-    answers = asked.groupBy("kind", "part").applyInArrow(_answer, "kind int, part bigint, block bigint, flags binary")
+    answers = _judged(rows.mapInArrow(_requests(window, width), REQUEST), blocks, Asked.answers, ANSWER, fan_in)
     found = stored(rows.groupBy("block").cogroup(answers.groupBy("block"))
-                   .applyInArrow(_resolve(window, hot_segments, width, shard_bits), FOUND))
-    copies = found.where("kind = 'segment'").select("part", "block", "a").groupBy("part").applyInArrow(_shard(window), LATE)
-    late = (found.where("kind = 'window'").select("part", "block", "a", "b", "c", "d", "e").groupBy("part")
-            .applyInArrow(_late, LATE))
-    left = found.where("kind = 'open'").select("block", "a")
-    columns = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-    finished = left.groupBy("block").cogroup(copies.unionByName(late).groupBy("block")).applyInArrow(
+                   .applyInArrow(_resolve(window, hot_segments, width, shard_bits), REQUEST))
+    known = found.where(F.col("kind") == KNOWN).select("block", F.col("a").alias("docs"), F.col("b").alias("starts"),
+                                                       F.col("c").alias("stops"))
+    copies = found.where(F.col("kind") == SEGMENTS).select("part", "block", "a").groupBy("part").applyInArrow(_shard(window), LATE)
+    late = _judged(found.where(F.col("kind") == WINDOWS), blocks, Asked.late, LATE, fan_in)
+    return rows.groupBy("block").cogroup(known.unionByName(copies).unionByName(late).groupBy("block")).applyInArrow(
         _finish(window), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string")
-    return found.where("kind = 'done'").select(*columns).unionByName(finished)
