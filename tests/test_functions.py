@@ -1,5 +1,7 @@
 """Literal-row fixtures, one row per rule branch (FIXTURES.md §4)."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from wiretable.functions import fields as X
@@ -64,6 +66,22 @@ def test_timestamps(spark):
     assert ns[8] is None and ns[9] is None
 
 
+def test_formats_chosen_by_signs_parse_alike(spark):
+    rng = random.Random(6)
+    dates = ["Mar 5, 2024", "March 5, 2024", "5 Oct 2024", "12 august 2024", "2024-3-5", "2024-03-15", "3/25/2024", "25/3/2024", "4/5/2024",
+             "Mar 5 2024", "T", "", "-2024-1-2", "+12024-1-2", "2024/3/5"]
+    clocks = ["", " 10:02", " 1:2:3", "T10:02:03", "t10:02:03.5", " 10:02:03.123456789", " 10:02:03.123456", ", 10:02", " 25:00", " 10"]
+    texts = {d + c for d in dates for c in clocks}
+    for text in sorted(texts):
+        at = rng.randrange(len(text) + 1)
+        texts |= {text[:at] + rng.choice("/,:-T ax1") + text[at:], text[:at] + text[at + 1:]}
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "v string")
+    for formats in (X.FLEX_FORMATS, X.MODULAR_FORMATS):
+        both = df.select("v", X.parse_formats(F.col("v"), formats).alias("every"), X.parse_by_signs(F.col("v"), formats).alias("chosen"))
+        assert both.where(~F.col("every").eqNullSafe(F.col("chosen"))).collect() == []
+        assert both.where("every is not null").count() > 20
+
+
 def test_timestamp_spellings_and_odd_years(spark):
     """What the generic parser accepts is accepted, and no year aborts a job."""
     base = 1684317843 * 10**9      # 2023-05-17 10:04:03

@@ -140,6 +140,29 @@ def parse_formats(text: Column, formats: list[str]) -> Column:
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
+#: Signs that a format has, and with it each text that it parses; the first one found decides.
+_SIGNS = [("/", "/"), (",", ","), ("MMM", "[A-SU-Za-su-z]"), ("'T'", "[Tt]")]
+
+
+def parse_by_signs(text: Column, formats: list[str]) -> Column:
+    """``parse_formats`` with the formats that can apply, at most two of these lists.
+
+    Only month-first and day-first numbers have a slash, only month names in
+    front a comma, only month names a letter other than ``T``, only clock times
+    a colon.
+    """
+    left, parsed = list(formats), None
+    for sign, pattern in [*_SIGNS, ("", None)]:
+        own = [f for f in left if sign in f]
+        left = [f for f in left if f not in own]
+        timed, bare = [f for f in own if ":" in f], [f for f in own if ":" not in f]
+        one = F.when(text.contains(":"), parse_formats(text, timed) if timed else F.lit(None).cast("timestamp"))
+        one = one.otherwise(parse_formats(text, bare)) if bare else one
+        if pattern is None:
+            return parsed.otherwise(one)
+        parsed = (F if parsed is None else parsed).when(text.rlike(pattern), one)
+
+
 def squash_blanks(c: Column) -> Column:
     """Single blanks, and no zone offset at the end."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s+", " "), ZONE_OFFSET_PATTERN, "$1"))
@@ -167,14 +190,14 @@ def time_text_modular(raw: Column) -> Column:
 
 def parse_time_integrated(raw: Column) -> Column:
     """Parsed wall clock (TIMESTAMP, UTC session) or NULL when unparseable."""
-    return parse_formats(squash_blanks(time_text_integrated(raw)), FLEX_FORMATS)
+    return parse_by_signs(squash_blanks(time_text_integrated(raw)), FLEX_FORMATS)
 
 
 def parse_time_modular(raw: Column) -> Column:
     """Generic parse (month first on ambiguous dates), then the validator's own list."""
     text = time_text_modular(raw)
-    return F.coalesce(parse_formats(squash_blanks(text), FLEX_FORMATS),
-                      parse_formats(cut_fraction(text), MODULAR_FORMATS))
+    return F.coalesce(parse_by_signs(squash_blanks(text), FLEX_FORMATS),
+                      parse_by_signs(cut_fraction(text), MODULAR_FORMATS))
 
 
 def fraction_digits(text: Column) -> Column:

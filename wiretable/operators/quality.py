@@ -41,9 +41,9 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
                   src_port_n=X.port_value(c("src_port")), dst_port_n=X.port_value(c("dst_port")),
                   length_n=F.trim(c("length")).try_cast("double").try_cast("int"))
     staged = bind(staged, _tf=X.squash_blanks(c("_tt")), _tp=X.cut_fraction(c("_tt")))
-    parsed = X.parse_formats(c("_tf"), X.FLEX_FORMATS)
+    parsed = X.parse_by_signs(c("_tf"), X.FLEX_FORMATS)
     if modular:
-        parsed = F.coalesce(parsed, X.parse_formats(c("_tp"), X.MODULAR_FORMATS))
+        parsed = F.coalesce(parsed, X.parse_by_signs(c("_tp"), X.MODULAR_FORMATS))
     staged = bind(staged, event_time=parsed)
     staged = bind(staged, event_ns=X.time_ns_from(c("event_time"), X.fraction_digits(c("_tt"))))
     # The integrated profile refuses a time beyond nanoseconds; the modular one keeps it without an instant.
