@@ -26,7 +26,7 @@ def is_missing(c: Column) -> Column:
 
 
 def strip_quotes(c: Column) -> Column:
-    return F.regexp_replace(c, '^"+|"+$', "")
+    return F.when(c.contains('"'), F.regexp_replace(c, '^"+|"+$', "")).otherwise(c)
 
 
 def strip_blanks(c: Column) -> Column:
@@ -36,7 +36,7 @@ def strip_blanks(c: Column) -> Column:
 
 def first_occurrence(c: Column) -> Column:
     """Keep the first value of a repeated field exported as ``a,b``."""
-    return F.get(F.split(c, ","), 0)
+    return F.substring_index(c, ",", 1)
 
 
 # ---------------------------------------------------------------------- protocols

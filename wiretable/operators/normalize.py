@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions import fields as X
 from ..schema import EXTRACTED_COLUMNS, Profile, profile as _profile
+from ..session import bind
+
+ADDRESS_FIELDS = ["ip.src", "ipv6.src", "ip.dst", "ipv6.dst", "ip.proto", "ipv6.nxt"]
+PORT_FIELDS = ["tcp.srcport", "tcp.dstport", "udp.srcport", "udp.dstport", "frame.len"]
+TEXT_FIELDS = ["frame.time", "dns.qry.name", "http.host", "http.request.uri", "http.user_agent"]
 
 
 def _clean_text(c: Column, first_only: bool, quotes: bool) -> Column:
@@ -20,6 +25,10 @@ def _clean_text(c: Column, first_only: bool, quotes: bool) -> Column:
     return X.first_occurrence(c) if first_only else c
 
 
+def _bound(field: str) -> str:
+    return "_" + field.replace(".", "_")
+
+
 def _nonempty(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -36,10 +45,13 @@ def normalize(raw: DataFrame, prof: str | Profile, na: tuple[str, ...] = ()) ->
     prof = _profile(prof)
     # First-occurrence applies to the fields a capture tool may repeat
     # (addresses, protocol, ports, length), never to free text.
-    repeatable = {"ip.src", "ip.dst", "ipv6.src", "ipv6.dst", "ip.proto", "ipv6.nxt",
-                  "tcp.srcport", "tcp.dstport", "udp.srcport", "udp.dstport", "frame.len"}
-    col = lambda name: _clean_text(
-        F.col(f"`{name}`"), prof.first_occurrence and name in repeatable, prof.strip_quotes)
+    repeatable = {*ADDRESS_FIELDS, *PORT_FIELDS}
+    # Every field is cleaned once per row, a few fields at a time: one projection of all
+    # rules makes a generated method that the JVM's compiler refuses (over 8,000 bytes).
+    for group in (ADDRESS_FIELDS, PORT_FIELDS, TEXT_FIELDS):
+        raw = bind(raw, **{_bound(f): _clean_text(F.col(f"`{f}`"), prof.first_occurrence and f in repeatable, prof.strip_quotes)
+                           for f in group if f in raw.columns})
+    col = lambda name: F.col(_bound(name))
 
     if prof.ipv6:
         src = F.coalesce(_nonempty(col("ip.src")), _nonempty(col("ipv6.src")))
