@@ -128,3 +128,13 @@ def test_nanosecond_epochs_and_negative_times(spark):
     for bound in (4096, 0):
         got = {r.pid for r in thin_flows(df, ["f"], "t", w, order_col="pid", fold_max_nodes=bound).collect()}
         assert got == greedy(rows, w)
+
+
+def test_ids_that_grow_with_the_rows_are_not_broadcast(spark):
+    rows = [("a", 10 * k, k, f"x{k % 7}") for k in range(200)]
+    df = spark.createDataFrame(rows, "f string, t long, pid long, text string")
+    for out, kept in ((drop_exact(df, ["f", "text"], "pid"), set(range(7))),
+                      (thin_flows(df, ["f"], "t", 60, order_col="pid"), set(range(0, 200, 6)))):
+        assert {r.pid for r in out.collect()} == kept
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

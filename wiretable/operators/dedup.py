@@ -43,6 +43,8 @@ from ..session import materialize, materialize_counted, materialize_observed
 
 #: Slices of a bucket of the large-flow path.
 SLICES = 64
+#: Pointers of a level that may be broadcast (16 bytes each).
+LEVEL_BROADCAST_MAX = 100_000
 
 
 def drop_exact(df: DataFrame, columns: list[str], order_col: str = "packet_id") -> DataFrame:
@@ -51,12 +53,13 @@ def drop_exact(df: DataFrame, columns: list[str], order_col: str = "packet_id")
     NULLs compare equal, as in a pandas ``drop_duplicates``.  ``order_col`` is a
     number that identifies rows: its minimum per group is a hash aggregation
     (partial before the shuffle); columns outside ``columns`` are brought back
-    by a semi-join on it.
+    by a semi-join on it, which sorts: its ids grow with the rows, so they are never
+    broadcast through the driver, however well they compress in a shuffle.
     """
     first = df.groupBy(*columns).agg(F.min(order_col).alias(order_col))
     if set(df.columns) == {order_col, *columns}:
         return first.select(*df.columns)
-    return df.join(first.select(order_col), order_col, "left_semi")
+    return df.join(first.select(order_col).hint("merge"), order_col, "left_semi")
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[str],
@@ -134,9 +137,9 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
     if untimed_rows == "first":
         # Flows are compared as structs, so NULL key parts are equal.
         alone = untimed.groupBy(fk).agg(F.min(order_col).alias("_rep")).join(
-            nodes.select("_fk").distinct(), "_fk", "left_anti")
+            nodes.select("_fk").distinct().hint("merge"), "_fk", "left_anti")
         untimed = untimed.join(alone, F.col(order_col) == alone["_rep"], "left_semi")
-    out = (timed.join(kept, F.col(order_col).cast("long") == kept["_rep"], "left_semi")
+    out = (timed.join(kept.hint("merge"), F.col(order_col).cast("long") == kept["_rep"], "left_semi")
            .unionByName(untimed))
     if with_stats:
         return out, {"levels": levels, "large_flows": n_large}
@@ -208,6 +211,8 @@ def _pointer_doubling(nodes: DataFrame, w: int) -> tuple[DataFrame, int]:
     # Pointer doubling on node ids: levels[k] holds the 2^k-th successors.
     levels = []
     while live > 0:
+        if live > LEVEL_BROADCAST_MAX:
+            jump = jump.hint("merge")
         levels.append(jump)
         right = jump.select(c("_rep").alias("_m"), c("_n").alias("_n2"))
         jump, live = materialize_counted(
