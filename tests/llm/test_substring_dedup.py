@@ -5,7 +5,8 @@ import pytest
 from plain import SF001
 
 from wiretable.llm import registry
-from wiretable.llm.substring_dedup import drop_repeats
+from wiretable.llm.blocks import in_blocks, rows_of
+from wiretable.llm.substring_dedup import BLOCK_LEVEL, drop_repeats
 
 SMALL = dict(block_bytes=4000, range_bytes=4000, shard_bytes=1500)
 MANY = {**SMALL, "fan_in": 2}
@@ -44,3 +45,17 @@ def test_null_ids_come_last(spark):
 
 def test_query(spark, sf_rows):
     assert sorted(tuple(r) for r in registry.op5_substring_dedup(spark, SF001).collect()) == plain.kept_words(sf_rows)
+
+
+def test_blocks_of_higher_level_are_smaller_and_read_back(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(900)]
+    phrases = [" ".join(rng.choices(words, k=6)) for _ in range(300)]
+    rows = [(k, " ".join(rng.choices(phrases, k=70))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    sizes = []
+    for level in (1, BLOCK_LEVEL):
+        blocks = in_blocks(df, level=level).collect()
+        assert sorted((r["doc_id"], r["text"]) for b in blocks for r in rows_of(b["payload"]).to_pylist()) == rows
+        sizes.append(sum(len(b["payload"]) for b in blocks))
+    assert sizes[1] < 0.95 * sizes[0]

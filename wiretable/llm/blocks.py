@@ -16,8 +16,11 @@ from wiretable.llm import tokens as T
 from wiretable.llm.frames import stored
 
 
-def in_blocks(rows: DataFrame, text_col: str = "text", limit: int = 6 << 20) -> DataFrame:
-    """block (a number), payload and n_bytes (of text); every block holds about ``limit`` bytes of text."""
+def in_blocks(rows: DataFrame, text_col: str = "text", limit: int = 6 << 20, level: int = 1) -> DataFrame:
+    """block (a number), payload and n_bytes (of text); every block holds about ``limit`` bytes of text.
+
+    ``level``: zstd's effort, worth more where blocks are shuffled several times.
+    """
     names = rows.columns
 
     def run(batches):
@@ -34,7 +37,7 @@ def in_blocks(rows: DataFrame, text_col: str = "text", limit: int = 6 << 20) ->
     def block(parts):
         sink = pa.BufferOutputStream()
         table = pa.Table.from_batches(parts).combine_chunks()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as out:
             out.write_table(table)
         texts = table.column(names.index(text_col))
         return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary()),

@@ -52,6 +52,8 @@ WINDOW = 20
 GRAM = 4
 HOT_SEGMENTS = 1000
 BLOCK_BYTES = 3 << 20
+#: Blocks are written once and shuffled twice.
+BLOCK_LEVEL = 6
 SLICE = 1 << 14
 RANGE_BYTES = 24 << 20
 #: Blocks that ask one range in one call: some MB of headers, 48 GB of text before groups are merged.
@@ -503,7 +505,7 @@ def drop_repeats(documents: DataFrame, window: int = WINDOW, id_col: str = "doc_
                  hot_segments: int = HOT_SEGMENTS, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES,
                  shard_bytes: int = SHARD_BYTES, fan_in: int = FAN_IN) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by spaces) of every row."""
-    packed = B.in_blocks(keyed(documents, id_col, text_col, False), limit=block_bytes)
+    packed = B.in_blocks(keyed(documents, id_col, text_col, False), limit=block_bytes, level=BLOCK_LEVEL)
     size, blocks = packed.agg(F.sum("n_bytes"), F.count(F.lit(1))).first()
     width = B.ranges_for(size or 0, range_bytes)
     shard_bits = B.ranges_for(size or 0, shard_bytes)
