@@ -46,9 +46,10 @@ def is_valid_ip(c: Column) -> Column:
 
 def octets(c: Column) -> Column:
     """First two octets as integers (NULL if not numeric) and the number of parts of an address."""
-    parts = F.split(c, "[.]")
-    return F.struct(F.get(parts, 0).try_cast("int").alias("a"), F.get(parts, 1).try_cast("int").alias("b"),
-                    F.size(parts).alias("n"))
+    dots = F.length(c) - F.length(F.replace(c, F.lit("."), F.lit("")))
+    second = F.when(c.contains("."), F.substring_index(F.substring_index(c, ".", 2), ".", -1))
+    return F.struct(F.substring_index(c, ".", 1).try_cast("int").alias("a"), second.try_cast("int").alias("b"),
+                    (dots + 1).alias("n"))
 
 
 def is_internal(o: Column) -> Column:

@@ -108,9 +108,11 @@ def port_value(c: Column) -> Column:
 def integer_text_value(c: Column) -> Column:
     """Value of ``int(text)`` for integer literals, NULL for anything else.
 
-    Out-of-range literals map to -1, which no port set contains.
+    Out-of-range literals map to -1, which no port set contains.  A text that its own
+    number gives back needs no pattern.
     """
-    return F.when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"),
+    number = c.try_cast("bigint")
+    return F.when(c == number.cast("string"), number).when(c.rlike(r"^\s*[+-]?[0-9]+\s*$"),
                   F.coalesce(F.trim(c).try_cast("bigint"), F.lit(-1).cast("bigint")))
 
 
@@ -141,7 +143,8 @@ def parse_formats(text: Column, formats: list[str]) -> Column:
 
 
 #: Signs that a format has, and with it each text that it parses; the first one found decides.
-_SIGNS = [("/", "/"), (",", ","), ("MMM", "[A-SU-Za-su-z]"), ("'T'", "[Tt]")]
+_SIGNS = [("/", lambda c: c.contains("/")), (",", lambda c: c.contains(",")),
+          ("MMM", lambda c: c.rlike("[A-SU-Za-su-z]")), ("'T'", lambda c: c.rlike("[Tt]"))]
 
 
 def parse_by_signs(text: Column, formats: list[str]) -> Column:
@@ -152,20 +155,32 @@ def parse_by_signs(text: Column, formats: list[str]) -> Column:
     a colon.
     """
     left, parsed = list(formats), None
-    for sign, pattern in [*_SIGNS, ("", None)]:
+    for sign, found in [*_SIGNS, ("", None)]:
         own = [f for f in left if sign in f]
         left = [f for f in left if f not in own]
         timed, bare = [f for f in own if ":" in f], [f for f in own if ":" not in f]
         one = F.when(text.contains(":"), parse_formats(text, timed) if timed else F.lit(None).cast("timestamp"))
         one = one.otherwise(parse_formats(text, bare)) if bare else one
-        if pattern is None:
+        if found is None:
             return parsed.otherwise(one)
-        parsed = (F if parsed is None else parsed).when(text.rlike(pattern), one)
+        parsed = (F if parsed is None else parsed).when(found(text), one)
+
+
+def _any_in(c: Column, signs: str | list[str]) -> Column:
+    found = c.contains(signs[0])
+    for s in signs[1:]:
+        found = found | c.contains(s)
+    return found
 
 
 def squash_blanks(c: Column) -> Column:
-    """Single blanks, and no zone offset at the end."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r"\s+", " "), ZONE_OFFSET_PATTERN, "$1"))
+    """Single blanks, and no zone offset at the end.
+
+    The patterns are only tried on texts with a sign that they need.
+    """
+    blanks = _any_in(c, ["  ", *"\t\n\r\u000b\f"])
+    single = F.when(blanks, F.regexp_replace(c, r"\s+", " ")).otherwise(c)
+    return F.trim(F.when(_any_in(c, "Z+-"), F.regexp_replace(single, ZONE_OFFSET_PATTERN, "$1")).otherwise(single))
 
 
 def cut_fraction(c: Column) -> Column:

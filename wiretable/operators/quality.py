@@ -40,10 +40,12 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
                   _port_ok=X.port_is_valid(c("src_port"), modular) & X.port_is_valid(c("dst_port"), modular),
                   src_port_n=X.port_value(c("src_port")), dst_port_n=X.port_value(c("dst_port")),
                   length_n=F.trim(c("length")).try_cast("double").try_cast("int"))
-    staged = bind(staged, _tf=X.squash_blanks(c("_tt")), _tp=X.cut_fraction(c("_tt")))
+    staged = bind(staged, _tf=X.squash_blanks(c("_tt")))
     parsed = X.parse_by_signs(c("_tf"), X.FLEX_FORMATS)
-    if modular:
-        parsed = F.coalesce(parsed, X.parse_by_signs(c("_tp"), X.MODULAR_FORMATS))
+    if modular:  # the validator's own list sees only what the generic parser leaves
+        staged = bind(staged, _t1=parsed)
+        staged = bind(staged, _tp=F.when(c("_t1").isNull(), X.cut_fraction(c("_tt"))))
+        parsed = F.coalesce(c("_t1"), X.parse_by_signs(c("_tp"), X.MODULAR_FORMATS))
     staged = bind(staged, event_time=parsed)
     staged = bind(staged, event_ns=X.time_ns_from(c("event_time"), X.fraction_digits(c("_tt"))))
     # The integrated profile refuses a time beyond nanoseconds; the modular one keeps it without an instant.
@@ -55,7 +57,7 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
         .when(known.isNull(), "invalid_timestamp")
         .when(~proto_ok, "invalid_protocol")
     )
-    return bind(staged, reject_reason=reason).drop("_tt", "_tp", "_tf", "_ip_ok", "_port_ok")
+    return bind(staged, reject_reason=reason).drop("_tt", "_tp", "_tf", "_t1", "_ip_ok", "_port_ok")
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
