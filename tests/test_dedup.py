@@ -138,3 +138,16 @@ def test_ids_that_grow_with_the_rows_are_not_broadcast(spark):
         assert {r.pid for r in out.collect()} == kept
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_flows_of_thousands_of_times_are_folded_and_match_loop(spark):
+    rng = random.Random(5)
+    rows, t = [], 0
+    for pid in range(5000):
+        t += rng.choice([1, 2, 9, 10, 30])
+        rows.append(("a" if pid % 5 else "b", t, pid))
+    df = spark.createDataFrame(rows, "f string, t long, pid long")
+    for w in (1, 10, 500):
+        out, stats = thin_flows(df, ["f"], "t", w, order_col="pid", with_stats=True)
+        assert stats == {"levels": 0, "large_flows": 0}
+        assert sorted(r.pid for r in out.collect()) == sorted(greedy(rows, w))

@@ -43,6 +43,8 @@ from ..session import materialize, materialize_counted, materialize_observed
 
 #: Slices of a bucket of the large-flow path.
 SLICES = 64
+#: Kept ids of a run in the fold of a small flow.
+FOLD_RUN = 128
 #: Pointers of a level that may be broadcast (16 bytes each).
 LEVEL_BROADCAST_MAX = 100_000
 
@@ -78,7 +80,7 @@ def first_per_key(df: DataFrame, key: list[str], order: list[str],
 
 def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
                order_col: str = "packet_id", with_stats: bool = False,
-               fold_max_nodes: int = 1024, route_broadcast_max: int = 1_000_000,
+               fold_max_nodes: int = 16_384, route_broadcast_max: int = 1_000_000,
                untimed_rows: str = "keep"):
     """Greedy per-flow thinning with window ``window`` (same unit as ``time_col``).
 
@@ -91,10 +93,9 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
 
     Flows are sized first.  Flows with at most ``fold_max_nodes`` distinct
     times are thinned by a sequential fold over their sorted times inside one
-    grouped aggregation (a group of proven, bounded size; the fold appends to
-    an immutable array, so its cost grows with the bound squared, which is
-    why the bound is kept moderate); larger flows take the pointer-doubling
-    path, which never gathers a flow.  The set of large
+    grouped aggregation (a group of proven, bounded size; the fold's cost is
+    about linear, the bound is there for the memory of a group); larger flows
+    take the pointer-doubling path, which never gathers a flow.  The set of large
     flows is counted and broadcast only below ``route_broadcast_max`` rows.
     ``fold_max_nodes=0`` sends every flow through pointer doubling.
     """
@@ -148,14 +149,19 @@ def thin_flows(df: DataFrame, key: list[str], time_col: str, window: int,
 
 def _fold_small_flows(nodes: DataFrame, w: int) -> DataFrame:
     """Kept node ids of bounded flows: the greedy rule as a fold over the
-    flow's sorted (time, id) pairs, evaluated JVM-side per group."""
+    flow's sorted (time, id) pairs, evaluated JVM-side per group.
+
+    Kept ids are gathered in runs of ``FOLD_RUN``, as an append copies its array."""
     fold = F.expr(f"""aggregate(
         array_sort(collect_list(_node)),
-        named_struct('last', CAST(NULL AS BIGINT), 'kept', CAST(array() AS ARRAY<BIGINT>)),
+        named_struct('last', CAST(NULL AS BIGINT), 'run', CAST(array() AS ARRAY<BIGINT>),
+                     'runs', CAST(array() AS ARRAY<ARRAY<BIGINT>>)),
         (acc, x) -> IF(acc.last IS NULL OR x._t - acc.last >= {w},
-                       named_struct('last', x._t, 'kept', array_append(acc.kept, x._rep)),
+                       IF(size(acc.run) < {FOLD_RUN},
+                          named_struct('last', x._t, 'run', array_append(acc.run, x._rep), 'runs', acc.runs),
+                          named_struct('last', x._t, 'run', array(x._rep), 'runs', array_append(acc.runs, acc.run))),
                        acc),
-        acc -> acc.kept)""")
+        acc -> flatten(array_append(acc.runs, acc.run)))""")
     return nodes.groupBy("_fk").agg(fold.alias("_kept")).select(F.explode("_kept").alias("_rep"))
 
 
