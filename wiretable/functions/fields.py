@@ -82,11 +82,12 @@ def port_pick_modular(tcp: Column, udp: Column) -> Column:
     return F.coalesce(F.nullif(tcp, F.lit("")), F.nullif(udp, F.lit("")))
 
 
-def _port_double(c: Column) -> Column:
+def port_number(c: Column) -> Column:
+    """Number of a port's text; bind it where several rules read it."""
     return c.try_cast("double")
 
 
-def port_is_valid(c: Column, nan_text_is_missing: bool = False) -> Column:
+def port_is_valid(c: Column, nan_text_is_missing: bool = False, number: Column | None = None) -> Column:
     """NULL/empty is valid; otherwise ``int(float(x))`` must lie in 0..65535.
 
     ``int(float(x))`` is in range exactly when ``-1 < x < 65536``; NaN and
@@ -95,13 +96,13 @@ def port_is_valid(c: Column, nan_text_is_missing: bool = False) -> Column:
     missing = is_missing(c)
     if nan_text_is_missing:
         missing = missing | (c == "nan")
-    d = _port_double(c)
+    d = port_number(c) if number is None else number
     return missing | F.coalesce((d > -1) & (d < 65536), F.lit(False))
 
 
-def port_value(c: Column) -> Column:
+def port_value(c: Column, number: Column | None = None) -> Column:
     """Typed port: truncated integer of the text, NULL when missing or invalid."""
-    d = _port_double(c)
+    d = port_number(c) if number is None else number
     return F.when((d > -1) & (d < 65536), d.cast("int"))
 
 

@@ -37,10 +37,11 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
 
     # Each layer is bound once per row, so no format or pattern is tried twice.
     staged = bind(df, _tt=text, _ip_ok=is_valid_ip(c("src_ip")) & is_valid_ip(c("dst_ip")),
-                  _port_ok=X.port_is_valid(c("src_port"), modular) & X.port_is_valid(c("dst_port"), modular),
-                  src_port_n=X.port_value(c("src_port")), dst_port_n=X.port_value(c("dst_port")),
+                  _sp=X.port_number(c("src_port")), _dp=X.port_number(c("dst_port")),
                   length_n=F.trim(c("length")).try_cast("double").try_cast("int"))
-    staged = bind(staged, _tf=X.squash_blanks(c("_tt")))
+    staged = bind(staged, _tf=X.squash_blanks(c("_tt")),
+                  _port_ok=X.port_is_valid(c("src_port"), modular, c("_sp")) & X.port_is_valid(c("dst_port"), modular, c("_dp")),
+                  src_port_n=X.port_value(c("src_port"), c("_sp")), dst_port_n=X.port_value(c("dst_port"), c("_dp")))
     parsed = X.parse_by_signs(c("_tf"), X.FLEX_FORMATS)
     if modular:  # the validator's own list sees only what the generic parser leaves
         staged = bind(staged, _t1=parsed)
@@ -57,7 +58,7 @@ def with_reject_reason(df: DataFrame, prof: str | Profile) -> DataFrame:
         .when(known.isNull(), "invalid_timestamp")
         .when(~proto_ok, "invalid_protocol")
     )
-    return bind(staged, reject_reason=reason).drop("_tt", "_tp", "_tf", "_t1", "_ip_ok", "_port_ok")
+    return bind(staged, reject_reason=reason).drop("_tt", "_tp", "_tf", "_t1", "_sp", "_dp", "_ip_ok", "_port_ok")
 
 
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
